@@ -1 +1,207 @@
-"""placeholder"""
+"""Chat data: collection, rendering, context prompts, stop rules, masks (step 4)."""
+
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from corvid.functions import chat as C
+from corvid.functions.text import tokenize_words
+from corvid.operators import chat as ops
+from corvid.operators.prefix import row_number
+from corvid.plans import register
+from corvid.plans.common import tok
+from corvid.sources.tables import load_table
+
+CHAT_MAX_LEN = 512
+MICRO_BATCH = 2
+TOPK = 3
+NL = "chr(10)"
+BOS_LEN = len(C.BOS)
+GEN_LEN = len(C.HEADER_START) + len("assistant") + len(C.HEADER_END) + 1
+
+
+def fp_sql(x: str) -> str:
+    return f"('0x' || substr(md5({x}), 1, 8))::BIGINT"
+
+
+SEG_SQL = f"'{C.HEADER_START}' || role || '{C.HEADER_END}' || {NL} || text || '{C.EOT}'"
+STRIP_SQL = r"regexp_replace(text, '^[\s\x{{00A0}}]+|[\s\x{{00A0}}]+$', '', 'g')"
+
+
+def conversations(spark, sf_dir):
+    return load_table(spark, sf_dir, "conversations")
+
+
+# ---- terminal input derived from the conversation table ------------------------
+# The table has no blank or "quit" turns; the interactive rules need them, so a
+# deterministic share of user turns is rewritten into such inputs.
+
+def terminal_inputs(turns):
+    user = F.col("role") == "user"
+    cid, t = F.col("conv_id"), F.col("turn")
+    quit_text = (F.when(F.pmod(cid, F.lit(3)) == 0, F.lit("quit"))
+                 .when(F.pmod(cid, F.lit(3)) == 1, F.lit("  QUIT "))
+                 .otherwise(F.lit(" Quit ")))
+    text = (F.when(user & (F.pmod(cid * 31 + t * 7, F.lit(9)) == 0), F.lit("   "))
+            .when(user & (F.pmod(cid * 17 + t * 5, F.lit(11)) == 0), quit_text)
+            .when(user & (F.pmod(cid * 13 + t * 3, F.lit(17)) == 0), F.lit("quit now"))
+            .otherwise(F.col("text")))
+    return turns.withColumn("text", text)
+
+
+INPUTS_CTE = """inp AS (
+  SELECT conv_id, turn, role,
+         CASE WHEN role = 'user' AND (conv_id * 31 + turn * 7) % 9 = 0 THEN ' ' || chr(160) || ' '
+              WHEN role = 'user' AND (conv_id * 17 + turn * 5) % 11 = 0 THEN
+                   CASE conv_id % 3 WHEN 0 THEN 'quit' WHEN 1 THEN '  QUIT ' ELSE ' Quit' || chr(160) END
+              WHEN role = 'user' AND (conv_id * 13 + turn * 3) % 17 = 0 THEN 'quit now'
+              ELSE text END AS text
+  FROM conversations)"""
+
+DROP_BLANK_CTE = INPUTS_CTE + f""",
+nb AS (
+  SELECT conv_id, turn, role, CASE WHEN role = 'user' THEN {STRIP_SQL.format()} ELSE text END AS text
+  FROM inp
+  WHERE NOT (role = 'user' AND {STRIP_SQL.format()} = ''))"""
+
+
+@register("chat_collect", f"""SELECT conv_id, count(*) AS n_turns, min(turn) AS first_turn, max(turn) AS last_turn,
+  CAST(sum(CASE WHEN role = 'user' THEN 1 ELSE 0 END) AS BIGINT) AS n_user,
+  CAST(sum(CASE WHEN role = 'assistant' THEN 1 ELSE 0 END) AS BIGINT) AS n_assistant,
+  CAST(sum(CASE WHEN role = 'system' THEN 1 ELSE 0 END) AS BIGINT) AS n_system,
+  CAST(sum(length(text)) AS BIGINT) AS total_chars,
+  CAST(sum({fp_sql("CAST(turn AS VARCHAR) || '|' || role || '|' || text")}) AS BIGINT) AS conv_fp
+FROM conversations GROUP BY conv_id""")
+def q_chat_collect(spark, sf_dir):
+    return ops.conversation_summary(conversations(spark, sf_dir))
+
+
+@register("chat_render", f"""WITH s AS (SELECT conv_id, turn, role, {SEG_SQL} AS segment FROM conversations)
+SELECT conv_id, turn, role, segment, CAST(length(segment) AS BIGINT) AS seg_len,
+       CAST(coalesce(sum(length(segment)) OVER (PARTITION BY conv_id ORDER BY turn
+            ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) + {BOS_LEN} AS BIGINT) AS seg_start
+FROM s""")
+def q_chat_render(spark, sf_dir):
+    return ops.render_segments(conversations(spark, sf_dir)).select(
+        "conv_id", "turn", "role", "segment", "seg_len", "seg_start")
+
+
+@register("chat_context", f"""WITH s AS (
+  SELECT conv_id, turn, role, {SEG_SQL} AS segment FROM conversations),
+f AS (SELECT conv_id, turn, role, length(segment) AS seg_len,
+             {fp_sql("CAST(turn AS VARCHAR) || '|' || segment")} AS seg_fp FROM s),
+r AS (SELECT conv_id, turn, role, sum(seg_len) OVER w AS c, sum(seg_fp) OVER w AS fpx FROM f
+      WINDOW w AS (PARTITION BY conv_id ORDER BY turn ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW))
+SELECT conv_id, turn, CAST(c + {BOS_LEN + GEN_LEN} AS BIGINT) AS prompt_chars,
+       CAST(fpx AS BIGINT) AS prompt_fp
+FROM r WHERE role = 'user'""")
+def q_chat_context(spark, sf_dir):
+    return ops.context_prompts(conversations(spark, sf_dir))
+
+
+@register("chat_drop_blank", f"""WITH {DROP_BLANK_CTE}
+SELECT conv_id, turn, role, text FROM nb""")
+def q_chat_drop_blank(spark, sf_dir):
+    return ops.drop_blank(terminal_inputs(conversations(spark, sf_dir))).select(
+        "conv_id", "turn", "role", "text")
+
+
+@register("chat_stop", f"""WITH {DROP_BLANK_CTE},
+q AS (SELECT conv_id, min(turn) AS qt FROM nb WHERE role = 'user' AND lower(text) = 'quit'
+      GROUP BY conv_id)
+SELECT nb.conv_id, nb.turn, nb.role, nb.text FROM nb LEFT JOIN q ON nb.conv_id = q.conv_id
+WHERE q.qt IS NULL OR nb.turn < q.qt""")
+def q_chat_stop(spark, sf_dir):
+    return ops.chat_rules(terminal_inputs(conversations(spark, sf_dir))).select(
+        "conv_id", "turn", "role", "text")
+
+
+SEG_TOKENS_CTE = f"""st AS (SELECT conv_id, turn, role, 4 + len({tok('text')}) AS n_seg FROM conversations),
+sp AS (SELECT conv_id, turn, role, n_seg,
+              1 + coalesce(sum(n_seg) OVER (PARTITION BY conv_id ORDER BY turn
+                  ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS tok_start FROM st)"""
+
+
+@register("assistant_mask", f"""WITH {SEG_TOKENS_CTE}
+SELECT conv_id, CAST(sum(n_seg) + 1 AS BIGINT) AS n_tokens,
+       CAST(sum(CASE WHEN role = 'assistant' THEN n_seg - 3 ELSE 0 END) AS BIGINT) AS n_trained,
+       CAST(sum(CASE WHEN role = 'assistant'
+                     THEN greatest(0, least(tok_start + n_seg, {CHAT_MAX_LEN}) - (tok_start + 3))
+                     ELSE 0 END) AS BIGINT) AS n_trained_cut
+FROM sp GROUP BY conv_id""")
+def q_assistant_mask(spark, sf_dir):
+    return ops.assistant_mask_counts(conversations(spark, sf_dir), CHAT_MAX_LEN)
+
+
+@register("pad_batch", f"""WITH {SEG_TOKENS_CTE},
+c AS (SELECT conv_id, least(sum(n_seg) + 1, {CHAT_MAX_LEN}) AS seq_len FROM st GROUP BY conv_id),
+b AS (SELECT conv_id, seq_len, (row_number() OVER (ORDER BY conv_id) - 1) // {MICRO_BATCH} AS micro_batch
+      FROM c)
+SELECT conv_id, CAST(micro_batch AS BIGINT) AS micro_batch, CAST(seq_len AS BIGINT) AS seq_len,
+       CAST(max(seq_len) OVER (PARTITION BY micro_batch) AS BIGINT) AS padded_len,
+       CAST(max(seq_len) OVER (PARTITION BY micro_batch) - seq_len AS BIGINT) AS n_pad,
+       '{C.EOS_TOKEN}' AS pad_token
+FROM b""")
+def q_pad_batch(spark, sf_dir):
+    counts = ops.assistant_mask_counts(conversations(spark, sf_dir), CHAT_MAX_LEN)
+    seqs = counts.select("conv_id", F.least("n_tokens", F.lit(CHAT_MAX_LEN)).cast("bigint")
+                         .alias("seq_len"))
+    numbered = row_number(seqs, [], "conv_id", "_rn").withColumn(
+        "micro_batch", F.floor((F.col("_rn") - 1) / MICRO_BATCH).cast("bigint"))
+    widest = numbered.groupBy("micro_batch").agg(F.max("seq_len").alias("padded_len"))
+    return numbered.join(widest, "micro_batch").select(
+        "conv_id", "micro_batch", "seq_len", "padded_len",
+        (F.col("padded_len") - F.col("seq_len")).cast("bigint").alias("n_pad"),
+        C.pad_token().alias("pad_token"))
+
+
+@register("decode_reply", f"""SELECT conv_id, turn, array_to_string({tok('text')}, ' ') AS reply
+FROM conversations WHERE role = 'assistant'""")
+def q_decode_reply(spark, sf_dir):
+    a = conversations(spark, sf_dir).filter(F.col("role") == "assistant")
+    # The generated sequence starts with the open assistant header (the prompt tail).
+    seq = C.segment_tokens(F.col("role"), F.col("text"))
+    return a.select("conv_id", "turn", C.decode_reply(seq, F.lit(3)).alias("reply"))
+
+
+PAIRS_CTE = f"""d AS (SELECT doc_id, {tok('text')} AS t FROM documents),
+pairs AS (SELECT unnest(t[1:len(t) - 1]) AS token, unnest(t[2:len(t)]) AS next_token
+          FROM d WHERE len(t) >= 2)"""
+
+
+def doc_pairs(spark, sf_dir):
+    docs = load_table(spark, sf_dir, "documents")
+    return ops.next_token_pairs(docs.select("doc_id", tokenize_words(F.col("text")).alias("t")),
+                                "doc_id", "t")
+
+
+@register("next_token_pairs", f"""WITH {PAIRS_CTE}
+SELECT token, next_token, count(*) AS cnt FROM pairs GROUP BY token, next_token""")
+def q_next_token_pairs(spark, sf_dir):
+    return doc_pairs(spark, sf_dir).groupBy("token", "next_token").agg(
+        F.count(F.lit(1)).alias("cnt"))
+
+
+@register("next_token_topk", f"""WITH {PAIRS_CTE},
+p AS (SELECT token, next_token, count(*) AS cnt FROM pairs GROUP BY token, next_token),
+s AS (SELECT token, next_token, cnt, cnt / sum(cnt) OVER (PARTITION BY token) AS share,
+             row_number() OVER (PARTITION BY token ORDER BY cnt DESC, next_token ASC) AS rk FROM p)
+SELECT token, next_token, cnt, round(share, 6) AS share, CAST(rk AS INTEGER) AS rank
+FROM s WHERE rk <= {TOPK}""")
+def q_next_token_topk(spark, sf_dir):
+    return ops.next_token_topk(doc_pairs(spark, sf_dir), TOPK)
+
+
+@register("causal_context", f"""WITH d AS (SELECT doc_id, {tok('text')} AS t FROM documents),
+u AS (SELECT doc_id, unnest(t) AS token, unnest(generate_series(0, len(t) - 1)) AS pos
+      FROM d WHERE len(t) > 0)
+SELECT doc_id, CAST(pos AS INTEGER) AS pos, token, CAST(pos AS BIGINT) AS n_context,
+       lag(token) OVER (PARTITION BY doc_id ORDER BY pos) AS prev_token,
+       CAST(coalesce(sum({fp_sql("CAST(pos AS VARCHAR) || '|' || token")}) OVER (
+            PARTITION BY doc_id ORDER BY pos ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0)
+            AS BIGINT) AS context_fp
+FROM u""")
+def q_causal_context(spark, sf_dir):
+    docs = load_table(spark, sf_dir, "documents")
+    toks = docs.select("doc_id", F.posexplode(tokenize_words(F.col("text"))).alias("pos", "token"))
+    return ops.causal_context(toks.withColumn("pos", F.col("pos").cast("int")), "doc_id")
