@@ -1 +1,62 @@
-"""placeholder"""
+"""Spark ML fits (rows-only checks; quality asserted in tests)."""
+
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from corvid.operators import ml
+from corvid.plans import register
+from corvid.plans.common import labelled
+from corvid.session import fresh_dir
+
+REG_GRID = [0.0, 0.01, 0.1]
+
+
+def _splits(spark, sf_dir):
+    lab = labelled(spark, sf_dir)
+    return lab.filter(F.col("split") == "train"), lab.filter(F.col("split") == "validation")
+
+
+@register("train_sentiment")
+def q_train_sentiment(spark, sf_dir):
+    train, _ = _splits(spark, sf_dir)
+    fitted = ml.text_classifier(0.01).fit(train)
+    path = ml.save_model(fitted, fresh_dir(spark, "sentiment-model"))
+    return ml.evaluate(ml.load_model(path), labelled(spark, sf_dir), "label", ["split"])
+
+
+@register("eval_model")
+def q_eval_model(spark, sf_dir):
+    train, valid = _splits(spark, sf_dir)
+    fitted = ml.text_classifier(0.01).fit(train)
+    return ml.evaluate(fitted, valid, "label")
+
+
+@register("select_model")
+def q_select_model(spark, sf_dir):
+    train, valid = _splits(spark, sf_dir)
+    best, _ = ml.select_best(train, valid, REG_GRID)
+    return best
+
+
+@register("train_category")
+def q_train_category(spark, sf_dir):
+    from corvid.operators import bank as B
+    from corvid.plans.bank_plans import HOLDOUT, gold, normalized
+    norm = B.split_valid(normalized(spark, sf_dir))[0]
+    g = gold(spark, sf_dir).select("row_id", F.col("gold_category").alias("label"))
+    data = norm.join(g, "row_id").withColumn("text", F.col("description"))
+    cond = None
+    for b, y in HOLDOUT:
+        c = (F.col("bank") == b) & (F.col("year") == y)
+        cond = c if cond is None else (cond | c)
+    data = data.withColumn("split", F.when(cond, "test").otherwise("train"))
+    fitted = ml.category_classifier().fit(data.filter(F.col("split") == "train"))
+    pred = fitted.transform(data)
+    labels = fitted.stages[3].labels
+    names = F.array(*[F.lit(x) for x in labels])
+    pred = pred.withColumn("predicted", F.element_at(names, F.col("prediction").cast("int") + 1))
+    return pred.groupBy("split").agg(
+        F.count(F.lit(1)).alias("n"),
+        F.round(F.avg((F.col("predicted") == F.col("label")).cast("double")), 6).alias("accuracy"),
+        F.round(F.avg((F.col("category") == F.col("label")).cast("double")), 6).alias("rule_accuracy"))

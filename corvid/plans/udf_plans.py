@@ -1 +1,122 @@
-"""placeholder"""
+"""The user-function surfaces, checked against the SQL of the same results."""
+
+from __future__ import annotations
+
+import hashlib
+import math
+from collections.abc import Iterator
+
+import pandas as pd
+from pyspark.sql import functions as F
+
+from corvid.functions.probs import LABEL_MAP
+from corvid.functions.text import CLS
+from corvid.operators.score import score_texts
+from corvid.operators.udfs import broadcast_table, grouped_metric, map_batched
+from corvid.plans import ORACLE, register
+from corvid.plans.common import labelled, model
+from corvid.sources.tables import load_table
+
+_WORD_SPLIT = None
+
+
+def _py_tokens(text: str) -> list[str]:
+    global _WORD_SPLIT
+    if _WORD_SPLIT is None:
+        import regex
+        _WORD_SPLIT = regex.compile(r"[^\p{L}\p{N}]+")
+    return [t for t in _WORD_SPLIT.split(text.lower()) if t]
+
+
+def _tokenize_batch(pdf: pd.DataFrame) -> pd.DataFrame:
+    toks = pdf["text"].map(_py_tokens)
+    return pd.DataFrame({
+        "doc_id": pdf["doc_id"],
+        "n_tokens": toks.map(len).astype("int64"),
+        "tokens_md5": toks.map(lambda t: hashlib.md5(" ".join(t).encode()).hexdigest()),
+    })
+
+
+@register("udf_map_batched")
+def q_udf_map_batched(spark, sf_dir):
+    docs = load_table(spark, sf_dir, "documents").select("doc_id", "text")
+    return map_batched(docs, _tokenize_batch, "doc_id bigint, n_tokens bigint, tokens_md5 string")
+
+
+def _f1_partial(pdf: pd.DataFrame) -> pd.DataFrame:
+    y, p = pdf["truth"], pdf["pred"]
+    df = pd.DataFrame({"split": pdf["split"],
+                       "tp": ((y == 1) & (p == 1)).astype("int64"),
+                       "fp": ((y == 0) & (p == 1)).astype("int64"),
+                       "fn": ((y == 1) & (p == 0)).astype("int64"),
+                       "tn": ((y == 0) & (p == 0)).astype("int64")})
+    return df.groupby("split", as_index=False).sum()
+
+
+def _f1_final(pdf: pd.DataFrame) -> pd.DataFrame:
+    tp, fp, fn, tn = (float(pdf[c].iloc[0]) for c in ("tp", "fp", "fn", "tn"))
+    n = tp + fp + fn + tn
+
+    def f1(a, b, c):
+        d = 2 * a + b + c
+        return 0.0 if d == 0 else 2 * a / d
+    return pd.DataFrame({"split": [pdf["split"].iloc[0]], "n": [int(n)],
+                         "accuracy": [(tp + tn) / n], "f1": [f1(tp, fp, fn)],
+                         "f1_neg": [f1(tn, fn, fp)]})
+
+
+@register("udaf_metrics")
+def q_udaf_metrics(spark, sf_dir):
+    from corvid.plans.score_plans import scored_labelled
+    s = scored_labelled(spark, sf_dir).select("split", "truth", "pred")
+    out = grouped_metric(s, ["split"], _f1_partial, "tp bigint, fp bigint, fn bigint, tn bigint",
+                         _f1_final, "split string, n bigint, accuracy double, f1 double, f1_neg double")
+    return out.select("split", "n", *[F.round(c, 6).alias(c) for c in ("accuracy", "f1", "f1_neg")])
+
+
+def model_udf(spark, weights):
+    """An iterator pandas UDF scoring text with a weight table loaded once."""
+    bc = broadcast_table(spark, weights, "token", ["w0", "w1"])
+
+    @F.pandas_udf("struct<pred:int,prob:double>")
+    def score(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
+        table = bc.value  # set up once per task, before the loop
+        cls = table.get(CLS, (0.0, 0.0))
+        for texts in batches:
+            preds, probs = [], []
+            for t in texts:
+                l0, l1 = cls
+                for tok in _py_tokens(t):
+                    w = table.get(tok)
+                    if w is not None:
+                        l0 += w[0]
+                        l1 += w[1]
+                m = max(l0, l1)
+                e0, e1 = math.exp(l0 - m), math.exp(l1 - m)
+                p0, p1 = e0 / (e0 + e1), e1 / (e0 + e1)
+                preds.append(1 if p1 > p0 else 0)
+                probs.append(max(p0, p1))
+            yield pd.DataFrame({"pred": preds, "prob": probs})
+    return score
+
+
+@register("udf_model")
+def q_udf_model(spark, sf_dir):
+    docs = load_table(spark, sf_dir, "documents")
+    f = model_udf(spark, model(spark, sf_dir))
+    s = docs.select("doc_id", f(F.col("text")).alias("r"))
+    names = F.create_map(*[F.lit(x) for kv in LABEL_MAP.items() for x in kv])
+    return s.select("doc_id", F.col("r.pred").alias("pred"),
+                    F.element_at(names, F.concat(F.lit("LABEL_"), F.col("r.pred").cast("string")))
+                    .alias("label"),
+                    F.round("r.prob", 4).alias("score"))
+
+
+def _attach_oracles():
+    from corvid.plans import score_plans, text_plans  # noqa: F401
+    ORACLE["udf_map_batched"] = ORACLE["tokenize_words"]
+    ORACLE["udaf_metrics"] = ORACLE["eval_binary"]
+    ORACLE["udf_model"] = ORACLE["score_texts"]
+
+
+_attach_oracles()
