@@ -1 +1,57 @@
-"""placeholder"""
+"""Streams compared with their batch results (step 7): same oracles."""
+
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from corvid.plans import ORACLE, register
+from corvid.plans.common import model
+from corvid.session import fresh_dir
+from corvid.sources.tables import load_table
+from corvid.streaming import streams as S
+
+N_CHUNKS = 4
+
+
+@register("stream_score")
+def q_stream_score(spark, sf_dir):
+    docs = load_table(spark, sf_dir, "documents")
+    base = fresh_dir(spark, "stream-score")
+    weights = f"{base}/model"
+    model(spark, sf_dir).write.parquet(weights)  # S5: the bounded model table
+    src = S.stage_files(docs, f"{base}/in", F.pmod(F.col("doc_id"), F.lit(N_CHUNKS)), N_CHUNKS)
+    S.score_stream(spark, src, docs.schema, weights, f"{base}/out", f"{base}/ckpt")
+    return spark.read.parquet(f"{base}/out").drop("batch_id")
+
+
+@register("stream_chat")
+def q_stream_chat(spark, sf_dir):
+    from corvid.plans.chat_plans import conversations, terminal_inputs
+    inputs = terminal_inputs(conversations(spark, sf_dir))
+    base = fresh_dir(spark, "stream-chat")
+    # Adversarial arrival: later turns first, a conversation spread over batches.
+    chunk = F.pmod(F.col("turn"), F.lit(N_CHUNKS))
+    src = S.stage_files(inputs, f"{base}/in", chunk, N_CHUNKS, order=[3, 1, 2, 0])
+    S.chat_stream(spark, src, inputs.schema, f"{base}/out", f"{base}/ckpt")
+    return S.chat_state(spark, f"{base}/out").select("conv_id", "turn", "role", "text")
+
+
+@register("stream_bank")
+def q_stream_bank(spark, sf_dir):
+    from corvid.plans.bank_plans import bank_files
+    root = bank_files(spark, sf_dir)
+    base = fresh_dir(spark, "stream-bank")
+    S.bank_stream(spark, root, f"{base}/out", f"{base}/ckpt")
+    valid = spark.read.parquet(f"{base}/out/valid")
+    rejected = spark.read.parquet(f"{base}/out/rejected")
+    return valid.unionByName(rejected).drop("batch_id", "file")
+
+
+def _attach_oracles():
+    from corvid.plans import bank_plans, chat_plans, score_plans  # noqa: F401
+    ORACLE["stream_score"] = ORACLE["score_texts"]
+    ORACLE["stream_chat"] = ORACLE["chat_stop"]
+    ORACLE["stream_bank"] = ORACLE["bank_normalize"]
+
+
+_attach_oracles()

@@ -102,14 +102,16 @@ def write_bank_files(rendered: DataFrame, root: str) -> str:
     return root
 
 
-def read_profile(spark: SparkSession, root: str, profile: BankProfile) -> DataFrame:
-    """S3 for one family: raw text columns by role, the folder year, the file."""
-    schema = T.StructType([T.StructField(role, T.StringType()) for _, role in profile.columns])
-    raw = (spark.read.schema(schema)
-           .option("sep", profile.sep).option("encoding", profile.encoding)
-           .option("header", str(profile.header).lower()).option("mode", "PERMISSIVE")
-           .csv(f"{root}/bank={profile.bank}"))
-    return raw.select(
+def profile_schema(profile: BankProfile, with_year: bool = False) -> T.StructType:
+    fields = [T.StructField(role, T.StringType()) for _, role in profile.columns]
+    if with_year:  # filled from the ``year=`` folder by partition discovery
+        fields.append(T.StructField("year", T.IntegerType()))
+    return T.StructType(fields)
+
+
+def canonical_columns(profile: BankProfile) -> list:
+    """Raw role columns -> canonical columns, with the profile's parsing."""
+    return [
         F.col("id").try_cast("bigint").alias("row_id"),
         F.lit(profile.bank).alias("bank"),
         F.col("year").cast("int").alias("year"),
@@ -118,7 +120,16 @@ def read_profile(spark: SparkSession, root: str, profile: BankProfile) -> DataFr
         F.col("description").alias("description_raw"),
         F.col("amount").alias("amount_raw"),
         normalize_date(F.col("date"), [profile.date_format], F.col("year")).alias("date"),
-        parse_amount(F.col("amount"), profile.decimal_mark, profile.thousands).alias("amount"))
+        parse_amount(F.col("amount"), profile.decimal_mark, profile.thousands).alias("amount")]
+
+
+def read_profile(spark: SparkSession, root: str, profile: BankProfile) -> DataFrame:
+    """S3 for one family: raw text columns by role, the folder year, the file."""
+    raw = (spark.read.schema(profile_schema(profile, with_year=True))
+           .option("sep", profile.sep).option("encoding", profile.encoding)
+           .option("header", str(profile.header).lower()).option("mode", "PERMISSIVE")
+           .csv(f"{root}/bank={profile.bank}"))
+    return raw.select(*canonical_columns(profile))
 
 
 def read_bank_csv(spark: SparkSession, root: str,
