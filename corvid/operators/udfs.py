@@ -45,8 +45,7 @@ def broadcast_table(spark: SparkSession, table: DataFrame, key: str, values: Seq
                     max_rows: int = MAX_BROADCAST_ROWS):
     """Broadcast a small lookup table as ``{key: tuple(values)}`` after
     checking its size (the caller's bound is verified, not assumed)."""
-    n = table.count()
-    if n > max_rows:
-        raise ValueError(f"table of {n} rows is too large to broadcast (limit {max_rows})")
-    rows = table.select(key, *values).collect()
+    rows = table.select(key, *values).limit(max_rows + 1).collect()
+    if len(rows) > max_rows:
+        raise ValueError(f"table has more than {max_rows} rows: too large to broadcast")
     return spark.sparkContext.broadcast({r[0]: tuple(r[1:]) for r in rows})

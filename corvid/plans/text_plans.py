@@ -106,3 +106,16 @@ SELECT split, count(*) AS n, CAST(ceil(count(*) / {BATCH}) AS BIGINT) AS batches
 FROM lab GROUP BY split""")
 def q_batch_plan(spark, sf_dir):
     return metrics.batches_per_epoch(labelled(spark, sf_dir), BATCH, EPOCHS, ["split"])
+
+
+@register("wordpiece_encode")
+def q_wordpiece_encode(spark, sf_dir):
+    from corvid.operators.wordpiece import build_piece_vocab, wordpiece_encode
+    docs = load_table(spark, sf_dir, "documents")
+    words = docs.select("doc_id", F.posexplode(tokenize_words(F.col("text"))).alias("pos", "word"))
+    vocab = build_piece_vocab(spark, words)
+    enc = wordpiece_encode(spark, words, vocab)
+    return enc.groupBy("doc_id").agg(
+        F.count(F.lit(1)).alias("n_words"),
+        F.sum(F.size("pieces")).cast("bigint").alias("n_pieces"),
+        F.sum(F.array_contains("pieces", "[UNK]").cast("int")).cast("bigint").alias("n_unk"))
