@@ -76,7 +76,10 @@ def build_piece_vocab(spark: SparkSession, words: DataFrame, k_words: int = 2000
     limit = (F.when(F.col("kind") == "word", k_words)
              .when(F.col("kind") == "char", k_chars).otherwise(k_affix))
     rank = F.row_number().over(Window.partitionBy("kind").orderBy(F.desc("cnt"), F.asc("piece")))
-    top = counts.withColumn("_r", rank).filter(F.col("_r") <= limit)
+    # A literal bound first lets the planner limit each group before the
+    # shuffle; the per-kind bound is applied after.
+    top = (counts.withColumn("_r", rank).filter(F.col("_r") <= max(k_words, k_affix, k_chars))
+           .filter(F.col("_r") <= limit))
     singles = top.filter(F.col("kind") == "char").select(F.concat(F.lit(CONT), "piece").alias("piece"))
     return top.select("piece").unionByName(singles).distinct()
 

@@ -14,6 +14,7 @@ from corvid.sources.tables import load_table
 
 CHAT_MAX_LEN = 512
 MICRO_BATCH = 2
+ACCUMULATE = 8  # effective batch = 2 x 8 = 16
 TOPK = 3
 NL = "chr(10)"
 BOS_LEN = len(C.BOS)
@@ -140,6 +141,7 @@ b AS (SELECT conv_id, seq_len, (row_number() OVER (ORDER BY conv_id) - 1) // {MI
 SELECT conv_id, CAST(micro_batch AS BIGINT) AS micro_batch, CAST(seq_len AS BIGINT) AS seq_len,
        CAST(max(seq_len) OVER (PARTITION BY micro_batch) AS BIGINT) AS padded_len,
        CAST(max(seq_len) OVER (PARTITION BY micro_batch) - seq_len AS BIGINT) AS n_pad,
+       CAST(micro_batch // {ACCUMULATE} AS BIGINT) AS step_id,
        '{C.EOS_TOKEN}' AS pad_token
 FROM b""")
 def q_pad_batch(spark, sf_dir):
@@ -152,6 +154,7 @@ def q_pad_batch(spark, sf_dir):
     return numbered.join(widest, "micro_batch").select(
         "conv_id", "micro_batch", "seq_len", "padded_len",
         (F.col("padded_len") - F.col("seq_len")).cast("bigint").alias("n_pad"),
+        F.floor(F.col("micro_batch") / ACCUMULATE).cast("bigint").alias("step_id"),
         C.pad_token().alias("pad_token"))
 
 

@@ -39,9 +39,10 @@ def _run(query) -> None:
 
 
 def score_stream(spark: SparkSession, source: str, schema, weights_path: str, sink: str,
-                 checkpoint: str) -> None:
+                 checkpoint: str, files_per_trigger: int = 8) -> None:
     """Documents arriving as files -> label and score per document."""
-    stream = spark.readStream.schema(schema).option("maxFilesPerTrigger", 1).parquet(source)
+    stream = (spark.readStream.schema(schema).option("maxFilesPerTrigger", files_per_trigger)
+              .parquet(source))
 
     def each(batch: DataFrame, batch_id: int) -> None:
         w = batch.sparkSession.read.parquet(weights_path)  # bounded model table
