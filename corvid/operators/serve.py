@@ -33,18 +33,19 @@ def score_requests(requests: DataFrame, weights: DataFrame, id_col: str,
                    texts_col: str = "texts") -> DataFrame:
     """``(id, texts)`` -> ``(id, predictions)``, order kept, empty stays empty.
 
-    Texts are exploded with their position, scored as rows, and put back in
-    order per request; requests are bounded lists, so the regroup is bounded.
+    Texts are exploded with their position and scored as rows; only the small
+    ``(pos, label, score)`` triples are grouped per request, then zipped with
+    the request's own ``texts`` by position (J1: pairing by position, no text
+    copied through the aggregation).
     """
     items = (requests.select(id_col, F.posexplode_outer(texts_col).alias("pos", "text"))
              .filter(F.col("pos").isNotNull()))
-    scored = score_texts(items, weights, [id_col, "pos"]).drop("probs", "pred")
-    rows = items.join(scored, [id_col, "pos"])
-    grouped = rows.groupBy(id_col).agg(
-        F.array_sort(F.collect_list(F.struct("pos", "text", "label", "score"))).alias("_p"))
-    preds = F.transform("_p", lambda p: F.struct(p["text"].alias("text"), p["label"].alias("label"),
-                                                 p["score"].alias("score")))
-    out = requests.select(id_col).join(grouped.select(id_col, preds.alias("predictions")),
-                                       id_col, "left")
-    return out.select(id_col, F.coalesce("predictions", F.array().cast(f"array<{PREDICTION}>"))
-                      .alias("predictions"))
+    scored = score_texts(items, weights, [id_col, "pos"])
+    per_req = scored.groupBy(id_col).agg(
+        F.array_sort(F.collect_list(F.struct("pos", "label", "score"))).alias("_p"))
+    joined = requests.join(per_req, id_col, "left")
+    preds = F.transform(F.col(texts_col), lambda t, i: F.struct(
+        t.alias("text"), F.element_at("_p", i + 1)["label"].alias("label"),
+        F.element_at("_p", i + 1)["score"].alias("score")))
+    return joined.select(id_col, F.coalesce(preds, F.array().cast(f"array<{PREDICTION}>"))
+                         .alias("predictions"))
