@@ -7,6 +7,7 @@ column expression or a join, so one job handles any number of files.
 
 from __future__ import annotations
 
+import re
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession, Window
@@ -151,7 +152,8 @@ def match_merchant(spark: SparkSession, tx: DataFrame, desc_col: str = "descript
     distinct = tx.select(F.col(desc_col).alias("_d")).filter(F.col("_d").isNotNull()).distinct()
     cand = distinct.withColumn("key", match_key(F.col("_d"))).join(
         F.broadcast(pats), "key").filter(F.upper(F.col("_d")).startswith(F.col("pattern")))
-    w = Window.partitionBy("_d").orderBy(F.asc("priority"), F.desc(F.length("pattern")))
+    w = Window.partitionBy("_d").orderBy(F.asc("priority"), F.desc(F.length("pattern")),
+                                         F.asc("pattern"))
     best = (cand.withColumn("_r", F.row_number().over(w)).filter(F.col("_r") == 1)
             .select("_d", F.col("merchant").alias("_m"), F.col("category").alias("_c"),
                     F.col("pattern").alias("matched_pattern")))
@@ -162,6 +164,41 @@ def match_merchant(spark: SparkSession, tx: DataFrame, desc_col: str = "descript
               .drop("_d", "_m", "_c")
 
 
+MAX_RULES = 10_000  # a constant list is broadcast whole
+
+
+def rule_candidates(spark: SparkSession, patterns=MERCHANT_PATTERNS) -> DataFrame:
+    """A constant rule list as ``(key, cands)``: per leading word, the rules in
+    the order they win (priority, longer pattern, pattern text)."""
+    if len(patterns) > MAX_RULES:
+        raise ValueError("rule list too long; use match_merchant with a rule table")
+    by_key: dict[str, list] = {}
+    for pattern, merchant, category, prio in sorted(patterns, key=lambda r: (r[3], -len(r[0]), r[0])):
+        m = re.match(r"^([A-Z0-9]+)", pattern.upper())
+        by_key.setdefault(m.group(1) if m else "", []).append((pattern, merchant, category))
+    return spark.createDataFrame(
+        list(by_key.items()),
+        "_rkey string, _cands array<struct<pattern:string,merchant:string,category:string>>")
+
+
+def apply_rules(spark: SparkSession, tx: DataFrame, desc_col: str = "description_clean",
+                patterns=MERCHANT_PATTERNS) -> DataFrame:
+    """J5 for a constant rule list: broadcast equi-join on the leading word (the
+    big side is not shuffled), then the first candidate whose prefix matches,
+    chosen inside the row. Same result as ``match_merchant``."""
+    d = F.col(desc_col)
+    t = tx.withColumn("_key", match_key(d))
+    j = t.join(F.broadcast(rule_candidates(spark, patterns)), F.col("_key") == F.col("_rkey"), "left")
+    up = F.upper(d)
+    best = F.get(F.filter("_cands", lambda c: up.startswith(c["pattern"])), 0)
+    return (j.withColumn("_best", best)
+            .withColumn("merchant", F.coalesce(F.col("_best.merchant"), F.initcap(F.lower(d))))
+            .withColumn("category", F.when(d.isNull(), F.lit(None))
+                        .otherwise(F.coalesce(F.col("_best.category"), F.lit("Other"))))
+            .withColumn("matched_pattern", F.col("_best.pattern"))
+            .drop("_best", "_key", "_rkey", "_cands"))
+
+
 def validate(df: DataFrame) -> DataFrame:
     """add ``reason`` (NULL = valid): the first failed rule."""
     reason = (F.when(F.col("row_id").isNull(), F.lit("bad_id"))
@@ -183,7 +220,7 @@ def normalize_transactions(spark: SparkSession, raw: DataFrame) -> DataFrame:
     Output: ``row_id, bank, year, file, date, merchant, description, amount,
     category, reason``; description stays the raw text."""
     t = raw.withColumn("description_clean", clean_text(F.col("description_raw")))
-    t = match_merchant(spark, t)
+    t = apply_rules(spark, t)
     t = validate(t)
     return t.select("row_id", "bank", "year", "file", "date", "merchant",
                     F.col("description_raw").alias("description"), "amount", "category",

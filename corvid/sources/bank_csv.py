@@ -7,6 +7,7 @@ one ``spark.read.csv`` per profile (the options differ per file family) then
 
 from __future__ import annotations
 
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
@@ -91,7 +92,7 @@ def write_bank_files(rendered: DataFrame, root: str) -> str:
     Whitespace is written as is (the noise must survive the trip); NULL
     becomes an empty cell.
     """
-    for p in PROFILES:
+    def write(p: BankProfile) -> None:
         part = rendered.filter(F.col("bank") == p.bank).select(
             *[F.col(f"{role}_s").alias(name) for name, role in p.columns], "year")
         (part.write.mode("overwrite").partitionBy("year")
@@ -99,6 +100,11 @@ def write_bank_files(rendered: DataFrame, root: str) -> str:
          .option("header", str(p.header).lower())
          .option("ignoreLeadingWhiteSpace", "false").option("ignoreTrailingWhiteSpace", "false")
          .csv(f"{root}/bank={p.bank}"))
+
+    # One independent write job per layout (options differ); submit them together.
+    with ThreadPoolExecutor(max_workers=len(PROFILES)) as pool:
+        for f in [pool.submit(write, p) for p in PROFILES]:
+            f.result()
     return root
 
 

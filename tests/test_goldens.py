@@ -143,3 +143,15 @@ def test_empty_batch_request(spark):
     assert out[2] == []
     assert [p.text for p in out[1]] == ["good good", "bad"]
     assert out[1][0].label == "Positive" and out[1][1].label == "Negative"
+
+
+def test_compiled_rules_equal_pattern_join(spark):
+    from corvid.plans.bank_plans import raw_read
+    from corvid.functions.bank import clean_text
+    from tests.conftest import SF_SMALL
+    t = raw_read(spark, SF_SMALL).select(
+        "row_id", clean_text(F.col("description_raw")).alias("description_clean"))
+    cols = ["row_id", "merchant", "category", "matched_pattern"]
+    a = B.match_merchant(spark, t).select(*cols).collect()
+    b = B.apply_rules(spark, t).select(*cols).collect()
+    assert sorted(a) == sorted(b) and len(a) > 0
