@@ -235,7 +235,9 @@ def missing_rows(inp: DataFrame, valid: DataFrame, rejected: DataFrame, key: str
 
 def holdout_files(df: DataFrame, held_files: DataFrame, file_col: str = "file"):
     """split by whole files: ``(test, train)``."""
-    held = F.broadcast(held_files.select(F.col(file_col).alias("_f")).distinct())
+    # The file list grows with the number of files, not rows; AQE broadcasts
+    # it when its measured size allows.
+    held = held_files.select(F.col(file_col).alias("_f")).distinct()
     test = df.join(held, df[file_col] == held["_f"], "left_semi")
     train = df.join(held, df[file_col] == held["_f"], "left_anti")
     return test, train

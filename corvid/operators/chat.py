@@ -159,18 +159,23 @@ def causal_context(tokens: DataFrame, id_col: str, pos_col: str = "pos",
     """What each position may attend to: the tokens strictly to its left.
 
     Returned as the context size, the previous token and a fingerprint of the
-    context (running sum); ``context_tokens`` gives the tokens themselves as a
-    slice of the row's own array when they are wanted.
+    context (an exclusive running sum over the block prefix operator, so even
+    one huge document is spread over many tasks); ``context_tokens`` gives the
+    tokens themselves as a slice of the row's own array when they are wanted.
+    When ``tokens`` already has ``prev_token`` (built inside each row, see the
+    ``causal_context`` query) no window is used for it.
     """
-    from pyspark.sql import Window
-    w = (Window.partitionBy(id_col).orderBy(pos_col)
-         .rowsBetween(Window.unboundedPreceding, -1))
     fp = fingerprint(F.concat_ws("|", F.col(pos_col).cast("string"), F.col(token_col)))
-    return tokens.select(
-        id_col, pos_col, token_col,
-        F.col(pos_col).cast("bigint").alias("n_context"),
-        F.lag(token_col).over(Window.partitionBy(id_col).orderBy(pos_col)).alias("prev_token"),
-        F.coalesce(F.sum(fp).over(w), F.lit(0)).cast("bigint").alias("context_fp"))
+    if "prev_token" in tokens.columns:
+        base = tokens
+    else:
+        from pyspark.sql import Window
+        base = tokens.withColumn("prev_token", F.lag(token_col).over(
+            Window.partitionBy(id_col).orderBy(pos_col)))
+    run = running_sum(base, [id_col], pos_col, {"context_fp": fp}, inclusive=False)
+    return run.select(id_col, pos_col, token_col,
+                      F.col(pos_col).cast("bigint").alias("n_context"), "prev_token",
+                      F.col("context_fp").cast("bigint").alias("context_fp"))
 
 
 def context_tokens(tokens_col: str, pos_col: str) -> "F.Column":
