@@ -35,16 +35,17 @@ def scratch_root(spark: SparkSession) -> str:
     """The shared folder named by ``spark.checkpoint.dir``.
 
     On a cluster this is the shared (HDFS/object-store) location the operator
-    configured. Only when nothing is configured (local tests) do we pick one.
+    configured. Only when nothing is configured (local tests) do we pick one,
+    and register it as the context's checkpoint directory.
     """
-    root = spark.conf.get("spark.checkpoint.dir", None)
+    sc = spark.sparkContext
+    root = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get("spark.checkpoint.dir", None)
     if not root:
-        root = spark.sparkContext.getConf().get("spark.checkpoint.dir", None)
+        root = sc.getCheckpointDir()
     if not root:
         root = tempfile.mkdtemp(prefix="corvid-ckpt-")
-        spark.conf.set("spark.checkpoint.dir", root)
-    sc = spark.sparkContext
-    if sc.getCheckpointDir() is None:
+        sc.setCheckpointDir(root)
+    elif sc.getCheckpointDir() is None:
         sc.setCheckpointDir(root)
     return root.rstrip("/")
 
