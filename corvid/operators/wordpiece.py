@@ -20,6 +20,8 @@ from corvid.operators.udfs import broadcast_table
 
 CONT = "##"
 MAX_WORD_CHARS = 100
+K_WORDS, K_AFFIX, K_CHARS = 2000, 1000, 500
+AFFIX_LENGTHS = (2, 3, 4)
 
 
 def greedy_pieces(word: str, vocab: set[str] | dict, max_piece: int,
@@ -46,9 +48,9 @@ def greedy_pieces(word: str, vocab: set[str] | dict, max_piece: int,
     return out
 
 
-def build_piece_vocab(spark: SparkSession, words: DataFrame, k_words: int = 2000,
-                      k_affix: int = 1000, k_chars: int = 500,
-                      lengths: Iterable[int] = (2, 3, 4)) -> DataFrame:
+def build_piece_vocab(spark: SparkSession, words: DataFrame, k_words: int = K_WORDS,
+                      k_affix: int = K_AFFIX, k_chars: int = K_CHARS,
+                      lengths: Iterable[int] = AFFIX_LENGTHS) -> DataFrame:
     """``(piece)``: frequent whole words, word-initial pieces, continuation
     pieces and single characters (both forms), each kind a top-k by frequency.
 

@@ -108,7 +108,49 @@ def q_batch_plan(spark, sf_dir):
     return metrics.batches_per_epoch(labelled(spark, sf_dir), BATCH, EPOCHS, ["split"])
 
 
-@register("wordpiece_encode")
+def _wordpiece_sql() -> str:
+    from corvid.operators.wordpiece import (AFFIX_LENGTHS, K_AFFIX, K_CHARS, K_WORDS,
+                                            MAX_WORD_CHARS)
+    affix = "\n".join(
+        f"  UNION ALL SELECT 'initial', substr(word, 1, {n}), cnt FROM wc WHERE length(word) > {n}\n"
+        f"  UNION ALL SELECT 'cont', '##' || right(word, {n}), cnt FROM wc WHERE length(word) > {n}"
+        for n in AFFIX_LENGTHS)
+    return f"""WITH RECURSIVE w AS (SELECT doc_id, unnest({tok('text')}) AS word FROM documents),
+wc AS (SELECT word, count(*) AS cnt FROM w GROUP BY word),
+cand AS (
+  SELECT 'word' AS kind, word AS piece, cnt FROM wc
+{affix}
+  UNION ALL SELECT 'char', unnest(string_split(word, '')), cnt FROM wc),
+pc AS (SELECT kind, piece, sum(cnt) AS cnt FROM cand WHERE kind <> 'char' OR length(piece) = 1
+       GROUP BY kind, piece),
+rk AS (SELECT kind, piece, row_number() OVER (PARTITION BY kind ORDER BY cnt DESC, piece ASC) AS r FROM pc),
+top AS (SELECT kind, piece FROM rk
+        WHERE r <= CASE kind WHEN 'word' THEN {K_WORDS} WHEN 'char' THEN {K_CHARS} ELSE {K_AFFIX} END),
+vocab AS (SELECT piece FROM top UNION SELECT '##' || piece FROM top WHERE kind = 'char'),
+mp AS (SELECT max(CASE WHEN starts_with(piece, '##') THEN length(piece) - 2 ELSE length(piece) END) AS m
+       FROM vocab),
+dw AS (SELECT DISTINCT word FROM w),
+rec AS (
+  SELECT word, 0 AS pos, 0 AS n FROM dw WHERE length(word) <= {MAX_WORD_CHARS}
+  UNION ALL
+  SELECT r.word, r.pos + b.len, r.n + 1
+  FROM rec r, LATERAL (
+    SELECT max(t.L) AS len
+    FROM range(1, least(length(r.word) - r.pos, (SELECT m FROM mp)) + 1) t(L)
+    WHERE (CASE WHEN r.pos = 0 THEN '' ELSE '##' END) || substr(r.word, r.pos + 1, t.L)
+          IN (SELECT piece FROM vocab)) b
+  WHERE r.pos < length(r.word) AND b.len IS NOT NULL),
+fin AS (SELECT word, max(pos) AS pos, max(n) AS n FROM rec GROUP BY word),
+enc AS (SELECT dw.word,
+               CASE WHEN fin.pos = length(dw.word) THEN fin.n ELSE 1 END AS n_pieces,
+               CASE WHEN fin.pos = length(dw.word) THEN 0 ELSE 1 END AS unk
+        FROM dw LEFT JOIN fin ON dw.word = fin.word)
+SELECT w.doc_id, count(*) AS n_words, CAST(sum(enc.n_pieces) AS BIGINT) AS n_pieces,
+       CAST(sum(enc.unk) AS BIGINT) AS n_unk
+FROM w JOIN enc ON w.word = enc.word GROUP BY w.doc_id"""
+
+
+@register("wordpiece_encode", _wordpiece_sql())
 def q_wordpiece_encode(spark, sf_dir):
     from corvid.operators.wordpiece import build_piece_vocab, wordpiece_encode
     docs = load_table(spark, sf_dir, "documents")
