@@ -141,17 +141,24 @@ def next_token_pairs(df: DataFrame, id_col: str, tokens_col: str) -> DataFrame:
 
 def next_token_topk(pairs: DataFrame, k: int) -> DataFrame:
     """K2: followers of each token with their share, best ``k`` kept (ties by
-    token). Totals come from a grouped aggregate; the rank filter plans as a
-    per-partition group limit before the shuffle, so a token with very many
-    followers never sends more than ``k`` rows per partition."""
+    token).
+
+    One pass: grouping sets ``(token, next_token)`` and ``(token)`` yield the
+    pair counts and each token's total together. In a ranking window per token the total row sorts
+    first, so ``row_number <= k + 1`` plans as a group limit applied before the
+    shuffle (a token with very many followers sends at most ``k + 1`` rows per
+    partition); the share is then read from that small table.
+    """
     from pyspark.sql import Window
-    counts = pairs.groupBy("token", "next_token").agg(F.count(F.lit(1)).alias("cnt"))
-    totals = counts.groupBy("token").agg(F.sum("cnt").alias("_total"))
-    w = Window.partitionBy("token").orderBy(F.desc("cnt"), F.asc("next_token"))
-    ranked = counts.withColumn("rank", F.row_number().over(w)).filter(F.col("rank") <= k)
-    return ranked.join(totals, "token").select(
-        "token", "next_token", "cnt", F.round(F.col("cnt") / F.col("_total"), 6).alias("share"),
-        F.col("rank").cast("int").alias("rank"))
+    roll = (pairs.groupingSets([["token", "next_token"], ["token"]], "token", "next_token")
+            .agg(F.count(F.lit(1)).alias("cnt"), F.grouping_id().alias("_g")))
+    w = Window.partitionBy("token").orderBy(F.desc("_g"), F.desc("cnt"), F.asc("next_token"))
+    top = roll.withColumn("_rn", F.row_number().over(w)).filter(F.col("_rn") <= k + 1)
+    total = F.max(F.when(F.col("_g") == 1, F.col("cnt"))).over(Window.partitionBy("token"))
+    return (top.withColumn("_total", total).filter(F.col("_g") == 0)
+            .select("token", "next_token", "cnt",
+                    F.round(F.col("cnt") / F.col("_total"), 6).alias("share"),
+                    (F.col("_rn") - 1).cast("int").alias("rank")))
 
 
 def causal_context(tokens: DataFrame, id_col: str, pos_col: str = "pos",
