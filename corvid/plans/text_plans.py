@@ -66,11 +66,15 @@ def q_encode_fixed(spark, sf_dir):
     # F3 before explode: only the kept window is exploded and re-grouped.
     base = lab.select("doc_id", "label", F.size(toks).cast("bigint").alias("n_tokens"),
                       truncate_tokens(toks, MAX_LEN).alias("kept"))
-    long = base.select("doc_id", F.posexplode("kept").alias("pos", "token"))
-    ids = (encode_ids(long, corpus_vocab(spark, sf_dir))
-           .groupBy("doc_id").agg(F.array_sort(F.collect_list(F.struct("pos", "token_id"))).alias("_s")))
-    joined = base.join(ids, "doc_id", "left").withColumn(
-        "ids", F.coalesce(F.transform("_s", lambda x: x["token_id"]), F.array().cast("array<int>")))
+    # label and n_tokens ride along (one scan); an empty text keeps its row via
+    # the outer explode and gets an empty id list.
+    long = base.select("doc_id", "label", "n_tokens",
+                       F.posexplode_outer("kept").alias("pos", "token"))
+    item = F.when(F.col("pos").isNotNull(), F.struct("pos", "token_id"))
+    joined = (encode_ids(long, corpus_vocab(spark, sf_dir))
+              .groupBy("doc_id", "label", "n_tokens")
+              .agg(F.array_sort(F.collect_list(item)).alias("_s"))
+              .withColumn("ids", F.transform("_s", lambda x: x["token_id"])))
     input_ids, mask = encode_fixed(F.col("ids"), MAX_LEN)
     # Raw text and index dropped, label renamed, int arrays.
     return joined.select("doc_id", F.col("label").alias("labels"), "n_tokens",
