@@ -19,8 +19,12 @@ def q_stream_score(spark, sf_dir):
     base = fresh_dir(spark, "stream-score")
     weights = f"{base}/model"
     model(spark, sf_dir).write.parquet(weights)  # S5: the bounded model table
-    src = S.stage_files(docs, f"{base}/in", F.pmod(F.col("doc_id"), F.lit(N_CHUNKS)), N_CHUNKS)
-    S.score_stream(spark, src, docs.schema, weights, f"{base}/out", f"{base}/ckpt")
+    # one staging write; the file source then cuts it into micro-batches
+    src = f"{base}/in"
+    docs.write.parquet(src)
+    n_files = max(1, docs.rdd.getNumPartitions() // N_CHUNKS)
+    S.score_stream(spark, src, docs.schema, weights, f"{base}/out", f"{base}/ckpt",
+                   files_per_trigger=n_files)
     return spark.read.parquet(f"{base}/out").drop("batch_id")
 
 
