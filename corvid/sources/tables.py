@@ -23,10 +23,12 @@ def spread(df: DataFrame, target: int | None = None) -> DataFrame:
     already has at least as many splits as cores and is returned untouched, so
     no extra shuffle is paid at scale.
     """
-    target = target or df.sparkSession.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() < target:
-        return df.repartition(target)
-    return df
+    try:
+        target = target or df.sparkSession.sparkContext.defaultParallelism
+        current = df.rdd.getNumPartitions()
+    except Exception:  # noqa: BLE001 - sessions without RDD access: leave the scan as is
+        return df
+    return df.repartition(target) if current < target else df
 
 
 def load_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:

@@ -79,3 +79,11 @@ def test_wordpiece_matches_brute_force(word, pieces):
         vocab.add(p)
         vocab.add("##" + p)
     assert greedy_pieces(word, vocab, max_piece=12) == _brute_pieces(word, vocab)
+
+
+def test_spread_only_when_under_partitioned(spark):
+    from corvid.sources.tables import spread
+    one = spark.range(100).coalesce(1)
+    assert spread(one, 4).rdd.getNumPartitions() == 4
+    many = spark.range(100).repartition(6)
+    assert spread(many, 4) is many  # enough splits already: no extra shuffle
