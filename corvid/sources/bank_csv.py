@@ -152,7 +152,9 @@ def write_normalized(df: DataFrame, path: str, fmt: str = "json") -> str:
     """Save normalized rows as JSON lines, CSV (with header) or parquet."""
     w = df.write.mode("overwrite")
     if fmt == "csv":
-        w.option("header", "true").csv(path)
+        # keep values exactly (the CSV writer trims whitespace by default)
+        (w.option("header", "true").option("ignoreLeadingWhiteSpace", "false")
+         .option("ignoreTrailingWhiteSpace", "false").csv(path))
     elif fmt == "parquet":
         w.parquet(path)
     else:

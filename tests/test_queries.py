@@ -87,3 +87,17 @@ def test_sentiment_models_beat_majority(spark, name):
 def test_category_model_beats_rules_on_held_out_files(spark):
     test = next(r for r in QUERIES["train_category"](spark, SF_SMALL).collect() if r.split == "test")
     assert test.accuracy >= test.rule_accuracy
+
+
+@pytest.mark.parametrize("fmt", ["json", "csv", "parquet"])
+def test_sink_roundtrip_formats(spark, fmt):
+    from corvid.operators import bank as B
+    from corvid.plans.bank_plans import normalized
+    from corvid.session import fresh_dir
+    from corvid.sources.bank_csv import read_normalized, write_normalized
+    valid, _ = B.split_valid(normalized(spark, SF_SMALL))
+    cols = ["row_id", "date", "merchant", "description", "amount", "category"]
+    want = valid.select(*cols)
+    path = write_normalized(want, fresh_dir(spark, f"sink-{fmt}"), fmt)
+    got = read_normalized(spark, path, fmt).select(*cols)
+    assert sorted(got.collect()) == sorted(want.collect())
