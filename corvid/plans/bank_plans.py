@@ -93,7 +93,7 @@ def _hit(rule):
 GOLD_CTE = f"""descs AS (SELECT * FROM (VALUES {DESC_VALUES}) t(desc_idx, description, gold_merchant, gold_category)),
 gold AS (
   SELECT o.o_orderkey AS row_id, ({BANK_LIST})[(o.o_orderkey % {len(BANKS)}) + 1] AS bank,
-         CAST(o.o_orderdate AS DATE) AS date, year(CAST(o.o_orderdate AS DATE)) AS year,
+         CAST(o.o_orderdate AS DATE) AS date, CAST(year(CAST(o.o_orderdate AS DATE)) AS INTEGER) AS year,
          -o.o_totalprice AS amount, d.description, d.gold_merchant, d.gold_category
   FROM orders o JOIN descs d ON d.desc_idx = o.o_custkey % {len(B.DESCRIPTIONS)})"""
 
@@ -376,7 +376,8 @@ def pairs(spark, sf_dir):
 
 
 @register("bank_pairs", f"""WITH {NOISE_CTE}
-SELECT n.row_id, {PROMPT_SQL.replace('CASE bank', 'CASE n.bank')} AS prompt, {RESPONSE_SQL} AS response
+SELECT n.row_id, {PROMPT_SQL.replace('CASE bank', 'CASE n.bank')} AS prompt,
+       CAST({RESPONSE_SQL} AS VARCHAR) AS response
 FROM noisy n JOIN gold g ON n.row_id = g.row_id""")
 def q_bank_pairs(spark, sf_dir):
     return pairs(spark, sf_dir)

@@ -172,9 +172,9 @@ def q_score_batch(spark, sf_dir):
 
 @register("request_json", f"""WITH {MODEL_CTE},
 {score_cte('documents', 'doc_id')}
-SELECT doc_id, to_json({{'text': d.text,
+SELECT doc_id, CAST(to_json({{'text': d.text,
                          'label': CASE WHEN p1 > p0 THEN 'Positive' ELSE 'Negative' END,
-                         'score': round(greatest(p0, p1), 4)}}) AS response
+                         'score': round(greatest(p0, p1), 4)}}) AS VARCHAR) AS response
 FROM sm JOIN documents d USING (doc_id)""")
 def q_request_json(spark, sf_dir):
     docs = load_table(spark, sf_dir, "documents")
