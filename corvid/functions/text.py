@@ -33,6 +33,17 @@ def tokenize_words(c: Column) -> Column:
     return F.filter(F.split(F.lower(c), WORD_SPLIT), lambda x: x != F.lit(""))
 
 
+# Model input tokens, as a WordPiece-style pre-tokenizer sees them: runs of
+# letters/digits, and every other non-space character on its own. Whitespace is
+# spelled out so that Java, RE2 and Python regex engines agree.
+MODEL_TOKEN = "[\\p{L}\\p{N}]+|[^\\p{L}\\p{N} \\t\\n\\r\\f]"
+
+
+def model_tokens(c: Column) -> Column:
+    """Lowercased word runs plus single punctuation characters."""
+    return F.regexp_extract_all(F.lower(c), F.lit(MODEL_TOKEN), 0)
+
+
 def truncate_tokens(tokens: Column, max_len: int) -> Column:
     """keep at most ``max_len - 2`` real tokens (CLS and SEP use two slots)."""
     return F.slice(tokens, 1, max_len - 2)

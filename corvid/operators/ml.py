@@ -10,7 +10,7 @@ from pyspark.ml.feature import HashingTF, IDF, NGram, RegexTokenizer, StringInde
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from corvid.functions.text import WORD_SPLIT
+from corvid.functions.text import MODEL_TOKEN
 from corvid.operators import metrics
 
 NUM_FEATURES = 1 << 18
@@ -21,8 +21,8 @@ def text_classifier(reg_param: float = 0.01, max_iter: int = 50, text_col: str =
     """M1: words -> hashed term frequencies -> IDF -> L2-regularised logistic
     regression (``regParam`` plays the part of weight decay)."""
     return Pipeline(stages=[
-        RegexTokenizer(inputCol=text_col, outputCol="words", pattern=WORD_SPLIT, gaps=True,
-                       toLowercase=True),
+        RegexTokenizer(inputCol=text_col, outputCol="words", pattern=MODEL_TOKEN, gaps=False,
+                       toLowercase=True, minTokenLength=1),
         HashingTF(inputCol="words", outputCol="tf", numFeatures=NUM_FEATURES),
         IDF(inputCol="tf", outputCol="features"),
         LogisticRegression(featuresCol="features", labelCol=label_col, regParam=reg_param,

@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from corvid.functions.probs import argmax, label_name, round_score, softmax
-from corvid.functions.text import CLS, tokenize_words
+from corvid.functions.text import CLS, model_tokens
 
 WEIGHT_STEP = 8.0
 
@@ -24,13 +24,14 @@ def _round_step(c: Column) -> Column:
 def train_weights(spark: SparkSession, train: DataFrame, k: int = 2000,
                   alpha: float = 1.0, text_col: str = "text",
                   label_col: str = "label") -> DataFrame:
-    """Fit ``(token, w0, w1)`` on labelled rows (labels 0/1) over whole texts.
+    """Fit ``(token, w0, w1)`` on labelled rows (labels 0/1) over whole texts,
+    tokenized as the model sees them (words and punctuation marks).
 
     Vocabulary = the ``k`` most frequent training tokens, so the model table has
     at most ``k + 1`` rows whatever the corpus size (checked bound for broadcast).
     """
     toks = train.select(F.col(label_col).alias("label"),
-                        F.explode(tokenize_words(F.col(text_col))).alias("token"))
+                        F.explode(model_tokens(F.col(text_col))).alias("token"))
     counts = toks.groupBy("token").agg(
         F.count(F.lit(1)).alias("cnt"),
         F.sum(F.when(F.col("label") == 0, 1).otherwise(0)).alias("c0"),
@@ -57,7 +58,7 @@ def train_weights(spark: SparkSession, train: DataFrame, k: int = 2000,
 
 def sequence_tokens(df: DataFrame, id_cols: list[str], text_col: str = "text") -> DataFrame:
     """Long form ``(*id_cols, token)`` of ``[CLS] + words`` over the whole text."""
-    seq = F.concat(F.array(F.lit(CLS)), tokenize_words(F.col(text_col)))
+    seq = F.concat(F.array(F.lit(CLS)), model_tokens(F.col(text_col)))
     return df.select(*id_cols, F.explode(seq).alias("token"))
 
 

@@ -38,6 +38,10 @@ def tok(col: str) -> str:
             "lambda x: x <> '')")
 
 
+def model_tok(col: str) -> str:
+    return ("regexp_extract_all(lower(" + col + r"), '[\p{L}\p{N}]+|[^\p{L}\p{N} \t\n\r\f]')")
+
+
 LAB_CTE = """lab AS (
   SELECT d.doc_id, d.text, CAST(l.quality AS INTEGER) AS label,
          CASE WHEN d.doc_id % 10 = 0 THEN 'validation' ELSE 'train' END AS split
@@ -45,7 +49,7 @@ LAB_CTE = """lab AS (
 
 def model_cte(k: int = MODEL_K, s: str = "") -> str:
     """CTEs ending in ``w{s}(token, w0, w1)``: the naive Bayes weight table."""
-    return f"""trtok{s} AS (SELECT label, unnest({tok('text')}) AS token FROM lab WHERE split = 'train'),
+    return f"""trtok{s} AS (SELECT label, unnest({model_tok('text')}) AS token FROM lab WHERE split = 'train'),
 cnt{s} AS (SELECT token, count(*) AS cnt,
                sum(CASE WHEN label = 0 THEN 1 ELSE 0 END) AS c0,
                sum(CASE WHEN label = 1 THEN 1 ELSE 0 END) AS c1
@@ -69,7 +73,7 @@ MODEL_CTE = LAB_CTE + ",\n" + model_cte()
 
 def score_cte(src: str, id_cols: str, text_col: str = "text", s: str = "") -> str:
     """CTEs ending in ``sm{s}(id_cols, p0, p1)``: ``src`` scored with ``w{s}``."""
-    return f"""seq{s} AS (SELECT {id_cols}, unnest(list_concat(['[CLS]'], {tok(text_col)})) AS token
+    return f"""seq{s} AS (SELECT {id_cols}, unnest(list_concat(['[CLS]'], {model_tok(text_col)})) AS token
              FROM {src}),
 lg{s} AS (SELECT {id_cols}, sum(w0) AS l0, sum(w1) AS l1 FROM seq{s} JOIN w{s} USING (token)
        GROUP BY {id_cols}),

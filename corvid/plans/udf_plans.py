@@ -28,6 +28,18 @@ def _py_tokens(text: str) -> list[str]:
     return [t for t in _WORD_SPLIT.split(text.lower()) if t]
 
 
+_MODEL_TOKEN = None
+
+
+def _py_model_tokens(text: str) -> list[str]:
+    global _MODEL_TOKEN
+    if _MODEL_TOKEN is None:
+        import regex
+        from corvid.functions.text import MODEL_TOKEN
+        _MODEL_TOKEN = regex.compile(MODEL_TOKEN)
+    return _MODEL_TOKEN.findall(text.lower())
+
+
 def _tokenize_batch(pdf: pd.DataFrame) -> pd.DataFrame:
     toks = pdf["text"].map(_py_tokens)
     return pd.DataFrame({
@@ -86,7 +98,7 @@ def model_udf(spark, weights):
             preds, probs = [], []
             for t in texts:
                 l0, l1 = cls
-                for tok in _py_tokens(t):
+                for tok in _py_model_tokens(t):
                     w = table.get(tok)
                     if w is not None:
                         l0 += w[0]

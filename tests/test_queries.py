@@ -62,28 +62,36 @@ def test_stream_equals_batch(spark, stream, batch):
     assert sorted(a.collect()) == sorted(b.collect())
 
 
-def _validation(spark, name):
-    return next(r for r in QUERIES[name](spark, SF_MID).collect() if r.split == "validation")
+SF_BIG = "/root/testdata/sf0.1"
 
 
-def _majority_share(spark):
-    rows = [r for r in QUERIES["class_balance"](spark, SF_MID).collect() if r.split == "validation"]
+def _validation(spark, name, sf=SF_MID):
+    return next(r for r in QUERIES[name](spark, sf).collect() if r.split == "validation")
+
+
+def _majority_share(spark, sf=SF_MID):
+    rows = [r for r in QUERIES["class_balance"](spark, sf).collect() if r.split == "validation"]
     return max(r.share for r in rows)
 
 
-@pytest.mark.parametrize("name", ["eval_binary", "train_sentiment"])
-def test_sentiment_models_reach_majority(spark, name):
-    assert _validation(spark, name).accuracy >= _majority_share(spark) - 1e-9
+@pytest.mark.parametrize("name,sf", [("eval_binary", SF_MID), ("train_sentiment", SF_BIG)])
+def test_sentiment_models_beat_majority(spark, name, sf):
+    r = _validation(spark, name, sf)
+    assert r.accuracy > _majority_share(spark, sf) and r.f1_neg > 0
 
 
-@pytest.mark.xfail(reason="on this synthetic prose no text feature separates quality: both "
-                          "models predict the majority class on validation", strict=False)
-@pytest.mark.parametrize("name", ["eval_binary", "train_sentiment"])
-def test_sentiment_models_beat_majority(spark, name):
-    r = _validation(spark, name)
+@pytest.mark.xfail(reason="logistic regression on 2^18 hashed features with 367 training rows "
+                          "(sf0.01) predicts the majority class; it beats it at sf0.1",
+                   strict=False)
+def test_logistic_regression_beats_majority_on_small_data(spark):
+    r = _validation(spark, "train_sentiment")
     assert r.accuracy > _majority_share(spark) and r.f1_neg > 0
 
 
+def test_sentiment_models_reach_majority(spark):
+    assert _validation(spark, "train_sentiment").accuracy >= _majority_share(spark) - 1e-9
+
+
 def test_category_model_beats_rules_on_held_out_files(spark):
     test = next(r for r in QUERIES["train_category"](spark, SF_SMALL).collect() if r.split == "test")
     assert test.accuracy >= test.rule_accuracy
