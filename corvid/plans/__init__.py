@@ -28,9 +28,20 @@ def _load_all() -> None:
                               score_plans, stream_plans, text_plans, udf_plans)
 
 
+def _shipped(fn: QueryFn) -> QueryFn:
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        from corvid.session import ship_package
+        ship_package(spark)
+        return fn(spark, sf_dir)
+    run.__name__ = getattr(fn, "__name__", "query")
+    run.__doc__ = fn.__doc__
+    return run
+
+
 def all_queries() -> dict[str, QueryFn]:
+    """Registered queries; each first makes sure executors can import corvid."""
     _load_all()
-    return dict(QUERIES)
+    return {name: _shipped(fn) for name, fn in QUERIES.items()}
 
 
 def all_oracles() -> dict[str, str]:

@@ -28,9 +28,37 @@ def build_session(master: str | None = None, app: str = "corvid",
     )
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
+    ship_package(spark)
     return spark
 
 
+_SHIPPED: set[str] = set()
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Make ``corvid`` importable in Python workers (pandas UDFs, mapInPandas).
+
+    Executors do not share the driver's ``sys.path``; the package is zipped
+    once per application and added with ``addPyFile``, which Spark distributes
+    to every executor.
+    """
+    import zipfile
+    sc = spark.sparkContext
+    app = sc.applicationId
+    if app in _SHIPPED:
+        return
+    pkg = os.path.dirname(os.path.abspath(__file__))
+    out = os.path.join(tempfile.mkdtemp(prefix="corvid-py-"), "corvid.zip")
+    with zipfile.ZipFile(out, "w", zipfile.ZIP_DEFLATED) as z:
+        for root, _, files in os.walk(pkg):
+            for f in files:
+                if f.endswith(".py"):
+                    full = os.path.join(root, f)
+                    z.write(full, os.path.join("corvid", os.path.relpath(full, pkg)))
+    sc.addPyFile(out)
+    _SHIPPED.add(app)
+
+
 def scratch_root(spark: SparkSession) -> str:
     """The shared folder named by ``spark.checkpoint.dir``.
 

@@ -109,24 +109,26 @@ def write_bank_files(rendered: DataFrame, root: str) -> str:
 
 
 def profile_schema(profile: BankProfile, with_year: bool = False) -> T.StructType:
-    fields = [T.StructField(role, T.StringType()) for _, role in profile.columns]
+    # named after the file's own columns, so headers and schema agree
+    fields = [T.StructField(name, T.StringType()) for name, _ in profile.columns]
     if with_year:  # filled from the ``year=`` folder by partition discovery
         fields.append(T.StructField("year", T.IntegerType()))
     return T.StructType(fields)
 
 
 def canonical_columns(profile: BankProfile) -> list:
-    """Raw role columns -> canonical columns, with the profile's parsing."""
+    """File columns -> canonical columns, with the profile's parsing."""
+    role = {r: F.col(f"`{n}`") for n, r in profile.columns}
     return [
-        F.col("id").try_cast("bigint").alias("row_id"),
+        role["id"].try_cast("bigint").alias("row_id"),
         F.lit(profile.bank).alias("bank"),
         F.col("year").cast("int").alias("year"),
         F.col("_metadata.file_path").alias("file"),
-        F.col("date").alias("date_raw"),
-        F.col("description").alias("description_raw"),
-        F.col("amount").alias("amount_raw"),
-        normalize_date(F.col("date"), [profile.date_format], F.col("year")).alias("date"),
-        parse_amount(F.col("amount"), profile.decimal_mark, profile.thousands).alias("amount")]
+        role["date"].alias("date_raw"),
+        role["description"].alias("description_raw"),
+        role["amount"].alias("amount_raw"),
+        normalize_date(role["date"], [profile.date_format], F.col("year")).alias("date"),
+        parse_amount(role["amount"], profile.decimal_mark, profile.thousands).alias("amount")]
 
 
 def read_profile(spark: SparkSession, root: str, profile: BankProfile) -> DataFrame:
