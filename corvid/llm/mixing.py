@@ -31,8 +31,8 @@ from pyspark.sql import functions as F
 from corvid.llm.spark_util import WORD_GAP, digest_buckets, read_table, stored, text_digest
 
 PER_BUCKET = 20_000
-#: Time ranges the virtual clock is cut into, for each bucket of rows.
-RANGES_PER_BUCKET = 4
+#: Time ranges up to the level: at least this many, and one for so many rows.
+LEAST_RANGES, ROWS_PER_RANGE = 64, 2_000
 
 
 def word_count(text: Column) -> Column:
@@ -122,13 +122,13 @@ def fair_mix(docs: DataFrame, weights: Sequence[int], max_epochs: int = 3) -> Da
               .withColumn("e", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(max_epochs - 1).cast("long"))))
               .withColumn("vf", (F.col("e") * F.col("source_size") + F.col("start")
                                  + (F.col("c") + 1) * F.col("size")) / F.col("weight")))
-    # range sort: the clock up to the level where the budget ends, in equal steps
+    # range sort: the clock in equal steps, sized by the level where the budget ends
     level = targets.agg(F.max(F.col("target") / F.col("weight")).alias("level"),
                         F.sum("source_size").alias("budget"))
-    steps = RANGES_PER_BUCKET * max(1, n // PER_BUCKET + 1)
+    steps = LEAST_RANGES + n // ROWS_PER_RANGE
     level = level.select("budget", F.greatest(F.col("level") / steps, F.lit(1e-9)).alias("step"))
     timed = (copies.crossJoin(F.broadcast(level))       # one row
-             .withColumn("_r", F.floor(F.least(F.col("vf") / F.col("step"), F.lit(steps + 1.0)))))
+             .withColumn("_r", F.floor(F.col("vf") / F.col("step"))))
     taken = (running_total(timed.select("key", "source", "size", "h", "c", "e", "vf", "_r", "budget"),
                            [], "_r", ["vf", F.col("source").asc_nulls_last(), "h", "c"], "size", "before")
              .filter(F.col("before") + F.col("size") <= F.col("budget"))

@@ -6,12 +6,17 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from corvid.llm import mixing, sharding, vafile
+from corvid.llm import (mixing, neardup, packing, quality, repeats, sharding,
+                        vafile)
 from corvid.session import ship_package
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_repeats": repeats.op1_repeats,
+    "op2_quality": quality.op2_quality,
     "op3_vafile": vafile.op3_vafile,
+    "op4_packing": packing.op4_packing,
     "op7_shards": sharding.op7_shards,
+    "op9_near_dups": neardup.op9_near_dups,
     "op10_mixing": mixing.op10_mixing,
 }
 ORACLE: dict[str, str] = {

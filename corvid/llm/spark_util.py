@@ -47,8 +47,9 @@ def digest_buckets(n_rows: int, per_bucket: int = 100_000) -> int:
 
 
 def number_rows(df: DataFrame, keys: Sequence[str], name: str = "row_no",
-                per_bucket: int = 100_000) -> DataFrame:
-    """0-based global row numbers without a global sort in one task.
+                part: Sequence[str] = (), per_bucket: int = 100_000) -> DataFrame:
+    """0-based row numbers, over all rows or within ``part`` (some of ``keys``,
+    never null), without a sort of a whole part in one task.
 
     Rows are numbered in the order of ``(md5(keys), keys)``. Equal rows are
     counted before any shuffle by key, so a row repeated for a third of the
@@ -58,20 +59,20 @@ def number_rows(df: DataFrame, keys: Sequence[str], name: str = "row_no",
     depends on the values alone, so a recomputed task gives the same numbers.
     Returns ``keys`` and ``name`` (long), one row per input row.
     """
-    keys = list(keys)
+    keys, part = list(keys), list(part)
     counted = stored(
         df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
           .withColumn("_md5", text_digest(*[F.col(k) for k in keys])), "numbered")
     digits = digest_buckets(counted.count(), per_bucket)
     counted = counted.withColumn("_b", F.substring("_md5", 1, digits))
-    per = counted.groupBy("_b").agg(F.sum("_n").alias("_t"))
-    before = Window.orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)
-    first = per.select("_b", F.coalesce(F.sum("_t").over(before), F.lit(0)).alias("_o"))
-    inside = (Window.partitionBy("_b").orderBy("_md5", *keys)
+    per = counted.groupBy(*part, "_b").agg(F.sum("_n").alias("_t"))
+    before = Window.partitionBy(*part).orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)
+    first = per.select(*part, "_b", F.coalesce(F.sum("_t").over(before), F.lit(0)).alias("_o"))
+    inside = (Window.partitionBy(*part, "_b").orderBy("_md5", *keys)
               .rowsBetween(Window.unboundedPreceding, -1))
     placed = (counted
               .withColumn("_i", F.coalesce(F.sum("_n").over(inside), F.lit(0)))
-              .join(first, "_b"))
+              .join(first, [*part, "_b"]))
     return placed.select(
         *keys, F.explode(F.sequence(F.lit(0).cast("long"), F.col("_n") - 1)).alias("_c"),
         (F.col("_o") + F.col("_i")).alias("_s")
