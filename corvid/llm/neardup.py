@@ -113,7 +113,7 @@ def dart_minhash(row: np.ndarray, h: np.ndarray, weight: np.ndarray, n_rows: int
         live = open_[row[el]]
         if not live.all():
             el, strip, base = el[live], strip[live], base[live]
-        u = mix(base + U(r + 1) * U(0x165667B19E3779F9))
+        u = mix(base + U((r + 1) * 0x165667B19E3779F9 % (1 << 64)))
         count = np.zeros(len(el), dtype=np.int64)
         for s in np.unique(strip):
             of = strip == s if strip.any() else slice(None)

@@ -8,7 +8,7 @@
    are added in slices, so the result does not depend on the partitioning.
    Hash buckets bound the table at any vocabulary; rare words share buckets.
 2. *Pooling.* A document is the mean and the spread of its tokens' scaled
-   context vectors, over its whole text.
+   context vectors and the mean product of neighbours, over its whole text.
 3. *Network.* Two layers in numpy (tanh, then a logit), trained on at most
    ``SAMPLE`` labelled documents, those with the smallest md5 of the id.
    A share of them is kept aside, and one temperature, chosen there by log
@@ -37,6 +37,7 @@ from corvid.llm.textbatch import (BASE, RollingHash, chunks, mix, rows_of,
 
 BUCKET_BITS, DIM, WINDOW, NONZERO = 13, 32, 2, 2
 BUCKETS = 1 << BUCKET_BITS
+PARTS = 3
 SLICES = 32
 SAMPLE = 20_000
 THRESHOLD = 0.3
@@ -101,8 +102,9 @@ def word_vectors(docs: DataFrame) -> np.ndarray:
 
 
 def pool(data: np.ndarray, off: np.ndarray, vectors: np.ndarray) -> np.ndarray:
-    """``(texts, 2 * DIM)``: mean and spread of the tokens' vectors."""
-    out = np.zeros((len(off) - 1, 2 * DIM))
+    """``(texts, PARTS * DIM)``: the mean and the spread of the tokens' vectors, and
+    the mean product of each token's vector with the next one's."""
+    out = np.zeros((len(off) - 1, PARTS * DIM))
     for lo, hi, d, o in chunks(data, off):
         b, row = token_buckets(d, o)
         if not len(b):
@@ -112,7 +114,10 @@ def pool(data: np.ndarray, off: np.ndarray, vectors: np.ndarray) -> np.ndarray:
         v = vectors[b]
         mean = np.add.reduceat(v, first, axis=0, dtype=np.float64) / n
         square = np.add.reduceat(v * v, first, axis=0, dtype=np.float64) / n
-        out[lo + has] = np.hstack([mean, np.sqrt(np.maximum(0, square - mean ** 2))])
+        pair = np.zeros_like(v)
+        pair[:-1] = v[:-1] * v[1:] * (row[:-1] == row[1:])[:, None]
+        follow = np.add.reduceat(pair, first, axis=0, dtype=np.float64) / n
+        out[lo + has] = np.hstack([mean, np.sqrt(np.maximum(0, square - mean ** 2)), follow])
     return out
 
 
@@ -183,7 +188,7 @@ def train(docs: DataFrame, labels: DataFrame, vectors: np.ndarray, sample: int =
     # one row for each id, so that copies of an id add nothing to the bound
     got = (rows.mapInArrow(features, "doc_id long, y double, x binary")
            .groupBy("doc_id").agg(F.max("y").alias("y"), F.min("x").alias("x")).orderBy("doc_id").collect())
-    x = np.array([np.frombuffer(r["x"]) for r in got]).reshape(-1, 2 * DIM)
+    x = np.array([np.frombuffer(r["x"]) for r in got]).reshape(-1, PARTS * DIM)
     return Network(x, np.array([r["y"] for r in got]))
 
 
