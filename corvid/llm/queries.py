@@ -6,8 +6,8 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from corvid.llm import (mixing, neardup, packing, quality, repeats, sharding,
-                        vafile)
+from corvid.llm import (mixing, neardup, packing, pii, quality, repeats, rules,
+                        secrets, sharding, vafile)
 from corvid.session import ship_package
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
@@ -15,7 +15,10 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_quality": quality.op2_quality,
     "op3_vafile": vafile.op3_vafile,
     "op4_packing": packing.op4_packing,
+    "op5_rules": rules.op5_rules,
+    "op6_secrets": secrets.op6_secrets,
     "op7_shards": sharding.op7_shards,
+    "op8_pii": pii.op8_pii,
     "op9_near_dups": neardup.op9_near_dups,
     "op10_mixing": mixing.op10_mixing,
 }
