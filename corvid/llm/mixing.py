@@ -140,6 +140,24 @@ def fair_mix(docs: DataFrame, weights: Sequence[int], max_epochs: int = 3) -> Da
                     F.coalesce("copies", F.lit(0)).alias("copies")))
 
 
+def mix_documents(docs: DataFrame, weights: Sequence[int], max_epochs: int = 3) -> DataFrame:
+    """The rows of ``docs``, all columns, each as often as the mix takes it."""
+    names = docs.columns
+    key = text_digest(F.col("doc_id"), F.md5(F.coalesce("text", F.lit(""))), F.xxhash64(*[docs[c] for c in names]))
+    rows = docs.select(F.struct(*[docs[c] for c in names]).alias("_row"), key.alias("_key"))
+    mix = (fair_mix(docs.select(key.alias("key"), "source", word_count(F.col("text")).alias("size")), weights, max_epochs)
+           .groupBy("key").agg(F.sum("copies").alias("_copies"), F.count(F.lit(1)).alias("_equal"))
+           .filter("_copies > 0"))
+    taken = rows.join(mix, F.col("_key") == F.col("key"))
+    single = taken.filter("_equal = 1").select("_row", "_copies")
+    # equal rows: one of them stands for all
+    equal = (taken.filter("_equal > 1").groupBy("_key")
+             .agg(F.first("_row").alias("_row"), F.first("_copies").alias("_copies")).drop("_key"))
+    return (single.unionByName(equal)
+            .select("_row", F.explode(F.sequence(F.lit(1).cast("long"), F.col("_copies"))).alias("_copy"))
+            .select("_row.*"))
+
+
 WEIGHTS = (5, 2, 1)
 
 
