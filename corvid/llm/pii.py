@@ -130,20 +130,20 @@ def disclosing(rows: DataFrame, docs: DataFrame, text: str = "text") -> DataFram
             .groupBy("kind", "value", "term").agg(F.sum("n").alias("n_te"), F.count(F.lit(1)).alias("texts"))
             .filter(F.col("texts") >= SUPPORT))
     near = stored(near, "near-terms")
-    entities = (rows.select("node", F.explode(F.array_distinct(F.transform("found", lambda m: F.struct(
+    entities = stored(rows.select("node", F.explode(F.array_distinct(F.transform("found", lambda m: F.struct(
                     m["kind"].alias("kind"), m["value"].alias("value"))))).alias("p"))
-                .groupBy("p.kind", "p.value").agg(F.count(F.lit(1)).alias("n_e")))
+                      .groupBy("p.kind", "p.value").agg(F.count(F.lit(1)).alias("n_e")), "entity-counts")
     words = docs.select(F.explode(F.array_distinct(F.regexp_extract_all(
         F.lower(F.coalesce(F.col(text), F.lit(""))), F.lit(TERM), F.lit(0)))).alias("term"))
-    # words that stand near an entity at all; others need no count
-    wanted = near.select("term").distinct()
-    counts = words.join(wanted, "term", "left_semi").groupBy("term").agg(F.count(F.lit(1)).alias("n_t"))
+    # counted in each task before any shuffle, so that a frequent word is a few rows
+    counts = words.groupBy("term").agg(F.count(F.lit(1)).alias("n_t"))
     total = F.lit(float(max(n, 1)))
     pmi = F.log2(F.col("n_te") * total / (F.col("n_t") * F.col("n_e")))
     info = F.log2(total / F.col("n_e"))
-    return (near.join(entities, ["kind", "value"]).join(counts, "term")
-            .withColumn("share", F.when(info > 0, pmi / info).otherwise(0.0))
-            .filter(F.col("share") >= DISCLOSURE).select("kind", "value", "term", "share"))
+    shares = (near.join(entities, ["kind", "value"]).join(counts, "term")
+              .withColumn("share", F.when(info > 0, pmi / info).otherwise(0.0))
+              .filter(F.col("share") >= DISCLOSURE).select("kind", "value", "term", "share"))
+    return stored(shares, "disclosing")
 
 
 def term_spans(rows: DataFrame, pairs: DataFrame) -> DataFrame:
