@@ -227,8 +227,9 @@ def _cross_pairs(buckets: DataFrame, sizes: DataFrame, nodes: DataFrame, roots:
     """Candidate links between components that meet in a bucket."""
     members = (buckets.join(sizes, "key").join(roots, "node", "left")
                .withColumn("root", F.coalesce("root", "node")))
-    mixed = (members.groupBy("key").agg(F.min("root").alias("lo"), F.max("root").alias("hi"))
-             .filter("lo <> hi").select("key"))
+    members = stored(members, "members")
+    mixed = stored(members.groupBy("key").agg(F.min("root").alias("lo"), F.max("root").alias("hi"))
+                   .filter("lo <> hi").select("key"), "mixed-buckets")
     blocks = (members.join(mixed, "key").join(nodes.select("node", "sig"), "node")
               .withColumn("nb", F.ceil(F.col("n") / BLOCK))
               .withColumn("blk", F.pmod(F.xxhash64("node"), F.col("nb")))
@@ -249,11 +250,12 @@ def components(edges: DataFrame) -> DataFrame:
     seen = None
     while True:
         both = e.unionByName(e.select(F.col("b").alias("a"), F.col("a").alias("b")))
-        least = both.groupBy("a").agg(F.min("b").alias("m")).select("a", F.least("a", "m").alias("m"))
+        # the least neighbours are stored, so that a hot node's side of the join can be split
+        least = stored(both.groupBy("a").agg(F.min("b").alias("m")).select("a", F.least("a", "m").alias("m")), "least")
         large = (both.join(least, "a").filter("b > a")
                  .select(F.col("b").alias("a"), F.col("m").alias("b")).filter("a <> b").distinct())
         large = stored(large, "large-star")
-        least = large.groupBy("a").agg(F.min("b").alias("m"))
+        least = stored(large.groupBy("a").agg(F.min("b").alias("m")), "least")
         joined = large.join(least, "a")
         e = stored(joined.select("a", F.col("m").alias("b")).unionByName(
             joined.filter("b <> m").select(F.col("b").alias("a"), F.col("m").alias("b"))).distinct(), "small-star")
