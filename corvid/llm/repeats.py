@@ -292,8 +292,9 @@ def _meeting(docs: DataFrame, min_len: int, seed: int, split: int) -> tuple[Data
     need_text = docs.filter(F.octet_length("text") >= min_len)
     seeds = stored(need_text.select("text").mapInArrow(_seed_rows(min_len, seed), "h long, n1 long, n2 long, at long"), "seeds")
     one = F.xxhash64("n1", "n2", "at")
-    counts = (seeds.groupBy("h").agg(F.count(F.lit(1)).alias("n"), F.min(one).alias("lo"), F.max(one).alias("hi"))
-              .filter("lo <> hi").select("h", "n"))
+    # stored, so that the join below reads two plain exchanges and Spark can split a hot seed
+    counts = stored(seeds.groupBy("h").agg(F.count(F.lit(1)).alias("n"), F.min(one).alias("lo"), F.max(one).alias("hi"))
+                    .filter("lo <> hi").select("h", "n"), "seed-counts")
     hexed = F.concat(*[F.lpad(F.hex(c), 16, "0") for c in ("n1", "n2")])
     met = (seeds.join(counts, "h").withColumn("node", F.unhex(hexed))
            .groupBy("node").agg(                     # one row a text, as long as the text at most
@@ -317,7 +318,8 @@ def _hot_windows(found: DataFrame, min_len: int, seed: int) -> DataFrame:
     rows = stored(found.filter(F.size("hot") > 0).select("node", "raw", "hot")
                   .mapInArrow(_windows(min_len, seed), "h long, g long, node binary, start long"), "hot-windows")
     one = F.xxhash64("node", "start")
-    again = rows.groupBy("h", "g").agg(F.min(one).alias("lo"), F.max(one).alias("hi")).filter("lo <> hi").select("h", "g")
+    again = stored(rows.groupBy("h", "g").agg(F.min(one).alias("lo"), F.max(one).alias("hi"))
+                   .filter("lo <> hi").select("h", "g"), "hot-again")
     return rows.join(again, ["h", "g"]).select("node", "start", (F.col("start") + min_len).alias("end"), "h", "g")
 
 
@@ -366,7 +368,7 @@ def remove_repeats(docs: DataFrame, min_len: int = MIN_LEN, seed: int = SEED, sp
     rows = docs.select("doc_id", _node(F.col("text")).alias("node"), F.octet_length(body).cast("long").alias("n_bytes"),
                        F.sha2(body, 256).alias("whole"))
     copies = rows.filter(F.col("n_bytes") >= min_len).groupBy("node").agg(F.count(F.lit(1)).alias("c")).filter("c > 1")
-    known = (copies.select("node", F.lit(True).alias("all")).join(spans, "node", "full"))
+    known = stored(copies.select("node", F.lit(True).alias("all")).join(spans, "node", "full"), "removed")
     all_ = F.coalesce("all", F.lit(False))
     return rows.join(known, "node", "left").select(
         "doc_id", "n_bytes",
