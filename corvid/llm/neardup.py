@@ -51,6 +51,8 @@ T = BANDS * ROWS
 #: A pair at 0.8 agrees in fewer coordinates with probability 1e-5.
 AGREE = 60
 BLOCK = 512
+#: Bytes of text signed at once, and pairs compared at once, in a task.
+SIGN_CHUNK, PAIR_CHUNK = 1 << 18, 128
 #: Upper ends of the rank strips: 2^-12, 2^-10, ..., 2^-4, 2^-3, 2^-2, ...
 RANK_ENDS = [2.0 ** e for e in (-12, -10, -8, -6, -4)] + [2.0 ** e for e in range(-3, 60)]
 U = np.uint64
@@ -154,7 +156,7 @@ def _sign(batches):
     """(doc_id, text) -> (doc_id, node, sig, bands)."""
     for batch in batches:
         data, off = text_buffer(batch.column(1))
-        for lo, hi, d, o in chunks(data, off):
+        for lo, hi, d, o in chunks(data, off, SIGN_CHUNK):
             ids = dart_minhash(*shingles(d, o), hi - lo)
             has = (ids != 0).any(1)
             keys, sig = band_keys(ids), ids.astype(np.uint16)
@@ -190,8 +192,10 @@ def _checked(pairs: DataFrame, texts: DataFrame) -> DataFrame:
 
     def run(batches):
         for batch in batches:
-            ok = similarity(batch.column(2), batch.column(3)) >= SIMILAR
-            yield batch.select([0, 1]).filter(pa.array(ok))
+            for at in range(0, len(batch), PAIR_CHUNK):
+                part = batch.slice(at, PAIR_CHUNK)
+                ok = similarity(part.column(2), part.column(3)) >= SIMILAR
+                yield part.select([0, 1]).filter(pa.array(ok))
     return pairs.join(tb, "b").join(ta, "a").select("a", "b", "ta", "tb").mapInArrow(run, "a binary, b binary")
 
 
