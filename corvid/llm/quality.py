@@ -39,6 +39,8 @@ BUCKET_BITS, DIM, WINDOW, NONZERO = 13, 32, 2, 2
 BUCKETS = 1 << BUCKET_BITS
 PARTS = 3
 SLICES = 32
+#: Bytes of text pooled at once.
+POOL_CHUNK = 1 << 16
 SAMPLE = 20_000
 THRESHOLD = 0.3
 HIDDEN, EPOCHS, BATCH, RATE, DECAY = 32, 40, 256, 0.01, 1e-4
@@ -62,7 +64,7 @@ def _context_sums(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]
     total = np.zeros(BUCKETS * DIM)
     for batch in batches:
         data, off = text_buffer(batch.column(0))
-        for _, _, d, o in chunks(data, off, 4 << 20):
+        for _, _, d, o in chunks(data, off, 2 << 20):
             b, row = token_buckets(d, o)
             for gap in range(1, WINDOW + 1):
                 same = np.flatnonzero(row[gap:] == row[:-gap]) if len(row) > gap else np.empty(0, np.int64)
@@ -105,18 +107,20 @@ def pool(data: np.ndarray, off: np.ndarray, vectors: np.ndarray) -> np.ndarray:
     """``(texts, PARTS * DIM)``: the mean and the spread of the tokens' vectors, and
     the mean product of each token's vector with the next one's."""
     out = np.zeros((len(off) - 1, PARTS * DIM))
-    for lo, hi, d, o in chunks(data, off):
+    for lo, hi, d, o in chunks(data, off, POOL_CHUNK):
         b, row = token_buckets(d, o)
         if not len(b):
             continue
         has, first = np.unique(row, return_index=True)
         n = np.diff(np.append(first, len(row)))[:, None]
         v = vectors[b]
-        mean = np.add.reduceat(v, first, axis=0, dtype=np.float64) / n
-        square = np.add.reduceat(v * v, first, axis=0, dtype=np.float64) / n
+        mean = np.add.reduceat(v, first, axis=0) / n
+        square = np.add.reduceat(v * v, first, axis=0) / n
         pair = np.zeros_like(v)
-        pair[:-1] = v[:-1] * v[1:] * (row[:-1] == row[1:])[:, None]
-        follow = np.add.reduceat(pair, first, axis=0, dtype=np.float64) / n
+        np.multiply(v[:-1], v[1:], out=pair[:-1])
+        pair[(first - 1)[1:]] = 0                   # the last token of a text has no next
+        pair[-1] = 0
+        follow = np.add.reduceat(pair, first, axis=0) / n
         out[lo + has] = np.hstack([mean, np.sqrt(np.maximum(0, square - mean ** 2)), follow])
     return out
 
