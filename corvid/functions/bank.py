@@ -14,6 +14,7 @@ CATEGORIES = ["Transport", "Food", "Shopping", "Transfer", "Bills", "Entertainme
               "Health", "Education", "Subscriptions", "Other"]
 # Portuguese month abbreviations, January first.
 PT_MONTHS = ["jan", "fev", "mar", "abr", "mai", "jun", "jul", "ago", "set", "out", "nov", "dez"]
+EN_MONTHS = ["jan", "feb", "mar", "apr", "may", "jun", "jul", "aug", "sep", "oct", "nov", "dec"]
 PROMPT_PREFIX = "Normalize this bank transaction: "
 
 
@@ -28,26 +29,31 @@ def clean_text(c: Column) -> Column:
 
 
 def match_key(c: Column) -> Column:
-    """Leading alphanumeric run of the upper-cased text: the equi-join key that
-    narrows pattern matching to a handful of candidates."""
+    """Leading alphanumeric run of the upper-cased text."""
     return F.regexp_extract(F.upper(c), "^([A-Z0-9]+)", 1)
 
 
+def _month_number(text: Column) -> Column:
+    """1-12 from a Portuguese or English abbreviation, else NULL."""
+    found = [F.array_position(F.array(*[F.lit(m) for m in names]), F.lower(text))
+             for names in (PT_MONTHS, EN_MONTHS)]
+    return F.coalesce(*[F.when(i > 0, i) for i in found])
+
+
 def parse_date(s: Column, fmt: str, default_year: Column | None = None) -> Column:
     """X13 for one pattern. Year-less patterns take ``default_year``; ``MMM``
-    reads Portuguese (or English) month abbreviations. Invalid -> NULL."""
+    reads Portuguese or English month abbreviations. Text that does not fit the
+    pattern, however malformed, gives NULL."""
     s = py_strip(s)
     if "MMM" in fmt:
-        sep = fmt.replace("d", "").replace("M", "")[:1] or "/"
-        parts = F.split(s, "\\" + sep if sep in ".|" else sep)
-        day_first = fmt.index("d") < fmt.index("M")
-        day = F.element_at(parts, 1 if day_first else 2)
-        mon_txt = F.lower(F.element_at(parts, 2 if day_first else 1))
-        months = F.array(*[F.lit(m) for m in PT_MONTHS])
-        mon = F.array_position(months, mon_txt)
-        year = default_year if "y" not in fmt else F.element_at(parts, 3)
-        txt = F.concat_ws("-", year.cast("string"), mon.cast("string"), day)
-        return F.when(mon > 0, F.try_to_date(txt, "yyyy-M-d"))
+        sep = fmt.replace("d", "").replace("M", "").replace("y", "")[:1] or "/"
+        parts = F.split(s, "[" + sep + "]")
+        order = sorted("dMy", key=lambda c: fmt.find(c) if c in fmt else len(fmt))
+        of = {c: F.get(parts, order.index(c)) for c in order}
+        year = of["y"] if "y" in fmt else default_year.cast("string")
+        txt = F.concat_ws("-", year, _month_number(of["M"]).cast("string"), of["d"])
+        fits = (F.size(parts) == (3 if "y" in fmt else 2)) & _month_number(of["M"]).isNotNull()
+        return F.when(fits, F.try_to_date(txt, "yyyy-M-d"))
     if "y" not in fmt:
         return F.try_to_date(F.concat(default_year.cast("string"), F.lit("-"), s),
                              "yyyy-" + fmt)
@@ -61,14 +67,27 @@ def normalize_date(s: Column, formats: Sequence[str], default_year: Column | Non
 
 
 def parse_amount(s: Column, decimal_mark: str = ".", thousands: str | None = None) -> Column:
-    """Text -> signed double; currency text and spaces ignored; NULL when
-    it is not a number."""
-    t = F.regexp_replace(s, "[^0-9,.\\-]", "")
+    """Text -> signed double, or NULL when the **whole** text is not one
+    amount in the bank's style.
+
+    Accepted: an optional currency mark, a hyphen or U+2212 minus before or
+    after it, or parentheses around the amount (negative), digits plain or in
+    thousands groups, and an optional decimal part.
+    """
+    t = F.regexp_replace(py_strip(s), "\u2212", "-")
+    bracketed = t.rlike(r"^\(.*\)$")
+    t = F.when(bracketed, F.regexp_replace(t, r"^\(\s*|\s*\)$", "")).otherwise(t)
+    groups = rf"\d{{1,3}}(?:[{thousands}]\d{{3}})+|" if thousands else ""
+    pattern = rf"^(-?)\s*(?:[A-Z]{{0,3}}[$€£])?\s*(-?)\s*((?:{groups}\d+)(?:[{decimal_mark}]\d+)?)$"
+    number = F.regexp_extract(t, pattern, 3)
     if thousands:
-        t = F.regexp_replace(t, "\\" + thousands, "")
+        number = F.regexp_replace(number, f"[{thousands}]", "")
     if decimal_mark != ".":
-        t = F.regexp_replace(t, "\\" + decimal_mark, ".")
-    return F.when(F.length(t) > 0, t).try_cast("double")
+        number = F.regexp_replace(number, f"[{decimal_mark}]", ".")
+    signs = (bracketed.cast("int") + F.length(F.regexp_extract(t, pattern, 1))
+             + F.length(F.regexp_extract(t, pattern, 2)))
+    value = number.try_cast("double")
+    return F.when(t.rlike(pattern) & (signs <= 1), F.when(signs == 1, -value).otherwise(value))
 
 
 def format_amount(x: Column, decimal_mark: str = ".", thousands: str | None = None,

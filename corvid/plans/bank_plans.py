@@ -11,13 +11,15 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from corvid.functions.bank import CATEGORIES, PT_MONTHS, clean_text
+from corvid.functions.bank import (CATEGORIES, EN_MONTHS, PT_MONTHS, clean_text, format_row,
+                                   match_key)
 from corvid.operators import bank as B
 from corvid.operators import metrics
 from corvid.plans import register
 from corvid.session import fresh_dir
-from corvid.sources.bank_csv import (BANKS, PROFILES, read_bank_csv, read_normalized,
-                                     render_dialect, write_bank_files, write_normalized)
+from corvid.sources.bank_csv import (BANKS, PROFILES, by_profile, parsed_amount, parsed_date,
+                                     read_bank_csv, read_normalized, render_dialect,
+                                     write_bank_files, write_normalized)
 from corvid.sources.tables import load_table
 
 SYNTH_VARIANTS = 2
@@ -36,7 +38,7 @@ def rendered(spark, sf_dir, noise=True):
     for p in PROFILES:
         r = render_dialect(g.filter(F.col("bank") == p.bank), p)
         out = r if out is None else out.unionByName(r)
-    return B.inject_noise(out) if noise else out
+    return B.inject_noise(out) if noise else out.drop("alt_date_s")
 
 
 def bank_files(spark, sf_dir):
@@ -62,14 +64,20 @@ DESC_VALUES = ", ".join(f"({i}, {_q(d)}, {_q(m)}, {_q(c)})"
                         for i, (d, m, c) in enumerate(B.DESCRIPTIONS))
 PAT_VALUES = ", ".join(f"({_q(p)}, {_q(m)}, {_q(c)}, {r})" for p, m, c, r in B.MERCHANT_PATTERNS)
 BANK_LIST = "[" + ", ".join(_q(b) for b in BANKS) + "]"
-MONTHS = "[" + ", ".join(_q(m) for m in PT_MONTHS) + "]"
-_DATE_FMT = {"yyyy-MM-dd": "'%Y-%m-%d'", "d/M/yyyy": "'%-d/%-m/%Y'", "MM-dd": "'%m-%d'"}
+def _month_list(names):
+    return "[" + ", ".join(_q(m) for m in names) + "]"
 
 
-def _date_s(p):
-    if p.date_format == "dd/MMM":
-        return f"lpad(CAST(day(date) AS VARCHAR), 2, '0') || '/' || ({MONTHS})[month(date)]"
-    return f"strftime(date, {_DATE_FMT[p.date_format]})"
+_DATE_FMT = {"yyyy-MM-dd": "'%Y-%m-%d'", "d/M/yyyy": "'%-d/%-m/%Y'", "MM-dd": "'%m-%d'",
+             "dd/MM/yyyy": "'%d/%m/%Y'", "yyyyMMdd": "'%Y%m%d'"}
+
+
+def _date_s(fmt):
+    if "MMM" in fmt:
+        names = _month_list(EN_MONTHS if "y" in fmt else PT_MONTHS)
+        year = " || '/' || CAST(year(date) AS VARCHAR)" if "y" in fmt else ""
+        return f"lpad(CAST(day(date) AS VARCHAR), 2, '0') || '/' || ({names})[month(date)]{year}"
+    return f"strftime(date, {_DATE_FMT[fmt]})"
 
 
 def _amount_s(p):
@@ -82,7 +90,10 @@ def _amount_s(p):
     return f"{_q(p.currency_prefix)} || {s}" if p.currency_prefix else s
 
 
-DATE_S = "CASE bank " + " ".join(f"WHEN {_q(p.bank)} THEN {_date_s(p)}" for p in PROFILES) + " END"
+def _date_case(i):
+    return "CASE bank " + " ".join(f"WHEN {_q(p.bank)} THEN {_date_s(p.date_formats[i])}" for p in PROFILES) + " END"
+
+
 AMOUNT_S = "CASE bank " + " ".join(f"WHEN {_q(p.bank)} THEN {_amount_s(p)}" for p in PROFILES) + " END"
 
 
@@ -90,6 +101,14 @@ def _hit(rule):
     return f"row_id % {rule[0]} = {rule[1]}"
 
 
+def _pick(texts):
+    return f"([{', '.join(_q(t) for t in texts)}])[row_id % {len(texts)} + 1]"
+
+
+NO_DATE = f"({_hit(B.NOISE_NO_DATE)} OR {_hit(B.NOISE_BAD_DATE)})"
+NO_AMOUNT = f"({_hit(B.NOISE_NO_AMOUNT)} OR {_hit(B.NOISE_BAD_AMOUNT)})"
+
+
 GOLD_CTE = f"""descs AS (SELECT * FROM (VALUES {DESC_VALUES}) t(desc_idx, description, gold_merchant, gold_category)),
 gold AS (
   SELECT o.o_orderkey AS row_id, ({BANK_LIST})[(o.o_orderkey % {len(BANKS)}) + 1] AS bank,
@@ -99,19 +118,25 @@ gold AS (
 
 RENDER_CTE = GOLD_CTE + f""",
 rend AS (
-  SELECT row_id, bank, year, CAST(row_id AS VARCHAR) AS id_s, {DATE_S} AS date_s,
-         description AS description_s, {AMOUNT_S} AS amount_s FROM gold)"""
+  SELECT row_id, bank, year, CAST(row_id AS VARCHAR) AS id_s, {_date_case(0)} AS date_s,
+         {_date_case(-1)} AS alt_date_s, description AS description_s, {AMOUNT_S} AS amount_s FROM gold)"""
 
 NOISE_CTE = RENDER_CTE + f""",
 noisy AS (
-  SELECT row_id, bank, year, id_s,
+  SELECT row_id, bank, year, CASE WHEN {_hit(B.NOISE_BAD_ID)} THEN {_q(B.BAD_ID_TEXT)} ELSE id_s END AS id_s,
          CASE WHEN {_hit(B.NOISE_NO_DATE)} THEN NULL
-              WHEN {_hit(B.NOISE_BAD_DATE)} THEN {_q(B.BAD_DATE_TEXT)} ELSE date_s END AS date_s,
+              WHEN {_hit(B.NOISE_BAD_DATE)} THEN {_pick(B.BAD_DATES)}
+              WHEN {_hit(B.NOISE_ALT_DATE)} THEN alt_date_s ELSE date_s END AS date_s,
          CASE WHEN {_hit(B.NOISE_BLANK_DESC)} THEN '   '
               WHEN {_hit(B.NOISE_SPACES)} THEN '  ' || replace(description_s, ' ', '   ') || ' '
               WHEN {_hit(B.NOISE_SPECIAL)} THEN chr(160) || description_s || ' ##'
               ELSE description_s END AS description_s,
-         CASE WHEN {_hit(B.NOISE_NO_AMOUNT)} THEN NULL ELSE amount_s END AS amount_s
+         CASE WHEN {_hit(B.NOISE_NO_AMOUNT)} THEN NULL
+              WHEN {_hit(B.NOISE_BAD_AMOUNT)} THEN {_pick(B.BAD_AMOUNTS)}
+              WHEN {_hit(B.NOISE_BRACKETS)} THEN '(' || replace(amount_s, '-', '') || ')'
+              WHEN {_hit(B.NOISE_MINUS)} AND bank <> 'itau' THEN replace(amount_s, '-', chr(8722))
+              ELSE amount_s END AS amount_s,
+         {_hit(B.NOISE_SURPLUS)} AS surplus, {_hit(B.NOISE_BAD_ID)} AS bad_id
   FROM rend)"""
 
 CLEAN_SQL = (r"nullif(trim(regexp_replace(regexp_replace(regexp_replace({c}, '[\s\x{{00A0}}]+', ' ', 'g'), "
@@ -122,28 +147,30 @@ KEY_SQL = "regexp_extract(upper({c}), '^([A-Z0-9]+)', 1)"
 
 # Expected normalized rows straight from the truth and the noise rules.
 NORM_CTE = NOISE_CTE + rf""",
-cl AS (SELECT n.row_id, n.bank, n.year, n.description_s AS description,
+cl AS (SELECT n.row_id, n.bank, n.year, n.description_s AS description, n.surplus, n.bad_id,
+              CASE WHEN n.surplus OR n.bad_id THEN NULL ELSE n.row_id END AS read_id,
               {CLEAN_SQL.format(c='n.description_s')} AS clean,
-              CASE WHEN {_hit(B.NOISE_NO_DATE)} OR {_hit(B.NOISE_BAD_DATE)} THEN NULL
-                   ELSE strftime(g.date, '%Y-%m-%d') END AS date,
-              CASE WHEN {_hit(B.NOISE_NO_AMOUNT)} THEN NULL ELSE g.amount END AS amount,
+              CASE WHEN {NO_DATE} THEN NULL ELSE strftime(g.date, '%Y-%m-%d') END AS date,
+              CASE WHEN {NO_AMOUNT} THEN NULL ELSE g.amount END AS amount,
               g.gold_merchant, g.gold_category, strftime(g.date, '%Y-%m-%d') AS gold_date,
               g.amount AS gold_amount, g.description AS gold_description,
               n.date_s, n.amount_s
        FROM noisy n JOIN gold g USING (row_id)),
-pats AS (SELECT pattern, merchant, category, priority, {KEY_SQL.format(c='pattern')} AS key
+pats AS (SELECT pattern, merchant, category, priority
          FROM (VALUES {PAT_VALUES}) p(pattern, merchant, category, priority)),
 dd AS (SELECT DISTINCT clean AS d FROM cl WHERE clean IS NOT NULL),
 cand AS (SELECT d, merchant, category, pattern,
                 row_number() OVER (PARTITION BY d ORDER BY priority, length(pattern) DESC) AS rn
-         FROM dd JOIN pats ON {KEY_SQL.format(c='d')} = pats.key
-         WHERE starts_with(upper(d), pattern)),
+         FROM dd JOIN pats ON starts_with(upper(d), upper(pattern))),
 best AS (SELECT d, merchant, category, pattern FROM cand WHERE rn = 1),
 nm AS (SELECT cl.*, coalesce(best.merchant, {INITCAP_SQL.format(c='cl.clean')}) AS merchant,
               CASE WHEN cl.clean IS NULL THEN NULL ELSE coalesce(best.category, 'Other') END AS category,
               best.pattern AS matched_pattern
        FROM cl LEFT JOIN best ON cl.clean = best.d),
-nv AS (SELECT *, CASE WHEN date IS NULL THEN 'bad_date'
+nv AS (SELECT * REPLACE (CASE WHEN surplus THEN NULL ELSE date END AS date,
+                         CASE WHEN surplus THEN NULL ELSE amount END AS amount),
+                 CASE WHEN surplus THEN 'bad_row' WHEN bad_id THEN 'bad_id'
+                      WHEN date IS NULL THEN 'bad_date'
                       WHEN amount IS NULL THEN 'bad_amount'
                       WHEN trim(regexp_replace(description, '[\s\x{{00A0}}]+', ' ', 'g')) = '' THEN 'blank_description'
                  END AS reason
@@ -175,7 +202,7 @@ def q_bank_render(spark, sf_dir):
 
 
 @register("bank_noise", f"""WITH {NOISE_CTE}
-SELECT row_id, bank, year, id_s, date_s, description_s, amount_s FROM noisy""")
+SELECT row_id, bank, year, id_s, date_s, description_s, amount_s, surplus FROM noisy""")
 def q_bank_noise(spark, sf_dir):
     return rendered(spark, sf_dir, noise=True)
 
@@ -183,15 +210,16 @@ def q_bank_noise(spark, sf_dir):
 # ---- S3 / K3: real files in four layouts, read back as one frame --------------------
 
 @register("bank_csv_read", f"""WITH {NOISE_CTE}
-SELECT row_id, bank, CAST(year AS INTEGER) AS year, bank || '/' || CAST(year AS VARCHAR) AS folder,
-       date_s AS date_raw, description_s AS description_raw, amount_s AS amount_raw
+SELECT CASE WHEN surplus OR bad_id THEN NULL ELSE row_id END AS row_id, bank,
+       CAST(year AS INTEGER) AS year, bank || '/' || CAST(year AS VARCHAR) AS folder, id_s AS id_raw,
+       date_s AS date_raw, description_s AS description_raw, amount_s AS amount_raw, surplus AS corrupt
 FROM noisy""")
 def q_bank_csv_read(spark, sf_dir):
     raw = raw_read(spark, sf_dir)
     folder = F.concat_ws("/", F.regexp_extract("file", "bank=([^/]+)/", 1),
                          F.regexp_extract("file", "year=([0-9]+)/", 1))
-    return raw.select("row_id", "bank", "year", folder.alias("folder"), "date_raw",
-                      "description_raw", "amount_raw")
+    return raw.select("row_id", "bank", "year", folder.alias("folder"), "id_raw", "date_raw",
+                      "description_raw", "amount_raw", F.col("corrupt").isNotNull().alias("corrupt"))
 
 
 # ---- X13 / X14 / X15 / J5 ---------------------------------------------------------------
@@ -199,27 +227,32 @@ def q_bank_csv_read(spark, sf_dir):
 @register("bank_date", f"""WITH {NORM_CTE}
 SELECT row_id, bank, date_s AS date_raw, date FROM cl""")
 def q_bank_date(spark, sf_dir):
-    return raw_read(spark, sf_dir).select("row_id", "bank", "date_raw", "date")
+    date = by_profile(lambda p: parsed_date(F.col("date_s"), p, F.col("year")))
+    return rendered(spark, sf_dir).select("row_id", "bank", F.col("date_s").alias("date_raw"),
+                                          date.alias("date"))
 
 
 @register("bank_amount", f"""WITH {NORM_CTE}
 SELECT row_id, bank, amount_s AS amount_raw, amount FROM cl""")
 def q_bank_amount(spark, sf_dir):
-    return raw_read(spark, sf_dir).select("row_id", "bank", "amount_raw", "amount")
+    amount = by_profile(lambda p: parsed_amount(F.col("amount_s"), p))
+    return rendered(spark, sf_dir).select("row_id", "bank", F.col("amount_s").alias("amount_raw"),
+                                          amount.alias("amount"))
 
 
 @register("bank_clean", f"""WITH {NORM_CTE}
 SELECT row_id, description AS description_raw, clean AS description_clean FROM cl""")
 def q_bank_clean(spark, sf_dir):
-    return raw_read(spark, sf_dir).select(
-        "row_id", "description_raw", clean_text(F.col("description_raw")).alias("description_clean"))
+    raw = F.col("description_s")
+    return rendered(spark, sf_dir).select("row_id", raw.alias("description_raw"),
+                                          clean_text(raw).alias("description_clean"))
 
 
 @register("bank_merchant", f"""WITH {NORM_CTE}
 SELECT row_id, clean AS description_clean, merchant, category, matched_pattern FROM nm""")
 def q_bank_merchant(spark, sf_dir):
-    t = raw_read(spark, sf_dir).select(
-        "row_id", clean_text(F.col("description_raw")).alias("description_clean"))
+    t = rendered(spark, sf_dir).select(
+        "row_id", clean_text(F.col("description_s")).alias("description_clean"))
     return B.match_merchant(spark, t).select("row_id", "description_clean", "merchant",
                                              "category", "matched_pattern")
 
@@ -227,16 +260,16 @@ def q_bank_merchant(spark, sf_dir):
 # ---- F4 / M6 / J7 / F6 -----------------------------------------------------------------------
 
 @register("bank_validate", f"""WITH {NORM_CTE}
-SELECT row_id, bank, reason FROM nv""")
+SELECT read_id AS row_id, bank, reason FROM nv""")
 def q_bank_validate(spark, sf_dir):
     return normalized(spark, sf_dir).select("row_id", "bank", "reason")
 
 
 @register("bank_normalize", f"""WITH {NORM_CTE}
-SELECT row_id, bank, CAST(year AS INTEGER) AS year, date, merchant, description, amount, category,
-       reason FROM nv""")
+SELECT read_id AS row_id, bank, CAST(year AS INTEGER) AS year, date, merchant, description, amount,
+       category, reason FROM nv""")
 def q_bank_normalize(spark, sf_dir):
-    return normalized(spark, sf_dir).drop("file")
+    return normalized(spark, sf_dir).drop("file", "id_raw", "date_raw", "amount_raw")
 
 
 @register("bank_completeness", f"""WITH {NORM_CTE}
@@ -245,15 +278,8 @@ SELECT count(*) AS n_input, count(*) FILTER (WHERE reason IS NULL) AS n_valid,
 FROM nv""")
 def q_bank_completeness(spark, sf_dir):
     raw = raw_read(spark, sf_dir)
-    norm = B.normalize_transactions(spark, raw)
-    valid, rejected = B.split_valid(norm)
-    missing = B.missing_rows(raw, valid, rejected, "row_id")
-    tagged = (raw.select(F.lit("input").alias("t"))
-              .unionByName(valid.select(F.lit("valid").alias("t")))
-              .unionByName(rejected.select(F.lit("rejected").alias("t")))
-              .unionByName(missing.select(F.lit("missing").alias("t"))))
-    return tagged.agg(*[F.sum((F.col("t") == t).cast("bigint")).alias(f"n_{t}")
-                        for t in ("input", "valid", "rejected", "missing")])
+    out = B.normalize_transactions(spark, raw).withColumnRenamed("description", "description_raw")
+    return B.completeness(raw, out)         # two scans of each layout
 
 
 HOLD_SQL = " OR ".join(f"(bank = {_q(b)} AND year = {y})" for b, y in HOLDOUT)
@@ -263,16 +289,8 @@ HOLD_SQL = " OR ".join(f"(bank = {_q(b)} AND year = {y})" for b, y in HOLDOUT)
 SELECT CASE WHEN {HOLD_SQL} THEN 'test' ELSE 'train' END AS split, bank, count(*) AS n
 FROM gold GROUP BY ALL""")
 def q_bank_holdout(spark, sf_dir):
-    raw = raw_read(spark, sf_dir)
-    cond = None
-    for b, y in HOLDOUT:
-        c = (F.col("bank") == b) & (F.col("year") == y)
-        cond = c if cond is None else (cond | c)
-    held = raw.filter(cond).select("file").distinct()  # the held-out files
-    test, train = B.holdout_files(raw, held)
-    return (test.withColumn("split", F.lit("test"))
-            .unionByName(train.withColumn("split", F.lit("train")))
-            .groupBy("split", "bank").agg(F.count(F.lit(1)).alias("n")))
+    raw = B.holdout_files(raw_read(spark, sf_dir), HOLDOUT)
+    return raw.groupBy("split", "bank").agg(F.count(F.lit(1)).alias("n"))
 
 
 # ---- J6 / A4 / A3 ------------------------------------------------------------------------
@@ -285,7 +303,7 @@ def valid_with_gold(spark, sf_dir):
 
 def gold_fields(spark, sf_dir):
     return gold(spark, sf_dir).select(
-        "row_id", "bank", F.date_format("date", "yyyy-MM-dd").alias("date"),
+        "row_id", "bank", F.date_format("date", "yyyy-MM-dd").alias("date"), "description",
         F.col("gold_merchant").alias("merchant"), "amount", F.col("gold_category").alias("category"))
 
 
@@ -342,45 +360,31 @@ def _prompt_sql():
 PROMPT_SQL = _prompt_sql()
 
 
-def prompts(spark, sf_dir):
-    raw = raw_read(spark, sf_dir)
-    col = {"date": F.col("date_raw"), "description": F.col("description_raw"),
-           "amount": F.col("amount_raw")}
-    expr = None
-    for p in PROFILES:
-        cols = [(n, col[r]) for n, r in p.columns if r != "id"]
-        from corvid.functions.bank import format_row
-        e = format_row([n for n, _ in cols], [c for _, c in cols])
-        expr = F.when(F.col("bank") == p.bank, e) if expr is None else expr.when(F.col("bank") == p.bank, e)
-    return raw.select("row_id", "bank", expr.alias("prompt"))
+def prompt_column(names=("date_s", "description_s", "amount_s")):
+    """P7 in the layout of the row's bank."""
+    col = dict(zip(("date", "description", "amount"), map(F.col, names)))
+    return by_profile(lambda p: format_row([n for n, r in p.columns if r != "id"],
+                                           [col[r] for _, r in p.columns if r != "id"]))
 
 
 @register("bank_prompt", f"""WITH {NOISE_CTE}
 SELECT row_id, bank, {PROMPT_SQL} AS prompt FROM noisy""")
 def q_bank_prompt(spark, sf_dir):
-    return prompts(spark, sf_dir)
+    return rendered(spark, sf_dir).select("row_id", "bank", prompt_column().alias("prompt"))
 
 
 RESPONSE_SQL = ("to_json({'date': strftime(g.date, '%Y-%m-%d'), 'merchant': g.gold_merchant, "
                 "'description': g.description, 'amount': g.amount, 'category': g.gold_category})")
 
 
-def pairs(spark, sf_dir):
-    g = gold(spark, sf_dir).select(
-        "row_id", F.date_format("date", "yyyy-MM-dd").alias("date"),
-        F.col("gold_merchant").alias("merchant"), "description", "amount",
-        F.col("gold_category").alias("category"))
-    resp = F.to_json(F.struct("date", "merchant", "description", "amount", "category"))
-    return prompts(spark, sf_dir).join(g.select("row_id", resp.alias("response")), "row_id") \
-        .select("row_id", "prompt", "response")
-
-
 @register("bank_pairs", f"""WITH {NOISE_CTE}
 SELECT n.row_id, {PROMPT_SQL.replace('CASE bank', 'CASE n.bank')} AS prompt,
        CAST({RESPONSE_SQL} AS VARCHAR) AS response
 FROM noisy n JOIN gold g ON n.row_id = g.row_id""")
 def q_bank_pairs(spark, sf_dir):
-    return pairs(spark, sf_dir)
+    raw = rendered(spark, sf_dir).select("row_id", "bank", "date_s", "description_s", "amount_s")
+    gold_rows = gold_fields(spark, sf_dir).drop("bank")
+    return B.to_pairs(raw.join(gold_rows, "row_id"), prompt_column())
 
 
 CORRUPT_TRUNC = (29, 3)
@@ -408,11 +412,8 @@ SELECT row_id, response, ok,
        CASE WHEN ok THEN json_extract_string(vj, '$.category') END AS category
 FROM k""")
 def q_bank_json_validate(spark, sf_dir):
-    g = gold(spark, sf_dir).select(
-        "row_id", F.date_format("date", "yyyy-MM-dd").alias("date"),
-        F.col("gold_merchant").alias("merchant"), "description", "amount",
-        F.col("gold_category").alias("category"))
-    resp = F.to_json(F.struct("date", "merchant", "description", "amount", "category"))
+    g = gold_fields(spark, sf_dir)
+    resp = B.response_json()
     rid = F.col("row_id")
     bad = (F.when(F.pmod(rid, F.lit(CORRUPT_TRUNC[0])) == CORRUPT_TRUNC[1], F.substring(resp, 1, 20))
            .when(F.pmod(rid, F.lit(CORRUPT_AMOUNT[0])) == CORRUPT_AMOUNT[1],
@@ -423,14 +424,9 @@ def q_bank_json_validate(spark, sf_dir):
 
 # ---- A10: two approaches compared ---------------------------------------------------------
 
-# Parameters of the comparison: flat cost per transaction and latency per
-# character of description, per approach.
-APPROACHES = {"patterns": (0.0, 0.002), "keyword": (0.0, 0.001)}
-
-
 def _keyword_table(spark):
     from pyspark.sql import Window
-    pats = B.pattern_table(spark)
+    pats = B.pattern_table(spark).withColumn("key", match_key(F.col("pattern")))
     w = Window.partitionBy("key").orderBy("priority", F.desc(F.length("pattern")), "pattern")
     return pats.withColumn("_r", F.row_number().over(w)).filter("_r = 1") \
         .select("key", F.col("category").alias("kw_category"))
@@ -438,33 +434,26 @@ def _keyword_table(spark):
 
 @register("approach_compare", f"""WITH {NORM_CTE},
 kw AS (SELECT key, category, row_number() OVER (PARTITION BY key ORDER BY priority, length(pattern) DESC, pattern) AS rn
-       FROM pats),
+       FROM (SELECT *, {KEY_SQL.format(c='pattern')} AS key FROM pats)),
 kw1 AS (SELECT key, category AS kw_category FROM kw WHERE rn = 1),
 v AS (SELECT nv.*, coalesce(kw1.kw_category, 'Other') AS kw_category FROM nv
       LEFT JOIN kw1 ON {KEY_SQL.format(c='nv.clean')} = kw1.key WHERE reason IS NULL),
 runs AS (
-  SELECT 'patterns' AS approach, CASE WHEN category = gold_category THEN 1 ELSE 0 END AS correct,
-         {APPROACHES['patterns'][0]} AS cost, {APPROACHES['patterns'][1]} * length(description) AS latency_ms FROM v
+  SELECT 'patterns' AS approach, CASE WHEN category = gold_category THEN 1 ELSE 0 END AS correct FROM v
   UNION ALL
-  SELECT 'keyword', CASE WHEN kw_category = gold_category THEN 1 ELSE 0 END,
-         {APPROACHES['keyword'][0]}, {APPROACHES['keyword'][1]} * length(description) FROM v),
-per AS (SELECT approach, count(*) AS n, round(avg(correct), 6) AS accuracy,
-               round(avg(cost), 9) AS cost_per_tx, round(avg(latency_ms), 6) AS latency_ms_per_tx
+  SELECT 'keyword', CASE WHEN kw_category = gold_category THEN 1 ELSE 0 END FROM v),
+per AS (SELECT approach, count(*) AS n, round(avg(correct), 6) AS accuracy
         FROM runs GROUP BY approach)
 SELECT *, round(accuracy - max(accuracy) OVER (), 6) AS accuracy_gap FROM per""")
 def q_approach_compare(spark, sf_dir):
-    from corvid.functions.bank import match_key
     v = valid_with_gold(spark, sf_dir)
     v = v.join(F.broadcast(_keyword_table(spark)), match_key(clean_text(F.col("description"))) ==
                F.col("key"), "left").withColumn("kw_category", F.coalesce("kw_category", F.lit("Other")))
     # one pass over the normalized rows: each row yields one run per approach
     runs_arr = F.array(*[F.struct(
         F.lit(name).alias("approach"),
-        ((F.col("category") if name == "patterns" else F.col("kw_category"))
-         == F.col("gold_category")).cast("int").alias("correct"),
-        F.lit(float(cost)).alias("cost"),
-        (F.lit(float(ms)) * F.length("description")).alias("latency_ms"))
-        for name, (cost, ms) in APPROACHES.items()])
+        (F.col(found) == F.col("gold_category")).cast("int").alias("correct"))
+        for name, found in (("patterns", "category"), ("keyword", "kw_category"))])
     runs = v.select(F.explode(runs_arr).alias("r")).select("r.*")
     return B.compare_approaches(runs)
 
