@@ -36,7 +36,8 @@ def tokenize_words(c: Column) -> Column:
 # Model input tokens, as a WordPiece-style pre-tokenizer sees them: runs of
 # letters/digits, and every other non-space character on its own. Whitespace is
 # spelled out so that Java, RE2 and Python regex engines agree.
-MODEL_TOKEN = "[\\p{L}\\p{N}]+|[^\\p{L}\\p{N} \\t\\n\\r\\f]"
+MODEL_MARK = "[^\\p{L}\\p{N} \\t\\n\\r\\f]"
+MODEL_TOKEN = "[\\p{L}\\p{N}]+|" + MODEL_MARK
 
 
 def model_tokens(c: Column) -> Column:

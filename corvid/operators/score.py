@@ -2,8 +2,10 @@
 
 The model is a weight table ``(token, w0, w1)``: a multinomial naive Bayes fit
 done entirely with aggregations. ``[CLS]`` carries the class priors, as every
-encoded sequence starts with it. Weights are rounded to multiples of 1/8 so
-that sums are exact whatever the summation order (partial aggregation).
+encoded sequence starts with it, and ``[UNK]`` the weights of every token
+outside the vocabulary, so that each token of a text counts. Weights are rounded
+to multiples of 1/8 so that sums are exact whatever the summation order
+(partial aggregation).
 """
 
 from __future__ import annotations
@@ -12,23 +14,28 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from corvid.functions.probs import argmax, label_name, round_score, softmax
-from corvid.functions.text import CLS, model_tokens
+from corvid.functions.text import CLS, UNK, model_tokens
 
 WEIGHT_STEP = 8.0
+#: Rows of a vocabulary, that of the usual English WordPiece model.
+VOCAB_SIZE = 30_522
 
 
 def _round_step(c: Column) -> Column:
     return F.round(c * F.lit(WEIGHT_STEP)) / F.lit(WEIGHT_STEP)
 
 
-def train_weights(spark: SparkSession, train: DataFrame, k: int = 2000,
+def train_weights(spark: SparkSession, train: DataFrame, k: int = VOCAB_SIZE,
                   alpha: float = 1.0, text_col: str = "text",
                   label_col: str = "label") -> DataFrame:
     """Fit ``(token, w0, w1)`` on labelled rows (labels 0/1) over whole texts,
     tokenized as the model sees them (words and punctuation marks).
 
-    Vocabulary = the ``k`` most frequent training tokens, so the model table has
-    at most ``k + 1`` rows whatever the corpus size (checked bound for broadcast).
+    Vocabulary = the ``k`` most frequent training tokens and ``[UNK]``, which
+    takes the counts of all others; token counts and priors are smoothed by
+    ``alpha``, so a class without training rows has finite weights. The table
+    has at most ``k + 2`` rows whatever the corpus size (the bound for its
+    broadcast).
     """
     toks = train.select(F.col(label_col).alias("label"),
                         F.explode(model_tokens(F.col(text_col))).alias("token"))
@@ -37,28 +44,35 @@ def train_weights(spark: SparkSession, train: DataFrame, k: int = 2000,
         F.sum(F.when(F.col("label") == 0, 1).otherwise(0)).alias("c0"),
         F.sum(F.when(F.col("label") == 1, 1).otherwise(0)).alias("c1"))
     top = counts.orderBy(F.desc("cnt"), F.asc("token")).limit(k)
-    whole = Window.partitionBy()  # over the k-row top table only
+    everything = toks.agg(F.sum(F.when(F.col("label") == 0, 1).otherwise(0)).alias("a0"),
+                          F.sum(F.when(F.col("label") == 1, 1).otherwise(0)).alias("a1"))
+    inside = top.agg(F.sum("c0").alias("s0"), F.sum("c1").alias("s1"))
+    unk = everything.crossJoin(inside).select(          # one row each
+        F.lit(UNK).alias("token"),
+        *[(F.coalesce(f"a{c}", F.lit(0)) - F.coalesce(f"s{c}", F.lit(0))).alias(f"c{c}") for c in (0, 1)])
+    whole = Window.partitionBy()  # over the k + 1 rows only
     a = F.lit(float(alpha))
     v = F.count(F.lit(1)).over(whole).cast("double")
-    words = top.select(
-        "token",
-        _round_step(F.log((F.col("c0").cast("double") + a)
-                          / (F.sum("c0").over(whole).cast("double") + a * v))).alias("w0"),
-        _round_step(F.log((F.col("c1").cast("double") + a)
-                          / (F.sum("c1").over(whole).cast("double") + a * v))).alias("w1"))
+
+    def weight(c: str) -> Column:
+        total = F.sum(c).over(whole).cast("double")
+        return _round_step(F.log((F.col(c).cast("double") + a) / (total + a * v)))
+
+    words = (top.select("token", "c0", "c1").unionByName(unk)
+             .select("token", weight("c0").alias("w0"), weight("c1").alias("w1")))
     priors = train.agg(
-        F.sum(F.when(F.col(label_col) == 0, 1).otherwise(0)).cast("double").alias("n0"),
-        F.sum(F.when(F.col(label_col) == 1, 1).otherwise(0)).cast("double").alias("n1"),
-        F.count(F.lit(1)).cast("double").alias("n"))
-    bias = priors.select(F.lit(CLS).alias("token"),
-                         _round_step(F.log(F.col("n0") / F.col("n"))).alias("w0"),
-                         _round_step(F.log(F.col("n1") / F.col("n"))).alias("w1"))
+        F.count(F.when(F.col(label_col) == 0, 1)).cast("double").alias("n0"),
+        F.count(F.when(F.col(label_col) == 1, 1)).cast("double").alias("n1"))
+    n = F.col("n0") + F.col("n1") + a * 2
+    bias = priors.select(F.lit(CLS).alias("token"), _round_step(F.log((F.col("n0") + a) / n)).alias("w0"),
+                         _round_step(F.log((F.col("n1") + a) / n)).alias("w1"))
     return words.unionByName(bias)
 
 
 def sequence_tokens(df: DataFrame, id_cols: list[str], text_col: str = "text") -> DataFrame:
-    """Long form ``(*id_cols, token)`` of ``[CLS] + words`` over the whole text."""
-    seq = F.concat(F.array(F.lit(CLS)), model_tokens(F.col(text_col)))
+    """Long form ``(*id_cols, token)`` of ``[CLS] + words`` over the whole text;
+    a NULL text is ``[CLS]`` alone."""
+    seq = F.concat(F.array(F.lit(CLS)), F.coalesce(model_tokens(F.col(text_col)), F.array().cast("array<string>")))
     return df.select(*id_cols, F.explode(seq).alias("token"))
 
 
@@ -68,8 +82,9 @@ def logits(df: DataFrame, weights: DataFrame, id_cols: list[str],
     a per-row sum. Partial aggregation collapses each row's tokens before the
     shuffle, so only ``(id, l0, l1)`` crosses the network."""
     toks = sequence_tokens(df, id_cols, text_col)
-    return (toks.join(F.broadcast(weights), "token")
-            .groupBy(*id_cols).agg(F.sum("w0").alias("l0"), F.sum("w1").alias("l1")))
+    unk = weights.filter(F.col("token") == UNK).select(F.col("w0").alias("_u0"), F.col("w1").alias("_u1"))
+    return (toks.join(F.broadcast(weights), "token", "left").crossJoin(F.broadcast(unk))   # one row
+            .groupBy(*id_cols).agg(*[F.sum(F.coalesce(f"w{c}", f"_u{c}")).alias(f"l{c}") for c in (0, 1)]))
 
 
 def predict_from_logits(lg: DataFrame, id_cols: list[str]) -> DataFrame:

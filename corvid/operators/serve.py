@@ -2,7 +2,9 @@
 
 The API semantics: a single request carries ``text``; a batch request carries
 ``texts`` and gets one prediction per text, in order; an empty list gives an
-empty list. Here requests are rows, so one Spark job serves any number of them.
+empty list. Here requests are rows, so one Spark job serves any number of them,
+and every request gets an answer: one that cannot be read, or has no text, gets
+an error with the reason.
 """
 
 from __future__ import annotations
@@ -14,19 +16,37 @@ from corvid.operators.score import score_texts
 
 REQUEST_SCHEMA = "text string"
 BATCH_REQUEST_SCHEMA = "texts array<string>"
-PREDICTION = "struct<text:string,label:string,score:double>"
+PREDICTION = "struct<text:string,label:string,score:double,error:string>"
+BAD_JSON, NO_TEXT = "invalid JSON", "text is missing"
+_BAD = "_bad_json"
 
 
 def parse_requests(df: DataFrame, json_col: str, schema: str = REQUEST_SCHEMA) -> DataFrame:
-    """Typed request columns from a JSON body column."""
-    parsed = F.from_json(F.col(json_col), schema)
+    """Typed request columns from a JSON body column, and ``error``: NULL, or
+    why the request cannot be served. No row is dropped."""
+    parsed = F.from_json(F.col(json_col), f"{schema}, {_BAD} string",
+                         {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": _BAD})
     others = [c for c in df.columns if c != json_col]
-    return df.select(*others, parsed.alias("_req")).select(*others, "_req.*")
+    fields = [f.split()[0] for f in schema.split(", ")]
+    unread = F.col(json_col).isNull() | F.col("_req").isNull() | F.col(f"_req.{_BAD}").isNotNull()
+    out = df.withColumn("_req", parsed)
+    return out.select(*others, *[F.col(f"_req.{f}").alias(f) for f in fields],
+                      F.when(unread, F.lit(BAD_JSON)).when(F.col(f"_req.{fields[0]}").isNull(), F.lit(NO_TEXT))
+                      .alias("error"))
+
+
+def score_singles(requests: DataFrame, weights: DataFrame, id_col: str) -> DataFrame:
+    """``(id, text, label, score, error)`` of every request: those without an
+    error are scored, and the text rides along with its own row."""
+    scored = score_texts(requests.filter(F.col("error").isNull()), weights, [id_col])
+    return requests.join(scored.select(id_col, "label", "score"), id_col, "left")
 
 
 def to_responses(df: DataFrame, id_col: str) -> DataFrame:
-    """P5: ``text, label, score`` -> one JSON response per row."""
-    return df.select(id_col, F.to_json(F.struct("text", "label", "score")).alias("response"))
+    """P5: ``text, label, score`` -> one JSON response per row, or its error."""
+    good = F.to_json(F.struct("text", "label", "score"))
+    return df.select(id_col, F.when(F.col("error").isNull(), good)
+                     .otherwise(F.to_json(F.struct("error"))).alias("response"))
 
 
 def score_requests(requests: DataFrame, weights: DataFrame, id_col: str,
@@ -34,18 +54,18 @@ def score_requests(requests: DataFrame, weights: DataFrame, id_col: str,
     """``(id, texts)`` -> ``(id, predictions)``, order kept, empty stays empty.
 
     Texts are exploded with their position and scored as rows; only the small
-    ``(pos, label, score)`` triples are grouped per request, then zipped with
-    the request's own ``texts`` by position (J1: pairing by position, no text
-    copied through the aggregation).
+    ``(pos, label, score)`` triples are grouped per request (a request is the
+    bound: its own ``texts`` are one row already), then looked up by position
+    (J1). A NULL text keeps its place, with an error instead of a label.
     """
     items = (requests.select(id_col, F.posexplode_outer(texts_col).alias("pos", "text"))
-             .filter(F.col("pos").isNotNull()))
+             .filter(F.col("pos").isNotNull() & F.col("text").isNotNull()))
     scored = score_texts(items, weights, [id_col, "pos"])
-    per_req = scored.groupBy(id_col).agg(
-        F.array_sort(F.collect_list(F.struct("pos", "label", "score"))).alias("_p"))
+    per_req = scored.groupBy(id_col).agg(F.map_from_entries(F.collect_list(
+        F.struct("pos", F.struct("label", "score")))).alias("_p"))
     joined = requests.join(per_req, id_col, "left")
     preds = F.transform(F.col(texts_col), lambda t, i: F.struct(
-        t.alias("text"), F.element_at("_p", i + 1)["label"].alias("label"),
-        F.element_at("_p", i + 1)["score"].alias("score")))
+        t.alias("text"), F.col("_p")[i]["label"].alias("label"), F.col("_p")[i]["score"].alias("score"),
+        F.when(t.isNull(), F.lit(NO_TEXT)).alias("error")))
     return joined.select(id_col, F.coalesce(preds, F.array().cast(f"array<{PREDICTION}>"))
                          .alias("predictions"))

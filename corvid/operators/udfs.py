@@ -17,8 +17,6 @@ import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-MAX_BROADCAST_ROWS = 1_000_000
-
 
 def map_batched(df: DataFrame, fn: Callable[[pd.DataFrame], pd.DataFrame], schema: str) -> DataFrame:
     """``fn`` applied to every Arrow batch of ``df``; output has ``schema``."""
@@ -41,11 +39,9 @@ def grouped_metric(df: DataFrame, group_cols: Sequence[str],
     return summed.groupBy(*group_cols).applyInPandas(final, out_schema)
 
 
-def broadcast_table(spark: SparkSession, table: DataFrame, key: str, values: Sequence[str],
-                    max_rows: int = MAX_BROADCAST_ROWS):
-    """Broadcast a small lookup table as ``{key: tuple(values)}`` after
-    checking its size (the caller's bound is verified, not assumed)."""
-    rows = table.select(key, *values).limit(max_rows + 1).collect()
-    if len(rows) > max_rows:
-        raise ValueError(f"table has more than {max_rows} rows: too large to broadcast")
-    return spark.sparkContext.broadcast({r[0]: tuple(r[1:]) for r in rows})
+def broadcast_table(spark: SparkSession, table: DataFrame, key: str, values: Sequence[str]):
+    """Broadcast a lookup table as ``{key: tuple(values)}`` for Python code.
+
+    ``table`` must be bounded by construction (a vocabulary or weight table of
+    ``k`` rows); it passes through the driver once, as any broadcast does."""
+    return spark.sparkContext.broadcast({r[0]: tuple(r[1:]) for r in table.select(key, *values).collect()})

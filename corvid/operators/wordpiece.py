@@ -1,35 +1,33 @@
 """WordPiece encoding at corpus scale.
 
 Greedy longest-match-first over a piece vocabulary, ``##`` marking a piece
-that continues a word. Python only ever sees **distinct** words (partial
-aggregation collapses repeats first); the pieces are joined back to the token
-table by word. The piece vocabulary is bounded by its parameters, checked, and
-broadcast.
+that continues a word. Documents are encoded where they are read: the pieces
+are a bounded broadcast and each task remembers the words it has split, so no
+token is shuffled and a very common word is split once per task.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterable, Iterator
 
-import pandas as pd
-from pyspark.sql import DataFrame, SparkSession
+import pyarrow as pa
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from corvid.functions.text import UNK
+from corvid.functions.text import RESERVED, UNK
+from corvid.operators.score import VOCAB_SIZE
 from corvid.operators.udfs import broadcast_table
 
 CONT = "##"
-MAX_WORD_CHARS = 100
-K_WORDS, K_AFFIX, K_CHARS = 2000, 1000, 500
+#: Lengths of the word beginnings and endings that are candidate pieces.
 AFFIX_LENGTHS = (2, 3, 4)
+#: Words a task remembers at most before it starts over.
+CACHE_WORDS = 1 << 20
 
 
-def greedy_pieces(word: str, vocab: set[str] | dict, max_piece: int,
-                  max_chars: int = MAX_WORD_CHARS) -> list[str]:
-    """Longest vocabulary piece at each position; a word with an unmatched
-    position becomes a single ``[UNK]``."""
-    if len(word) > max_chars:
-        return [UNK]
+def greedy_pieces(word: str, vocab: set[str] | dict, max_piece: int) -> list[str]:
+    """Longest vocabulary piece at each position, for a word of any length; a
+    word with an unmatched position becomes a single ``[UNK]``."""
     out: list[str] = []
     start = 0
     while start < len(word):
@@ -48,65 +46,62 @@ def greedy_pieces(word: str, vocab: set[str] | dict, max_piece: int,
     return out
 
 
-def build_piece_vocab(spark: SparkSession, words: DataFrame, k_words: int = K_WORDS,
-                      k_affix: int = K_AFFIX, k_chars: int = K_CHARS,
+def build_piece_vocab(spark: SparkSession, words: DataFrame, k: int = VOCAB_SIZE,
                       lengths: Iterable[int] = AFFIX_LENGTHS) -> DataFrame:
-    """``(piece)``: frequent whole words, word-initial pieces, continuation
-    pieces and single characters (both forms), each kind a top-k by frequency.
+    """``(piece, piece_id)``: the reserved entries, then the ``k`` most frequent
+    candidate pieces (ties by piece).
 
-    One aggregation over ``(kind, piece)``; the per-kind rank filter plans as
-    a group limit applied before the shuffle. At most
-    ``k_words + 2 k_affix + 2 k_chars`` rows, whatever the corpus size.
+    Candidates are whole words, word beginnings and endings of ``lengths``
+    characters, and single characters in both forms, weighted by word counts.
+    ``k`` is the size of the whole vocabulary: one top-k over the aggregated
+    pieces, per partition and then merged.
     """
     wc = words.groupBy("word").agg(F.count(F.lit(1)).alias("cnt"))
     w = F.col("word")
-    cands = [F.struct(F.lit("word").alias("kind"), w.alias("piece"))]
+    cands = [w]
     for n in lengths:
         longer = F.length(w) > n
-        cands.append(F.when(longer, F.struct(F.lit("initial").alias("kind"),
-                                              F.substring(w, 1, n).alias("piece"))))
-        cands.append(F.when(longer, F.struct(F.lit("cont").alias("kind"),
-                                              F.concat(F.lit(CONT), F.expr(f"substring(word, -{n})"))
-                                              .alias("piece"))))
-    chars = F.transform(F.filter(F.split(w, ""), lambda c: F.length(c) == 1),
-                        lambda c: F.struct(F.lit("char").alias("kind"), c.alias("piece")))
-    exploded = wc.select(F.explode(F.concat(F.filter(F.array(*cands), lambda x: x.isNotNull()),
-                                            chars)).alias("c"), "cnt")
-    counts = exploded.groupBy(F.col("c.kind").alias("kind"), F.col("c.piece").alias("piece")) \
-        .agg(F.sum("cnt").alias("cnt"))
-    from pyspark.sql import Window
-    limit = (F.when(F.col("kind") == "word", k_words)
-             .when(F.col("kind") == "char", k_chars).otherwise(k_affix))
-    rank = F.row_number().over(Window.partitionBy("kind").orderBy(F.desc("cnt"), F.asc("piece")))
-    # A literal bound first lets the planner limit each group before the
-    # shuffle; the per-kind bound is applied after.
-    top = (counts.withColumn("_r", rank).filter(F.col("_r") <= max(k_words, k_affix, k_chars))
-           .filter(F.col("_r") <= limit))
-    singles = top.filter(F.col("kind") == "char").select(F.concat(F.lit(CONT), "piece").alias("piece"))
-    return top.select("piece").unionByName(singles).distinct()
-
-
-def wordpiece_words(spark: SparkSession, words: DataFrame, vocab: DataFrame) -> DataFrame:
-    """``(word, pieces)`` for each distinct word."""
-    bc = broadcast_table(spark, vocab.withColumn("_x", F.lit(1)), "piece", ["_x"],
-                         max_rows=50_000)
-
-    def encode(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        table = bc.value
-        max_piece = max((len(p) - (len(CONT) if p.startswith(CONT) else 0) for p in table),
-                        default=1)
-        for pdf in batches:
-            pdf = pdf.copy()
-            pdf["pieces"] = [greedy_pieces(w, table, max_piece) for w in pdf["word"]]
-            yield pdf[["word", "pieces"]]
-
-    distinct = words.select("word").distinct()
-    return distinct.mapInPandas(encode, "word string, pieces array<string>")
-
-
-def wordpiece_encode(spark: SparkSession, tokens: DataFrame, vocab: DataFrame,
-                     word_col: str = "word") -> DataFrame:
-    """Token table with a ``pieces`` column (equi-join on the word)."""
-    w = tokens.select(F.col(word_col).alias("word"))
-    return tokens.join(wordpiece_words(spark, w, vocab).withColumnRenamed("word", word_col),
-                       word_col)
+        cands.append(F.when(longer, F.substring(w, 1, n)))
+        cands.append(F.when(longer, F.concat(F.lit(CONT), F.expr(f"substring(word, -{n})"))))
+    chars = F.filter(F.split(w, ""), lambda c: F.length(c) == 1)
+    both = F.concat(F.filter(F.array(*cands), lambda x: x.isNotNull()), chars,
+                    F.transform(chars, lambda c: F.concat(F.lit(CONT), c)))
+    counts = (wc.select(F.explode(both).alias("piece"), "cnt")
+              .groupBy("piece").agg(F.sum("cnt").alias("cnt")))
+    top = counts.orderBy(F.desc("cnt"), F.asc("piece")).limit(k)
+    ranked = top.select("piece", (F.row_number().over(Window.orderBy(F.desc("cnt"), F.asc("piece")))   # k rows
+                                  + F.lit(len(RESERVED) - 1)).cast("int").alias("piece_id"))
+    return spark.createDataFrame(RESERVED, "piece string, piece_id int").unionByName(ranked)
+
+
+def wordpiece_ids(spark: SparkSession, docs: DataFrame, vocab: DataFrame, words_col: str) -> DataFrame:
+    """``docs`` with its word array replaced by ``piece_ids array<int>`` and
+    ``n_unk``, the words without a split; whole texts, any word length."""
+    bc = broadcast_table(spark, vocab, "piece", ["piece_id"])
+    others = [c for c in docs.columns if c != words_col]
+
+    def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        table = {p: i for p, (i,) in bc.value.items()}
+        unk = table[UNK]
+        longest = max(len(p.removeprefix(CONT)) for p in table)
+        known: dict[str, list[int]] = {}
+
+        def ids_of(word: str) -> list[int]:
+            got = known.get(word)
+            if got is None:
+                if len(known) >= CACHE_WORDS:
+                    known.clear()
+                got = known[word] = [table[p] for p in greedy_pieces(word, table, longest)]
+            return got
+
+        for batch in batches:
+            split = [[ids_of(w) for w in ws or ()] for ws in batch.column(len(others)).to_pylist()]
+            yield pa.RecordBatch.from_arrays(
+                [*batch.columns[:len(others)],
+                 pa.array([[i for ids in doc for i in ids] for doc in split], pa.list_(pa.int32())),
+                 pa.array([sum(ids == [unk] for ids in doc) for doc in split], pa.int64())],
+                names=[*others, "piece_ids", "n_unk"])
+
+    schema = ", ".join(f"`{c}` {docs.schema[c].dataType.simpleString()}" for c in others)
+    return docs.select(*others, words_col).mapInArrow(
+        encode, f"{schema}, piece_ids array<int>, n_unk bigint")

@@ -6,12 +6,11 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from corvid.functions.text import tokenize_words
-from corvid.operators.score import train_weights
+from corvid.operators.score import VOCAB_SIZE, train_weights
 from corvid.operators.vocab import build_vocab
-from corvid.sources.tables import load_labelled, load_table
+from corvid.sources.tables import load_labelled, load_table, split_filter
 
-VOCAB_K = 2000
-MODEL_K = 2000
+VOCAB_K = MODEL_K = VOCAB_SIZE
 MAX_LEN = 128
 BATCH = 32
 EPOCHS = 3
@@ -23,7 +22,7 @@ def labelled(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def model(spark: SparkSession, sf_dir: str, k: int = MODEL_K) -> DataFrame:
     lab = labelled(spark, sf_dir)
-    return train_weights(spark, lab.filter(F.col("split") == "train"), k=k)
+    return train_weights(spark, split_filter(lab, "train"), k=k)
 
 
 def corpus_vocab(spark: SparkSession, sf_dir: str, k: int = VOCAB_K) -> DataFrame:
@@ -54,18 +53,21 @@ cnt{s} AS (SELECT token, count(*) AS cnt,
                sum(CASE WHEN label = 0 THEN 1 ELSE 0 END) AS c0,
                sum(CASE WHEN label = 1 THEN 1 ELSE 0 END) AS c1
         FROM trtok{s} GROUP BY token),
-top{s} AS (SELECT * FROM cnt{s} ORDER BY cnt DESC, token ASC LIMIT {k}),
+kept{s} AS (SELECT token, c0, c1 FROM cnt{s} ORDER BY cnt DESC, token ASC LIMIT {k}),
+top{s} AS (SELECT * FROM kept{s} UNION ALL
+           SELECT '[UNK]', (SELECT coalesce(sum(c0), 0) FROM cnt{s}) - (SELECT coalesce(sum(c0), 0) FROM kept{s}),
+                  (SELECT coalesce(sum(c1), 0) FROM cnt{s}) - (SELECT coalesce(sum(c1), 0) FROM kept{s})),
 tot{s} AS (SELECT sum(c0)::DOUBLE AS t0, sum(c1)::DOUBLE AS t1, count(*)::DOUBLE AS v FROM top{s}),
 pri{s} AS (SELECT sum(CASE WHEN label = 0 THEN 1 ELSE 0 END)::DOUBLE AS n0,
-               sum(CASE WHEN label = 1 THEN 1 ELSE 0 END)::DOUBLE AS n1,
-               count(*)::DOUBLE AS n
+               sum(CASE WHEN label = 1 THEN 1 ELSE 0 END)::DOUBLE AS n1
         FROM lab WHERE split = 'train'),
 w{s} AS (SELECT token,
              round(ln((c0::DOUBLE + 1.0) / (t0 + 1.0 * v)) * 8) / 8 AS w0,
              round(ln((c1::DOUBLE + 1.0) / (t1 + 1.0 * v)) * 8) / 8 AS w1
       FROM top{s}, tot{s}
       UNION ALL
-      SELECT '[CLS]', round(ln(n0 / n) * 8) / 8, round(ln(n1 / n) * 8) / 8 FROM pri{s})"""
+      SELECT '[CLS]', round(ln((n0 + 1.0) / (n0 + n1 + 2.0)) * 8) / 8,
+             round(ln((n1 + 1.0) / (n0 + n1 + 2.0)) * 8) / 8 FROM pri{s})"""
 
 
 MODEL_CTE = LAB_CTE + ",\n" + model_cte()
@@ -73,10 +75,11 @@ MODEL_CTE = LAB_CTE + ",\n" + model_cte()
 
 def score_cte(src: str, id_cols: str, text_col: str = "text", s: str = "") -> str:
     """CTEs ending in ``sm{s}(id_cols, p0, p1)``: ``src`` scored with ``w{s}``."""
-    return f"""seq{s} AS (SELECT {id_cols}, unnest(list_concat(['[CLS]'], {model_tok(text_col)})) AS token
+    return f"""seq{s} AS (SELECT {id_cols}, unnest(list_concat(['[CLS]'], coalesce({model_tok(text_col)}, []))) AS token
              FROM {src}),
-lg{s} AS (SELECT {id_cols}, sum(w0) AS l0, sum(w1) AS l1 FROM seq{s} JOIN w{s} USING (token)
-       GROUP BY {id_cols}),
+unk{s} AS (SELECT w0 AS u0, w1 AS u1 FROM w{s} WHERE token = '[UNK]'),
+lg{s} AS (SELECT {id_cols}, sum(coalesce(w0, u0)) AS l0, sum(coalesce(w1, u1)) AS l1
+       FROM seq{s} LEFT JOIN w{s} USING (token) CROSS JOIN unk{s} GROUP BY {id_cols}),
 ex{s} AS (SELECT {id_cols}, exp(l0 - greatest(l0, l1)) AS e0, exp(l1 - greatest(l0, l1)) AS e1
        FROM lg{s}),
 sm{s} AS (SELECT {id_cols}, e0 / (e0 + e1) AS p0, e1 / (e0 + e1) AS p1 FROM ex{s})"""

@@ -8,7 +8,8 @@ from corvid.functions.text import tokenize_words
 from corvid.operators import metrics
 from corvid.operators.batches import assign_batches
 from corvid.operators.score import score_texts
-from corvid.operators.serve import parse_requests, score_requests, to_responses
+from corvid.operators.serve import (BAD_JSON, NO_TEXT, parse_requests, score_requests,
+                                    score_singles, to_responses)
 from corvid.plans import register
 from corvid.plans.common import (BATCH, LAB_CTE, MODEL_CTE, PRED_COLS, labelled, model,
                                  model_cte, score_cte)
@@ -97,7 +98,12 @@ FROM l GROUP BY split, batch_id
 UNION ALL
 SELECT split, CAST(-1 AS BIGINT), count(*), round(avg(nll), 6) FROM l GROUP BY split""")
 def q_cross_entropy(spark, sf_dir):
-    scored = assign_batches(scored_labelled(spark, sf_dir), ["split"], "doc_id", BATCH)
+    # ids are numbered alone, and the batch rides along as a grouping key: texts
+    # are scored once and nothing is numbered after scoring
+    lab = labelled(spark, sf_dir).withColumnRenamed("label", "truth")
+    batches = assign_batches(lab.select("doc_id", "split"), ["split"], "doc_id", BATCH)
+    scored = score_texts(lab.join(batches.select("doc_id", "batch_id"), "doc_id"), model(spark, sf_dir),
+                         ["doc_id", "truth", "split", "batch_id"])
     # one pass: every row counts for its batch and for the split total (-1)
     both = scored.withColumn("batch_id", F.explode(F.array(F.col("batch_id"),
                                                             F.lit(-1).cast("bigint"))))
@@ -143,28 +149,46 @@ def q_best_epoch(spark, sf_dir):
 # ---- P6 / J1: batch requests -------------------------------------------------------
 
 REQUEST_SIZE = 8
+# Requests and texts that cannot be served, picked by document id.
+NULL_TEXT = (13, 4)
+BROKEN = (17, 5)       # body cut off
+NO_FIELD = (19, 6)     # body without a text
+NULL_BODY = (23, 7)
+
+
+def _hit(rule, col="doc_id"):
+    return f"{col} % {rule[0]} = {rule[1]}"
+
+
+def _rule(rule):
+    return F.pmod(F.col("doc_id"), F.lit(rule[0])) == rule[1]
 
 
 @register("score_batch", f"""WITH {MODEL_CTE},
-req AS (SELECT doc_id // {REQUEST_SIZE} AS request_id, doc_id, text,
+req AS (SELECT doc_id // {REQUEST_SIZE} AS request_id, doc_id,
+               CASE WHEN {_hit(NULL_TEXT)} THEN NULL ELSE text END AS text,
                row_number() OVER (PARTITION BY doc_id // {REQUEST_SIZE} ORDER BY doc_id) - 1 AS pos
         FROM documents),
-{score_cte('req', 'request_id, pos')}
+served AS (SELECT * FROM req WHERE text IS NOT NULL),
+{score_cte('served', 'request_id, pos')}
 SELECT CAST(request_id AS BIGINT) AS request_id, count(*) AS n_texts,
-       md5(string_agg(req.text || '|' ||
+       count(*) FILTER (WHERE req.text IS NULL) AS n_errors,
+       md5(string_agg(CASE WHEN req.text IS NULL THEN '{NO_TEXT}' ELSE req.text || '|' ||
                       (CASE WHEN p1 > p0 THEN 'Positive' ELSE 'Negative' END) || '|' ||
-                      printf('%.4f', round(greatest(p0, p1), 4)), chr(10) ORDER BY req.pos)) AS digest
-FROM sm JOIN req USING (request_id, pos) GROUP BY request_id""")
+                      printf('%.4f', round(greatest(p0, p1), 4)) END, chr(10) ORDER BY req.pos)) AS digest
+FROM req LEFT JOIN sm USING (request_id, pos) GROUP BY request_id""")
 def q_score_batch(spark, sf_dir):
-    docs = load_table(spark, sf_dir, "documents")
+    docs = load_table(spark, sf_dir, "documents").withColumn(
+        "text", F.when(~_rule(NULL_TEXT), F.col("text")))
     # Requests of at most REQUEST_SIZE texts, built from the table (bounded groups).
     requests = (docs.groupBy(F.floor(F.col("doc_id") / REQUEST_SIZE).cast("bigint").alias("request_id"))
                 .agg(F.array_sort(F.collect_list(F.struct("doc_id", "text"))).alias("items"))
                 .select("request_id", F.transform("items", lambda x: x["text"]).alias("texts")))
     out = score_requests(requests, model(spark, sf_dir), "request_id", "texts")
-    line = F.transform("predictions", lambda p: F.concat_ws(
-        "|", p["text"], p["label"], F.format_string("%.4f", p["score"])))
+    line = F.transform("predictions", lambda p: F.coalesce(p["error"], F.concat_ws(
+        "|", p["text"], p["label"], F.format_string("%.4f", p["score"]))))
     return out.select("request_id", F.size("predictions").cast("bigint").alias("n_texts"),
+                      F.size(F.filter("predictions", lambda p: p["error"].isNotNull())).cast("bigint").alias("n_errors"),
                       F.md5(F.array_join(line, "\n")).alias("digest"))
 
 
@@ -172,13 +196,17 @@ def q_score_batch(spark, sf_dir):
 
 @register("request_json", f"""WITH {MODEL_CTE},
 {score_cte('documents', 'doc_id')}
-SELECT doc_id, CAST(to_json({{'text': d.text,
-                         'label': CASE WHEN p1 > p0 THEN 'Positive' ELSE 'Negative' END,
-                         'score': round(greatest(p0, p1), 4)}}) AS VARCHAR) AS response
+SELECT doc_id, CASE
+    WHEN {_hit(NULL_BODY)} OR {_hit(BROKEN)} THEN '{{"error":"{BAD_JSON}"}}'
+    WHEN {_hit(NO_FIELD)} THEN '{{"error":"{NO_TEXT}"}}'
+    ELSE CAST(to_json({{'text': d.text,
+                       'label': CASE WHEN p1 > p0 THEN 'Positive' ELSE 'Negative' END,
+                       'score': round(greatest(p0, p1), 4)}}) AS VARCHAR) END AS response
 FROM sm JOIN documents d USING (doc_id)""")
 def q_request_json(spark, sf_dir):
     docs = load_table(spark, sf_dir, "documents")
-    raw = docs.select("doc_id", F.to_json(F.struct("text")).alias("body"))
-    reqs = parse_requests(raw, "body")
-    scored = score_texts(reqs, model(spark, sf_dir), "doc_id")
-    return to_responses(scored.join(reqs, "doc_id"), "doc_id")
+    body = F.to_json(F.struct("text"))
+    body = (F.when(_rule(NULL_BODY), F.lit(None).cast("string")).when(_rule(BROKEN), F.lit('{"text": "cut'))
+            .when(_rule(NO_FIELD), F.lit('{"other": 1}')).otherwise(body))
+    reqs = parse_requests(docs.select("doc_id", body.alias("body")), "body")
+    return to_responses(score_singles(reqs, model(spark, sf_dir), "doc_id"), "doc_id")

@@ -4,14 +4,15 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from corvid.functions.text import (encode_fixed, join_ints, tokenize_words,
+from corvid.functions.text import (encode_fixed, join_ints, model_tokens, tokenize_words,
                                    truncate_tokens)
 from corvid.operators import metrics
 from corvid.operators.batches import assign_batches
 from corvid.operators.vocab import encode_ids
+from corvid.operators.wordpiece import AFFIX_LENGTHS, build_piece_vocab, wordpiece_ids
 from corvid.plans import register
-from corvid.plans.common import (BATCH, EPOCHS, LAB_CTE, MAX_LEN, VOCAB_CTE, corpus_vocab,
-                                 labelled, tok)
+from corvid.plans.common import (BATCH, EPOCHS, LAB_CTE, MAX_LEN, VOCAB_CTE, VOCAB_K,
+                                 corpus_vocab, labelled, model_tok, tok)
 from corvid.sources.tables import load_table
 
 
@@ -45,42 +46,68 @@ def q_encode_ids(spark, sf_dir):
         "doc_id", F.col("pos").cast("int").alias("pos"), "token", "token_id")
 
 
-@register("encode_fixed", f"""WITH {LAB_CTE}, {VOCAB_CTE},
-t AS (SELECT doc_id, label, {tok('text')} AS toks FROM lab),
-k AS (SELECT doc_id, label, len(toks) AS n_tokens, toks[1:{MAX_LEN - 2}] AS kept FROM t),
-u AS (SELECT doc_id, unnest(kept) AS token, unnest(generate_series(1, len(kept))) AS pos
-      FROM k WHERE len(kept) > 0),
-ids AS (SELECT u.doc_id, list(coalesce(vocab.token_id, 1) ORDER BY u.pos) AS ids
-        FROM u LEFT JOIN vocab ON u.token = vocab.token GROUP BY u.doc_id),
-body AS (SELECT k.doc_id, k.label, k.n_tokens,
-                list_concat([2], coalesce(ids.ids, []), [3]) AS b
-         FROM k LEFT JOIN ids ON k.doc_id = ids.doc_id)
+def _pieces_cte(words: str) -> str:
+    """CTEs ending in ``enc(word, ids, unk)``: the piece vocabulary over the words
+    of ``words(word)`` and every distinct word's greedy split."""
+    affix = "\n".join(
+        f"  UNION ALL SELECT substr(word, 1, {n}), cnt FROM wc WHERE length(word) > {n}\n"
+        f"  UNION ALL SELECT '##' || right(word, {n}), cnt FROM wc WHERE length(word) > {n}"
+        for n in AFFIX_LENGTHS)
+    return f"""wc AS (SELECT word, count(*) AS cnt FROM {words} GROUP BY word),
+ch AS (SELECT unnest(string_split(word, '')) AS c, cnt FROM wc),
+cand AS (
+  SELECT word AS piece, cnt FROM wc
+{affix}
+  UNION ALL SELECT c, cnt FROM ch WHERE length(c) = 1
+  UNION ALL SELECT '##' || c, cnt FROM ch WHERE length(c) = 1),
+pc AS (SELECT piece, sum(cnt) AS cnt FROM cand GROUP BY piece ORDER BY cnt DESC, piece ASC LIMIT {VOCAB_K}),
+pieces AS (SELECT piece, CAST(row_number() OVER (ORDER BY cnt DESC, piece ASC) + 3 AS INTEGER) AS piece_id FROM pc),
+pm AS (SELECT map(list(piece), list(piece_id)) AS ids,
+              max(length(CASE WHEN starts_with(piece, '##') THEN substr(piece, 3) ELSE piece END)) AS longest
+       FROM pieces),
+rec AS (
+  SELECT word, 0 AS pos, []::INTEGER[] AS ids FROM wc
+  UNION ALL
+  SELECT r.word, r.pos + b.len, list_append(r.ids, b.id)
+  FROM rec r, LATERAL (
+    SELECT max(t.L) AS len, arg_max(p.piece_id, t.L) AS id
+    FROM range(1, least(length(r.word) - r.pos, (SELECT longest FROM pm)) + 1) t(L)
+    JOIN pieces p ON p.piece = (CASE WHEN r.pos = 0 THEN '' ELSE '##' END) || substr(r.word, r.pos + 1, t.L)) b
+  WHERE r.pos < length(r.word) AND b.len IS NOT NULL),
+fin AS (SELECT word, max(pos) AS pos, arg_max(ids, pos) AS ids FROM rec GROUP BY word),
+enc AS (SELECT word, CASE WHEN pos = length(word) THEN ids ELSE [1] END AS ids,
+               CASE WHEN pos = length(word) THEN 0 ELSE 1 END AS unk FROM fin)"""
+
+
+def piece_vocab(spark, docs, words):
+    return build_piece_vocab(spark, docs.select(F.explode(words).alias("word")))
+
+
+@register("encode_fixed", f"""WITH RECURSIVE {LAB_CTE},
+t AS (SELECT doc_id, label, {model_tok('text')} AS toks FROM lab),
+u AS (SELECT doc_id, unnest(toks) AS word, unnest(generate_series(1, len(toks))) AS pos FROM t WHERE len(toks) > 0),
+{_pieces_cte('u')},
+ids AS (SELECT u.doc_id, flatten(list(enc.ids ORDER BY u.pos)) AS ids FROM u JOIN enc USING (word) GROUP BY u.doc_id),
+body AS (SELECT t.doc_id, t.label, len(coalesce(ids.ids, [])) AS n_tokens,
+                list_concat([2], coalesce(ids.ids, [])[1:{MAX_LEN - 2}], [3]) AS b
+         FROM t LEFT JOIN ids ON t.doc_id = ids.doc_id)
 SELECT doc_id, label AS labels, CAST(n_tokens AS BIGINT) AS n_tokens, CAST(len(b) AS INTEGER) AS n_real,
        array_to_string(list_concat(b, list_resize([0], {MAX_LEN} - len(b), 0)), ' ') AS input_ids,
        array_to_string(list_concat(list_resize([1], len(b), 1),
                                    list_resize([0], {MAX_LEN} - len(b), 0)), ' ') AS attention_mask
 FROM body""")
 def q_encode_fixed(spark, sf_dir):
+    """WordPiece ids of words and punctuation, cut to the window, padded."""
     lab = labelled(spark, sf_dir)
-    toks = tokenize_words(F.col("text"))
-    # F3 before explode: only the kept window is exploded and re-grouped.
-    base = lab.select("doc_id", "label", F.size(toks).cast("bigint").alias("n_tokens"),
-                      truncate_tokens(toks, MAX_LEN).alias("kept"))
-    # label and n_tokens ride along (one scan); an empty text keeps its row via
-    # the outer explode and gets an empty id list.
-    long = base.select("doc_id", "label", "n_tokens",
-                       F.posexplode_outer("kept").alias("pos", "token"))
-    item = F.when(F.col("pos").isNotNull(), F.struct("pos", "token_id"))
-    joined = (encode_ids(long, corpus_vocab(spark, sf_dir))
-              .groupBy("doc_id", "label", "n_tokens")
-              .agg(F.array_sort(F.collect_list(item)).alias("_s"))
-              .withColumn("ids", F.transform("_s", lambda x: x["token_id"])))
-    input_ids, mask = encode_fixed(F.col("ids"), MAX_LEN)
+    words = model_tokens(F.col("text"))
     # Raw text and index dropped, label renamed, int arrays.
-    return joined.select("doc_id", F.col("label").alias("labels"), "n_tokens",
-                         (F.size("ids") + 2).cast("int").alias("n_real"),
-                         join_ints(input_ids).alias("input_ids"),
-                         join_ints(mask).alias("attention_mask"))
+    ids = wordpiece_ids(spark, lab.select("doc_id", F.col("label").alias("labels"), words.alias("words")),
+                        piece_vocab(spark, lab, words), "words")
+    kept = ids.withColumn("kept", truncate_tokens(F.col("piece_ids"), MAX_LEN))
+    input_ids, mask = encode_fixed(F.col("kept"), MAX_LEN)
+    return kept.select("doc_id", "labels", F.size("piece_ids").cast("bigint").alias("n_tokens"),
+                       (F.size("kept") + 2).cast("int").alias("n_real"),
+                       join_ints(input_ids).alias("input_ids"), join_ints(mask).alias("attention_mask"))
 
 
 @register("sequence_stats", f"""WITH {LAB_CTE},
@@ -112,56 +139,14 @@ def q_batch_plan(spark, sf_dir):
     return metrics.batches_per_epoch(labelled(spark, sf_dir), BATCH, EPOCHS, ["split"])
 
 
-def _wordpiece_sql() -> str:
-    from corvid.operators.wordpiece import (AFFIX_LENGTHS, K_AFFIX, K_CHARS, K_WORDS,
-                                            MAX_WORD_CHARS)
-    affix = "\n".join(
-        f"  UNION ALL SELECT 'initial', substr(word, 1, {n}), cnt FROM wc WHERE length(word) > {n}\n"
-        f"  UNION ALL SELECT 'cont', '##' || right(word, {n}), cnt FROM wc WHERE length(word) > {n}"
-        for n in AFFIX_LENGTHS)
-    return f"""WITH RECURSIVE w AS (SELECT doc_id, unnest({tok('text')}) AS word FROM documents),
-wc AS (SELECT word, count(*) AS cnt FROM w GROUP BY word),
-cand AS (
-  SELECT 'word' AS kind, word AS piece, cnt FROM wc
-{affix}
-  UNION ALL SELECT 'char', unnest(string_split(word, '')), cnt FROM wc),
-pc AS (SELECT kind, piece, sum(cnt) AS cnt FROM cand WHERE kind <> 'char' OR length(piece) = 1
-       GROUP BY kind, piece),
-rk AS (SELECT kind, piece, row_number() OVER (PARTITION BY kind ORDER BY cnt DESC, piece ASC) AS r FROM pc),
-top AS (SELECT kind, piece FROM rk
-        WHERE r <= CASE kind WHEN 'word' THEN {K_WORDS} WHEN 'char' THEN {K_CHARS} ELSE {K_AFFIX} END),
-vocab AS (SELECT piece FROM top UNION SELECT '##' || piece FROM top WHERE kind = 'char'),
-mp AS (SELECT max(CASE WHEN starts_with(piece, '##') THEN length(piece) - 2 ELSE length(piece) END) AS m
-       FROM vocab),
-dw AS (SELECT DISTINCT word FROM w),
-rec AS (
-  SELECT word, 0 AS pos, 0 AS n FROM dw WHERE length(word) <= {MAX_WORD_CHARS}
-  UNION ALL
-  SELECT r.word, r.pos + b.len, r.n + 1
-  FROM rec r, LATERAL (
-    SELECT max(t.L) AS len
-    FROM range(1, least(length(r.word) - r.pos, (SELECT m FROM mp)) + 1) t(L)
-    WHERE (CASE WHEN r.pos = 0 THEN '' ELSE '##' END) || substr(r.word, r.pos + 1, t.L)
-          IN (SELECT piece FROM vocab)) b
-  WHERE r.pos < length(r.word) AND b.len IS NOT NULL),
-fin AS (SELECT word, max(pos) AS pos, max(n) AS n FROM rec GROUP BY word),
-enc AS (SELECT dw.word,
-               CASE WHEN fin.pos = length(dw.word) THEN fin.n ELSE 1 END AS n_pieces,
-               CASE WHEN fin.pos = length(dw.word) THEN 0 ELSE 1 END AS unk
-        FROM dw LEFT JOIN fin ON dw.word = fin.word)
-SELECT w.doc_id, count(*) AS n_words, CAST(sum(enc.n_pieces) AS BIGINT) AS n_pieces,
-       CAST(sum(enc.unk) AS BIGINT) AS n_unk
-FROM w JOIN enc ON w.word = enc.word GROUP BY w.doc_id"""
-
-
-@register("wordpiece_encode", _wordpiece_sql())
+@register("wordpiece_encode", f"""WITH RECURSIVE w AS (SELECT doc_id, unnest({tok('text')}) AS word FROM documents),
+{_pieces_cte('w')}
+SELECT d.doc_id, count(enc.word) AS n_words, CAST(coalesce(sum(len(enc.ids)), 0) AS BIGINT) AS n_pieces,
+       CAST(coalesce(sum(enc.unk), 0) AS BIGINT) AS n_unk
+FROM documents d LEFT JOIN w ON w.doc_id = d.doc_id LEFT JOIN enc ON w.word = enc.word GROUP BY d.doc_id""")
 def q_wordpiece_encode(spark, sf_dir):
-    from corvid.operators.wordpiece import build_piece_vocab, wordpiece_encode
     docs = load_table(spark, sf_dir, "documents")
-    words = docs.select("doc_id", F.posexplode(tokenize_words(F.col("text"))).alias("pos", "word"))
-    vocab = build_piece_vocab(spark, words)
-    enc = wordpiece_encode(spark, words, vocab)
-    return enc.groupBy("doc_id").agg(
-        F.count(F.lit(1)).alias("n_words"),
-        F.sum(F.size("pieces")).cast("bigint").alias("n_pieces"),
-        F.sum(F.array_contains("pieces", "[UNK]").cast("int")).cast("bigint").alias("n_unk"))
+    words = tokenize_words(F.col("text"))
+    long = docs.select("doc_id", F.size(words).cast("bigint").alias("n_words"), words.alias("words"))
+    return wordpiece_ids(spark, long, piece_vocab(spark, docs, words), "words").select(
+        "doc_id", "n_words", F.size("piece_ids").cast("bigint").alias("n_pieces"), "n_unk")

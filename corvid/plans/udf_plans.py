@@ -3,49 +3,38 @@
 from __future__ import annotations
 
 import hashlib
-import math
 from collections.abc import Iterator
 
+import numpy as np
 import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import functions as F
 
 from corvid.functions.probs import LABEL_MAP
-from corvid.functions.text import CLS
+from corvid.functions.text import CLS, MODEL_MARK, UNK, WORD_SPLIT
 from corvid.operators.score import score_texts
 from corvid.operators.udfs import broadcast_table, grouped_metric, map_batched
 from corvid.plans import ORACLE, register
 from corvid.plans.common import labelled, model
 from corvid.sources.tables import load_table
 
-_WORD_SPLIT = None
-
-
-def _py_tokens(text: str) -> list[str]:
-    global _WORD_SPLIT
-    if _WORD_SPLIT is None:
-        import regex
-        _WORD_SPLIT = regex.compile(r"[^\p{L}\p{N}]+")
-    return [t for t in _WORD_SPLIT.split(text.lower()) if t]
-
-
-_MODEL_TOKEN = None
-
-
-def _py_model_tokens(text: str) -> list[str]:
-    global _MODEL_TOKEN
-    if _MODEL_TOKEN is None:
-        import regex
-        from corvid.functions.text import MODEL_TOKEN
-        _MODEL_TOKEN = regex.compile(MODEL_TOKEN)
-    return _MODEL_TOKEN.findall(text.lower())
+def _tokens(texts: pd.Series, pattern: str) -> tuple[np.ndarray, np.ndarray]:
+    """Non-empty pieces between the matches of ``pattern`` in the lower-cased
+    texts, flat, and how many each text has; Arrow works on the whole batch."""
+    split = pc.split_pattern_regex(pc.utf8_lower(pa.array(texts.fillna(""), pa.string())), pattern)
+    flat, row = split.flatten(), pc.list_parent_indices(split).to_numpy()
+    full = pc.not_equal(flat, "")
+    return flat.filter(full), np.bincount(row[full.to_numpy(zero_copy_only=False)], minlength=len(texts))
 
 
 def _tokenize_batch(pdf: pd.DataFrame) -> pd.DataFrame:
-    toks = pdf["text"].map(_py_tokens)
+    flat, n = _tokens(pdf["text"], WORD_SPLIT)
+    ends = np.concatenate([[0], np.cumsum(n)]).astype(np.int32)
+    joined = pc.binary_join(pa.ListArray.from_arrays(pa.array(ends), flat), " ")
     return pd.DataFrame({
-        "doc_id": pdf["doc_id"],
-        "n_tokens": toks.map(len).astype("int64"),
-        "tokens_md5": toks.map(lambda t: hashlib.md5(" ".join(t).encode()).hexdigest()),
+        "doc_id": pdf["doc_id"], "n_tokens": n.astype("int64"),
+        "tokens_md5": [hashlib.md5(t.encode()).hexdigest() for t in joined.to_pylist()],
     })
 
 
@@ -87,28 +76,28 @@ def q_udaf_metrics(spark, sf_dir):
 
 
 def model_udf(spark, weights):
-    """An iterator pandas UDF scoring text with a weight table loaded once."""
+    """An iterator pandas UDF scoring text with a weight table loaded once.
+
+    The texts of a batch become one flat token column; each distinct token is
+    looked up once, and the weights are added up per text by numpy."""
     bc = broadcast_table(spark, weights, "token", ["w0", "w1"])
 
     @F.pandas_udf("struct<pred:int,prob:double>")
     def score(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
         table = bc.value  # set up once per task, before the loop
-        cls = table.get(CLS, (0.0, 0.0))
+        cls, unk = table[CLS], table[UNK]
         for texts in batches:
-            preds, probs = [], []
-            for t in texts:
-                l0, l1 = cls
-                for tok in _py_model_tokens(t):
-                    w = table.get(tok)
-                    if w is not None:
-                        l0 += w[0]
-                        l1 += w[1]
-                m = max(l0, l1)
-                e0, e1 = math.exp(l0 - m), math.exp(l1 - m)
-                p0, p1 = e0 / (e0 + e1), e1 / (e0 + e1)
-                preds.append(1 if p1 > p0 else 0)
-                probs.append(max(p0, p1))
-            yield pd.DataFrame({"pred": preds, "prob": probs})
+            spaced = pc.replace_substring_regex(pa.array(texts.fillna(""), pa.string()), MODEL_MARK, r" \0 ")
+            flat, n = _tokens(spaced.to_pandas(), "[ \t\n\r\f]+")
+            coded = flat.dictionary_encode()
+            w = np.array([table.get(t, unk) for t in coded.dictionary.to_pylist()]).reshape(-1, 2)
+            at = w[coded.indices.to_numpy()]
+            row = np.repeat(np.arange(len(n)), n)
+            l0, l1 = (cls[c] + np.bincount(row, at[:, c], minlength=len(n)) for c in (0, 1))
+            m = np.maximum(l0, l1)
+            e0, e1 = np.exp(l0 - m), np.exp(l1 - m)
+            p0, p1 = e0 / (e0 + e1), e1 / (e0 + e1)
+            yield pd.DataFrame({"pred": (p1 > p0).astype("int32"), "prob": np.maximum(p0, p1)})
     return score
 
 

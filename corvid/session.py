@@ -62,18 +62,18 @@ def ship_package(spark: SparkSession) -> None:
 def scratch_root(spark: SparkSession) -> str:
     """The shared folder named by ``spark.checkpoint.dir``.
 
-    On a cluster this is the shared (HDFS/object-store) location the operator
-    configured. Only when nothing is configured (local tests) do we pick one,
-    and register it as the context's checkpoint directory.
+    On a cluster it must be set, as executors share no local folder: without it
+    this raises. Only a single-machine session (``local[...]``, as in tests)
+    gets a folder of its own, registered as the context's checkpoint directory.
     """
     sc = spark.sparkContext
-    root = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get("spark.checkpoint.dir", None)
-    if not root:
-        root = sc.getCheckpointDir()
+    root = (spark.conf.get("spark.checkpoint.dir", None)
+            or sc.getConf().get("spark.checkpoint.dir", None) or sc.getCheckpointDir())
     if not root:
+        if sc.master != "local" and not sc.master.startswith("local["):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         root = tempfile.mkdtemp(prefix="corvid-ckpt-")
-        sc.setCheckpointDir(root)
-    elif sc.getCheckpointDir() is None:
+    if sc.getCheckpointDir() is None:
         sc.setCheckpointDir(root)
     return root.rstrip("/")
 

@@ -10,30 +10,17 @@ TABLES = ("region", "nation", "customer", "supplier", "part", "orders", "lineite
           "conversations")
 
 
-# Tables whose rows carry long text: the work per row (tokenizing, exploding)
-# is CPU-bound, so a scan with fewer tasks than cores leaves the cluster idle.
 TEXT_TABLES = ("documents", "pages")
 
 
-def spread(df: DataFrame, target: int | None = None) -> DataFrame:
-    """Round-robin redistribute a scan that has fewer partitions than cores.
-
-    A file that cannot be split (one parquet row group) reads as one task.
-    Partition counts are checked at planning time (no job runs); a large input
-    already has at least as many splits as cores and is returned untouched, so
-    no extra shuffle is paid at scale.
-    """
-    try:
-        target = target or df.sparkSession.sparkContext.defaultParallelism
-        current = df.rdd.getNumPartitions()
-    except Exception:  # noqa: BLE001 - sessions without RDD access: leave the scan as is
-        return df
-    return df.repartition(target) if current < target else df
-
-
-def load_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+def load_table(spark: SparkSession, sf_dir: str, name: str, partitions: int | None = None) -> DataFrame:
+    """One table. ``partitions`` redistributes the scan, for long texts in a file
+    that cannot be split; it is the caller's choice, or for text tables that of
+    the session (``corvid.scan.partitions``). Without either nothing moves."""
     df = spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
-    return spread(df) if name in TEXT_TABLES else df
+    if partitions is None and name in TEXT_TABLES:
+        partitions = int(spark.conf.get("corvid.scan.partitions", "0"))
+    return df.repartition(partitions) if partitions else df
 
 
 def split_rule(doc_id: Column, holdout_every: int = 10) -> Column:
