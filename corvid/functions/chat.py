@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from dataclasses import dataclass
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -19,18 +21,30 @@ EOS_TOKEN = EOT
 QUIT_WORD = "quit"
 
 
-def header(role: Column) -> Column:
-    return F.concat(F.lit(HEADER_START), role, F.lit(HEADER_END), F.lit("\n"))
+@dataclass(frozen=True)
+class Template:
+    """The tags a conversation is rendered with."""
+    bos: str = BOS
+    header_start: str = HEADER_START
+    header_end: str = HEADER_END
+    header_tail: str = "\n"
+    end: str = EOT
+
+    def header(self, role: Column) -> Column:
+        return F.concat(F.lit(self.header_start), role, F.lit(self.header_end), F.lit(self.header_tail))
+
 
+TEMPLATE = Template()
 
-def render_segment(role: Column, text: Column) -> Column:
+
+def render_segment(role: Column, text: Column, template: Template = TEMPLATE) -> Column:
     """One message: header, content, end-of-turn tag."""
-    return F.concat(header(role), text, F.lit(EOT))
+    return F.concat(template.header(role), text, F.lit(template.end))
 
 
-def generation_prompt() -> Column:
+def generation_prompt(template: Template = TEMPLATE) -> Column:
     """The open assistant header appended when asking for a reply."""
-    return header(F.lit("assistant"))
+    return template.header(F.lit("assistant"))
 
 
 def segment_tokens(role: Column, text: Column) -> Column:
@@ -49,8 +63,3 @@ def decode_reply(tokens: Column, prompt_len: Column) -> Column:
 
 def is_quit(text: Column) -> Column:
     return F.lower(py_strip(text)) == F.lit(QUIT_WORD)
-
-
-def pad_token() -> Column:
-    """Pad := end token when the tokenizer defines none."""
-    return F.coalesce(F.lit(PAD_TOKEN).cast("string"), F.lit(EOS_TOKEN))

@@ -3,9 +3,9 @@
 Input is the long table ``(conv_id, turn, role, text)``. Per-conversation
 results use distributive aggregates or the block prefix sum of
 ``corvid.operators.prefix``, so a conversation holding a large share of all
-turns is still processed by many tasks. ``collect_conversation`` is the one
-operator that materialises a whole conversation in a row; use it where
-conversations are known to be bounded (a model context, say).
+turns is still processed by many tasks. ``collect_conversation`` gives the
+message array of conversations up to a stated number of turns; longer ones stay
+in long form.
 """
 
 from __future__ import annotations
@@ -15,14 +15,17 @@ from pyspark.sql import functions as F
 
 from corvid.functions import chat as C
 from corvid.functions.text import fingerprint, is_blank, py_strip, tokenize_words
-from corvid.operators.prefix import running_sum
+from corvid.operators.prefix import row_number, running_sum
+from corvid.operators.vocab import encode_ids
 
 KEYS = ["conv_id"]
 
 
-def collect_conversation(turns: DataFrame) -> DataFrame:
-    """``(conv_id, messages array<struct<turn,role,text>>)`` in turn order."""
-    return turns.groupBy("conv_id").agg(
+def collect_conversation(turns: DataFrame, max_turns: int) -> DataFrame:
+    """``(conv_id, part, messages array<struct<turn,role,text>>)`` in turn
+    order: the message array, in parts of ``max_turns`` turn numbers, so that a
+    row is bounded and no turn is left out. A usual conversation is part 0."""
+    return turns.groupBy("conv_id", F.floor(F.col("turn") / max_turns).cast("bigint").alias("part")).agg(
         F.array_sort(F.collect_list(F.struct("turn", "role", "text"))).alias("messages"))
 
 
@@ -44,14 +47,21 @@ def conversation_summary(turns: DataFrame) -> DataFrame:
         F.sum("msg_fp").cast("bigint").alias("conv_fp"))
 
 
-def render_segments(turns: DataFrame) -> DataFrame:
+def render_segments(turns: DataFrame, template: C.Template = C.TEMPLATE,
+                    ask: bool = False) -> DataFrame:
     """X9 in long form: each turn's rendered piece and its character offset in
-    the whole rendering (``BOS`` first). Concatenating ``segment`` in turn
-    order gives the conversation text."""
-    seg = turns.withColumn("segment", C.render_segment(F.col("role"), F.col("text"))) \
-               .withColumn("seg_len", F.length("segment").cast("bigint"))
+    the whole rendering (the template's ``bos`` first). Concatenating
+    ``segment`` in turn order gives the conversation text. With ``ask`` each
+    conversation ends with the open assistant header, as a turn of its own."""
+    seg = turns.select("conv_id", "turn", "role",
+                       C.render_segment(F.col("role"), F.col("text"), template).alias("segment"))
+    if ask:
+        seg = seg.unionByName(turns.groupBy("conv_id").agg(F.max("turn").alias("_last")).select(
+            "conv_id", (F.col("_last") + 1).alias("turn"), F.lit("assistant").alias("role"),
+            C.generation_prompt(template).alias("segment")))
+    seg = seg.withColumn("seg_len", F.length("segment").cast("bigint"))
     out = running_sum(seg, KEYS, "turn", {"_before": F.col("seg_len")}, inclusive=False)
-    return out.withColumn("seg_start", (F.col("_before") + F.lit(len(C.BOS))).cast("bigint")) \
+    return out.withColumn("seg_start", (F.col("_before") + F.lit(len(template.bos))).cast("bigint")) \
               .drop("_before")
 
 
@@ -109,23 +119,50 @@ def segment_token_counts(turns: DataFrame) -> DataFrame:
     return run.withColumn("tok_start", F.col("_before") + F.lit(1)).drop("_before")
 
 
-def assistant_mask_counts(turns: DataFrame, max_len: int, mask: str = "assistant") -> DataFrame:
-    """Tokens trained on per conversation, whole and within ``max_len``.
+HEADER_TOKENS = 3
 
-    ``mask="assistant"``: only assistant content and end tags count (headers
-    and other roles are masked); ``mask="none"``: every token counts.
-    """
+
+def token_rows(turns: DataFrame) -> DataFrame:
+    """X10 in long form: ``(conv_id, pos, turn, token, mask)`` of the whole token
+    sequence. ``mask`` is 1 for what is trained on: assistant content and end
+    tags; headers, other roles and the BOS at position 0 (turn NULL) are 0.
+    Nothing is collected, so a conversation of any length is many rows."""
     t = segment_token_counts(turns)
-    start = F.col("tok_start") + (F.lit(3) if mask == "assistant" else F.lit(0))
-    end = F.col("tok_start") + F.col("n_seg_tokens")
-    on = (F.col("role") == "assistant") if mask == "assistant" else F.lit(True)
-    trained = F.when(on, end - start).otherwise(F.lit(0))
-    trained_cut = F.when(on, F.greatest(F.lit(0), F.least(end, F.lit(max_len)) - start)) \
-        .otherwise(F.lit(0))
-    return t.groupBy("conv_id").agg(
-        (F.sum("n_seg_tokens") + F.lit(1)).cast("bigint").alias("n_tokens"),
-        F.sum(trained).cast("bigint").alias("n_trained"),
-        F.sum(trained_cut).cast("bigint").alias("n_trained_cut"))
+    seg = t.select("conv_id", "turn", "role", "tok_start", F.posexplode(
+        C.segment_tokens(F.col("role"), F.col("text"))).alias("i", "token"))
+    trained = (F.col("role") == "assistant") & (F.col("i") >= HEADER_TOKENS)
+    rows = seg.select("conv_id", (F.col("tok_start") + F.col("i")).cast("bigint").alias("pos"), "turn", "token",
+                      trained.cast("int").alias("mask"))
+    bos = turns.select("conv_id").distinct().select(
+        "conv_id", F.lit(0).cast("bigint").alias("pos"),
+        F.lit(None).cast(dict(turns.dtypes)["turn"]).alias("turn"), F.lit(C.BOS).alias("token"), F.lit(0).alias("mask"))
+    return rows.unionByName(bos)
+
+
+def pad_batches(rows: DataFrame, vocab: DataFrame, max_len: int, size: int, accumulate: int) -> DataFrame:
+    """``token_rows`` -> sequences of at most ``max_len`` ids, in micro-batches
+    of ``size`` padded on the right to the widest of the batch.
+
+    ``input_ids`` (padded with the end tag's id), ``attention_mask``, ``labels``
+    (the id where trained on, else -100), and the optimizer ``step_id``. Only the
+    first ``max_len`` positions of a conversation meet in one row.
+    """
+    pad = vocab.filter(F.col("token") == (C.PAD_TOKEN or C.EOS_TOKEN)).select(F.col("token_id").alias("_pad"))
+    ids = encode_ids(rows.filter(F.col("pos") < max_len), vocab)
+    seqs = ids.groupBy("conv_id").agg(F.array_sort(F.collect_list(F.struct("pos", "token_id", "mask"))).alias("_s"))
+    seqs = seqs.withColumn("seq_len", F.size("_s").cast("bigint"))
+    numbered = row_number(seqs, [], "conv_id", "_rn").withColumn(
+        "micro_batch", F.floor((F.col("_rn") - 1) / size).cast("bigint"))
+    widest = numbered.groupBy("micro_batch").agg(F.max("seq_len").alias("padded_len"))
+    n_pad = (F.col("padded_len") - F.col("seq_len")).cast("int")
+    wide = numbered.join(widest, "micro_batch").crossJoin(F.broadcast(pad))      # one row
+    return wide.select(
+        "conv_id", "micro_batch", "seq_len", "padded_len", n_pad.cast("bigint").alias("n_pad"),
+        F.floor(F.col("micro_batch") / accumulate).cast("bigint").alias("step_id"),
+        F.concat(F.transform("_s", lambda x: x["token_id"]), F.array_repeat(F.col("_pad"), n_pad)).alias("input_ids"),
+        F.concat(F.transform("_s", lambda x: F.lit(1)), F.array_repeat(F.lit(0), n_pad)).alias("attention_mask"),
+        F.concat(F.transform("_s", lambda x: F.when(x["mask"] == 1, x["token_id"]).otherwise(F.lit(-100))),
+                 F.array_repeat(F.lit(-100), n_pad)).alias("labels"))
 
 
 def next_token_pairs(df: DataFrame, id_col: str, tokens_col: str) -> DataFrame:
@@ -143,22 +180,18 @@ def next_token_topk(pairs: DataFrame, k: int) -> DataFrame:
     """K2: followers of each token with their share, best ``k`` kept (ties by
     token).
 
-    One pass: grouping sets ``(token, next_token)`` and ``(token)`` yield the
-    pair counts and each token's total together. In a ranking window per token the total row sorts
-    first, so ``row_number <= k + 1`` plans as a group limit applied before the
-    shuffle (a token with very many followers sends at most ``k + 1`` rows per
-    partition); the share is then read from that small table.
+    Pairs are counted once, before anything else moves. Each token's total is a
+    sum over that table; the ranking plans as a group limit before its shuffle
+    (a token with very many followers sends at most ``k`` rows per partition),
+    and the totals join only the kept rows.
     """
     from pyspark.sql import Window
-    roll = (pairs.groupingSets([["token", "next_token"], ["token"]], "token", "next_token")
-            .agg(F.count(F.lit(1)).alias("cnt"), F.grouping_id().alias("_g")))
-    w = Window.partitionBy("token").orderBy(F.desc("_g"), F.desc("cnt"), F.asc("next_token"))
-    top = roll.withColumn("_rn", F.row_number().over(w)).filter(F.col("_rn") <= k + 1)
-    total = F.max(F.when(F.col("_g") == 1, F.col("cnt"))).over(Window.partitionBy("token"))
-    return (top.withColumn("_total", total).filter(F.col("_g") == 0)
-            .select("token", "next_token", "cnt",
-                    F.round(F.col("cnt") / F.col("_total"), 6).alias("share"),
-                    (F.col("_rn") - 1).cast("int").alias("rank")))
+    counts = pairs.groupBy("token", "next_token").agg(F.count(F.lit(1)).alias("cnt"))
+    totals = counts.groupBy("token").agg(F.sum("cnt").alias("_total"))
+    w = Window.partitionBy("token").orderBy(F.desc("cnt"), F.asc("next_token"))
+    top = counts.withColumn("rank", F.row_number().over(w)).filter(F.col("rank") <= k)
+    return top.join(totals, "token").select(
+        "token", "next_token", "cnt", F.round(F.col("cnt") / F.col("_total"), 6).alias("share"), "rank")
 
 
 def causal_context(tokens: DataFrame, id_col: str, pos_col: str = "pos",

@@ -13,21 +13,39 @@ from pyspark.sql import functions as F
 from corvid.functions.text import MODEL_TOKEN
 from corvid.operators import metrics
 
-NUM_FEATURES = 1 << 18
+NUM_FEATURES = 1 << 14
+WEIGHT_COL = "class_weight"
 
 
-def text_classifier(reg_param: float = 0.01, max_iter: int = 50, text_col: str = "text",
-                    label_col: str = "label") -> Pipeline:
-    """M1: words -> hashed term frequencies -> IDF -> L2-regularised logistic
-    regression (``regParam`` plays the part of weight decay)."""
-    return Pipeline(stages=[
+def text_features(text_col: str = "text") -> list:
+    """Words -> hashed term frequencies -> IDF."""
+    return [
         RegexTokenizer(inputCol=text_col, outputCol="words", pattern=MODEL_TOKEN, gaps=False,
                        toLowercase=True, minTokenLength=1),
         HashingTF(inputCol="words", outputCol="tf", numFeatures=NUM_FEATURES),
         IDF(inputCol="tf", outputCol="features"),
-        LogisticRegression(featuresCol="features", labelCol=label_col, regParam=reg_param,
-                           elasticNetParam=0.0, maxIter=max_iter),
-    ])
+    ]
+
+
+def sentiment_head(reg_param: float = 0.01, max_iter: int = 50, label_col: str = "label") -> LogisticRegression:
+    """L2-regularised logistic regression (``regParam`` plays the part of weight
+    decay) on rows weighted by class, so that the rare class counts as much."""
+    return LogisticRegression(featuresCol="features", labelCol=label_col, weightCol=WEIGHT_COL,
+                              regParam=reg_param, elasticNetParam=0.0, maxIter=max_iter)
+
+
+def text_classifier(reg_param: float = 0.01, max_iter: int = 50, text_col: str = "text",
+                    label_col: str = "label") -> Pipeline:
+    """M1: features and head as one pipeline; fit it on ``class_weighted`` rows."""
+    return Pipeline(stages=[*text_features(text_col), sentiment_head(reg_param, max_iter, label_col)])
+
+
+def class_weighted(train: DataFrame, label_col: str = "label") -> DataFrame:
+    """Add the weight ``n / (classes * n of the row's class)``."""
+    counts = train.groupBy(label_col).agg(F.count(F.lit(1)).alias("_c"))
+    whole = counts.agg(F.sum("_c").alias("_n"), F.count(F.lit(1)).alias("_k"))
+    return (train.join(F.broadcast(counts), label_col).crossJoin(F.broadcast(whole))   # a row per class, one row
+            .withColumn(WEIGHT_COL, F.col("_n") / (F.col("_k") * F.col("_c"))).drop("_c", "_n", "_k"))
 
 
 def category_classifier(n: int = 3, reg_param: float = 0.01, text_col: str = "text",
@@ -64,17 +82,24 @@ def evaluate(model: PipelineModel, df: DataFrame, label_col: str = "label",
 
 def select_best(train: DataFrame, valid: DataFrame, reg_params: Sequence[float],
                 label_col: str = "label") -> tuple[DataFrame, PipelineModel]:
-    """M3: fit one model per setting on a fixed split; keep the best on
-    validation accuracy (earliest setting on ties)."""
-    hist = None
-    models = []
-    for i, rp in enumerate(reg_params):
-        m = text_classifier(rp, label_col=label_col).fit(train)
-        models.append(m)
-        r = evaluate(m, valid, label_col).select(
-            F.lit(i).alias("candidate"), F.lit(float(rp)).alias("reg_param"), "accuracy", "f1")
-        hist = r if hist is None else hist.unionByName(r)
-    hist = hist.cache()
+    """M3: one head per setting on a fixed split; keep the best on validation
+    accuracy (earliest setting on ties). Features are fit and computed once."""
+    features = Pipeline(stages=text_features()).fit(train)
+    rows = features.transform(class_weighted(train, label_col)).select(label_col, WEIGHT_COL, "features").persist()
+    check = features.transform(valid).select(label_col, "features").persist()
+    scores, heads = [], []
+    try:
+        for i, rp in enumerate(reg_params):
+            head = sentiment_head(rp, label_col=label_col).fit(rows)
+            heads.append(head)
+            pred = head.transform(check).withColumn("pred", F.col("prediction").cast("int"))
+            r = metrics.binary_metrics(pred, label_col, "pred").first()      # one row
+            scores.append((i, float(rp), r["n"], r["accuracy"], r["f1"]))
+    finally:
+        rows.unpersist()
+        check.unpersist()
+    hist = train.sparkSession.createDataFrame(
+        scores, "candidate int, reg_param double, n bigint, accuracy double, f1 double")
     best = metrics.best_by(hist, "candidate", "accuracy")
-    idx = best.first()["candidate"]  # one row: the winner's index
-    return hist.join(best.select("candidate"), "candidate"), models[idx]
+    idx = best.first()["candidate"]
+    return hist.join(best.select("candidate"), "candidate"), PipelineModel(stages=[*features.stages, heads[idx]])

@@ -5,11 +5,11 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from corvid.functions import chat as C
-from corvid.functions.text import tokenize_words
+from corvid.functions.text import join_ints, tokenize_words
 from corvid.operators import chat as ops
-from corvid.operators.prefix import row_number
+from corvid.operators.vocab import build_vocab
 from corvid.plans import register
-from corvid.plans.common import tok
+from corvid.plans.common import VOCAB_K, tok
 from corvid.sources.tables import load_table
 
 CHAT_MAX_LEN = 512
@@ -77,13 +77,29 @@ def q_chat_collect(spark, sf_dir):
     return ops.conversation_summary(conversations(spark, sf_dir))
 
 
-@register("chat_render", f"""WITH s AS (SELECT conv_id, turn, role, {SEG_SQL} AS segment FROM conversations)
+MAX_TURNS = 64
+
+
+@register("chat_messages", f"""SELECT conv_id, CAST(turn // {MAX_TURNS} AS BIGINT) AS part, count(*) AS n_messages,
+  md5(string_agg(turn || '|' || role || '|' || text, {NL} ORDER BY turn)) AS messages_md5
+FROM conversations GROUP BY ALL""")
+def q_chat_messages(spark, sf_dir):
+    rows = ops.collect_conversation(conversations(spark, sf_dir), MAX_TURNS)
+    line = F.transform("messages", lambda m: F.concat_ws("|", m["turn"].cast("string"), m["role"], m["text"]))
+    return rows.select("conv_id", "part", F.size("messages").cast("bigint").alias("n_messages"),
+                       F.md5(F.array_join(line, "\n")).alias("messages_md5"))
+
+
+@register("chat_render", f"""WITH s AS (
+  SELECT conv_id, turn, role, {SEG_SQL} AS segment FROM conversations
+  UNION ALL SELECT conv_id, max(turn) + 1, 'assistant', '{C.HEADER_START}assistant{C.HEADER_END}' || {NL}
+  FROM conversations GROUP BY conv_id)
 SELECT conv_id, turn, role, segment, CAST(length(segment) AS BIGINT) AS seg_len,
        CAST(coalesce(sum(length(segment)) OVER (PARTITION BY conv_id ORDER BY turn
             ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) + {BOS_LEN} AS BIGINT) AS seg_start
 FROM s""")
 def q_chat_render(spark, sf_dir):
-    return ops.render_segments(conversations(spark, sf_dir)).select(
+    return ops.render_segments(conversations(spark, sf_dir), ask=True).select(
         "conv_id", "turn", "role", "segment", "seg_len", "seg_start")
 
 
@@ -117,45 +133,51 @@ def q_chat_stop(spark, sf_dir):
         "conv_id", "turn", "role", "text")
 
 
-SEG_TOKENS_CTE = f"""st AS (SELECT conv_id, turn, role, 4 + len({tok('text')}) AS n_seg FROM conversations),
-sp AS (SELECT conv_id, turn, role, n_seg,
-              1 + coalesce(sum(n_seg) OVER (PARTITION BY conv_id ORDER BY turn
-                  ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS tok_start FROM st)"""
+CHAT_ROWS_CTE = f"""st AS (SELECT conv_id, turn, role,
+              list_concat(list_concat(['{C.HEADER_START}', role, '{C.HEADER_END}'], {tok('text')}), ['{C.EOT}']) AS toks
+       FROM conversations),
+sp AS (SELECT *, 1 + coalesce(sum(len(toks)) OVER (PARTITION BY conv_id ORDER BY turn
+                  ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS tok_start FROM st),
+ex AS (SELECT conv_id, turn, role, tok_start, unnest(toks) AS token, unnest(range(len(toks))) AS i FROM sp),
+cr AS (SELECT conv_id, CAST(tok_start + i AS BIGINT) AS pos, turn, token,
+              CASE WHEN role = 'assistant' AND i >= {ops.HEADER_TOKENS} THEN 1 ELSE 0 END AS mask FROM ex
+       UNION ALL SELECT DISTINCT conv_id, 0, NULL, '{C.BOS}', 0 FROM conversations),
+cv AS (SELECT token, CAST(row_number() OVER (ORDER BY cnt DESC, token ASC) + 3 AS INTEGER) AS token_id
+       FROM (SELECT token, count(*) AS cnt FROM cr GROUP BY token ORDER BY cnt DESC, token ASC LIMIT {VOCAB_K})),
+ci AS (SELECT cr.*, coalesce(token_id, 1) AS token_id FROM cr LEFT JOIN cv USING (token))"""
 
 
-@register("assistant_mask", f"""WITH {SEG_TOKENS_CTE}
-SELECT conv_id, CAST(sum(n_seg) + 1 AS BIGINT) AS n_tokens,
-       CAST(sum(CASE WHEN role = 'assistant' THEN n_seg - 3 ELSE 0 END) AS BIGINT) AS n_trained,
-       CAST(sum(CASE WHEN role = 'assistant'
-                     THEN greatest(0, least(tok_start + n_seg, {CHAT_MAX_LEN}) - (tok_start + 3))
-                     ELSE 0 END) AS BIGINT) AS n_trained_cut
-FROM sp GROUP BY conv_id""")
-def q_assistant_mask(spark, sf_dir):
-    return ops.assistant_mask_counts(conversations(spark, sf_dir), CHAT_MAX_LEN)
+def chat_tokens(spark, sf_dir):
+    """Token rows of all conversations and the vocabulary over them."""
+    rows = ops.token_rows(conversations(spark, sf_dir))
+    return rows, build_vocab(spark, rows, VOCAB_K)
 
 
-@register("pad_batch", f"""WITH {SEG_TOKENS_CTE},
-c AS (SELECT conv_id, least(sum(n_seg) + 1, {CHAT_MAX_LEN}) AS seq_len FROM st GROUP BY conv_id),
-b AS (SELECT conv_id, seq_len, (row_number() OVER (ORDER BY conv_id) - 1) // {MICRO_BATCH} AS micro_batch
-      FROM c)
-SELECT conv_id, CAST(micro_batch AS BIGINT) AS micro_batch, CAST(seq_len AS BIGINT) AS seq_len,
-       CAST(max(seq_len) OVER (PARTITION BY micro_batch) AS BIGINT) AS padded_len,
-       CAST(max(seq_len) OVER (PARTITION BY micro_batch) - seq_len AS BIGINT) AS n_pad,
+@register("assistant_mask", f"""WITH {CHAT_ROWS_CTE}
+SELECT conv_id, pos, turn, token_id, CAST(mask AS INTEGER) AS mask FROM ci""")
+def q_assistant_mask(spark, sf_dir):
+    rows, vocab = chat_tokens(spark, sf_dir)
+    return ops.encode_ids(rows, vocab).select("conv_id", "pos", "turn", "token_id", "mask")
+
+
+@register("pad_batch", f"""WITH {CHAT_ROWS_CTE},
+s AS (SELECT conv_id, count(*) AS seq_len, list(token_id ORDER BY pos) AS ids,
+             list(CASE WHEN mask = 1 THEN token_id ELSE -100 END ORDER BY pos) AS labels
+      FROM ci WHERE pos < {CHAT_MAX_LEN} GROUP BY conv_id),
+b AS (SELECT *, (row_number() OVER (ORDER BY conv_id) - 1) // {MICRO_BATCH} AS micro_batch FROM s),
+w AS (SELECT *, max(seq_len) OVER (PARTITION BY micro_batch) AS padded_len,
+             (SELECT token_id FROM cv WHERE token = '{C.EOS_TOKEN}') AS pad FROM b)
+SELECT conv_id, CAST(micro_batch AS BIGINT) AS micro_batch, seq_len, padded_len, padded_len - seq_len AS n_pad,
        CAST(micro_batch // {ACCUMULATE} AS BIGINT) AS step_id,
-       '{C.EOS_TOKEN}' AS pad_token
-FROM b""")
+       array_to_string(list_resize(ids, padded_len, pad), ' ') AS input_ids,
+       array_to_string(list_resize(list_transform(ids, lambda x: 1), padded_len, 0), ' ') AS attention_mask,
+       array_to_string(list_resize(labels, padded_len, -100), ' ') AS labels
+FROM w""")
 def q_pad_batch(spark, sf_dir):
-    counts = ops.assistant_mask_counts(conversations(spark, sf_dir), CHAT_MAX_LEN)
-    seqs = counts.select("conv_id", F.least("n_tokens", F.lit(CHAT_MAX_LEN)).cast("bigint")
-                         .alias("seq_len"))
-    numbered = row_number(seqs, [], "conv_id", "_rn").withColumn(
-        "micro_batch", F.floor((F.col("_rn") - 1) / MICRO_BATCH).cast("bigint"))
-    widest = numbered.groupBy("micro_batch").agg(F.max("seq_len").alias("padded_len"))
-    return numbered.join(widest, "micro_batch").select(
-        "conv_id", "micro_batch", "seq_len", "padded_len",
-        (F.col("padded_len") - F.col("seq_len")).cast("bigint").alias("n_pad"),
-        F.floor(F.col("micro_batch") / ACCUMULATE).cast("bigint").alias("step_id"),
-        C.pad_token().alias("pad_token"))
+    rows, vocab = chat_tokens(spark, sf_dir)
+    out = ops.pad_batches(rows, vocab, CHAT_MAX_LEN, MICRO_BATCH, ACCUMULATE)
+    return out.select("conv_id", "micro_batch", "seq_len", "padded_len", "n_pad", "step_id",
+                      *[join_ints(F.col(c)).alias(c) for c in ("input_ids", "attention_mask", "labels")])
 
 
 @register("decode_reply", f"""SELECT conv_id, turn, array_to_string({tok('text')}, ' ') AS reply

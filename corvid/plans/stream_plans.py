@@ -15,32 +15,31 @@ N_CHUNKS = 4
 
 @register("stream_score")
 def q_stream_score(spark, sf_dir):
-    docs = load_table(spark, sf_dir, "documents")
     base = fresh_dir(spark, "stream-score")
-    weights = f"{base}/model"
-    model(spark, sf_dir).write.parquet(weights)  # S5: the bounded model table
-    # one staging write; the file source then cuts it into micro-batches
-    src = f"{base}/in"
-    docs.write.parquet(src)
-    try:
-        n_files = max(1, docs.rdd.getNumPartitions() // N_CHUNKS)
-    except Exception:  # noqa: BLE001
-        n_files = 1
-    S.score_stream(spark, src, docs.schema, weights, f"{base}/out", f"{base}/ckpt",
-                   files_per_trigger=n_files)
+    model(spark, sf_dir).write.parquet(f"{base}/model")  # S5: the bounded model table
+    # the table's own files are the arrivals: nothing is copied
+    schema = load_table(spark, sf_dir, "documents").select("doc_id", "text").schema
+    # (as a pattern: a file source takes one file only so)
+    S.score_stream(spark, f"{sf_dir.rstrip('/')}/documents.parque[t]", schema, f"{base}/model",
+                   f"{base}/out", f"{base}/ckpt", files_per_trigger=N_CHUNKS)
     return spark.read.parquet(f"{base}/out").drop("batch_id")
 
 
-@register("stream_chat")
-def q_stream_chat(spark, sf_dir):
+def chat_arrivals(spark, sf_dir, order):
+    """The kept turns after the stream has seen the chunks in ``order``."""
     from corvid.plans.chat_plans import conversations, terminal_inputs
     inputs = terminal_inputs(conversations(spark, sf_dir))
     base = fresh_dir(spark, "stream-chat")
-    # Adversarial arrival: later turns first, a conversation spread over batches.
     chunk = F.pmod(F.col("turn"), F.lit(N_CHUNKS))
-    src = S.stage_files(inputs, f"{base}/in", chunk, N_CHUNKS, order=[3, 1, 2, 0])
-    S.chat_stream(spark, src, inputs.schema, f"{base}/out", f"{base}/ckpt")
-    return S.chat_state(spark, f"{base}/out").select("conv_id", "turn", "role", "text")
+    src = S.stage_files(inputs, f"{base}/in", chunk, N_CHUNKS, order=order)
+    S.chat_stream(spark, src, inputs.schema, f"{base}/out", f"{base}/ckpt", files_per_trigger=1)
+    return S.chat_state(spark, f"{base}/out", inputs.schema).select("conv_id", "turn", "role", "text")
+
+
+@register("stream_chat")
+def q_stream_chat(spark, sf_dir):
+    # Adversarial arrival: later turns first, a conversation over several batches.
+    return chat_arrivals(spark, sf_dir, [3, 1, 2, 0])
 
 
 @register("stream_bank")
@@ -48,10 +47,9 @@ def q_stream_bank(spark, sf_dir):
     from corvid.plans.bank_plans import bank_files
     root = bank_files(spark, sf_dir)
     base = fresh_dir(spark, "stream-bank")
-    S.bank_stream(spark, root, f"{base}/out", f"{base}/ckpt")
-    valid = spark.read.parquet(f"{base}/out/valid")
-    rejected = spark.read.parquet(f"{base}/out/rejected")
-    return valid.unionByName(rejected).drop("batch_id", "file")
+    S.bank_stream(spark, root, f"{base}/out", f"{base}/ckpt", files_per_trigger=N_CHUNKS)
+    return spark.read.parquet(f"{base}/out").drop(
+        "batch_id", "valid", "file", "id_raw", "date_raw", "amount_raw")
 
 
 def _attach_oracles():

@@ -19,7 +19,8 @@ from corvid.functions import chat as C
 from corvid.operators import bank as B
 from corvid.operators import chat as chat_ops
 from corvid.operators.score import score_texts
-from corvid.sources.bank_csv import PROFILES, BankProfile, canonical_columns, profile_schema
+from corvid.sources.bank_csv import (CORRUPT, PROFILES, BankProfile, canonical_columns,
+                                     profile_schema)
 
 
 def stage_files(df: DataFrame, path: str, chunk_col, n_chunks: int,
@@ -39,8 +40,9 @@ def _run(query) -> None:
 
 
 def score_stream(spark: SparkSession, source: str, schema, weights_path: str, sink: str,
-                 checkpoint: str, files_per_trigger: int = 8) -> None:
-    """Documents arriving as files -> label and score per document."""
+                 checkpoint: str, files_per_trigger: int = 1000) -> None:
+    """Documents arriving as files under ``source`` (a folder, glob or file)
+    -> label and score per document."""
     stream = (spark.readStream.schema(schema).option("maxFilesPerTrigger", files_per_trigger)
               .parquet(source))
 
@@ -53,57 +55,63 @@ def score_stream(spark: SparkSession, source: str, schema, weights_path: str, si
          .trigger(availableNow=True).start())
 
 
-def chat_stream(spark: SparkSession, source: str, schema, sink: str, checkpoint: str) -> None:
+QUITS = "conv_id bigint, quit_turn bigint"
+
+
+def chat_stream(spark: SparkSession, source: str, schema, sink: str, checkpoint: str,
+                files_per_trigger: int = 1000) -> None:
     """Turns arriving in any order and split across micro-batches.
 
-    Per micro-batch: the stateless blank rule keeps turns; the first user
-    "quit" per conversation seen in the batch is recorded. The conversation
-    state is the pair of sinks; ``chat_state`` reads the current conversations.
+    Two queries on the source. One applies the stateless blank rule and appends
+    the turns. The other keeps the state: the first user "quit" of each
+    conversation, as a streaming aggregation in Spark's state store; a
+    micro-batch writes only the conversations whose state it changed.
+    ``chat_state`` reads the current conversations.
     """
-    stream = spark.readStream.schema(schema).option("maxFilesPerTrigger", 1).parquet(source)
+    stream = spark.readStream.schema(schema).option("maxFilesPerTrigger", files_per_trigger).parquet(source)
+    # an empty state to start from, so that reading never depends on arrivals
+    spark.createDataFrame([], QUITS).write.mode("ignore").parquet(f"{sink}/quits/batch_id=-1")
 
-    def each(batch: DataFrame, batch_id: int) -> None:
-        chat_ops.drop_blank(batch).write.mode("overwrite") \
-            .parquet(f"{sink}/turns/batch_id={batch_id}")
-        quit_turn = F.when((F.col("role") == "user") & C.is_quit(F.col("text")), F.col("turn"))
-        (batch.groupBy("conv_id").agg(F.min(quit_turn).alias("quit_turn"))
-         .filter(F.col("quit_turn").isNotNull())
-         .write.mode("overwrite").parquet(f"{sink}/quits/batch_id={batch_id}"))
+    def turns(batch: DataFrame, batch_id: int) -> None:
+        chat_ops.drop_blank(batch).write.mode("overwrite").parquet(f"{sink}/turns/batch_id={batch_id}")
 
-    _run(stream.writeStream.foreachBatch(each).option("checkpointLocation", checkpoint)
-         .trigger(availableNow=True).start())
+    def quits(batch: DataFrame, batch_id: int) -> None:
+        batch.write.mode("overwrite").parquet(f"{sink}/quits/batch_id={batch_id}")
+
+    first = (stream.filter((F.col("role") == "user") & C.is_quit(F.col("text")))
+             .groupBy("conv_id").agg(F.min(F.col("turn").cast("bigint")).alias("quit_turn")))
+    for frame, each, mode, name in ((stream, turns, "append", "turns"), (first, quits, "update", "quits")):
+        _run(frame.writeStream.outputMode(mode).foreachBatch(each)
+             .option("checkpointLocation", f"{checkpoint}/{name}").trigger(availableNow=True).start())
 
 
-def chat_state(spark: SparkSession, sink: str) -> DataFrame:
+def chat_state(spark: SparkSession, sink: str, schema) -> DataFrame:
     """Kept turns of every conversation so far: turns before its first quit."""
-    turns = spark.read.parquet(f"{sink}/turns").drop("batch_id")
-    try:
-        quits = spark.read.parquet(f"{sink}/quits").groupBy("conv_id").agg(
-            F.min("quit_turn").alias("_q"))
-    except Exception:  # noqa: BLE001 - no quit seen yet: nothing cut
-        return turns
+    turns = spark.read.schema(schema).parquet(f"{sink}/turns")
+    quits = spark.read.schema(QUITS).parquet(f"{sink}/quits").groupBy("conv_id").agg(
+        F.min("quit_turn").alias("_q"))
     return (turns.join(quits, "conv_id", "left")
             .filter(F.col("_q").isNull() | (F.col("turn") < F.col("_q"))).drop("_q"))
 
 
 def bank_stream(spark: SparkSession, root: str, sink: str, checkpoint: str,
-                profiles: Sequence[BankProfile] = PROFILES) -> None:
-    """CSV files dropped per bank folder -> normalized rows; valid and
-    rejected rows go to two sinks."""
+                profiles: Sequence[BankProfile] = PROFILES, files_per_trigger: int = 1000) -> None:
+    """CSV files dropped per bank folder -> normalized rows, each batch
+    normalized and written once; ``valid=true`` and ``valid=false`` folders
+    separate valid and rejected rows."""
     streams = None
     for p in profiles:
-        raw = (spark.readStream.schema(profile_schema(p, with_year=True))
-               .option("sep", p.sep).option("encoding", p.encoding)
-               .option("header", str(p.header).lower()).option("maxFilesPerTrigger", 2)
+        raw = (spark.readStream.schema(profile_schema(p))
+               .option("sep", p.sep).option("encoding", p.encoding).option("columnNameOfCorruptRecord", CORRUPT)
+               .option("header", str(p.header).lower()).option("maxFilesPerTrigger", files_per_trigger)
                .csv(f"{root}/bank={p.bank}"))
         df = raw.select(*canonical_columns(p))
         streams = df if streams is None else streams.unionByName(df)
 
     def each(batch: DataFrame, batch_id: int) -> None:
         norm = B.normalize_transactions(batch.sparkSession, batch)
-        valid, rejected = B.split_valid(norm)
-        valid.write.mode("overwrite").parquet(f"{sink}/valid/batch_id={batch_id}")
-        rejected.write.mode("overwrite").parquet(f"{sink}/rejected/batch_id={batch_id}")
+        (norm.withColumn("valid", F.col("reason").isNull()).write.mode("overwrite")
+         .partitionBy("valid").parquet(f"{sink}/batch_id={batch_id}"))
 
     _run(streams.writeStream.foreachBatch(each).option("checkpointLocation", checkpoint)
          .trigger(availableNow=True).start())
