@@ -15,11 +15,14 @@ their weighted Jaccard similarity.
 
 *Banding.* ``BANDS`` bands of ``ROWS`` coordinates: a pair at 0.8 shares no band
 with probability 3e-6. Copies of one text are one node. In a bucket every
-member meets the bucket's smallest member (a star, not all pairs); texts of the
-pairs whose signatures agree in ``AGREE`` coordinates are compared exactly.
-Buckets that still hold several components are then searched for links
-between them in bounded blocks of signatures, so that a link that does not
-involve the smallest member is found too; the candidates are checked exactly.
+member meets the bucket's head (a star, not all pairs): the member that shares
+most buckets with others, which is the text nearest the middle of its group.
+Texts of the pairs whose signatures agree in ``AGREE`` coordinates are compared
+exactly. Buckets that still hold several components are then searched for
+links between them in bounded blocks of signatures, so that a link that does
+not involve the head is found too. Only these texts get a longer signature of
+``FINE`` coordinates, which tells pairs near the threshold apart; the
+candidates that are left are checked exactly.
 
 *Classes.* Connected components by alternating large-star and small-star steps
 on the links, in DataFrames.
@@ -50,9 +53,12 @@ BANDS, ROWS = 24, 4
 T = BANDS * ROWS
 #: A pair at 0.8 agrees in fewer coordinates with probability 1e-5.
 AGREE = 60
-BLOCK = 512
+#: Coordinates of the longer signature, and the agreement that a pair at 0.8
+#: misses with probability 1e-5 while most pairs at 0.7 do.
+FINE, FINE_AGREE = 1024, 764
+BLOCK = 256
 #: Bytes of text signed at once, and pairs compared at once, in a task.
-SIGN_CHUNK, PAIR_CHUNK = 1 << 18, 128
+SIGN_CHUNK, FINE_CHUNK, PAIR_CHUNK = 1 << 18, 1 << 16, 128
 #: Upper ends of the rank strips: 2^-12, 2^-10, ..., 2^-4, 2^-3, 2^-2, ...
 RANK_ENDS = [2.0 ** e for e in (-12, -10, -8, -6, -4)] + [2.0 ** e for e in range(-3, 60)]
 U = np.uint64
@@ -211,39 +217,60 @@ def _agreeing(pairs: DataFrame, nodes: DataFrame) -> DataFrame:
     return pairs.join(sb, "b").join(sa, "a").select("a", "b", "sa", "sb").mapInArrow(run, "a binary, b binary")
 
 
+def _fine(batches):
+    """(node, text) -> (node, fine): a longer signature, one byte a coordinate."""
+    for batch in batches:
+        data, off = text_buffer(batch.column(1))
+        for lo, hi, d, o in chunks(data, off, FINE_CHUNK):
+            ids = dart_minhash(*shingles(d, o), hi - lo, FINE).astype(np.uint8)
+            yield pa.RecordBatch.from_arrays([batch.column(0).slice(lo, hi - lo),
+                                              pa.array([s.tobytes() for s in ids], pa.binary())], names=["node", "fine"])
+
+
 def _cross_block(batches):
-    """Block pairs -> pairs of different components with agreeing signatures."""
+    """Block pairs -> pairs of different components whose signatures agree.
+
+    A pair is looked at in the first band that it shares, and nowhere else."""
     for batch in batches:
         for p in batch.to_pylist():
-            a, b = p["left"], p["right"]
+            a, b, band = p["left"], p["right"], p["band"]
             x, y = (np.frombuffer(b"".join(r["sig"] for r in s), np.uint16).reshape(-1, T) for s in (a, b))
+            fx, fy = (np.frombuffer(b"".join(r["fine"] for r in s), np.uint8).reshape(-1, FINE) for s in (a, b))
             la, lb = (np.array([r["root"] for r in s], dtype="S16") for s in (a, b))
-            out = []
+            out = set()
             for i in range(len(a)):
-                near = np.flatnonzero(((y == x[i]).sum(1) >= AGREE) & (lb != la[i]))
-                out += [tuple(sorted((a[i]["node"], b[j]["node"]))) for j in near]
-            out = sorted(set(out))
+                same = y == x[i]
+                near = np.flatnonzero((same.sum(1) >= AGREE) & (lb != la[i]))
+                if not len(near):
+                    continue
+                first = same[near].reshape(-1, BANDS, ROWS).all(2).argmax(1)
+                near = near[first == band]
+                near = near[(fy[near] == fx[i]).sum(1) >= FINE_AGREE]
+                out |= {tuple(sorted((a[i]["node"], b[j]["node"]))) for j in near}
             yield pa.RecordBatch.from_arrays([pa.array([q[0] for q in out], pa.binary()),
                                               pa.array([q[1] for q in out], pa.binary())], names=["a", "b"])
 
 
-def _cross_pairs(buckets: DataFrame, sizes: DataFrame, nodes: DataFrame, roots: DataFrame) -> DataFrame:
-    """Candidate links between components that meet in a bucket."""
-    members = (buckets.join(sizes, "key").join(roots, "node", "left")
-               .withColumn("root", F.coalesce("root", "node")))
-    members = stored(members, "members")
+def _mixed(members: DataFrame, roots: DataFrame) -> DataFrame:
+    """The members, with their component, of buckets that hold several."""
+    members = stored(members.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node")), "rooted")
     mixed = stored(members.groupBy("key").agg(F.min("root").alias("lo"), F.max("root").alias("hi"))
                    .filter("lo <> hi").select("key"), "mixed-buckets")
-    blocks = (members.join(mixed, "key").join(nodes.select("node", "sig"), "node")
+    return stored(members.join(mixed, "key"), "mixed-members")
+
+
+def _cross_pairs(mixed: DataFrame, nodes: DataFrame, fine: DataFrame) -> DataFrame:
+    """Candidate links between components that meet in a bucket."""
+    blocks = (mixed.join(nodes.select("node", "sig"), "node").join(fine, "node")
               .withColumn("nb", F.ceil(F.col("n") / BLOCK))
               .withColumn("blk", F.pmod(F.xxhash64("node"), F.col("nb")))
-              .groupBy("key", "nb", "blk")          # about BLOCK members by the hash
-              .agg(F.collect_list(F.struct("node", "root", "sig")).alias("rows")))
+              .groupBy("key", "band", "nb", "blk")          # about BLOCK members by the hash
+              .agg(F.collect_list(F.struct("node", "root", "sig", "fine")).alias("rows")))
     blocks = stored(blocks, "near-blocks")
-    left = (blocks.select("key", F.col("blk").alias("i"), F.col("rows").alias("left"),
+    left = (blocks.select("key", "band", F.col("blk").alias("i"), F.col("rows").alias("left"),
                           F.explode(F.sequence("blk", F.col("nb") - 1)).alias("j")))
     right = blocks.select("key", F.col("blk").alias("j"), F.col("rows").alias("right"))
-    return left.join(right, ["key", "j"]).select("left", "right").mapInArrow(
+    return left.join(right, ["key", "j"]).select("left", "right", "band").mapInArrow(
         _cross_block, "a binary, b binary").distinct()
 
 
@@ -281,25 +308,32 @@ def near_dup_classes(docs: DataFrame) -> DataFrame:
     signed = stored(docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text")).mapInArrow(_sign, schema), "signed")
     nodes = stored(signed.groupBy("node").agg(F.min("doc_id").alias("first_id"), F.count(F.lit(1)).alias("copies"),
                                               F.first("sig").alias("sig"), F.first("bands").alias("bands")), "nodes")
-    buckets = nodes.select("node", F.explode("bands").alias("key"))
-    sizes = stored(buckets.groupBy("key").agg(F.min("node").alias("least"), F.count(F.lit(1)).alias("n"))
-                   .filter("n > 1"), "buckets")
-    star = (buckets.join(sizes, "key").filter(F.col("node") != F.col("least"))
-            .select(F.col("least").alias("a"), F.col("node").alias("b")).distinct())
+    buckets = nodes.select("node", F.posexplode("bands").alias("band", "key"))
+    sizes = stored(buckets.groupBy("key").agg(F.count(F.lit(1)).alias("n")).filter("n > 1"), "buckets")
+    members = stored(buckets.join(sizes, "key"), "members")
+    # the more company a text has over all its buckets, the nearer it is to the middle of its group
+    rank = stored(members.groupBy("node").agg(F.sum("n").alias("company")), "company")
+    heads = stored(members.join(rank, "node").groupBy("key").agg(F.max_by(
+        "node", F.struct("company", "node")).alias("head")), "heads")
+    star = (members.join(heads, "key").filter(F.col("node") != F.col("head"))
+            .select(F.least("head", "node").alias("a"), F.greatest("head", "node").alias("b")).distinct())
     star = stored(_agreeing(star, nodes), "star-pairs")
 
-    def texts_of(pairs):
-        named = pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct()
+    def texts_of(named):
         return stored(docs.select(_text_key(F.col("text")).alias("node"), F.coalesce("text", F.lit("")).alias("text"))
                       .join(named, "node", "left_semi").groupBy("node").agg(F.first("text").alias("text")), "near-texts")
 
-    links = stored(_checked(star, texts_of(star)), "star-links")
+    def sides(pairs):
+        return pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct()
+
+    links = stored(_checked(star, texts_of(sides(star))), "star-links")
+    roots = components(links)
+    mixed = _mixed(members, roots)
+    texts = texts_of(mixed.select("node").distinct())
+    fine = stored(texts.mapInArrow(_fine, "node binary, fine binary"), "fine")
+    more = stored(_cross_pairs(mixed, nodes, fine).join(star, ["a", "b"], "left_anti"), "cross-pairs")
+    links = links.unionByName(stored(_checked(more, texts), "cross-links"))
     roots = components(links)
-    more = stored(_cross_pairs(buckets, sizes.select("key", "n"), nodes, roots)
-                  .join(star, ["a", "b"], "left_anti"), "cross-pairs")
-    if not more.isEmpty():
-        links = links.unionByName(stored(_checked(more, texts_of(more)), "cross-links"))
-        roots = components(links)
     classed = (nodes.select("node", "first_id", "copies").join(roots, "node", "left")
                .withColumn("root", F.coalesce("root", "node")))
     keeper = F.min(F.struct(F.col("first_id").isNull().alias("none"), F.col("first_id"), F.col("node")))

@@ -109,14 +109,15 @@ def test_keep_one(spark):
 
 
 def test_cross_search_finds_what_the_star_misses(spark):
-    """Two members of a bucket that are near each other but not near its least."""
+    """Two members of a bucket that are near each other but not near its head."""
     sig = np.zeros((3, neardup.T), np.uint16)
-    sig[0], sig[1], sig[2] = 1, 2, 2
-    nodes = spark.createDataFrame([(bytes([i] * 16), s.tobytes()) for i, s in enumerate(sig)], "node binary, sig binary")
-    buckets = nodes.select("node", F.lit(9).cast("long").alias("key"))
-    sizes = spark.createDataFrame([(9, 3)], "key long, n long")
-    roots = spark.createDataFrame([], "node binary, root binary")
-    got = neardup._cross_pairs(buckets, sizes, nodes, roots).collect()
+    sig[0, 4:], sig[1, 4:], sig[2, 4:] = 1, 2, 2        # all share the first band
+    fine = np.zeros((3, neardup.FINE), np.uint8)
+    rows = [(bytes([i] * 16), 9, 0, 3, bytes([i] * 16)) for i in range(3)]
+    mixed = spark.createDataFrame(rows, "node binary, key long, band int, n long, root binary")
+    nodes = spark.createDataFrame([(r[0], s.tobytes()) for r, s in zip(rows, sig)], "node binary, sig binary")
+    longer = spark.createDataFrame([(r[0], s.tobytes()) for r, s in zip(rows, fine)], "node binary, fine binary")
+    got = neardup._cross_pairs(mixed, nodes, longer).collect()
     assert [(bytes(r.a), bytes(r.b)) for r in got] == [(bytes([1] * 16), bytes([2] * 16))]
 
 
