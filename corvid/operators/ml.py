@@ -6,24 +6,28 @@ from collections.abc import Sequence
 
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import LogisticRegression
-from pyspark.ml.feature import HashingTF, IDF, NGram, RegexTokenizer, StringIndexer
+from pyspark.ml.feature import (HashingTF, IDF, NGram, Normalizer, RegexTokenizer,
+                                StringIndexer)
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from corvid.functions.text import MODEL_TOKEN
 from corvid.operators import metrics
 
-NUM_FEATURES = 1 << 14
+#: Hashed columns; few, so that they can be learned from a few hundred rows.
+NUM_FEATURES = 1 << 10
 WEIGHT_COL = "class_weight"
 
 
 def text_features(text_col: str = "text") -> list:
-    """Words -> hashed term frequencies -> IDF."""
+    """Words and marks -> hashed term frequencies -> IDF -> unit length, so that a
+    long text weighs no more than a short one."""
     return [
         RegexTokenizer(inputCol=text_col, outputCol="words", pattern=MODEL_TOKEN, gaps=False,
                        toLowercase=True, minTokenLength=1),
         HashingTF(inputCol="words", outputCol="tf", numFeatures=NUM_FEATURES),
-        IDF(inputCol="tf", outputCol="features"),
+        IDF(inputCol="tf", outputCol="idf"),
+        Normalizer(inputCol="idf", outputCol="features"),
     ]
 
 

@@ -4,7 +4,7 @@ from pyspark.sql import Row
 from pyspark.sql import functions as F
 
 from corvid.functions import chat as C
-from corvid.functions.bank import normalize_date, parse_amount
+from corvid.functions.bank import format_row, normalize_date, parse_amount
 from corvid.functions.probs import argmax, label_name, softmax
 from corvid.functions.text import encode_fixed, tokenize_words, truncate_tokens
 from corvid.operators import bank as B
@@ -99,6 +99,15 @@ def test_merchant_and_category(spark):
     assert got["PADARIA SÃO JOSÉ"] == ("Padaria São José", "Other")
 
 
+def test_merchant_rules_are_prefixes(spark):
+    rules = [("MERCADO", "Mercado", "Food", 2), ("MERCADOL", "Livre", "Shopping", 1), ("UBER", "Uber", "Transport", 1)]
+    texts = ["MERCADOLIVRE LOJA", "MERCADOX", "UBERX 1", "uber eats", "MERC", "", None]
+    tx = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "i int, description_clean string")
+    for given in (rules, B.pattern_table(spark, rules)):
+        got = [r.matched_pattern for r in B.match_merchant(spark, tx, patterns=given).orderBy("i").collect()]
+        assert got == ["MERCADOL", "MERCADO", "UBER", "UBER", None, None, None]
+
+
 def test_dates(spark):
     df = spark.createDataFrame([("15/Mar", "03-15", "15/03/2024", "31/02/2024", "5/3/2024")],
                                "a string, b string, c string, d string, e string")
@@ -126,8 +135,8 @@ def test_prompt_and_pair(spark):
     row = spark.createDataFrame([Row(row_id=1, d="15/03/2024", desc="UBER *TRIP SP", v="-25.90",
                                      date="2024-03-15", merchant="Uber", description="UBER *TRIP SP",
                                      amount=-25.90, category="Transport")])
-    p = B.to_pairs(row, ["Data", "Descrição", "Valor"],
-                   [F.col("d"), F.col("desc"), F.col("v")]).first()
+    p = B.to_pairs(row, format_row(["Data", "Descrição", "Valor"],
+                                   [F.col("d"), F.col("desc"), F.col("v")])).first()
     assert p.prompt == ("Normalize this bank transaction: Data: 15/03/2024, "
                         "Descrição: UBER *TRIP SP, Valor: -25.90")
     assert p.response == ('{"date":"2024-03-15","merchant":"Uber","description":"UBER *TRIP SP",'
@@ -136,22 +145,70 @@ def test_prompt_and_pair(spark):
 
 def test_empty_batch_request(spark):
     from corvid.operators.serve import score_requests
-    w = spark.createDataFrame([("[CLS]", -0.5, -1.0), ("good", -2.0, -0.5)],
+    w = spark.createDataFrame([("[CLS]", -0.5, -1.0), ("good", -2.0, -0.5), ("[UNK]", -1.0, -1.0)],
                               "token string, w0 double, w1 double")
-    req = spark.createDataFrame([(1, ["good good", "bad"]), (2, [])], "rid int, texts array<string>")
+    req = spark.createDataFrame([(1, ["good good", "bad"]), (2, []), (3, [None, "good good", None]), (4, None)],
+                                "rid int, texts array<string>")
     out = {r.rid: r.predictions for r in score_requests(req, w, "rid").collect()}
     assert out[2] == []
     assert [p.text for p in out[1]] == ["good good", "bad"]
     assert out[1][0].label == "Positive" and out[1][1].label == "Negative"
+    assert [(p.text, p.label, p.error) for p in out[3]] == [
+        (None, None, "text is missing"), ("good good", "Positive", None), (None, None, "text is missing")]
+    assert out[4] == []
+
+
+def test_every_request_is_answered(spark):
+    import json
+    from corvid.operators.serve import parse_requests, score_singles, to_responses
+    w = spark.createDataFrame([("[CLS]", -0.5, -1.0), ("good", -2.0, -0.5), ("[UNK]", -1.0, -1.0)],
+                              "token string, w0 double, w1 double")
+    bodies = ['{"text": "good good"}', '{"text": ', "nonsense", None, "{}", '{"text": null}', '{"text": ""}']
+    df = spark.createDataFrame(list(enumerate(bodies)), "rid int, body string")
+    out = {r.rid: json.loads(r.response) for r in
+           to_responses(score_singles(parse_requests(df, "body"), w, "rid"), "rid").collect()}
+    assert out[0]["label"] == "Positive" and out[6]["text"] == ""
+    assert [out[i] for i in (1, 2, 3)] == [{"error": "invalid JSON"}] * 3
+    assert [out[i] for i in (4, 5)] == [{"error": "text is missing"}] * 2
+
 
+def test_absent_class_has_finite_weights(spark):
+    from corvid.operators.score import score_texts, train_weights
+    train = spark.createDataFrame([("good film", 1), ("nice film", 1)], "text string, label int")
+    w = train_weights(spark, train)
+    assert w.filter("w0 is null or w1 is null").count() == 0
+    df = spark.createDataFrame([(1, "good film"), (2, None)], "doc_id int, text string")
+    assert {r.doc_id: r.pred for r in score_texts(df, w).collect()} == {1: 1, 2: 1}
 
-def test_compiled_rules_equal_pattern_join(spark):
-    from corvid.plans.bank_plans import raw_read
-    from corvid.functions.bank import clean_text
-    from tests.conftest import SF_SMALL
-    t = raw_read(spark, SF_SMALL).select(
-        "row_id", clean_text(F.col("description_raw")).alias("description_clean"))
-    cols = ["row_id", "merchant", "category", "matched_pattern"]
-    a = B.match_merchant(spark, t).select(*cols).collect()
-    b = B.apply_rules(spark, t).select(*cols).collect()
-    assert sorted(a) == sorted(b) and len(a) > 0
+
+def test_odd_dates_and_amounts(spark):
+    y = F.lit(2024)
+    dates = {"15Mar": None, "x": None, "": None, None: None, "/": None, "15/": None, "15/Feb": "2024-02-15",
+             "15/fev": "2024-02-15", "31/Feb": None, "02/May/2023": "2023-05-02", "2/5/7/9": None}
+    df = spark.createDataFrame([(d,) for d in dates], "a string")
+    got = df.select("a", normalize_date(F.col("a"), ["dd/MMM", "dd/MMM/yyyy"], y).alias("d")).collect()
+    assert {r.a: r.d for r in got} == dates
+    amounts = {"12abc34": None, "1e5": None, "(123.45)": -123.45, "\u2212159.90": -159.9, "-5": -5.0, "--5": None,
+               "R$ 3.50": 3.5, "-R$ 3.50": -3.5, "R$ -3.50": -3.5, "(-5)": None, "(5": None, " 7 ": 7.0, "": None, "-": None}
+    df = spark.createDataFrame([(a,) for a in amounts], "a string")
+    assert {r.a: r.v for r in df.select("a", parse_amount(F.col("a")).alias("v")).collect()} == amounts
+    grouped = {"1.234,56": 1234.56, "1.23,4": None, "12.345.678": 12345678.0, "1234,5": 1234.5, "1.234.5": None}
+    df = spark.createDataFrame([(a,) for a in grouped], "a string")
+    assert {r.a: r.v for r in df.select("a", parse_amount(F.col("a"), ",", ".").alias("v")).collect()} == grouped
+
+
+def test_broken_rows_keep_their_place(spark, tmp_path):
+    from corvid.sources.bank_csv import PROFILES, read_bank_csv
+    p = PROFILES[0]
+    folder = tmp_path / f"bank={p.bank}" / "year=2024"
+    folder.mkdir(parents=True)
+    lines = [",".join(p.names()), "2024-01-02,-5.00,1,SPOTIFY BR", "2024-01-02,-5.00,2,PAO DE ACUCAR, LOJA 045",
+             "2024-01-02,-5.00,N/A,SPOTIFY BR", "2024-01-02,-5.00", '2024-01-02,-5.00,3,"PAO DE ACUCAR, LOJA 045"']
+    (folder / "a.csv").write_text("\n".join(lines) + "\n")
+    raw = read_bank_csv(spark, str(tmp_path), (p,))
+    out = B.normalize_transactions(spark, raw)
+    got = sorted(out.select("row_id", "reason").collect(), key=str)
+    assert sorted(map(tuple, got), key=str) == sorted(
+        [(1, None), (None, "bad_row"), (None, "bad_id"), (None, "bad_row"), (3, None)], key=str)
+    r = B.completeness(raw, out.withColumnRenamed("description", "description_raw")).first()
+    assert tuple(r) == (5, 2, 3, 0)

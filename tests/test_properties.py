@@ -55,9 +55,18 @@ def test_block_prefix_sum_equals_window(spark):
     assert sorted(rn.collect()) == sorted(want_rn.collect())
 
 
-def _brute_pieces(word, vocab, max_chars=100):
-    if len(word) > max_chars:
-        return ["[UNK]"]
+def test_windows_are_bounded_on_hashed_ids(spark):
+    import hashlib
+    ids = [int.from_bytes(hashlib.md5(str(i).encode()).digest()[:8], "big", signed=True) for i in range(3000)]
+    df = spark.createDataFrame([("t", i) for i in ids], "k string, pos long")
+    got = {r.pos: r.rn for r in row_number(df, ["k"], "pos").collect()}
+    assert [got[i] for i in sorted(ids)] == list(range(1, 3001))
+    # what each level's window may hold, for any 64-bit order column
+    from corvid.operators.prefix import BLOCK_SIZE, LEVELS
+    assert 2 ** 64 / BLOCK_SIZE ** LEVELS <= BLOCK_SIZE
+
+
+def _brute_pieces(word, vocab):
     out, i = [], 0
     while i < len(word):
         cands = [j for j in range(i + 1, len(word) + 1)
@@ -81,9 +90,36 @@ def test_wordpiece_matches_brute_force(word, pieces):
     assert greedy_pieces(word, vocab, max_piece=12) == _brute_pieces(word, vocab)
 
 
-def test_spread_only_when_under_partitioned(spark):
-    from corvid.sources.tables import spread
-    one = spark.range(100).coalesce(1)
-    assert spread(one, 4).rdd.getNumPartitions() == 4
-    many = spark.range(100).repartition(6)
-    assert spread(many, 4) is many  # enough splits already: no extra shuffle
+def test_word_of_any_length_is_split():
+    assert greedy_pieces("ab" * 500, {"ab", "##ab"}, 2) == ["ab"] + ["##ab"] * 499
+
+
+def test_tables_move_only_when_asked(spark):
+    from corvid.sources.tables import load_table
+    from tests.conftest import SF_SMALL
+    plain = load_table(spark, SF_SMALL, "documents")
+    assert "Exchange" not in plain._jdf.queryExecution().toString()
+    assert load_table(spark, SF_SMALL, "documents", partitions=3).rdd.getNumPartitions() == 3
+
+
+def test_shared_folder_is_needed_on_a_cluster():
+    import pytest
+    from corvid.session import scratch_root
+
+    class Context:
+        master = "spark://host:7077"
+
+        def getConf(self):
+            return self
+
+        def get(self, *_):
+            return None
+
+        def getCheckpointDir(self):
+            return None
+
+    class Session:
+        sparkContext, conf = Context(), Context()
+
+    with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
+        scratch_root(Session())
