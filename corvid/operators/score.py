@@ -39,17 +39,18 @@ def train_weights(spark: SparkSession, train: DataFrame, k: int = VOCAB_SIZE,
     """
     toks = train.select(F.col(label_col).alias("label"),
                         F.explode(model_tokens(F.col(text_col))).alias("token"))
+    # label 1 is what is not label 0: the totals need the same columns as the
+    # top-k, so both read one exchange
     counts = toks.groupBy("token").agg(
         F.count(F.lit(1)).alias("cnt"),
-        F.sum(F.when(F.col("label") == 0, 1).otherwise(0)).alias("c0"),
-        F.sum(F.when(F.col("label") == 1, 1).otherwise(0)).alias("c1"))
+        F.sum(F.when(F.col("label") == 0, 1).otherwise(0)).alias("c0"))
     top = counts.orderBy(F.desc("cnt"), F.asc("token")).limit(k)
-    everything = toks.agg(F.sum(F.when(F.col("label") == 0, 1).otherwise(0)).alias("a0"),
-                          F.sum(F.when(F.col("label") == 1, 1).otherwise(0)).alias("a1"))
-    inside = top.agg(F.sum("c0").alias("s0"), F.sum("c1").alias("s1"))
+    everything = counts.agg(F.sum("cnt").alias("a"), F.sum("c0").alias("a0"))
+    inside = top.agg(F.sum("cnt").alias("s"), F.sum("c0").alias("s0"))
     unk = everything.crossJoin(inside).select(          # one row each
         F.lit(UNK).alias("token"),
-        *[(F.coalesce(f"a{c}", F.lit(0)) - F.coalesce(f"s{c}", F.lit(0))).alias(f"c{c}") for c in (0, 1)])
+        *[(F.coalesce(a, F.lit(0)) - F.coalesce(s, F.lit(0))).alias(c)
+          for a, s, c in (("a", "s", "cnt"), ("a0", "s0", "c0"))])
     whole = Window.partitionBy()  # over the k + 1 rows only
     a = F.lit(float(alpha))
     v = F.count(F.lit(1)).over(whole).cast("double")
@@ -58,7 +59,7 @@ def train_weights(spark: SparkSession, train: DataFrame, k: int = VOCAB_SIZE,
         total = F.sum(c).over(whole).cast("double")
         return _round_step(F.log((F.col(c).cast("double") + a) / (total + a * v)))
 
-    words = (top.select("token", "c0", "c1").unionByName(unk)
+    words = (top.unionByName(unk).withColumn("c1", F.col("cnt") - F.col("c0"))
              .select("token", weight("c0").alias("w0"), weight("c1").alias("w1")))
     priors = train.agg(
         F.count(F.when(F.col(label_col) == 0, 1)).cast("double").alias("n0"),
@@ -82,9 +83,13 @@ def logits(df: DataFrame, weights: DataFrame, id_cols: list[str],
     a per-row sum. Partial aggregation collapses each row's tokens before the
     shuffle, so only ``(id, l0, l1)`` crosses the network."""
     toks = sequence_tokens(df, id_cols, text_col)
-    unk = weights.filter(F.col("token") == UNK).select(F.col("w0").alias("_u0"), F.col("w1").alias("_u1"))
-    return (toks.join(F.broadcast(weights), "token", "left").crossJoin(F.broadcast(unk))   # one row
-            .groupBy(*id_cols).agg(*[F.sum(F.coalesce(f"w{c}", f"_u{c}")).alias(f"l{c}") for c in (0, 1)]))
+    whole = Window.partitionBy()    # the bounded table
+    table = weights.select("*", *[F.max(F.when(F.col("token") == UNK, F.col(f"w{c}"))).over(whole).alias(f"_u{c}")
+                                  for c in (0, 1)])
+    # a row's [CLS] always meets the table and brings the weights of unknown tokens
+    unknown = F.sum(F.when(F.col("w0").isNull(), 1).otherwise(0))
+    return (toks.join(F.broadcast(table), "token", "left").groupBy(*id_cols)
+            .agg(*[(F.sum(f"w{c}") + unknown * F.max(f"_u{c}")).alias(f"l{c}") for c in (0, 1)]))
 
 
 def predict_from_logits(lg: DataFrame, id_cols: list[str]) -> DataFrame:
