@@ -83,3 +83,12 @@ def test_long_text_in_stretches(monkeypatch):
 def test_empty(spark):
     df = spark.createDataFrame([], "doc_id long, text string")
     assert repeats.remove_repeats(df).collect() == []
+
+
+def test_documents_with_production_parameters(spark):
+    from corvid.llm.spark_util import read_table
+    from tests.conftest import SF_SMALL
+    rows = read_table(spark, SF_SMALL, "documents").select("doc_id", "text").collect()
+    got = {r.doc_id: (r.n_bytes, r.n_removed, r.n_spans, r.kept_sha256) for r in repeats.op1_repeats(spark, SF_SMALL).collect()}
+    assert [got[r.doc_id] for r in rows] == brute([r.text for r in rows], repeats.MIN_LEN)
+    assert any(0 < g[1] < g[0] for g in got.values())
