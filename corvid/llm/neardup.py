@@ -285,8 +285,8 @@ def components(edges: DataFrame) -> DataFrame:
         least = stored(both.groupBy("a").agg(F.min("b").alias("m")).select("a", F.least("a", "m").alias("m")), "least")
         large = (both.join(least, "a").filter("b > a")
                  .select(F.col("b").alias("a"), F.col("m").alias("b")).filter("a <> b").distinct())
-        large = stored(large, "large-star")
-        least = stored(large.groupBy("a").agg(F.min("b").alias("m")), "least")
+        # a node has few smaller neighbours here, so this join has no hot side
+        least = large.groupBy("a").agg(F.min("b").alias("m"))
         joined = large.join(least, "a")
         e = stored(joined.select("a", F.col("m").alias("b")).unionByName(
             joined.filter("b <> m").select(F.col("b").alias("a"), F.col("m").alias("b"))).distinct(), "small-star")
