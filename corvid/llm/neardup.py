@@ -319,17 +319,14 @@ def near_dup_classes(docs: DataFrame) -> DataFrame:
             .select(F.least("head", "node").alias("a"), F.greatest("head", "node").alias("b")).distinct())
     star = stored(_agreeing(star, nodes), "star-pairs")
 
-    def texts_of(named):
-        return stored(docs.select(_text_key(F.col("text")).alias("node"), F.coalesce("text", F.lit("")).alias("text"))
-                      .join(named, "node", "left_semi").groupBy("node").agg(F.first("text").alias("text")), "near-texts")
-
-    def sides(pairs):
-        return pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct()
-
-    links = stored(_checked(star, texts_of(sides(star))), "star-links")
+    # the texts that share a bucket with another, moved once; joined by sorting at
+    # any size, so that the plan does not change with the number of such texts
+    texts = stored(docs.select(_text_key(F.col("text")).alias("node"), F.coalesce("text", F.lit("")).alias("text"))
+                   .join(rank.select("node").hint("merge"), "node", "left_semi")
+                   .groupBy("node").agg(F.first("text").alias("text")), "near-texts")
+    links = stored(_checked(star, texts), "star-links")
     roots = components(links)
     mixed = _mixed(members, roots)
-    texts = texts_of(mixed.select("node").distinct())
     fine = stored(texts.mapInArrow(_fine, "node binary, fine binary"), "fine")
     more = stored(_cross_pairs(mixed, nodes, fine).join(star, ["a", "b"], "left_anti"), "cross-pairs")
     links = links.unionByName(stored(_checked(more, texts), "cross-links"))
