@@ -9,7 +9,8 @@ within ``REACH`` characters of it, document counts estimate
 and ``PMI / IC`` is the share of the entity's information that the term
 discloses: 1 when the term occurs only where the entity does. Terms of a share
 of ``DISCLOSURE`` or more, seen with the entity in ``SUPPORT`` or more different
-texts, are spans of kind ``term``. ``sanitise`` replaces entities by their kind,
+texts, are spans of kind ``term`` at all their places in all texts, outside
+entities. ``sanitise`` replaces entities by their kind,
 removes terms that disclose all (``REMOVE`` and more) and generalises the rest
 to the kind of word they are. Counts cover all texts.
 
@@ -42,6 +43,7 @@ KINDS = ("email", "ip", "card", "phone")
 REACH = 80
 DISCLOSURE, REMOVE, SUPPORT = 0.9, 0.999, 3
 TERM = r"\p{L}{4,}"
+ADDED = "array<struct<start:long,rank:int,kind:string,end:long,share:double>>"
 FOUND = "array<struct<start:long,end:long,text:string,value:string,rank:int,kind:string>>"
 
 
@@ -146,13 +148,46 @@ def disclosing(rows: DataFrame, docs: DataFrame, text: str = "text") -> DataFram
     return stored(shares, "disclosing")
 
 
-def term_spans(rows: DataFrame, pairs: DataFrame) -> DataFrame:
-    """``(node, added)``: the places of disclosing terms, one row for each text."""
-    return (rows.filter(F.size("terms") > 0).select("node", F.explode("terms").alias("t")).distinct()
-            .select("node", "t.*").join(pairs, ["kind", "value", "term"])
-            .groupBy("node", "start", "end").agg(F.max("share").alias("share"))
-            .groupBy("node").agg(F.array_sort(F.collect_list(F.struct(     # words near a text's own entities
-                "start", F.lit(5).alias("rank"), F.lit("term").alias("kind"), "end", "share"))).alias("added")))
+def term_spans(docs: DataFrame, pairs: DataFrame, text: str = "text") -> DataFrame:
+    """``(node, added)``: all places of disclosing terms, one row for each text
+    that has any. A term that discloses several entities has its largest share."""
+    terms = stored(pairs.groupBy("term").agg(F.max("share").alias("share")), "disclosing-terms")
+    body = F.coalesce(F.col(text), F.lit(""))
+    texts = docs.select(F.md5(body).alias("node"), body.alias("_text"))
+    hits = stored(texts.select("node", F.explode(F.array_distinct(_words(F.col("_text")))).alias("term"))
+                  .join(terms, "term").select("node", "term", "share").distinct()
+                  .groupBy("node").agg(F.collect_list(F.struct("term", "share")).alias("hits")), "term-texts")
+    # equal texts have equal places
+    return (texts.join(hits, "node").select("node", term_places(F.col("_text"), F.col("hits")).alias("added"))
+            .groupBy("node").agg(F.any_value("added").alias("added")))
+
+
+def _words(text: Column) -> Column:
+    return F.transform(F.regexp_extract_all(text, F.lit(TERM), F.lit(0)), F.lower)
+
+
+def term_places(text: Column, hits: Column) -> Column:
+    """The places of the words of ``text`` that are terms of ``hits``, in order."""
+    parts = F.arrays_zip(F.regexp_extract_all(text, F.lit(TERM), F.lit(0)).alias("m"), F.split(text, TERM, -1).alias("gap"))
+    zero = F.struct(F.lit(0).cast("long").alias("at"), F.array().cast(ADDED).alias("out"))
+    share = F.map_from_entries(hits)
+
+    def step(acc: Column, x: Column) -> Column:
+        begin = acc["at"] + F.length(x["gap"])
+        end = begin + F.length(x["m"])
+        found = F.try_element_at(share, F.lower(x["m"]))
+        one = F.struct(begin.cast("long").alias("start"), F.lit(5).alias("rank"), F.lit("term").alias("kind"),
+                       end.cast("long").alias("end"), found.alias("share"))
+        return F.struct(end.cast("long").alias("at"), F.when(found.isNull(), acc["out"])
+                        .otherwise(F.concat(acc["out"], F.array(one))).alias("out"))
+
+    # the last piece has no word behind it
+    return F.aggregate(F.filter(parts, lambda x: x["m"].isNotNull()), zero, step)["out"]
+
+
+def clear_of(added: Column, found: Column) -> Column:
+    """The places of terms outside entities."""
+    return F.filter(F.coalesce(added, F.array().cast(ADDED)), lambda t: ~overlaps(t, found))
 
 
 def _base(found: Column) -> Column:
@@ -162,10 +197,11 @@ def _base(found: Column) -> Column:
 def personal_spans(docs: DataFrame, key: str = "doc_id") -> DataFrame:
     """``(key, base, added)`` of every row of ``docs``."""
     rows = stored(entity_rows(docs, carry=(F.col(key).alias("key"),)).drop("_text"), "entities")
-    added = stored(term_spans(rows, disclosing(rows, docs)), "term-spans")
-    return rows.select("key", "node", _base(F.col("found")).alias("base")).join(added, "node", "left").select(
-        "key", "base", F.coalesce(F.transform("added", lambda s: F.struct(s["start"], s["rank"], s["kind"], s["end"])),
-                                  F.array()).cast(SPANS).alias("added"))
+    added = stored(term_spans(docs, disclosing(rows, docs)), "term-spans")
+    return rows.select("key", "node", "found").join(added, "node", "left").select(
+        "key", _base(F.col("found")).alias("base"),
+        F.transform(clear_of(F.col("added"), F.col("found")), lambda s: F.struct(
+            s["start"], s["rank"], s["kind"], s["end"])).cast(SPANS).alias("added"))
 
 
 def sanitise(docs: DataFrame) -> DataFrame:
@@ -174,12 +210,9 @@ def sanitise(docs: DataFrame) -> DataFrame:
     names = docs.columns
     row = F.struct(*[docs[c] for c in names]).alias("row")
     rows = stored(entity_rows(docs).drop("_text"), "entities")
-    added = stored(term_spans(rows, disclosing(rows, docs)), "term-spans")
-    whole = entity_rows(docs, carry=(row,)).drop("terms", "_text")
-    # texts without an entity have no terms either and stay as they are
-    clean = whole.filter(F.size("found") == 0).select("row.*")
-    kept = F.coalesce(F.col("added"), F.array().cast(
-        "array<struct<start:long,rank:int,kind:string,end:long,share:double>>"))
+    added = stored(term_spans(docs, disclosing(rows, docs)), "term-spans")
+    whole = entity_rows(docs, carry=(row,)).drop("terms", "_text").join(added, "node", "left")
+    kept = clear_of(F.col("added"), F.col("found"))
     body = F.col("row.text")
     edits = F.array_sort(F.concat(
         F.transform("found", lambda m: F.struct(m["start"].alias("start"), m["end"].alias("end"),
@@ -188,11 +221,13 @@ def sanitise(docs: DataFrame) -> DataFrame:
             s["start"].alias("start"), s["end"].alias("end"), F.when(s["share"] >= REMOVE, F.lit(""))
             .when(F.substring(body, (s["start"] + 1).cast("int"), F.lit(1)).rlike(r"\p{Lu}"), F.lit("[NAME]"))
             .otherwise(F.lit("[WORD]")).alias("put")))))
-    changed = (whole.filter(F.size("found") > 0).join(added, "node", "left")
-               .withColumn("_new", replaced(body, edits)))
-    values = [F.col("_new").alias(c) if c == "text" else F.length("_new").cast("long").alias(c) if c == "n_chars"
+    # a text without edits stays as it is, null too
+    changed = whole.withColumn("_edits", edits).withColumn("_new", F.when(
+        F.size("_edits") > 0, replaced(body, F.col("_edits"))).otherwise(body))
+    values = [F.col("_new").alias(c) if c == "text"
+              else F.when(F.size("_edits") > 0, F.length("_new").cast("long")).otherwise(F.col(f"row.`{c}`")).alias(c) if c == "n_chars"
               else F.col(f"row.`{c}`") for c in names]
-    return clean.unionByName(changed.select(*values))
+    return changed.select(*values)
 
 
 def op8_pii(spark, sf_dir: str) -> DataFrame:

@@ -107,6 +107,20 @@ def test_disclosing_terms(spark):
     assert [r.text for r in clean[4:]] == other + [None] and clean[0].spans == "own"
 
 
+def test_disclosing_terms_everywhere(spark):
+    named = [f"Filler number {i} says Quixotina wrote from me.q@mail.com about plain things " + "and so on " * 20 + "to QUIXOTINA"
+             for i in range(12)]
+    alone = "much later Quixotina came back, and quixotinas too, for Quixotina"
+    texts = named + [alone, None, ""] + [f"and so on plain things wrote about filler text {i} number says to people from me" for i in range(60)]
+    got = {r.key: r for r in pii.personal_spans(frame(spark, texts)).collect()}
+    assert [texts[0][s.start:s.end] for s in got[0].added] == ["Quixotina", "QUIXOTINA"]
+    assert [s.start for s in got[12].added] == [alone.index("Quixotina"), alone.rindex("Quixotina")] and not got[12].base
+    assert not got[13].added and not got[14].added
+    clean = {r.doc_id: r for r in pii.sanitise(frame(spark, texts)).collect()}
+    assert "QUIXOTINA" not in clean[0].text and "Quixotina" not in clean[12].text
+    assert clean[13].text is None and clean[14].text == "" and clean[20].text == texts[20]
+
+
 def test_learned_rules(spark):
     rng = random.Random(2)
     stats = []
