@@ -1,15 +1,16 @@
 """PII (8): information-theoretic sanitisation.
 
 Protected entities (e-mail, ip, card, phone) are found by pattern. The corpus
-then tells which terms give an entity away. For an entity ``e`` and a term ``t``
+then tells which terms give an entity away; every word, a run of letters, marks and
+digits of any length, is a candidate. For an entity ``e`` and a term ``t``
 within ``REACH`` characters of it, document counts estimate
 
     PMI(t, e) = log2( n(t, e) * N / (n(t) * n(e)) ),   IC(e) = log2( N / n(e) )
 
 and ``PMI / IC`` is the share of the entity's information that the term
 discloses: 1 when the term occurs only where the entity does. Terms of a share
-of ``DISCLOSURE`` or more, seen with the entity in ``SUPPORT`` or more different
-texts, are spans of kind ``term`` at all their places in all texts, outside
+of ``DISCLOSURE`` or more, seen with the entity in ``SUPPORT`` or more documents
+(copies count), are spans of kind ``term`` at all their places in all texts, outside
 entities. ``sanitise`` replaces entities by their kind,
 removes terms that disclose all (``REMOVE`` and more) and generalises the rest
 to the kind of word they are. Counts cover all texts.
@@ -42,7 +43,8 @@ KINDS = ("email", "ip", "card", "phone")
 
 REACH = 80
 DISCLOSURE, REMOVE, SUPPORT = 0.9, 0.999, 3
-TERM = r"\p{L}{4,}"
+CHAR = r"[\p{L}\p{M}\p{N}]"
+TERM = CHAR + "++"
 ADDED = "array<struct<start:long,rank:int,kind:string,end:long,share:double>>"
 FOUND = "array<struct<start:long,end:long,text:string,value:string,rank:int,kind:string>>"
 
@@ -107,14 +109,17 @@ def near_terms(text: Column, found: Column) -> Column:
             (offset + w["start"]).alias("start"), (offset + w["end"]).alias("end")))
 
     def around(m: Column) -> Column:
-        # words cut by the edge of the reach do not count
+        # words cut by the edge of the reach or of the entity do not count
         begin = F.greatest(m["start"] - REACH, F.lit(0))
         before = F.substring(text, (begin + 1).cast("int"), (m["start"] - begin).cast("int"))
-        cut = F.when(begin == 0, F.lit(0)).otherwise(F.length(F.regexp_extract(before, r"^\p{L}*", 0)))
+        cut = F.when(begin == 0, F.lit(0)).otherwise(F.length(F.regexp_extract(before, f"^{CHAR}*+", 0)))
         before = F.substring(before, (cut + 1).cast("int"), F.lit(REACH))
+        before = F.when(m["text"].rlike(f"^{CHAR}"), F.regexp_replace(before, rf"(?<!{CHAR}){CHAR}++\z", "")).otherwise(before)
         after = F.substring(text, (m["end"] + 1).cast("int"), F.lit(REACH))
-        after = F.when(m["end"] + REACH >= size, after).otherwise(F.regexp_replace(after, r"\p{L}*\z", ""))
-        return F.concat(words(before, begin + cut, m), words(after, m["end"], m))
+        after = F.when(m["end"] + REACH >= size, after).otherwise(F.regexp_replace(after, rf"(?<!{CHAR}){CHAR}++\z", ""))
+        skip = F.when(m["text"].rlike(rf"{CHAR}\z"), F.length(F.regexp_extract(after, f"^{CHAR}*+", 0))).otherwise(0)
+        after = F.substring(after, (skip + 1).cast("int"), F.lit(REACH))
+        return F.concat(words(before, begin + cut, m), words(after, m["end"] + skip, m))
 
     return F.filter(F.flatten(F.transform(found, around)), lambda t: ~overlaps(t, found))
 
@@ -126,17 +131,15 @@ def disclosing(rows: DataFrame, docs: DataFrame, text: str = "text") -> DataFram
     """
     n = rows.count()
     near = (rows.filter(F.size("terms") > 0)
-            .select("node", F.explode(F.array_distinct(F.transform("terms", lambda t: F.struct(
+            .select(F.explode(F.array_distinct(F.transform("terms", lambda t: F.struct(
                 t["kind"].alias("kind"), t["value"].alias("value"), t["term"].alias("term"))))).alias("p"))
-            .groupBy("p.kind", "p.value", "p.term", "node").agg(F.count(F.lit(1)).alias("n"))
-            .groupBy("kind", "value", "term").agg(F.sum("n").alias("n_te"), F.count(F.lit(1)).alias("texts"))
-            .filter(F.col("texts") >= SUPPORT))
+            .groupBy("p.kind", "p.value", "p.term").agg(F.count(F.lit(1)).alias("n_te"))
+            .filter(F.col("n_te") >= SUPPORT))
     near = stored(near, "near-terms")
     entities = stored(rows.select("node", F.explode(F.array_distinct(F.transform("found", lambda m: F.struct(
                     m["kind"].alias("kind"), m["value"].alias("value"))))).alias("p"))
                       .groupBy("p.kind", "p.value").agg(F.count(F.lit(1)).alias("n_e")), "entity-counts")
-    words = docs.select(F.explode(F.array_distinct(F.regexp_extract_all(
-        F.lower(F.coalesce(F.col(text), F.lit(""))), F.lit(TERM), F.lit(0)))).alias("term"))
+    words = docs.select(F.explode(F.array_distinct(_words(F.coalesce(F.col(text), F.lit(""))))).alias("term"))
     # counted in each task before any shuffle, so that a frequent word is a few rows
     counts = words.groupBy("term").agg(F.count(F.lit(1)).alias("n_t"))
     total = F.lit(float(max(n, 1)))
@@ -220,6 +223,7 @@ def sanitise(docs: DataFrame) -> DataFrame:
         F.transform(kept, lambda s: F.struct(
             s["start"].alias("start"), s["end"].alias("end"), F.when(s["share"] >= REMOVE, F.lit(""))
             .when(F.substring(body, (s["start"] + 1).cast("int"), F.lit(1)).rlike(r"\p{Lu}"), F.lit("[NAME]"))
+            .when(F.substring(body, (s["start"] + 1).cast("int"), F.lit(1)).rlike(r"\p{N}"), F.lit("[NUMBER]"))
             .otherwise(F.lit("[WORD]")).alias("put")))))
     # a text without edits stays as it is, null too
     changed = whole.withColumn("_edits", edits).withColumn("_new", F.when(

@@ -121,6 +121,19 @@ def test_disclosing_terms_everywhere(spark):
     assert clean[13].text is None and clean[14].text == "" and clean[20].text == texts[20]
 
 
+def test_disclosing_terms_of_any_kind(spark):
+    """Short names, names in other scripts, codes with digits, and copies of one text."""
+    line = "the clerk {} wrote from {} about it"
+    named = [line.format(f"{name} case {i}", mail) for name, mail in (
+        ("Bob", "q@mail.com"), ("\u674e\u660e", "w@mail.com"), ("K47x", "e@mail.com")) for i in range(3)]
+    texts = named + [line.format("Ann", "r@mail.com")] * 5 + [
+        f"the clerk case {i % 3} wrote from here about it, text {i} q w e r mail com" for i in range(60)]
+    got = {r.key: r for r in pii.personal_spans(frame(spark, texts)).collect()}
+    found = [[t[s.start:s.end] for s in got[i].added] for i, t in enumerate(texts)]
+    assert found[:9] == [["Bob"]] * 3 + [["\u674e\u660e"]] * 3 + [["K47x"]] * 3
+    assert found[9:14] == [["Ann"]] * 5 and not any(found[14:])
+
+
 def test_learned_rules(spark):
     rng = random.Random(2)
     stats = []
