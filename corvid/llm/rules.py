@@ -8,9 +8,10 @@ with the best margin of right over wrong rejections. A rule that does not reach
 ``MIN_PRECISION`` there ends the list. The list is a Spark conditional
 expression, in order.
 
-Learning looks at counts only: thresholds are quantiles of each statistic, the
-labelled rows are reduced to the number of rows with the same bins and label,
-and each step is one aggregation whose result has a row per statistic and bin.
+Every value of the rows not yet covered is tried as a threshold. Quantiles of
+each statistic cut it into bins; a step first counts each bin, then looks at the
+single values of the bins that can hold the best threshold, as running sums
+inside each bin. The driver gets a row per statistic and bin, and the winner.
 Only DataFrame functions.
 
 Defined cases: null and empty texts have no words and fail the base rule; with
@@ -24,7 +25,7 @@ from __future__ import annotations
 import math
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from corvid.llm.spark_util import GAP_CHARS, WORD_GAP, read_table, stored
@@ -115,7 +116,7 @@ def _all(conditions, column) -> Column:
 
 
 class Learner:
-    """Labelled rows as counts of equal bins; see the module's text."""
+    """Labelled rows as counts of equal values; see the module's text."""
 
     def __init__(self, labelled: DataFrame):
         """``labelled``: the statistics, ``label`` (1 good, 0 bad) and ``aside``."""
@@ -123,8 +124,8 @@ class Learner:
         values = labelled.select("label", "aside", *[FEATURES[n]().alias(n) for n in names])
         cuts = values.agg(*[F.percentile_approx(n, [i / BINS for i in range(1, BINS)], 5_000).alias(n) for n in names]).first()
         self.cuts = {n: sorted(set(cuts[n] or ())) for n in names}
-        binned = values.select("label", "aside", *[self._bin(n).alias(n) for n in names])
-        self.rows = stored(binned.groupBy("label", "aside", *names).agg(F.count(F.lit(1)).alias("n")), "rule-bins")
+        rows = values.groupBy("label", "aside", *names).agg(F.count(F.lit(1)).alias("n"))
+        self.rows = stored(rows.select("*", *[self._bin(n).alias(f"bin_{n}") for n in names]), "rule-rows")
 
     def _bin(self, name: str) -> Column:
         """How many of the statistic's thresholds a value reaches."""
@@ -134,15 +135,14 @@ class Learner:
         return out
 
     def column(self, c: Condition) -> Column:
-        """The condition on the binned rows."""
-        at = self.cuts[c.feature].index(c.threshold) + 1
-        return F.col(c.feature) >= at if c.above else F.col(c.feature) < at
+        """The condition on the labelled rows."""
+        return c.column(F.col(c.feature))
 
     def _bins(self, rows: DataFrame) -> dict[str, list[list[int]]]:
         """Per statistic and bin: rows with label 0, rows with label 1."""
         names = list(FEATURES)
         got = (rows.select("label", "n", F.explode(F.array(*[
-                   F.struct(F.lit(i).alias("f"), F.col(n).alias("b")) for i, n in enumerate(names)])).alias("x"))
+                   F.struct(F.lit(i).alias("f"), F.col(f"bin_{n}").alias("b")) for i, n in enumerate(names)])).alias("x"))
                .groupBy("x.f", "x.b").agg(F.sum(F.when(F.col("label") == 0, F.col("n")).otherwise(0)).alias("bad"),
                                           F.sum(F.when(F.col("label") == 1, F.col("n")).otherwise(0)).alias("good"))
                .collect())                      # BINS rows for each statistic at most
@@ -159,21 +159,56 @@ class Learner:
             bad, good = (sum(b[k] for b in next(iter(bins.values()))) for k in (0, 1))
             if not bad or not good:
                 break
-            best = (0.0, None)
-            for name, table in bins.items():
-                low = [0, 0]
-                for i, cut in enumerate(self.cuts[name]):
-                    low = [low[0] + table[i][0], low[1] + table[i][1]]
-                    for above, (p, n) in ((False, low), (True, (bad - low[0], good - low[1]))):
-                        if p >= MIN_COVER:
-                            gain = p * (math.log2(p / (p + n)) - math.log2(bad / (bad + good)))
-                            if gain > best[0] + 1e-9:
-                                best = (gain, Condition(name, above, cut))
-            if best[1] is None:
+            best = self._best(rows, bins, bad, good)
+            if best is None:
                 break
-            conditions.append(best[1])
+            conditions.append(best)
         return conditions
 
+    def _best(self, rows: DataFrame, bins: dict[str, list[list[int]]], bad: int, good: int) -> Condition | None:
+        """The condition of the best gain, over all values as thresholds. Bins in
+        which no threshold can beat the best bin edge are left out."""
+        base = math.log2(bad / (bad + good))
+
+        def gain(p: int, n: int) -> float:
+            return p * (math.log2(p / (p + n)) - base) if p >= MIN_COVER else 0.0
+
+        edge, spans = 0.0, []
+        for f, table in enumerate(bins.values()):
+            p, n = 0, 0
+            for b, (in_bad, in_good) in enumerate(table):
+                edge = max(edge, gain(p, n), gain(bad - p, good - n))
+                most = max(gain(p + in_bad, n), gain(bad - p, good - n - in_good))
+                spans.append((most, f, b, p, n))
+                p, n = p + in_bad, n + in_good
+        spans = [x[1:] for x in spans if x[0] > 1e-9 and x[0] >= edge - 1e-9]
+        if not spans:
+            return None
+        names = list(FEATURES)
+        before = F.create_map(*[x for f, b, p, n in spans for x in (
+            F.lit(f * 1000 + b), F.struct(F.lit(p).cast("long").alias("p"), F.lit(n).cast("long").alias("n")))])
+        per = {f: [b for g, b, _, _ in spans if g == f] for f, *_ in spans}
+        tests = F.filter(F.array(*[F.when(F.col(f"bin_{names[f]}").isin(at), F.struct(
+            F.lit(f).alias("f"), F.col(f"bin_{names[f]}").alias("b"), F.col(names[f]).alias("v"))) for f, at in per.items()]),
+            lambda x: x.isNotNull())
+        values = (rows.select("label", "n", F.explode(tests).alias("x")).groupBy("x.f", "x.b", "x.v")
+                  .agg(F.sum(F.when(F.col("label") == 0, F.col("n")).otherwise(0)).alias("bad"),
+                       F.sum(F.when(F.col("label") == 1, F.col("n")).otherwise(0)).alias("good")))
+        under = Window.partitionBy("f", "b").orderBy("v").rowsBetween(Window.unboundedPreceding, -1)
+        low = F.element_at(before, F.col("f") * 1000 + F.col("b"))
+        values = values.select("f", "v", *[(low[k] + F.coalesce(F.sum(c).over(under), F.lit(0))).alias(k)
+                                           for k, c in (("p", "bad"), ("n", "good"))])
+        sides = values.select("f", "v", F.explode(F.array(
+            F.struct(F.lit(False).alias("above"), F.col("p").alias("p"), F.col("n").alias("n")),
+            F.struct(F.lit(True).alias("above"), (F.lit(bad) - F.col("p")).alias("p"), (F.lit(good) - F.col("n")).alias("n")))).alias("s"))
+        got = (sides.select("f", "v", "s.*").filter(F.col("p") >= MIN_COVER)
+               .withColumn("gain", F.round(F.col("p") * (F.log2(F.col("p") / (F.col("p") + F.col("n"))) - base), 9))
+               .agg(F.max(F.struct("gain", (-F.col("f")).alias("f"), (~F.col("above")).alias("below"), (-F.col("v")).alias("v"))).alias("x"))
+               .first()["x"])
+        if got is None or got["gain"] <= 1e-9:
+            return None
+        return Condition(names[-got["f"]], not got["below"], 0.0 - got["v"])
+
     def prune(self, conditions: list[Condition], aside: DataFrame) -> tuple[list[Condition], float]:
         """The best prefix on the rows set aside, and its precision there."""
         fits = [_all(conditions[:k], self.column) for k in range(1, len(conditions) + 1)]

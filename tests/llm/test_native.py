@@ -151,6 +151,22 @@ def test_learned_rules(spark):
     assert rules.learn_rules(df, labels.limit(0)) == []
 
 
+def test_rules_for_rare_tails(spark):
+    """Two kinds of bad text of 1 % each: one of a statistic that is mostly 0,
+    one in the tail of a continuous statistic."""
+    rng = random.Random(4)
+    stats = []
+    for i in range(4000):
+        lines, upper = (3 if i % 100 == 0 else 0), (400 if i % 100 == 50 else rng.randint(5, 60))
+        stats.append((i, 100, 500, 2, lines, 0, 5, 80, 0, 0, upper))
+    df = spark.createDataFrame(stats, "key long, n_words long, word_chars long, n_symbols long, n_dup_lines long, "
+                               "n_repeat_words long, n_lines long, n_distinct long, n_marks long, n_digits long, n_upper long")
+    labels = spark.createDataFrame([(i, int(i % 50 != 0)) for i in range(4000)], "doc_id long, quality int")
+    found = rules.learn_rules(df, labels)
+    assert {c.feature for r in found for c in r} == {"dup_line_share", "upper_per_char"}
+    assert sorted(r.key for r in df.filter(~rules.verdict(found)).collect()) == list(range(0, 4000, 50))
+
+
 @pytest.mark.parametrize("run", [
     lambda d: rules.statistics(d), lambda d: secrets.secret_spans(d), lambda d: pii.personal_spans(d), lambda d: pii.sanitise(d)])
 def test_empty_tables(spark, run):
