@@ -6,8 +6,9 @@ class (hex digits, letters and digits, base64), and a window slides over it.
 The window's Shannon entropy is kept up to date from counts: a character that
 enters or leaves changes one count ``c``, and the sum of ``c log2 c`` changes by
 the difference of two table entries. Windows at or above the class's threshold
-are joined into spans of kind ``entropy``, unless the candidate is on the allow
-list or the span meets a base span.
+are joined into spans of kind ``entropy``. Windows that meet a base span, or a
+part between delimiters that holds an allowed word, do not count: what is left
+of the candidate beside them is scanned by itself.
 
 Only DataFrame expressions; one pass over each text, no shuffle.
 
@@ -22,7 +23,7 @@ import math
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from corvid.llm.spans import SPANS, as_spans, joined, matches, overlaps
+from corvid.llm.spans import SPANS, as_spans, joined, matches
 from corvid.llm.spark_util import read_table
 
 # fixed values: the base kinds
@@ -42,8 +43,10 @@ ALLOWED = (
     r"^[0-9a-fA-F]{8}(?:-[0-9a-fA-F]{4}){3}-[0-9a-fA-F]{12}$",      # UUIDs
     r"^[A-Za-z]+(?:[/_=+-]+[A-Za-z]+)*[/_=+-]*$",                   # words, paths and names of letters only
     r"^(?:[0-9]{1,4}[/_-])+[0-9]*$",                                # dates and numbered parts
-    r"(?i)example|sample|placeholder|changeme|dummy|x{6,}|0123456789|abcdefgh",
 )
+#: Words that make the part of a candidate between delimiters no secret.
+WORDS = r"(?i)example|sample|placeholder|changeme|dummy|x{6,}|0123456789|abcdefgh"
+PART = r"[^/_=+-]++"
 
 
 def _gain() -> Column:
@@ -99,13 +102,43 @@ def _allowed(candidate: Column) -> Column:
     return out
 
 
+def clear_runs(m: Column, base: Column) -> Column:
+    """What is left of the candidate ``m`` outside base spans and outside parts
+    that hold an allowed word, as ``array<struct<start, end, text>>``."""
+    place = "array<struct<start:long,end:long>>"
+    met = F.transform(F.filter(base, lambda b: (b["start"] < m["end"]) & (m["start"] < b["end"])),
+                      lambda b: F.struct(b["start"].alias("start"), b["end"].alias("end")))
+    parts = F.when(m["text"].rlike(WORDS), F.transform(
+        F.filter(matches(m["text"], PART), lambda p: p["text"].rlike(WORDS)), lambda p: F.struct(
+            (m["start"] + p["start"]).alias("start"), (m["start"] + p["end"]).alias("end")))).otherwise(F.array().cast(place))
+    last = F.array(F.struct(m["end"].alias("start"), m["end"].alias("end")))
+    blocks = F.concat(F.array_sort(F.concat(met, parts)), last)
+    zero = F.struct(m["start"].alias("at"), F.array().cast(place).alias("out"))
+
+    def step(acc: Column, b: Column) -> Column:
+        one = F.struct(acc["at"].alias("start"), b["start"].alias("end"))
+        return F.struct(F.greatest(acc["at"], b["end"]).alias("at"), F.when(
+            b["start"] - acc["at"] >= WINDOW, F.concat(acc["out"], F.array(one))).otherwise(acc["out"]).alias("out"))
+
+    return F.transform(F.aggregate(blocks, zero, step)["out"], lambda r: F.struct(
+        r["start"].alias("start"), r["end"].alias("end"), F.substring(
+            m["text"], (r["start"] - m["start"] + 1).cast("int"), (r["end"] - r["start"]).cast("int")).alias("text"),
+        (r["start"] > m["start"]).alias("behind")))
+
+
 def entropy_spans(places: Column, base: Column) -> Column:
     """Spans of kind ``entropy`` in the candidates, clear of ``base`` spans."""
-    def of(m: Column) -> Column:
-        return F.transform(entropy_windows(m["text"], _threshold(m["text"])), lambda w: F.struct(
-            (m["start"] + w["start"]).alias("start"), F.lit(4).alias("rank"), F.lit("entropy").alias("kind"),
-            (m["start"] + w["end"]).alias("end")))
-    suspects = F.filter(places, lambda m: ~_allowed(m["text"]) & ~overlaps(m, base))
+    def of(r: Column) -> Column:
+        return F.transform(entropy_windows(r["text"], _threshold(r["text"])), lambda w: F.struct(
+            (r["start"] + w["start"]).alias("start"), F.lit(4).alias("rank"), F.lit("entropy").alias("kind"),
+            (r["start"] + w["end"]).alias("end")))
+
+    # the delimiter behind a base span or an allowed part is no part of a number, path or UUID
+    def allowed(r: Column) -> Column:
+        return _allowed(F.when(r["behind"], F.regexp_replace(r["text"], r"^[/_=+-]+", "")).otherwise(r["text"]))
+
+    whole = F.filter(places, lambda m: ~_allowed(m["text"]))
+    suspects = F.filter(F.flatten(F.transform(whole, lambda m: clear_runs(m, base))), lambda r: ~allowed(r))
     return F.flatten(F.transform(suspects, of))
 
 
