@@ -217,11 +217,12 @@ def sanitise(docs: DataFrame) -> DataFrame:
     whole = entity_rows(docs, carry=(row,)).drop("terms", "_text").join(added, "node", "left")
     kept = clear_of(F.col("added"), F.col("found"))
     body = F.col("row.text")
+    # of those that start together the longest is first
     edits = F.array_sort(F.concat(
-        F.transform("found", lambda m: F.struct(m["start"].alias("start"), m["end"].alias("end"),
+        F.transform("found", lambda m: F.struct(m["start"].alias("start"), (-m["end"]).alias("back"), m["end"].alias("end"),
                                                 F.concat(F.lit("["), F.upper(m["kind"]), F.lit("]")).alias("put"))),
         F.transform(kept, lambda s: F.struct(
-            s["start"].alias("start"), s["end"].alias("end"), F.when(s["share"] >= REMOVE, F.lit(""))
+            s["start"].alias("start"), (-s["end"]).alias("back"), s["end"].alias("end"), F.when(s["share"] >= REMOVE, F.lit(""))
             .when(F.substring(body, (s["start"] + 1).cast("int"), F.lit(1)).rlike(r"\p{Lu}"), F.lit("[NAME]"))
             .when(F.substring(body, (s["start"] + 1).cast("int"), F.lit(1)).rlike(r"\p{N}"), F.lit("[NUMBER]"))
             .otherwise(F.lit("[WORD]")).alias("put")))))

@@ -59,13 +59,14 @@ def overlaps(a: Column, spans: Column) -> Column:
 
 
 def replaced(text: Column, edits: Column) -> Column:
-    """The text with each ``struct(start, end, put)`` replaced; where two overlap
-    the earlier one counts. ``edits`` are sorted by start."""
+    """The text with each ``struct(start, end, put)`` replaced; where some overlap
+    the first one's ``put`` stands for all they cover. ``edits`` are sorted by start."""
     zero = F.struct(F.lit(0).cast("long").alias("at"), F.lit("").alias("out"))
 
     def step(acc: Column, e: Column) -> Column:
         before = F.substring(text, (acc["at"] + 1).cast("int"), (e["start"] - acc["at"]).cast("int"))
-        return F.when(e["start"] < acc["at"], acc).otherwise(F.struct(
+        covered = F.struct(F.greatest(acc["at"], e["end"]).cast("long").alias("at"), acc["out"].alias("out"))
+        return F.when(e["start"] < acc["at"], covered).otherwise(F.struct(
             e["end"].cast("long").alias("at"), F.concat(acc["out"], before, e["put"]).alias("out")))
 
     done = F.aggregate(edits, zero, step)

@@ -145,6 +145,13 @@ def test_disclosing_terms_of_any_kind(spark):
     assert found[9:14] == [["Ann"]] * 5 and not any(found[14:])
 
 
+def test_overlapping_entities(spark):
+    texts = ["at +4915112345678@sms.example.com now", "at 10.0.0.1bob@corp.com now", "at 4111 1111 1111 1111@corp.com now",
+             "at a@b.com now"]
+    got = [r.text for r in pii.sanitise(frame(spark, texts)).orderBy("doc_id").collect()]
+    assert got == ["at [EMAIL] now", "at [EMAIL] now", "at [CARD] now", "at [EMAIL] now"]
+
+
 def test_learned_rules(spark):
     rng = random.Random(2)
     stats = []
