@@ -6,8 +6,8 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from corvid.llm import (mixing, neardup, packing, pii, quality, repeats, rules,
-                        secrets, sharding, vafile)
+from corvid.llm import (codes, hardneg, mixing, neardup, packing, pii, quality, repeats, rules,
+                        secrets, sharding, toxicity, vafile)
 from corvid.session import ship_package
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
@@ -21,11 +21,16 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_pii": pii.op8_pii,
     "op9_near_dups": neardup.op9_near_dups,
     "op10_mixing": mixing.op10_mixing,
+    "op11_codes": codes.op11_codes,
+    "op12_hard_negatives": hardneg.op12_hard_negatives,
+    "op13_toxicity": toxicity.op13_toxicity,
 }
 ORACLE: dict[str, str] = {
     "op3_vafile": vafile.SQL,
     "op7_shards": sharding.SQL,
     "op10_mixing": mixing.SQL,
+    "op11_codes": codes.SQL,
+    "op12_hard_negatives": hardneg.SQL,
 }
 
 
