@@ -11,7 +11,7 @@ k-means. What takes the time is the search for each part's nearest entry:
 * *Intersect.* A radius selects one range per dimension; the ANDed masks are
   exactly the entries in the cube around the part. Whatever lies within the
   radius (Euclidean) lies in the cube.
-* *Certainty.* The first radius is half the codebook's typical entry spacing.
+* *Certainty.* The first radius is one at which an entry's cube holds a few others.
   A part whose best candidate is no farther than the radius is done. The
   others widen their radius to that candidate's distance, or double it where
   the cube was empty, and try again; the nearest entry and every tie are then
@@ -51,9 +51,9 @@ PARTS, ENTRIES, ROUNDS, SCALE = 4, 256, 4, 1024
 #: Slices of a codebook's sums, added in parallel.
 SLICES = 16
 #: Differences (part, entry, dimension) computed at once.
-BATCH = 1 << 22
+BATCH = 1 << 20
 #: Largest component whose squared distances are exact in 64 bits.
-SAFE = 1 << 26
+SAFE = 1 << 22
 MOST = (1 << 63) - 1
 
 
@@ -77,8 +77,12 @@ class Slices:
         self.prefix = np.zeros((dim, n + 1, self.words), dtype=np.uint64)
         for d in range(dim):
             np.bitwise_or.accumulate(bit[self.order[:, d]], axis=0, out=self.prefix[d, 1:])
-        spread = sum(int(x) for x in (self.sorted[-1] - self.sorted[0])) if n and dim else 0
-        self.radius = max(1, spread // max(1, 2 * dim * 4))
+        self.radius = max(1, self._company()) if dim else 1
+
+    def _company(self, others: int = 12) -> int:
+        """The radius at which the cube around an entry typically holds ``others`` more."""
+        far = [np.sort(abs(self.entries - e).max(axis=1))[min(others, len(self.entries) - 1)] for e in self.entries]
+        return int(sorted(far)[len(far) // 2])
 
     def cube(self, x: np.ndarray, radius: np.ndarray) -> np.ndarray:
         """Masks of the entries within ``radius`` of ``x`` in every dimension."""
@@ -98,23 +102,35 @@ class Slices:
         todo, radius = np.arange(len(x)), np.full(len(x), self.radius, dtype=x.dtype)
         while len(todo):
             mask = self.cube(x[todo], radius)
-            member = np.unpackbits(mask.view(np.uint8), axis=1, bitorder="little")[:, :n]
-            row, entry = np.nonzero(member)
-            gap = x[todo[row]] - self.entries[entry]
-            far = (gap * gap).sum(axis=1)
-            # candidates come row by row, entries ascending: the first of the least wins
-            best = np.lexsort((entry, far, row))
-            first = best[np.flatnonzero(np.diff(row[best], prepend=-1))]
-            hit = row[first]
+            row, entry = np.nonzero(np.unpackbits(mask.view(np.uint8), axis=1, bitorder="little")[:, :n])
+            half = dim // 2 if len(row) > 1 << 12 else dim
+            far = _square(x[todo[row], :half], self.entries[entry, :half])
+            if half < dim:                  # what is beyond the radius already can't be a certain nearest
+                near = (far <= (radius * radius)[row]).astype(bool)
+                some = np.zeros(len(todo), bool)
+                some[row[near]] = True
+                near = np.flatnonzero(near | ~some[row])
+                row, entry = row[near], entry[near]
+                far = far[near] + _square(x[todo[row], half:], self.entries[entry, half:])
+            # candidates come row by row: the least (distance, entry) of each row
+            start = np.flatnonzero(np.diff(row, prepend=-1))
+            hit = row[start]
+            least = np.minimum.reduceat(far * n + entry, start) if len(row) else far
             sure = np.zeros(len(todo), bool)
-            sure[hit] = far[first] <= radius[hit] * radius[hit]
-            code[todo[hit]], error[todo[hit]] = entry[first], far[first]
+            sure[hit] = least // n <= radius[hit] * radius[hit]
+            code[todo[hit]], error[todo[hit]] = least % n, least // n
             radius = radius * 2
-            radius[hit] = [_root_up(f) for f in far[first]]
+            radius[hit] = [_root_up(f) for f in (least // n).tolist()]
             todo, radius = todo[~sure], radius[~sure]
         return code, error
 
 
+def _square(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """Squared distances row by row, exact in the arrays' own type."""
+    gap = a - b
+    return np.einsum("ij,ij->i", gap, gap) if gap.dtype != object else (gap * gap).sum(axis=1)
+
+
 def _root_up(square: int) -> int:
     """The least integer whose square is no smaller."""
     import math
