@@ -33,7 +33,7 @@ def match_key(c: Column) -> Column:
     return F.regexp_extract(F.upper(c), "^([A-Z0-9]+)", 1)
 
 
-def _month_number(text: Column) -> Column:
+def month_number(text: Column) -> Column:
     """1-12 from a Portuguese or English abbreviation, else NULL."""
     found = [F.array_position(F.array(*[F.lit(m) for m in names]), F.lower(text))
              for names in (PT_MONTHS, EN_MONTHS)]
@@ -51,8 +51,8 @@ def parse_date(s: Column, fmt: str, default_year: Column | None = None) -> Colum
         order = sorted("dMy", key=lambda c: fmt.find(c) if c in fmt else len(fmt))
         of = {c: F.get(parts, order.index(c)) for c in order}
         year = of["y"] if "y" in fmt else default_year.cast("string")
-        txt = F.concat_ws("-", year, _month_number(of["M"]).cast("string"), of["d"])
-        fits = (F.size(parts) == (3 if "y" in fmt else 2)) & _month_number(of["M"]).isNotNull()
+        txt = F.concat_ws("-", year, month_number(of["M"]).cast("string"), of["d"])
+        fits = (F.size(parts) == (3 if "y" in fmt else 2)) & month_number(of["M"]).isNotNull()
         return F.when(fits, F.try_to_date(txt, "yyyy-M-d"))
     if "y" not in fmt:
         return F.try_to_date(F.concat(default_year.cast("string"), F.lit("-"), s),
