@@ -1,16 +1,21 @@
-"""Bank files read without a profile (S3) and dates only the file decides."""
+"""Bank files read without a profile (S3), dates only the file decides (X13) and
+merchant rules that hold anywhere (J5)."""
 
 from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from corvid.functions.bank import CATEGORIES
 from corvid.operators import bank as B
-from corvid.operators.dates import resolve_dates
+from corvid.operators.dates import date_parts, order_vote, resolve_dates
+from corvid.operators.patterns import match_anywhere
 from corvid.plans import register
-from corvid.plans.bank_plans import GOLD_CTE, NOISE_CTE, NORM_CTE, _q, bank_files, gold
+from corvid.plans.bank_plans import (DESC_VALUES, GOLD_CTE, INITCAP_SQL, NOISE_CTE, NORM_CTE,
+                                     PAT_VALUES, _q, bank_files, gold)
 from corvid.session import fresh_dir
 from corvid.sources.bank_csv import PROFILES
 from corvid.sources.dialects import infer_dialects, read_any_bank_csv, read_lines, statement_year
+from corvid.sources.tables import load_table
 
 
 @register("bank_infer_read", f"""WITH {NOISE_CTE}
@@ -102,8 +107,55 @@ def q_bank_ambiguous_dates(spark, sf_dir):
         "file", "block", "place", F.get(cells, 0).alias("date_raw"), F.get(cells, 2).cast("bigint").alias("row_id"),
         F.regexp_extract("file", "family=([0-9]+)/", 1).cast("int").alias("family"),
         statement_year(F.col("file")).alias("year"))
-    from corvid.operators.dates import date_parts, order_vote
     vote = F.sum(order_vote(date_parts(F.col("date_raw"))))
     votes = rows.groupBy("file").agg(vote.alias("_v")).select(
         "file", F.when(F.col("_v") > 0, True).when(F.col("_v") < 0, False).alias("day_first"))
     return resolve_dates(rows.join(votes, "file")).select("row_id", "family", "date")
+
+
+# ---- J5: rules anywhere in the text -------------------------------------------------------
+
+def part_rules(spark, sf_dir):
+    """A rule table that grows with ``part``: names with their brand, names alone,
+    and the fixed rules."""
+    part = load_table(spark, sf_dir, "part")
+    cats = F.array(*[F.lit(c) for c in CATEGORIES])
+    with_brand = part.groupBy("p_name", "p_brand").agg(F.min("p_partkey").alias("k")).select(
+        F.concat_ws(" ", "p_name", "p_brand").alias("pattern"), F.col("p_brand").alias("merchant"),
+        F.element_at(cats, (F.col("k") % len(CATEGORIES) + 1).cast("int")).alias("category"), F.lit(1).alias("priority"))
+    alone = part.select("p_name").distinct().select(
+        F.col("p_name").alias("pattern"), F.initcap("p_name").alias("merchant"), F.lit("Shopping").alias("category"),
+        F.lit(5).alias("priority"))
+    return with_brand.unionByName(alone).unionByName(B.pattern_table(spark))
+
+
+@register("bank_merchant_anywhere", f"""WITH descs AS (SELECT * FROM (VALUES {DESC_VALUES}) t(i, description, m, c)),
+rules AS (
+  SELECT p_name || ' ' || p_brand AS pattern, p_brand AS merchant,
+         ({"[" + ", ".join(_q(c) for c in CATEGORIES) + "]"})[min(p_partkey) % {len(CATEGORIES)} + 1] AS category, 1 AS priority
+  FROM part GROUP BY p_name, p_brand
+  UNION ALL SELECT DISTINCT p_name, {INITCAP_SQL.format(c='p_name')}, 'Shopping', 5 FROM part
+  UNION ALL SELECT * FROM (VALUES {PAT_VALUES}) p(pattern, merchant, category, priority)),
+tx AS (SELECT l.l_orderkey, l.l_linenumber, CASE l.l_suppkey % 3
+         WHEN 0 THEN 'COMPRA ' || (l.l_suppkey % 10) || ' ' || upper(p.p_name) || ' ' || p.p_brand || ' LTDA'
+         WHEN 1 THEN 'PAG ' || p.p_type || ' ' || p.p_name ELSE 'CARTAO 77 ' || d.description END AS description
+       FROM lineitem l JOIN part p ON p.p_partkey = l.l_partkey JOIN descs d ON d.i = l.l_partkey % {len(B.DESCRIPTIONS)}),
+dd AS (SELECT DISTINCT description AS d FROM tx),
+best AS (SELECT d, merchant, category, pattern FROM (
+  SELECT *, row_number() OVER (PARTITION BY d ORDER BY priority, length(pattern) DESC, pattern, merchant, category) AS rn
+  FROM dd JOIN rules ON contains(upper(d), upper(pattern))) WHERE rn = 1)
+SELECT l_orderkey, l_linenumber, description, coalesce(merchant, {INITCAP_SQL.format(c='description')}) AS merchant,
+       coalesce(category, 'Other') AS category, pattern AS matched_pattern FROM tx LEFT JOIN best ON d = description""")
+def q_bank_merchant_anywhere(spark, sf_dir):
+    """Card texts with the shop somewhere in the middle, against a rule for each
+    name and brand there is; the oracle is the plain theta join."""
+    part = load_table(spark, sf_dir, "part").select("p_partkey", "p_name", "p_brand", "p_type")
+    l = load_table(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey")
+    j = l.join(part, F.col("l_partkey") == F.col("p_partkey"))
+    fixed = F.element_at(F.array(*[F.lit(d) for d, _, _ in B.DESCRIPTIONS]),
+                         (F.col("l_partkey") % len(B.DESCRIPTIONS) + 1).cast("int"))
+    kind = F.col("l_suppkey") % 3
+    text = (F.when(kind == 0, F.concat_ws(" ", F.lit("COMPRA"), F.col("l_suppkey") % 10, F.upper("p_name"), "p_brand", F.lit("LTDA")))
+            .when(kind == 1, F.concat_ws(" ", F.lit("PAG"), "p_type", "p_name")).otherwise(F.concat(F.lit("CARTAO 77 "), fixed)))
+    tx = j.select("l_orderkey", "l_linenumber", text.alias("description"))
+    return match_anywhere(spark, tx, "description", part_rules(spark, sf_dir))
