@@ -17,6 +17,8 @@ from corvid.functions.probs import argmax, label_name, round_score, softmax
 from corvid.functions.text import CLS, UNK, model_tokens
 
 WEIGHT_STEP = 8.0
+#: Number of a row within one plan.
+ROW = "_row"
 #: Rows of a vocabulary, that of the usual English WordPiece model.
 VOCAB_SIZE = 30_522
 
@@ -81,15 +83,17 @@ def logits(df: DataFrame, weights: DataFrame, id_cols: list[str],
            text_col: str = "text") -> DataFrame:
     """``(*id_cols, l0, l1)``: broadcast lookup of the bounded weight table, then
     a per-row sum. Partial aggregation collapses each row's tokens before the
-    shuffle, so only ``(id, l0, l1)`` crosses the network."""
-    toks = sequence_tokens(df, id_cols, text_col)
+    shuffle, so only ``(row, id, l0, l1)`` crosses the network. Rows are told
+    apart by a number of their own: rows that share an id stay rows."""
+    rows = df.withColumn(ROW, F.monotonically_increasing_id())
+    toks = sequence_tokens(rows, [ROW, *id_cols], text_col)
     whole = Window.partitionBy()    # the bounded table
     table = weights.select("*", *[F.max(F.when(F.col("token") == UNK, F.col(f"w{c}"))).over(whole).alias(f"_u{c}")
                                   for c in (0, 1)])
     # a row's [CLS] always meets the table and brings the weights of unknown tokens
     unknown = F.sum(F.when(F.col("w0").isNull(), 1).otherwise(0))
-    return (toks.join(F.broadcast(table), "token", "left").groupBy(*id_cols)
-            .agg(*[(F.sum(f"w{c}") + unknown * F.max(f"_u{c}")).alias(f"l{c}") for c in (0, 1)]))
+    return (toks.join(F.broadcast(table), "token", "left").groupBy(ROW, *id_cols)
+            .agg(*[(F.sum(f"w{c}") + unknown * F.max(f"_u{c}")).alias(f"l{c}") for c in (0, 1)]).drop(ROW))
 
 
 def predict_from_logits(lg: DataFrame, id_cols: list[str]) -> DataFrame:

@@ -13,7 +13,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from corvid.operators.score import score_texts
+from corvid.session import stored
 
+SEAT = "_seat"
 REQUEST_SCHEMA = "text string"
 BATCH_REQUEST_SCHEMA = "texts array<string>"
 PREDICTION = "struct<text:string,label:string,score:double,error:string>"
@@ -35,11 +37,18 @@ def parse_requests(df: DataFrame, json_col: str, schema: str = REQUEST_SCHEMA) -
                       .alias("error"))
 
 
+def numbered(requests: DataFrame) -> DataFrame:
+    """Requests with a number each (``SEAT``), stored: two requests may share an
+    id, and both readers of the table must see the same numbers."""
+    return stored(requests.withColumn(SEAT, F.monotonically_increasing_id()), "requests")
+
+
 def score_singles(requests: DataFrame, weights: DataFrame, id_col: str) -> DataFrame:
-    """``(id, text, label, score, error)`` of every request: those without an
-    error are scored, and the text rides along with its own row."""
-    scored = score_texts(requests.filter(F.col("error").isNull()), weights, [id_col])
-    return requests.join(scored.select(id_col, "label", "score"), id_col, "left")
+    """``(id, text, label, score, error)`` of every request, one answer each; those
+    without an error are scored, and only ``(label, score)`` is joined back."""
+    reqs = numbered(requests)
+    scored = score_texts(reqs.filter(F.col("error").isNull()), weights, [SEAT])
+    return reqs.join(scored.select(SEAT, "label", "score"), SEAT, "left").drop(SEAT)
 
 
 def to_responses(df: DataFrame, id_col: str) -> DataFrame:
@@ -56,14 +65,16 @@ def score_requests(requests: DataFrame, weights: DataFrame, id_col: str,
     Texts are exploded with their position and scored as rows; only the small
     ``(pos, label, score)`` triples are grouped per request (a request is the
     bound: its own ``texts`` are one row already), then looked up by position
-    (J1). A NULL text keeps its place, with an error instead of a label.
+    (J1). A NULL text keeps its place, with an error instead of a label. Requests
+    that share an id are answered one by one.
     """
-    items = (requests.select(id_col, F.posexplode_outer(texts_col).alias("pos", "text"))
+    reqs = numbered(requests)
+    items = (reqs.select(SEAT, F.posexplode_outer(texts_col).alias("pos", "text"))
              .filter(F.col("pos").isNotNull() & F.col("text").isNotNull()))
-    scored = score_texts(items, weights, [id_col, "pos"])
-    per_req = scored.groupBy(id_col).agg(F.map_from_entries(F.collect_list(
+    scored = score_texts(items, weights, [SEAT, "pos"])
+    per_req = scored.groupBy(SEAT).agg(F.map_from_entries(F.collect_list(
         F.struct("pos", F.struct("label", "score")))).alias("_p"))
-    joined = requests.join(per_req, id_col, "left")
+    joined = reqs.join(per_req, SEAT, "left")
     preds = F.transform(F.col(texts_col), lambda t, i: F.struct(
         t.alias("text"), F.col("_p")[i]["label"].alias("label"), F.col("_p")[i]["score"].alias("score"),
         F.when(t.isNull(), F.lit(NO_TEXT)).alias("error")))

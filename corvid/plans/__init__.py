@@ -24,7 +24,7 @@ def register(name: str, sql: str | None = None):
 
 
 def _load_all() -> None:
-    from corvid.plans import (bank_plans, chat_plans, infer_plans, ml_plans,  # noqa: F401
+    from corvid.plans import (bank_plans, chat_plans, epoch_plans, infer_plans, ml_plans,  # noqa: F401
                               score_plans, stream_plans, text_plans, udf_plans)
 
 

@@ -149,7 +149,8 @@ def q_best_epoch(spark, sf_dir):
 # ---- P6 / J1: batch requests -------------------------------------------------------
 
 REQUEST_SIZE = 8
-# Requests and texts that cannot be served, picked by document id.
+# Requests and texts that cannot be served: extra ones, beside the real documents
+# of these ids.
 NULL_TEXT = (13, 4)
 BROKEN = (17, 5)       # body cut off
 NO_FIELD = (19, 6)     # body without a text
@@ -165,10 +166,11 @@ def _rule(rule):
 
 
 @register("score_batch", f"""WITH {MODEL_CTE},
-req AS (SELECT doc_id // {REQUEST_SIZE} AS request_id, doc_id,
-               CASE WHEN {_hit(NULL_TEXT)} THEN NULL ELSE text END AS text,
-               row_number() OVER (PARTITION BY doc_id // {REQUEST_SIZE} ORDER BY doc_id) - 1 AS pos
-        FROM documents),
+texts AS (SELECT doc_id, 0 AS k, text FROM documents
+          UNION ALL SELECT doc_id, 1, NULL FROM documents WHERE {_hit(NULL_TEXT)}),
+req AS (SELECT doc_id // {REQUEST_SIZE} AS request_id, doc_id, text,
+               row_number() OVER (PARTITION BY doc_id // {REQUEST_SIZE} ORDER BY doc_id, k) - 1 AS pos
+        FROM texts),
 served AS (SELECT * FROM req WHERE text IS NOT NULL),
 {score_cte('served', 'request_id, pos')}
 SELECT CAST(request_id AS BIGINT) AS request_id, count(*) AS n_texts,
@@ -178,11 +180,12 @@ SELECT CAST(request_id AS BIGINT) AS request_id, count(*) AS n_texts,
                       printf('%.4f', round(greatest(p0, p1), 4)) END, chr(10) ORDER BY req.pos)) AS digest
 FROM req LEFT JOIN sm USING (request_id, pos) GROUP BY request_id""")
 def q_score_batch(spark, sf_dir):
-    docs = load_table(spark, sf_dir, "documents").withColumn(
-        "text", F.when(~_rule(NULL_TEXT), F.col("text")))
-    # Requests of at most REQUEST_SIZE texts, built from the table (bounded groups).
+    docs = load_table(spark, sf_dir, "documents")
+    extra = docs.filter(_rule(NULL_TEXT)).select("doc_id", F.lit(1).alias("k"), F.lit(None).cast("string").alias("text"))
+    docs = docs.select("doc_id", F.lit(0).alias("k"), "text").unionAll(extra)
+    # Requests of at most REQUEST_SIZE documents, built from the table (bounded groups).
     requests = (docs.groupBy(F.floor(F.col("doc_id") / REQUEST_SIZE).cast("bigint").alias("request_id"))
-                .agg(F.array_sort(F.collect_list(F.struct("doc_id", "text"))).alias("items"))
+                .agg(F.array_sort(F.collect_list(F.struct("doc_id", "k", "text"))).alias("items"))
                 .select("request_id", F.transform("items", lambda x: x["text"]).alias("texts")))
     out = score_requests(requests, model(spark, sf_dir), "request_id", "texts")
     line = F.transform("predictions", lambda p: F.coalesce(p["error"], F.concat_ws(
@@ -196,17 +199,17 @@ def q_score_batch(spark, sf_dir):
 
 @register("request_json", f"""WITH {MODEL_CTE},
 {score_cte('documents', 'doc_id')}
-SELECT doc_id, CASE
-    WHEN {_hit(NULL_BODY)} OR {_hit(BROKEN)} THEN '{{"error":"{BAD_JSON}"}}'
-    WHEN {_hit(NO_FIELD)} THEN '{{"error":"{NO_TEXT}"}}'
-    ELSE CAST(to_json({{'text': d.text,
+SELECT doc_id, CAST(to_json({{'text': d.text,
                        'label': CASE WHEN p1 > p0 THEN 'Positive' ELSE 'Negative' END,
-                       'score': round(greatest(p0, p1), 4)}}) AS VARCHAR) END AS response
-FROM sm JOIN documents d USING (doc_id)""")
+                       'score': round(greatest(p0, p1), 4)}}) AS VARCHAR) AS response
+FROM sm JOIN documents d USING (doc_id)
+UNION ALL SELECT -1 - doc_id, '{{"error":"{BAD_JSON}"}}' FROM documents WHERE {_hit(NULL_BODY)}
+UNION ALL SELECT -1 - doc_id, '{{"error":"{BAD_JSON}"}}' FROM documents WHERE {_hit(BROKEN)}
+UNION ALL SELECT -1 - doc_id, '{{"error":"{NO_TEXT}"}}' FROM documents WHERE {_hit(NO_FIELD)}""")
 def q_request_json(spark, sf_dir):
     docs = load_table(spark, sf_dir, "documents")
-    body = F.to_json(F.struct("text"))
-    body = (F.when(_rule(NULL_BODY), F.lit(None).cast("string")).when(_rule(BROKEN), F.lit('{"text": "cut'))
-            .when(_rule(NO_FIELD), F.lit('{"other": 1}')).otherwise(body))
-    reqs = parse_requests(docs.select("doc_id", body.alias("body")), "body")
+    bodies = docs.select("doc_id", F.to_json(F.struct("text")).alias("body"))
+    for rule, body in ((NULL_BODY, None), (BROKEN, '{"text": "cut'), (NO_FIELD, '{"other": 1}')):
+        bodies = bodies.unionAll(docs.filter(_rule(rule)).select(-1 - F.col("doc_id"), F.lit(body).cast("string")))
+    reqs = parse_requests(bodies, "body")
     return to_responses(score_singles(reqs, model(spark, sf_dir), "doc_id"), "doc_id")
