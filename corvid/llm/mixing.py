@@ -132,10 +132,13 @@ def fair_mix(docs: DataFrame, weights: Sequence[int], max_epochs: int = 3) -> Da
     taken = (running_total(timed.select("key", "source", "size", "h", "c", "e", "vf", "_r", "budget"),
                            [], "_r", ["vf", F.col("source").asc_nulls_last(), "h", "c"], "size", "before")
              .filter(F.col("before") + F.col("size") <= F.col("budget"))
-             .groupBy("h", "c").agg(F.count(F.lit(1)).alias("copies")))
-    taken = taken.select(F.col("h").alias("_h"), F.col("c").alias("_c"), "copies")
+             .groupBy("h", "c", "key", "source").agg(F.count(F.lit(1)).alias("copies")))
+    # the digest writes a null like a "~": the columns themselves tell them apart
+    taken = taken.select(*[F.col(c).alias(f"_{c}") for c in ("h", "c", "key", "source")], "copies")
     each = queue.withColumn("c", F.explode(F.sequence(F.lit(0).cast("long"), F.col("m") - 1)))
-    return (each.join(taken, (F.col("h") == F.col("_h")) & (F.col("c") == F.col("_c")), "left")
+    same = ((F.col("h") == F.col("_h")) & (F.col("c") == F.col("_c")) & F.col("key").eqNullSafe(F.col("_key"))
+            & F.col("source").eqNullSafe(F.col("_source")))
+    return (each.join(taken, same, "left")
             .select("key", "source", "size", "source_size", "target",
                     F.coalesce("copies", F.lit(0)).alias("copies")))
 
@@ -189,7 +192,8 @@ q AS (SELECT num.*, source_size, weight, target,
       FROM num JOIN tg ON num.source IS NOT DISTINCT FROM tg.source),
 ep AS (SELECT q.*, e, (e * source_size + cum)::DOUBLE / weight AS vf FROM q, range(3) t(e) WHERE size > 0),
 run AS (SELECT *, sum(size) OVER (ORDER BY vf, source ASC NULLS LAST, h, c ROWS UNBOUNDED PRECEDING) AS upto FROM ep),
-tk AS (SELECT h, c, sum(size)::BIGINT AS taken FROM run
-       WHERE upto <= (SELECT sum(size) FROM rows_) GROUP BY h, c)
-SELECT doc_id, size, source_size, target, coalesce(taken, 0)::BIGINT AS taken
-FROM q LEFT JOIN tk USING (h, c)"""
+tk AS (SELECT h, c, doc_id, source, sum(size)::BIGINT AS taken FROM run
+       WHERE upto <= (SELECT sum(size) FROM rows_) GROUP BY h, c, doc_id, source)
+SELECT q.doc_id, size, source_size, target, coalesce(taken, 0)::BIGINT AS taken
+FROM q LEFT JOIN tk ON q.h = tk.h AND q.c = tk.c AND q.doc_id IS NOT DISTINCT FROM tk.doc_id
+  AND q.source IS NOT DISTINCT FROM tk.source"""
