@@ -45,6 +45,9 @@ SPECIAL = "<|endoftext|>"
 #: only matters where two space characters meet.
 PLAIN = r"'(?:[sdmt]|ll|ve|re)| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+"
 TWO_GAPS = re.compile(r"\s\s")
+#: Space characters in a row from which on the look-ahead's stack may not do.
+LONG_GAP = 20_000
+_LONG_GAP = re.compile(rf"\s{{{LONG_GAP}}}")
 
 
 @functools.lru_cache(maxsize=2)
@@ -64,10 +67,11 @@ def token_ids(text: str, folder: str | None = None) -> list[int]:
     """Ids of the whole text, those of the ``tokenizers`` vocabulary file.
 
     The rank form of the same vocabulary gives the same ids several times
-    faster; texts naming the special token are left to the file itself.
+    faster; texts naming the special token, and those with very long gaps, are
+    left to the file itself.
     """
     own, plain, file = _encoders(folder)
-    if SPECIAL in text:
+    if SPECIAL in text or len(text) >= LONG_GAP and _LONG_GAP.search(text):
         return file.encode(text, add_special_tokens=False).ids
     return (own if TWO_GAPS.search(text) else plain).encode_ordinary(text)
 

@@ -24,6 +24,12 @@ def test_ids_are_the_files(text):
     assert packing.token_ids(text) == FILE.encode(text, add_special_tokens=False).ids
 
 
+@pytest.mark.parametrize("gap", [" ", "\n", " \t\r\n\u00a0"])
+def test_very_long_gaps(gap):
+    text = "a" + gap * (2_000_000 // len(gap)) + "b  c"
+    assert packing.token_ids(text) == FILE.encode(text, add_special_tokens=False).ids
+
+
 def test_special_string():
     text = "a <|endoftext|> b"
     assert packing.token_ids(text) == FILE.encode(text, add_special_tokens=False).ids
