@@ -49,15 +49,45 @@ WORDS = r"(?i)example|sample|placeholder|changeme|dummy|x{6,}|0123456789|abcdefg
 PART = r"[^/_=+-]++"
 
 
+#: Characters of a candidate scanned at once.
+PIECE = 256
+PLACES_ONLY = "array<struct<start:long,end:long>>"
+
+
 def _gain() -> Column:
     """``c * log2(c)`` for c from 0 to the window's length."""
     return F.array(*[F.lit(c * math.log2(c) if c else 0.0) for c in range(WINDOW + 1)])
 
 
 def entropy_windows(candidate: Column, threshold: Column) -> Column:
-    """``array<struct<start, end>>`` of the joined windows at the threshold."""
+    """``array<struct<start, end>>`` of the joined windows at the threshold.
+
+    A run is cut into pieces of ``PIECE`` characters, each read with the last
+    ``WINDOW - 1`` of the one before it: every window lies in one piece, a step
+    costs the same anywhere in a run, and the time grows with its length."""
+    pieces = F.regexp_extract_all(candidate, F.lit(f"(?s).{{1,{PIECE}}}"), F.lit(0))
+    pairs = F.arrays_zip(pieces.alias("p"), F.concat(F.array(F.lit("")), pieces).alias("before"))
+    # bound to the variables of a lambda each is computed once, not once a step
+    read = F.transform(F.filter(pairs, lambda x: x["p"].isNotNull()), lambda x, i: F.struct(
+        (i * PIECE - F.least(F.length(x["before"]), F.lit(WINDOW - 1))).cast("long").alias("offset"),
+        F.concat(F.substring(x["before"], 1 - WINDOW, WINDOW - 1), x["p"]).alias("text")))
+
+    def of(r: Column) -> Column:
+        return F.transform(_piece_windows(r["text"], threshold), lambda w: F.struct(
+            (r["offset"] + w["start"]).alias("start"), (r["offset"] + w["end"]).alias("end")))
+
+    def join(acc: Column, w: Column) -> Column:
+        last = F.get(acc, F.size(acc) - 1)
+        grown = F.concat(F.slice(acc, 1, F.greatest(F.size(acc) - 1, F.lit(0))),
+                         F.array(F.struct(last["start"].alias("start"), w["end"].alias("end"))))
+        return F.when(last.isNotNull() & (last["end"] >= w["start"]), grown).otherwise(F.concat(acc, F.array(w)))
+
+    return F.aggregate(F.flatten(F.transform(read, of)), F.array().cast(PLACES_ONLY), join)
+
+
+def _piece_windows(candidate: Column, threshold: Column) -> Column:
+    """The joined windows of one piece."""
     table = _gain()
-    spans = "array<struct<start:long,end:long>>"
 
     def count(window: Column, char: Column) -> Column:
         return F.length(window) - F.length(F.replace(window, char, F.lit("")))
@@ -84,7 +114,7 @@ def entropy_windows(candidate: Column, threshold: Column) -> Column:
         out = F.when(~hot, acc["out"]).when(last.isNotNull() & (last["end"] >= begin), grown).otherwise(added)
         return F.struct((total - leave).alias("sum"), out.alias("out"))
 
-    zero = F.struct(F.lit(0.0).alias("sum"), F.array().cast(spans).alias("out"))
+    zero = F.struct(F.lit(0.0).alias("sum"), F.array().cast(PLACES_ONLY).alias("out"))
     return F.aggregate(F.sequence(F.lit(1), F.length(candidate)), zero, step)["out"]
 
 
@@ -129,7 +159,7 @@ def clear_runs(m: Column, base: Column) -> Column:
 def entropy_spans(places: Column, base: Column) -> Column:
     """Spans of kind ``entropy`` in the candidates, clear of ``base`` spans."""
     def of(r: Column) -> Column:
-        return F.transform(entropy_windows(r["text"], _threshold(r["text"])), lambda w: F.struct(
+        return F.transform(entropy_windows(r["text"], r["least"]), lambda w: F.struct(
             (r["start"] + w["start"]).alias("start"), F.lit(4).alias("rank"), F.lit("entropy").alias("kind"),
             (r["start"] + w["end"]).alias("end")))
 
@@ -139,6 +169,8 @@ def entropy_spans(places: Column, base: Column) -> Column:
 
     whole = F.filter(places, lambda m: ~_allowed(m["text"]))
     suspects = F.filter(F.flatten(F.transform(whole, lambda m: clear_runs(m, base))), lambda r: ~allowed(r))
+    suspects = F.transform(suspects, lambda r: F.struct(
+        r["start"].alias("start"), r["text"].alias("text"), _threshold(r["text"]).alias("least")))
     return F.flatten(F.transform(suspects, of))
 
 

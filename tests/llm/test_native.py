@@ -84,6 +84,26 @@ def test_entropy_windows(spark):
         assert [[s.start, s.end] for s in out] == want, t
 
 
+def test_entropy_of_very_long_runs(spark):
+    """Time grows with the length, and the pieces give what one scan gives."""
+    import random
+    import time
+    rng = random.Random(9)
+    chars = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/"
+    mixed = "".join("".join(rng.choices(chars if i % 3 else "ab", k=rng.randrange(5, 90))) for i in range(60))
+    df = spark.createDataFrame([(mixed,)], "t string")
+    whole, pieces = df.select(secrets._piece_windows(F.col("t"), F.lit(3.6)), secrets.entropy_windows(F.col("t"), F.lit(3.6))).first()
+    assert len(mixed) > 4 * secrets.PIECE and len(whole) > 10 and [tuple(x) for x in whole] == [tuple(x) for x in pieces]
+    took = []
+    for n in (20_000, 80_000):
+        df = spark.createDataFrame([(1, "x " + "".join(rng.choices(chars, k=n)) + " y")], "doc_id long, text string")
+        began = time.time()
+        row = secrets.secret_spans(df).first()
+        took.append(time.time() - began)
+        assert row.added and sum(s.end - s.start for s in row.added) > 0.8 * n
+    assert took[1] < 8 * took[0] + 5
+
+
 def test_entropy_adds_and_allows(spark):
     texts = ["key k9Zx7Qp2LmK4vB8nT1cR5wY end", "id 123e4567-e89b-12d3-a456-426614174000 end",
              "num 12345678901234567890123 end", "see abcdefghijklmnopqrstuvwxyzabcd end", "EXAMPLEk9Zx7Qp2LmK4vB8nT1cR5wY"]
