@@ -8,65 +8,35 @@ largest lower bound are out. The rest have their exact vectors read in order
 of falling upper bound, until the k-th exact score is at least the next upper
 bound: nothing unread can enter the result, so it is exact.
 
-The stated query set meets all candidates in blocks: candidate blocks and
-query blocks are joined on a ``(query block, candidate block)`` pair key, so
-the work spreads over as many tasks as there are block pairs, and each pair
-returns at most ``k`` rows per query. Queries are bounded against their own
-block's candidates, and the union of the block winners holds the global ones.
+The stated query set meets all candidates in blocks: a candidate block is formed
+where its vectors are read and stays in one task with its part of the
+approximation file; the queries, a small share of the rows, are sent to every
+block and pass by in blocks of their own. What is shuffled grows with queries
+times candidate blocks, never with candidates times query blocks. Each meeting
+returns at most ``k`` rows per query, and their union holds the global winners.
 
 Defined cases: vectors that are null or hold null or non-finite components
 take no part, nor do empty ones; vectors of another dimension than the query
 are not compared; ties go to the smaller id; repeated rows are separate
-candidates; a query does not meet rows with its own id; an empty table gives
-no rows; extra columns are ignored.
+candidates and repeated queries, and a query leaves out its own row alone, not
+others of its id; an empty table gives no rows; extra columns are ignored.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterator
-
 import numpy as np
-import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from corvid.llm.hardneg import meet, numbered_blocks, packed
 from corvid.llm.spark_util import read_table, stored
 
-Q_BLOCK, C_BLOCK = 512, 4096
+Q_BLOCK, C_BLOCK = 256, 4096
 BITS = 6
 #: Candidates read exactly before the stopping test is repeated.
 READ_STEP = 32
 
 
-def _pack(pdfs: Iterator[pd.DataFrame], size: int, salt: str) -> Iterator[pd.DataFrame]:
-    """Rows of one dimension -> one row per ``size`` vectors (ids, matrix)."""
-    held: dict[int, list] = {}
-
-    def row(dim, items):
-        ids = np.array([i for i, _ in items], dtype=np.int64)
-        mat = np.stack([v for _, v in items]).astype(np.int64)
-        return {"dim": dim, "n": len(ids), "ids": ids.tobytes(), "mat": mat.tobytes()}
-
-    for pdf in pdfs:
-        out = []
-        for i, v in zip(pdf["vec_id"], pdf["v"]):
-            if pd.isna(i):
-                continue
-            got = held.setdefault(len(v), [])
-            got.append((i, np.asarray(v, dtype=np.int64)))
-            if len(got) == size:
-                out.append(row(len(v), got))
-                got.clear()
-        if out:
-            yield pd.DataFrame(out)
-    rest = [row(d, x) for d, x in held.items() if x]
-    if rest:
-        yield pd.DataFrame(rest)
-
-
-PACKED = "dim int, n int, ids binary, mat binary"
-
-
 def encode_cells(mat: np.ndarray, lo: np.ndarray, hi: np.ndarray, bits: int) -> np.ndarray:
     """Cell codes; cell ``c`` of a dimension covers ``cell_edges`` ``[c, c+1]``."""
     step = np.maximum(1, -(-(hi - lo + 1) // (1 << bits)))
@@ -87,8 +57,9 @@ def _exact_dtype(q: np.ndarray, c_lo: np.ndarray, c_hi: np.ndarray):
     return np.float64 if most < 2 ** 52 else object
 
 
-def search_block(q_ids, q, c_ids, codes, lo, hi, bits, read, k):
-    """Top-k of every query within one candidate block.
+def search_block(q_keys, q, c_ids, codes, lo, hi, bits, read, k, c_keys=None):
+    """Top-k of every query within one candidate block, the candidate with the
+    query's key (``c_keys``, else its id) left out.
 
     ``read(rows)`` returns exact candidate vectors; it is called only for
     candidates the bounds cannot exclude. Yields ``(query row, ids, scores)``.
@@ -99,8 +70,9 @@ def search_block(q_ids, q, c_ids, codes, lo, hi, bits, read, k):
     pos, neg = np.where(qq > 0, qq, 0), np.where(qq < 0, qq, 0)
     upper = pos @ high.T + neg @ low.T
     lower = pos @ low.T + neg @ high.T
-    for r in range(len(q_ids)):
-        ok = c_ids != q_ids[r]
+    c_keys = c_ids if c_keys is None else c_keys
+    for r in range(len(q_keys)):
+        ok = c_keys != q_keys[r]
         up, dn = upper[r][ok], lower[r][ok]
         at = np.flatnonzero(ok)
         if not len(at):
@@ -128,55 +100,36 @@ def search_block(q_ids, q, c_ids, codes, lo, hi, bits, read, k):
 
 def va_topk(vectors: DataFrame, queries: DataFrame, k: int, bits: int = BITS,
             q_block: int = Q_BLOCK, c_block: int = C_BLOCK) -> DataFrame:
-    """``(query_id, rank, vec_id, score)`` for integer vectors ``(vec_id, v array<long>)``."""
-    spark = vectors.sparkSession
-    empty = "query_id long, rank int, vec_id long, score long"
-    packed = stored(vectors.mapInPandas(lambda it: _pack(it, c_block, "c"), PACKED), "va-exact")
-    qs = stored(queries.repartition(1 + queries.count() // (8 * q_block))
-                .mapInPandas(lambda it: _pack(it, q_block, "q"), PACKED), "va-queries")
-    # per-dimension range: one row per (dimension count, dimension)
-    ranges = (vectors.select(F.size("v").alias("dim"), F.posexplode("v"))
+    """``(query_id, rank, vec_id, score)`` for integer vectors ``(vec_id, v array<long>)``.
+
+    Where both tables have a column ``row`` (a number no two rows share), a query
+    leaves out the candidate of its own ``row``, else those of its ``vec_id``."""
+    own = "row" if "row" in vectors.columns and "row" in queries.columns else "vec_id"
+    # blocks carry three numbers a vector: here its place, its id and its own key
+    place = F.monotonically_increasing_id().alias("row")
+    rows, asked = (stored(df.select(place, "vec_id", F.col(own).alias("label"), "v").filter("vec_id is not null"), name)
+                   for df, name in ((vectors, "va-rows"), (queries, "va-asked")))
+    # per-dimension range: one row per vector length
+    ranges = (rows.select(F.size("v").alias("dim"), F.posexplode("v"))
               .groupBy("dim", "pos").agg(F.min("col").alias("lo"), F.max("col").alias("hi"))
-              .groupBy("dim").agg(F.sort_array(F.collect_list(F.struct("pos", "lo", "hi"))).alias("r"))
-              .select("dim", F.col("r.lo").alias("lo"), F.col("r.hi").alias("hi")))
-
-    def to_codes(it):
-        for pdf in it:
-            codes = []
-            for dim, n, mat, lo, hi in zip(pdf["dim"], pdf["n"], pdf["mat"], pdf["lo"], pdf["hi"]):
-                m = np.frombuffer(mat, dtype=np.int64).reshape(n, dim)
-                codes.append(encode_cells(m, np.asarray(lo, np.int64), np.asarray(hi, np.int64), bits).tobytes())
-            yield pdf.assign(codes=codes)
-
-    blocks = (packed.join(F.broadcast(ranges), "dim")       # one row per vector length
-              .mapInPandas(to_codes, "dim int, n int, ids binary, mat binary, lo array<long>, "
-                                     "hi array<long>, codes binary"))
-    blocks = stored(blocks.withColumn("cb", F.monotonically_increasing_id()), "va-file")
-    qs = stored(qs.withColumn("qb", F.monotonically_increasing_id()), "va-qblocks")
-    pairs = (blocks.select("cb", "dim").join(qs.select("qb", "dim"), "dim"))
-
-    joined = (pairs.join(blocks.drop("dim"), "cb")
-              .join(qs.select("qb", F.col("n").alias("qn"), F.col("ids").alias("qids"),
-                              F.col("mat").alias("qmat")), "qb")
-              .repartition(F.col("cb"), F.col("qb")))
-
-    def search(it):
-        for pdf in it:
-            for p in pdf.itertuples(index=False):
-                c_ids = np.frombuffer(p.ids, np.int64)
-                exact = np.frombuffer(p.mat, np.int64).reshape(p.n, p.dim)
-                codes = np.frombuffer(p.codes, np.uint8).reshape(p.n, p.dim)
-                q_ids = np.frombuffer(p.qids, np.int64)
-                q = np.frombuffer(p.qmat, np.int64).reshape(p.qn, p.dim)
-                rows = [(q_ids[r], i, s) for r, ids, sc in search_block(
-                    q_ids, q, c_ids, codes, np.asarray(p.lo, np.int64), np.asarray(p.hi, np.int64),
-                    bits, lambda at, e=exact: e[at], k) for i, s in zip(ids, sc)]
-                yield pd.DataFrame({"query_id": [int(r[0]) for r in rows], "vec_id": [int(r[1]) for r in rows],
-                                    "score": [int(r[2]) for r in rows]})
-
-    best = joined.mapInPandas(search, "query_id long, vec_id long, score long")
-    from pyspark.sql import Window
-    w = Window.partitionBy("query_id").orderBy(F.col("score").desc(), "vec_id")
+              .groupBy("dim").agg(F.sort_array(F.collect_list(F.struct("pos", "lo", "hi"))).alias("r")).collect())
+    cells = {r["dim"]: (np.array([x["lo"] for x in r["r"]], np.int64), np.array([x["hi"] for x in r["r"]], np.int64))
+             for r in ranges}
+    cands = numbered_blocks(packed(rows, c_block), "va-file")
+    sent = numbered_blocks(packed(asked, q_block), "va-queries")
+
+    def search(q, c):
+        lo, hi = cells[q["mat"].shape[1]]
+        if "codes" not in c:            # the block's part of the approximation file
+            c["mat"] = c["mat"].astype(np.int64)
+            c["codes"] = encode_cells(c["mat"], lo, hi, bits)
+        exact = c["mat"]
+        return [(int(q["row"][r]), int(q["id"][r]), int(i), int(s)) for r, ids, scores in search_block(
+            q["label"], q["mat"].astype(np.int64), c["id"], c["codes"], lo, hi, bits, lambda at: exact[at], k, c["label"])
+            for i, s in zip(ids, scores)]
+
+    best = meet(cands, sent, search, "query_row long, query_id long, vec_id long, score long")
+    w = Window.partitionBy("query_row").orderBy(F.col("score").desc(), "vec_id")
     return (best.withColumn("rank", F.row_number().over(w)).filter(F.col("rank") <= k)
             .select("query_id", "rank", "vec_id", "score"))
 
@@ -189,18 +142,18 @@ def op3_vafile(spark, sf_dir: str) -> DataFrame:
     good = F.col("embedding").isNotNull() & (F.size("embedding") > 0) & F.forall(
         "embedding", lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < float("inf")))
     vectors = stored(raw.filter(good & F.col("vec_id").isNotNull()).select(
-        "vec_id", F.transform("embedding", lambda x: F.floor(x.cast("double") * 1024)).alias("v")),
+        F.monotonically_increasing_id().alias("row"), "vec_id", F.transform("embedding", lambda x: F.floor(x.cast("double") * 1024)).alias("v")),
         "va-vectors")
     return va_topk(vectors, vectors.filter(F.col("vec_id") % EVERY == 0), K)
 
 
 SQL = f"""WITH good AS (
-  SELECT vec_id, list_transform(embedding, lambda x: CAST(floor(x::DOUBLE * 1024) AS BIGINT)) AS v
+  SELECT row_number() OVER () AS r, vec_id, list_transform(embedding, lambda x: CAST(floor(x::DOUBLE * 1024) AS BIGINT)) AS v
   FROM embeddings WHERE vec_id IS NOT NULL AND len(embedding) > 0
     AND len(list_filter(embedding, lambda x: x IS NOT NULL AND isfinite(x))) = len(embedding)),
 sc AS (
-  SELECT q.vec_id AS query_id, c.vec_id, CAST(list_sum(list_transform(range(1, len(q.v) + 1),
+  SELECT q.r AS qr, q.vec_id AS query_id, c.vec_id, CAST(list_sum(list_transform(range(1, len(q.v) + 1),
       lambda i: q.v[i] * c.v[i])) AS BIGINT) AS score
-  FROM good q JOIN good c ON q.vec_id % {EVERY} = 0 AND c.vec_id <> q.vec_id AND len(q.v) = len(c.v)),
-rk AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS rank FROM sc)
+  FROM good q JOIN good c ON q.vec_id % {EVERY} = 0 AND c.r <> q.r AND len(q.v) = len(c.v)),
+rk AS (SELECT *, row_number() OVER (PARTITION BY qr ORDER BY score DESC, vec_id) AS rank FROM sc)
 SELECT query_id, CAST(rank AS INTEGER) AS rank, vec_id, score FROM rk WHERE rank <= {K}"""

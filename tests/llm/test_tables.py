@@ -141,6 +141,26 @@ def test_vectors_that_take_no_part(spark, tmp_path):
     assert [tuple(r) for r in vafile.op3_vafile(spark, str(tmp_path)).collect()] == [(0, 1, 1, 1024 * -308 + 2048 * 716)]
 
 
+def test_repeated_query_ids(spark, tmp_path):
+    """Rows that share an id are queries and candidates of their own."""
+    import duckdb
+    rng = random.Random(4)
+    rows = [(i % 400, [rng.uniform(-1, 1) for _ in range(5)], 1) for i in range(900)] + [(100, [0.5] * 5, 2)] * 3
+    path = f"{tmp_path}/embeddings.parquet"
+    spark.createDataFrame(rows, "vec_id long, embedding array<float>, row long").repartition(3).write.parquet(path)
+    con = duckdb.connect()
+    con.execute(f"CREATE VIEW embeddings AS SELECT * FROM read_parquet('{path}/*.parquet')")
+    got = vafile.op3_vafile(spark, str(tmp_path)).select("query_id", "rank", "vec_id", "score").collect()
+    assert sorted(map(tuple, got)) == sorted(con.sql(vafile.SQL).fetchall()) and len(got) == 10 * (3 + 3 + 2 + 3 + 2 - 1)
+
+
+def test_null_source_beside_tilde(spark):
+    df = spark.createDataFrame([(5, None, 10), (5, "~", 10), (None, "~", 10), (6, "a", 90)], "key long, source string, size long")
+    got = mixing.fair_mix(df, (5, 2, 1)).collect()
+    assert len(got) == 4 and all(0 <= r.copies <= 3 for r in got)
+    assert sum(r.copies * r.size for r in got) <= 120
+
+
 def test_empty_vectors(spark):
     df = spark.createDataFrame([], "vec_id long, v array<long>")
     assert vafile.va_topk(df, df, 10).collect() == []
