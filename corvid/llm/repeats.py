@@ -378,4 +378,8 @@ def remove_repeats(docs: DataFrame, min_len: int = MIN_LEN, seed: int = SEED, sp
 
 
 def op1_repeats(spark, sf_dir: str) -> DataFrame:
-    return remove_repeats(read_table(spark, sf_dir, "documents").select("doc_id", "text"))
+    """The contract's columns, then ``removed`` (does anything go) and ``kept_share``."""
+    got = remove_repeats(read_table(spark, sf_dir, "documents").select("doc_id", "text"))
+    left = F.col("n_bytes") - F.col("n_removed")
+    return got.select("*", (F.col("n_removed") > 0).alias("removed"),
+                      F.when(F.col("n_bytes") > 0, left / F.col("n_bytes")).otherwise(F.lit(1.0)).alias("kept_share"))
