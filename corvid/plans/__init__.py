@@ -24,7 +24,8 @@ def register(name: str, sql: str | None = None):
 
 
 def _load_all() -> None:
-    from corvid.plans import (bank_plans, chat_plans, epoch_plans, infer_plans, ml_plans,  # noqa: F401
+    from corvid.plans import (bank_plans, bundle_plans, chat_plans, class_plans,  # noqa: F401
+                              epoch_plans, infer_plans, ml_plans,
                               score_plans, stream_plans, text_plans, udf_plans)
 
 

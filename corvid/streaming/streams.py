@@ -55,6 +55,21 @@ def score_stream(spark: SparkSession, source: str, schema, weights_path: str, si
          .trigger(availableNow=True).start())
 
 
+def bundle_stream(spark: SparkSession, source: str, schema, bundle: str, sink: str, checkpoint: str,
+                  files_per_trigger: int = 1000) -> None:
+    """T1 with a model that may be swapped: each micro-batch asks for the newest
+    complete version once, and every row of it carries that version (``model``).
+    A batch that is replayed after a failure replaces its rows as a whole."""
+    from corvid.operators.bundle import score_bundle
+    stream = spark.readStream.schema(schema).option("maxFilesPerTrigger", files_per_trigger).parquet(source)
+
+    def each(batch: DataFrame, batch_id: int) -> None:
+        score_bundle(batch, bundle).drop("probs").write.mode("overwrite").parquet(f"{sink}/batch_id={batch_id}")
+
+    _run(stream.writeStream.foreachBatch(each).option("checkpointLocation", checkpoint)
+         .trigger(availableNow=True).start())
+
+
 QUITS = "conv_id bigint, quit_turn bigint"
 
 
