@@ -30,7 +30,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from corvid.llm.secrets import count_kind
-from corvid.llm.spans import PLACES, SPANS, joined, matches, overlaps, replaced
+from corvid.llm.spans import (FEW, PLACES, SPANS, block_text, blocks_of, cells_of, joined, let,
+                              match_parts, matches, meets, placed, replaced)
 from corvid.llm.spark_util import read_table, stored
 
 # fixed values: the base kinds. A match starts at the head of a run or where the
@@ -41,6 +42,9 @@ CARD = r"(?<![0-9])[0-9](?:[\x20-]?[0-9]){11,}+"
 PHONE = r"\+[0-9][\x20().0-9-]+[0-9]"
 KINDS = ("email", "ip", "card", "phone")
 
+#: Joins what is told apart as one string (Spark finds equal strings by hashing,
+#: equal structs by comparing all).
+CUT = "\u0001"
 REACH = 80
 DISCLOSURE, REMOVE, SUPPORT = 0.9, 0.999, 3
 CHAR = r"[\p{L}\p{M}\p{N}]"
@@ -100,28 +104,33 @@ def entity_rows(docs: DataFrame, text: str = "text", carry: tuple[Column, ...] =
 
 
 def near_terms(text: Column, found: Column) -> Column:
-    """Terms within ``REACH`` characters of each entity, with their places."""
-    size = F.length(text)
+    """Terms within ``REACH`` characters of each entity, with their places.
 
+    Texts with many entities are read block by block, and a term is compared
+    with the entities of its own stretch: the time grows with the text."""
     def words(part: Column, offset: Column, m: Column) -> Column:
         return F.transform(matches(part, TERM).cast(PLACES), lambda w: F.struct(
             m["kind"].alias("kind"), m["value"].alias("value"), F.lower(w["text"]).alias("term"),
             (offset + w["start"]).alias("start"), (offset + w["end"]).alias("end")))
 
-    def around(m: Column) -> Column:
+    def around(m: Column, b: Column) -> Column:
         # words cut by the edge of the reach or of the entity do not count
         begin = F.greatest(m["start"] - REACH, F.lit(0))
-        before = F.substring(text, (begin + 1).cast("int"), (m["start"] - begin).cast("int"))
+        before = block_text(b, begin, m["start"] - begin)
         cut = F.when(begin == 0, F.lit(0)).otherwise(F.length(F.regexp_extract(before, f"^{CHAR}*+", 0)))
         before = F.substring(before, (cut + 1).cast("int"), F.lit(REACH))
         before = F.when(m["text"].rlike(f"^{CHAR}"), F.regexp_replace(before, rf"(?<!{CHAR}){CHAR}++\z", "")).otherwise(before)
-        after = F.substring(text, (m["end"] + 1).cast("int"), F.lit(REACH))
-        after = F.when(m["end"] + REACH >= size, after).otherwise(F.regexp_replace(after, rf"(?<!{CHAR}){CHAR}++\z", ""))
+        after = block_text(b, m["end"], F.lit(REACH))
+        after = F.when(m["end"] + REACH >= b["size"], after).otherwise(F.regexp_replace(after, rf"(?<!{CHAR}){CHAR}++\z", ""))
         skip = F.when(m["text"].rlike(rf"{CHAR}\z"), F.length(F.regexp_extract(after, f"^{CHAR}*+", 0))).otherwise(0)
         after = F.substring(after, (skip + 1).cast("int"), F.lit(REACH))
-        return F.concat(words(before, begin + cut, m), words(after, m["end"] + skip, m))
+        return F.concat(let(F.struct(before.alias("t"), (begin + cut).alias("at")), lambda x: words(x["t"], x["at"], m)),
+                        let(F.struct(after.alias("t"), (m["end"] + skip).alias("at")), lambda x: words(x["t"], x["at"], m)))
 
-    return F.filter(F.flatten(F.transform(found, around)), lambda t: ~overlaps(t, found))
+    def clear(b: Column) -> Column:
+        return let(cells_of(found, b["size"]), lambda cells: F.filter(
+            F.flatten(F.transform(found, lambda m: around(m, b))), lambda t: ~meets(t, found, cells)))
+    return let(blocks_of(text, F.size(found) > FEW), clear)
 
 
 def disclosing(rows: DataFrame, docs: DataFrame, text: str = "text") -> DataFrame:
@@ -131,14 +140,16 @@ def disclosing(rows: DataFrame, docs: DataFrame, text: str = "text") -> DataFram
     """
     n = rows.count()
     near = (rows.filter(F.size("terms") > 0)
-            .select(F.explode(F.array_distinct(F.transform("terms", lambda t: F.struct(
-                t["kind"].alias("kind"), t["value"].alias("value"), t["term"].alias("term"))))).alias("p"))
-            .groupBy("p.kind", "p.value", "p.term").agg(F.count(F.lit(1)).alias("n_te"))
+            .select(F.explode(F.array_distinct(F.transform("terms", lambda t: F.concat_ws(
+                CUT, t["kind"], t["value"], t["term"])))).alias("p"))
+            .select(*[F.get(F.split("p", CUT), i).alias(c) for i, c in enumerate(("kind", "value", "term"))])
+            .groupBy("kind", "value", "term").agg(F.count(F.lit(1)).alias("n_te"))
             .filter(F.col("n_te") >= SUPPORT))
     near = stored(near, "near-terms")
-    entities = stored(rows.select("node", F.explode(F.array_distinct(F.transform("found", lambda m: F.struct(
-                    m["kind"].alias("kind"), m["value"].alias("value"))))).alias("p"))
-                      .groupBy("p.kind", "p.value").agg(F.count(F.lit(1)).alias("n_e")), "entity-counts")
+    entities = stored(rows.select(F.explode(F.array_distinct(F.transform("found", lambda m: F.concat_ws(
+                    CUT, m["kind"], m["value"])))).alias("p"))
+                      .select(F.get(F.split("p", CUT), 0).alias("kind"), F.get(F.split("p", CUT), 1).alias("value"))
+                      .groupBy("kind", "value").agg(F.count(F.lit(1)).alias("n_e")), "entity-counts")
     words = docs.select(F.explode(F.array_distinct(_words(F.coalesce(F.col(text), F.lit(""))))).alias("term"))
     # counted in each task before any shuffle, so that a frequent word is a few rows
     counts = words.groupBy("term").agg(F.count(F.lit(1)).alias("n_t"))
@@ -171,26 +182,26 @@ def _words(text: Column) -> Column:
 
 def term_places(text: Column, hits: Column) -> Column:
     """The places of the words of ``text`` that are terms of ``hits``, in order."""
-    parts = F.arrays_zip(F.regexp_extract_all(text, F.lit(TERM), F.lit(0)).alias("m"), F.split(text, TERM, -1).alias("gap"))
-    zero = F.struct(F.lit(0).cast("long").alias("at"), F.array().cast(ADDED).alias("out"))
-    share = F.map_from_entries(hits)
+    def of(share: Column) -> Column:
+        def one(begin: Column, end: Column, x: Column) -> Column:
+            return let(F.try_element_at(share, F.lower(x["m"])), lambda found: F.when(
+                found.isNull(), F.array().cast(ADDED)).otherwise(F.array(F.struct(
+                    begin.alias("start"), F.lit(5).alias("rank"), F.lit("term").alias("kind"), end.alias("end"),
+                    found.alias("share"))).cast(ADDED)))
 
-    def step(acc: Column, x: Column) -> Column:
-        begin = acc["at"] + F.length(x["gap"])
-        end = begin + F.length(x["m"])
-        found = F.try_element_at(share, F.lower(x["m"]))
-        one = F.struct(begin.cast("long").alias("start"), F.lit(5).alias("rank"), F.lit("term").alias("kind"),
-                       end.cast("long").alias("end"), found.alias("share"))
-        return F.struct(end.cast("long").alias("at"), F.when(found.isNull(), acc["out"])
-                        .otherwise(F.concat(acc["out"], F.array(one))).alias("out"))
-
-    # the last piece has no word behind it
-    return F.aggregate(F.filter(parts, lambda x: x["m"].isNotNull()), zero, step)["out"]
+        def shift(x: Column, off: Column) -> Column:
+            return F.struct((x["start"] + off).alias("start"), x["rank"].alias("rank"), x["kind"].alias("kind"),
+                            (x["end"] + off).alias("end"), x["share"].alias("share"))
+        return placed(match_parts(text, TERM), ADDED, one, shift)
+    return let(F.map_from_entries(hits), of)
 
 
 def clear_of(added: Column, found: Column) -> Column:
     """The places of terms outside entities."""
-    return F.filter(F.coalesce(added, F.array().cast(ADDED)), lambda t: ~overlaps(t, found))
+    terms = F.coalesce(added, F.array().cast(ADDED))
+    size = F.greatest(F.coalesce(F.array_max(F.transform(found, lambda m: m["end"])), F.lit(0)),
+                      F.coalesce(F.array_max(F.transform(terms, lambda t: t["end"])), F.lit(0)))
+    return let(cells_of(found, size), lambda cells: F.filter(terms, lambda t: ~meets(t, found, cells)))
 
 
 def _base(found: Column) -> Column:

@@ -172,6 +172,57 @@ def test_overlapping_entities(spark):
     assert got == ["at [EMAIL] now", "at [EMAIL] now", "at [CARD] now", "at [EMAIL] now"]
 
 
+def dump(rng, n):
+    """A mailing list: addresses, numbers and names, some of them overlapping."""
+    out = []
+    for i in range(n):
+        out += [rng.choice(["Ann", "bob", "of", "the list", "Zoë", "x" * rng.randrange(1, 9)]) + " ",
+                rng.choice([f"u{i}@mail{i % 7}.example.com", f"10.0.{i % 256}.{i % 99}", f"+49 151 {1000000 + i}",
+                            f"10.0.0.{i % 250}bob@corp.com", "plain words", "é" * 200 + f"a{i}@b.org"]), rng.choice([", ", "\n", ";"])]
+    return "".join(out)
+
+
+def test_many_entities_are_read_alike(spark, monkeypatch):
+    """Chunks, blocks and cells give what whole arrays and texts give."""
+    from corvid.llm import spans
+    rng = random.Random(11)
+    docs = spark.createDataFrame([(i, dump(rng, n)) for i, n in enumerate([0, 1, 20, 60, 300])], "doc_id long, text string")
+
+    def run():
+        rows = pii.entity_rows(docs, carry=(F.col("doc_id"),))
+        first = F.map_entries(F.map_from_entries(F.array_distinct(F.transform("terms", lambda t: F.struct(t["term"], F.lit(0.95))))))
+        hits = F.transform(first, lambda e: F.struct(e["key"].alias("term"), e["value"].alias("share")))
+        rows = rows.withColumn("places", pii.term_places(F.col("_text"), hits))
+        edits = F.array_sort(F.transform("found", lambda m: F.struct(
+            m["start"].alias("start"), (-m["end"]).alias("back"), m["end"].alias("end"), F.lit("[X]").alias("put"))))
+        return rows.select("doc_id", "found", "terms", "places", pii.clear_of(F.col("places"), F.col("found")).alias("clear"),
+                           spans.replaced(F.col("_text"), edits).alias("new")).orderBy("doc_id").collect()
+    big = run()
+    for name, value in (("FEW", 10 ** 6), ("CHUNK", 10 ** 6)):
+        monkeypatch.setattr(spans, name, value)
+    monkeypatch.setattr(pii, "FEW", 10 ** 6)
+    plain = run()
+    assert len(big[-1].found) > 150 and big == plain
+    for name, value in (("FEW", 0), ("CHUNK", 3), ("BLOCK", 64), ("COARSE", 512), ("FINE", 64)):
+        monkeypatch.setattr(spans, name, value)
+    monkeypatch.setattr(pii, "FEW", 0)
+    assert run() == plain
+
+
+def test_a_mailing_list_takes_time_with_its_length(spark):
+    import time
+    rng = random.Random(12)
+    took = []
+    for n in (1_500, 6_000):
+        text = dump(rng, n)
+        docs = spark.createDataFrame([(1, text), (2, "no one"), (3, None)], "doc_id long, text string")
+        began = time.time()
+        by = {r.doc_id: r.text for r in pii.sanitise(docs).collect()}
+        took.append(time.time() - began)
+        assert "@" not in by[1] and by[2] == "no one" and by[3] is None
+    assert took[1] < 6 * took[0] + 5
+
+
 def test_learned_rules(spark):
     rng = random.Random(2)
     stats = []
