@@ -139,6 +139,12 @@ def token_rows(turns: DataFrame) -> DataFrame:
     return rows.unionByName(bos)
 
 
+def all_tokens(turns: DataFrame) -> DataFrame:
+    """The tokens of ``token_rows`` alone, for counting: no places, no running sums."""
+    bos = turns.select("conv_id").distinct().select(F.lit(C.BOS).alias("token"))
+    return turns.select(F.explode(C.segment_tokens(F.col("role"), F.col("text"))).alias("token")).unionByName(bos)
+
+
 def pad_batches(rows: DataFrame, vocab: DataFrame, max_len: int, size: int, accumulate: int) -> DataFrame:
     """``token_rows`` -> sequences of at most ``max_len`` ids, in micro-batches
     of ``size`` padded on the right to the widest of the batch.

@@ -149,8 +149,8 @@ ci AS (SELECT cr.*, coalesce(token_id, 1) AS token_id FROM cr LEFT JOIN cv USING
 
 def chat_tokens(spark, sf_dir):
     """Token rows of all conversations and the vocabulary over them."""
-    rows = ops.token_rows(conversations(spark, sf_dir))
-    return rows, build_vocab(spark, rows, VOCAB_K)
+    turns = conversations(spark, sf_dir)
+    return ops.token_rows(turns), build_vocab(spark, ops.all_tokens(turns), VOCAB_K)
 
 
 @register("assistant_mask", f"""WITH {CHAT_ROWS_CTE}
