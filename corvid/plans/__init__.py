@@ -25,6 +25,7 @@ def register(name: str, sql: str | None = None):
 
 def _load_all() -> None:
     from corvid.plans import (bank_plans, bundle_plans, chat_plans, class_plans,  # noqa: F401
+                              generate_plans,
                               epoch_plans, infer_plans, ml_plans, piece_plans,
                               score_plans, stream_plans, text_plans, udf_plans)
 
