@@ -18,9 +18,14 @@ elsewhere, in another text or the same one.
    ``l + SEED + r >= MIN_LEN`` is a maximal repeat group; all its occurrences
    are reported. Context goes as far as the windows of the seed reach, so a
    repeat longer than a window is reported as the chain of its seeds' groups.
-3. *Hot buckets.* A seed with more than ``SPLIT`` occurrences is split by window
-   offset and content: each part is one interval of depth ``MIN_LEN``, found by
-   counting, so no task holds a hot bucket. Nothing is dropped.
+3. *Hot buckets.* A seed with more than ``SPLIT`` occurrences gives the same
+   groups without one task holding its bucket. Occurrences with equal context
+   are folded. A group that shares ``r`` bytes behind the seed belongs to one
+   part of the bucket, that of the window ending there; a part is ordered by the
+   text before its window alone. Parts with more than ``SPLIT`` contexts descend
+   the tree level by level in Spark: the least and the greatest text of a node
+   give its common prefix, its members go on to the child of their next byte,
+   until every node fits a task.
 
 Copies of one text are one node throughout; a text that occurs in several rows
 is a repeat as a whole.
@@ -45,7 +50,7 @@ from corvid.llm.spark_util import read_table, stored
 from corvid.llm.textbatch import RollingHash, chunks, rows_of, text_buffer
 
 MIN_LEN, SEED = 400, 128
-#: Occurrences of a seed that one task holds at most.
+#: Occurrences of a seed, or contexts of a tree node, that one task holds at most.
 SPLIT = 20_000
 #: Longest stretch of one text that is scanned at once.
 STRETCH = 8 << 20
@@ -169,6 +174,16 @@ def _buckets(batches: Iterator[pa.RecordBatch]) -> Iterator[list[tuple]]:
         yield held
 
 
+def _part(seed: bytes, left: bytes, right: bytes, r: int, need: int) -> bytes:
+    """Name of the window that ends ``r`` bytes behind the seed."""
+    return hashlib.blake2b(b"%b%d." % (seed, r) + left[:need - r] + right[:r], digest_size=16).digest()
+
+
+def _name(part: bytes, rest: bytes) -> bytes:
+    """Name of the group that shares a window and ``rest`` before it."""
+    return hashlib.md5(part + rest).digest()
+
+
 def _groups(need: int, seed: int, extents: bool) -> Callable:
     """Rows ``(seed, node, place, left, right)`` -> groups, or covered stretches."""
     def run(batches):
@@ -192,8 +207,8 @@ def _groups(need: int, seed: int, extents: bool) -> Callable:
                         for j, (l, r) in most.items() for i in places[j]]
             else:
                 for l, r, members in found:
-                    name = hashlib.blake2b(b"%b%d.%d." % (rows[0][0], l, r) + contexts[members[0]][0][:l]
-                                           + contexts[members[0]][1][:r], digest_size=16).digest()
+                    left, right = contexts[members[0]]
+                    name = _name(_part(rows[0][0], left, right, r, need), left[need - r:l])
                     out += [(rows[i][1], rows[i][2] - l, rows[i][2] + seed + r, name) for j in members for i in places[j]]
             if len(out) > 50_000:
                 yield _batch(out, extents)
@@ -261,18 +276,74 @@ def _contexts(min_len: int, seed: int) -> Callable:
     return run
 
 
-def _windows(min_len: int, seed: int) -> Callable:
-    """(text, places) of hot seeds -> every window of theirs, by its hash and its seed's."""
+def _fold(batches):
+    """Names the context of each occurrence."""
+    for batch in batches:
+        cols = [batch.column(i).to_pylist() for i in (0, 3, 4)]
+        names = [hashlib.blake2b(b"%b%d." % (s, len(l)) + l + r, digest_size=16).digest() for s, l, r in zip(*cols)]
+        yield batch.append_column("ctx", pa.array(names, pa.binary()))
+
+
+def _windows(need: int) -> Callable:
+    """(ctx, seed, left, right) -> its windows: (part, ctx, r, rest, next byte or -1)."""
     def run(batches):
         for batch in batches:
-            for node, raw, places in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), batch.column(2).to_pylist()):
-                rolling = RollingHash(np.frombuffer(zstandard.decompress(raw), np.uint8))
-                h, g = rolling.windows(min_len), rolling.windows(seed)
-                s = np.concatenate([np.arange((a >> 20) - (a & 1023), (a >> 20) - (a >> 10 & 1023) + 1) for a in places])
-                of = np.repeat([a >> 20 for a in places], [(a & 1023) - (a >> 10 & 1023) + 1 for a in places])
-                yield pa.RecordBatch.from_arrays([pa.array(h[s].view(np.int64)), pa.array(g[of].view(np.int64)),
-                                                  pa.array([node] * len(s), pa.binary()), pa.array(s)],
-                                                 names=["h", "g", "node", "start"])
+            out: list[tuple] = []
+            for ctx, seed, left, right in zip(*(c.to_pylist() for c in batch.columns)):
+                back = left[::-1]
+                for r in range(max(0, need - len(back)), len(right) + 1):
+                    out.append((_part(seed, back, right, r, need), ctx, r, back[need - r:],
+                                right[r] if r < len(right) else -1))
+                if len(out) > 20_000:
+                    yield _table(out, WINDOW)
+                    out = []
+            yield _table(out, WINDOW)
+    return run
+
+
+WINDOW = [("part", pa.binary()), ("ctx", pa.binary()), ("r", pa.int32()), ("rest", pa.binary()), ("next", pa.int32())]
+MEMBER = [("ctx", pa.binary()), ("l", pa.int32()), ("r", pa.int32()), ("group", pa.binary())]
+MEMBERS = "ctx binary, l int, r int, `group` binary"
+
+
+def _table(rows: list[tuple], fields) -> pa.RecordBatch:
+    cols = list(zip(*rows)) or [()] * len(fields)
+    return pa.RecordBatch.from_arrays([pa.array(c, t) for c, (_, t) in zip(cols, fields)], names=[n for n, _ in fields])
+
+
+def _whole(need: int) -> Callable:
+    """Contexts met more than once are groups of their own."""
+    def run(batches):
+        for batch in batches:
+            yield _table([(ctx, len(left), len(right), _name(_part(seed, left[::-1], right, len(right), need),
+                                                            left[::-1][need - len(right):]))
+                          for ctx, seed, left, right in zip(*(c.to_pylist() for c in batch.columns))], MEMBER)
+    return run
+
+
+def _common(batches):
+    """(key, least, most) -> (key, length of their common prefix)."""
+    for batch in batches:
+        key, least, most = (c.to_pylist() for c in batch.columns)
+        yield _table([(k, common(a, b)) for k, a, b in zip(key, least, most)], [("key", pa.binary()), ("d", pa.int32())])
+
+
+def _nodes(need: int) -> Callable:
+    """Rows (key, part, ctx, r, rest, next), one tree node after the other in
+    the order of ``rest`` -> members of its left- and right-diverse groups."""
+    def run(batches):
+        out: list[tuple] = []
+        for rows in _buckets(batches):
+            lcp = [common(rows[i][4], rows[i + 1][4]) for i in range(len(rows) - 1)]
+            for d, a, z in intervals(lcp, 0):
+                after = [row[5] for row in rows[a:z + 1]]
+                if min(after) == -1 or min(after) != max(after):
+                    name, r = _name(rows[a][1], rows[a][4][:d]), rows[a][3]
+                    out += [(row[2], need - r + d, r, name) for row in rows[a:z + 1]]
+            if len(out) > 50_000:
+                yield _table(out, MEMBER)
+                out = []
+        yield _table(out, MEMBER)
     return run
 
 
@@ -314,13 +385,47 @@ def _covered(found: DataFrame, min_len: int, seed: int, extents: bool = True) ->
             .mapInArrow(_groups(min_len - seed, seed, extents), schema))
 
 
-def _hot_windows(found: DataFrame, min_len: int, seed: int) -> DataFrame:
-    rows = stored(found.filter(F.size("hot") > 0).select("node", "raw", "hot")
-                  .mapInArrow(_windows(min_len, seed), "h long, g long, node binary, start long"), "hot-windows")
-    one = F.xxhash64("node", "start")
-    again = stored(rows.groupBy("h", "g").agg(F.min(one).alias("lo"), F.max(one).alias("hi"))
-                   .filter("lo <> hi").select("h", "g"), "hot-again")
-    return rows.join(again, ["h", "g"]).select("node", "start", (F.col("start") + min_len).alias("end"), "h", "g")
+def _by_key(rows: DataFrame, split: int) -> DataFrame:
+    """Rows of tree nodes with two members or more, with ``hot``: more than ``split``."""
+    sizes = rows.groupBy("key").agg(F.count(F.lit(1)).alias("m")).filter("m > 1")
+    return stored(rows.join(sizes, "key").withColumn("hot", F.col("m") > split).drop("m"), "tree-level")
+
+
+def _hot_groups(found: DataFrame, min_len: int, seed: int, split: int) -> DataFrame:
+    """Groups of seeds with more than ``split`` occurrences: ``(node, start, end, group)``."""
+    need = min_len - seed
+    context = "seed binary, node binary, place long, left binary, right binary"
+    occ = stored(found.filter(F.size("hot") > 0).select("node", "raw", "hot").mapInArrow(_contexts(min_len, seed), context)
+                 .mapInArrow(_fold, context + ", ctx binary"), "hot-places")
+    if occ.isEmpty():
+        return occ.sparkSession.createDataFrame([], "node binary, start long, end long, `group` binary")
+    ctxs = stored(occ.groupBy("ctx").agg(*[F.first(c).alias(c) for c in ("seed", "left", "right")],
+                                         F.count(F.lit(1)).alias("n")), "hot-contexts")
+    kept = ctxs.filter((F.octet_length("left") + F.octet_length("right")) >= need)
+    out = kept.filter("n > 1").select("ctx", "seed", "left", "right").mapInArrow(_whole(need), MEMBERS)
+    rows = (kept.select("ctx", "seed", "left", "right")
+            .mapInArrow(_windows(need), "part binary, ctx binary, r int, rest binary, next int"))
+    level = _by_key(rows.select(F.col("part").alias("key"), "*"), split)
+    for _ in range(need + 1):               # each level reads one more byte at least
+        small = level.filter("NOT hot").drop("hot")
+        out = out.unionByName(small.repartition("key").sortWithinPartitions("key", "rest", "ctx")
+                              .mapInArrow(_nodes(need), MEMBERS))
+        hot = level.filter("hot").drop("hot")
+        if hot.isEmpty():
+            break
+        node = stored(hot.groupBy("key").agg(F.min("rest").alias("least"), F.max("rest").alias("most"),
+                                             F.min("next").alias("a"), F.max("next").alias("z")), "tree-nodes")
+        deep = node.select("key", "least", "most").mapInArrow(_common, "key binary, d int")
+        hot = stored(hot.join(deep.join(node.select("key", "a", "z"), "key"), "key"), "tree-hot")
+
+        def prefix(n):
+            return F.unhex(F.md5(F.concat("part", F.substring("rest", F.lit(1), n))))
+        out = out.unionByName(hot.filter("a = -1 OR a <> z").select(
+            "ctx", (need - F.col("r") + F.col("d")).alias("l"), "r", prefix(F.col("d")).alias("group")))
+        level = _by_key(hot.filter(F.octet_length("rest") > F.col("d"))
+                        .withColumn("key", prefix(F.col("d") + 1)).drop("a", "z", "d"), split)
+    return out.join(occ.select("ctx", "node", "place"), "ctx").select(
+        "node", (F.col("place") - F.col("l")).alias("start"), (F.col("place") + seed + F.col("r")).alias("end"), "group")
 
 
 def repeat_groups(docs: DataFrame, min_len: int = MIN_LEN, seed: int = SEED, split: int = SPLIT) -> DataFrame:
@@ -328,8 +433,7 @@ def repeat_groups(docs: DataFrame, min_len: int = MIN_LEN, seed: int = SEED, spl
     occurrence; ``node`` is the md5 of the text, places are in bytes."""
     found, _ = _meeting(docs, min_len, seed, split)
     one = _covered(found, min_len, seed, extents=False).distinct()
-    hot = _hot_windows(found, min_len, seed).select(
-        "node", "start", "end", F.unhex(F.md5(F.concat_ws(".", "h", "g"))).alias("group")).distinct()
+    hot = _hot_groups(found, min_len, seed, split).distinct()
     return one.unionByName(hot).select("group", "node", "start", "end")
 
 
@@ -360,7 +464,7 @@ def remove_repeats(docs: DataFrame, min_len: int = MIN_LEN, seed: int = SEED, sp
     """``(doc_id, n_bytes, n_removed, n_spans, kept_sha256)`` of every row."""
     found, texts = _meeting(docs, min_len, seed, split)
     spans = (_covered(found, min_len, seed)
-             .unionByName(_hot_windows(found, min_len, seed).select("node", "start", "end"))
+             .unionByName(_hot_groups(found, min_len, seed, split).select("node", "start", "end"))
              .groupBy("node").agg(F.collect_set(F.struct("start", "end")).alias("spans")))
     spans = spans.join(texts, "node").select("node", "raw", "spans").mapInArrow(
         _rest, "node binary, n_removed long, n_spans long, kept_sha256 string")

@@ -92,3 +92,23 @@ def test_documents_with_production_parameters(spark):
     got = {r.doc_id: (r.n_bytes, r.n_removed, r.n_spans, r.kept_sha256) for r in repeats.op1_repeats(spark, SF_SMALL).collect()}
     assert [got[r.doc_id] for r in rows] == brute([r.text for r in rows], repeats.MIN_LEN)
     assert any(0 < g[1] < g[0] for g in got.values())
+
+
+def occurrences(spark, texts, split):
+    """Every maximal group as the set of its occurrences, by name."""
+    df = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "doc_id long, text string").repartition(3)
+    groups = defaultdict(set)
+    for r in repeats.repeat_groups(df, 24, 8, split).collect():
+        groups[bytes(r.group)].add((bytes(r.node), r.start, r.end))
+    return dict(groups)
+
+
+@pytest.mark.parametrize("seed,split", [(5, 3), (6, 1), (7, 8)])
+def test_groups_do_not_depend_on_the_split(spark, seed, split):
+    texts = corpus(seed)
+    rng = random.Random(seed)
+    line = "a line that stands in every page of the site"      # hot, with varied surroundings
+    texts += ["".join(rng.choice("ab") for _ in range(rng.randint(0, 20))) + line
+              + "".join(rng.choice("ab") for _ in range(rng.randint(0, 20))) for _ in range(40)]
+    want = occurrences(spark, texts, 20_000)
+    assert len(want) > 100 and occurrences(spark, texts, split) == want
