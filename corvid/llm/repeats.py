@@ -53,7 +53,11 @@ MIN_LEN, SEED = 400, 128
 #: Occurrences of a seed, or contexts of a tree node, that one task holds at most.
 SPLIT = 20_000
 #: Longest stretch of one text that is scanned at once.
-STRETCH = 8 << 20
+STRETCH = 1 << 20
+#: Bytes of short texts that are scanned at once.
+SCAN = 1 << 18
+#: Texts whose places or stretches are Python objects at once.
+TEXTS = 256
 LOW = np.uint64((1 << 24) - 1)
 
 
@@ -240,7 +244,7 @@ def _seed_rows(min_len: int, seed: int) -> Callable:
         seen: set[bytes] = set()
         for batch in batches:
             data, off = text_buffer(batch.column(0))
-            for lo, hi, d, o in chunks(data, off):
+            for lo, hi, d, o in chunks(data, off, SCAN):
                 raw = d.tobytes()
                 names = [hashlib.md5(raw[o[i]:o[i + 1]]).digest() for i in range(hi - lo)]
                 fresh = np.array([o[i + 1] - o[i] >= min_len and not (n in seen or seen.add(n)) for i, n in enumerate(names)])
@@ -255,35 +259,38 @@ def _seed_rows(min_len: int, seed: int) -> Callable:
     return run
 
 
-def _contexts(min_len: int, seed: int) -> Callable:
-    """(text, places) -> (seed, node, place, left, right)."""
+CONTEXT = [("seed", pa.binary()), ("node", pa.binary()), ("place", pa.int64()), ("left", pa.binary()), ("right", pa.binary()),
+           ("ctx", pa.binary())]
+CONTEXTS = "seed binary, node binary, place long, left binary, right binary"
+
+
+def _contexts(min_len: int, seed: int, named: bool = False) -> Callable:
+    """(text, places) -> (seed, node, place, left, right), a few texts at a
+    time; ``named`` adds ``ctx``, the name of the context."""
     need = min_len - seed
+    fields = CONTEXT if named else CONTEXT[:-1]
 
     def run(batches):
+        out: list[tuple] = []
         for batch in batches:
-            out: list[tuple] = []
-            for node, raw, places in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), batch.column(2).to_pylist()):
-                text = zstandard.decompress(raw)
-                for at in places:
-                    p, least, most = at >> 20, at >> 10 & 1023, at & 1023
-                    end = p + seed
-                    out.append((hashlib.blake2b(text[p:end], digest_size=16).digest(), node, p,
-                                text[p - most:p], text[end:end + need - least]))
-            cols = list(zip(*out)) or [()] * 5
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(c, t) for c, t in zip(cols, (pa.binary(), pa.binary(), pa.int64(), pa.binary(), pa.binary()))],
-                names=["seed", "node", "place", "left", "right"])
+            for i in range(0, len(batch), TEXTS):
+                for node, raw, places in zip(*(c.to_pylist() for c in batch.slice(i, TEXTS).columns)):
+                    text = zstandard.decompress(raw)
+                    for at in places:
+                        p, least, most = at >> 20, at >> 10 & 1023, at & 1023
+                        end = p + seed
+                        name, left, right = hashlib.blake2b(text[p:end], digest_size=16).digest(), text[p - most:p], text[end:end + need - least]
+                        row = (name, node, p, left, right)
+                        if named:
+                            row += (hashlib.blake2b(b"%b%d." % (name, most) + left + right, digest_size=16).digest(),)
+                        out.append(row)
+                        if len(out) >= 10_000:
+                            yield _table(out, fields)
+                            out = []
+        yield _table(out, fields)
     return run
 
 
-def _fold(batches):
-    """Names the context of each occurrence."""
-    for batch in batches:
-        cols = [batch.column(i).to_pylist() for i in (0, 3, 4)]
-        names = [hashlib.blake2b(b"%b%d." % (s, len(l)) + l + r, digest_size=16).digest() for s, l, r in zip(*cols)]
-        yield batch.append_column("ctx", pa.array(names, pa.binary()))
-
-
 def _windows(need: int) -> Callable:
     """(ctx, seed, left, right) -> its windows: (part, ctx, r, rest, next byte or -1)."""
     def run(batches):
@@ -379,7 +386,7 @@ def _meeting(docs: DataFrame, min_len: int, seed: int, split: int) -> tuple[Data
 
 def _covered(found: DataFrame, min_len: int, seed: int, extents: bool = True) -> DataFrame:
     rows = (found.filter(F.size("places") > 0).select("node", "raw", "places")
-            .mapInArrow(_contexts(min_len, seed), "seed binary, node binary, place long, left binary, right binary"))
+            .mapInArrow(_contexts(min_len, seed), CONTEXTS))
     schema = "node binary, start long, end long" + ("" if extents else ", `group` binary")
     return (rows.repartition("seed").sortWithinPartitions("seed", "node", "place")
             .mapInArrow(_groups(min_len - seed, seed, extents), schema))
@@ -394,9 +401,8 @@ def _by_key(rows: DataFrame, split: int) -> DataFrame:
 def _hot_groups(found: DataFrame, min_len: int, seed: int, split: int) -> DataFrame:
     """Groups of seeds with more than ``split`` occurrences: ``(node, start, end, group)``."""
     need = min_len - seed
-    context = "seed binary, node binary, place long, left binary, right binary"
-    occ = stored(found.filter(F.size("hot") > 0).select("node", "raw", "hot").mapInArrow(_contexts(min_len, seed), context)
-                 .mapInArrow(_fold, context + ", ctx binary"), "hot-places")
+    occ = stored(found.filter(F.size("hot") > 0).select("node", "raw", "hot")
+                 .mapInArrow(_contexts(min_len, seed, named=True), CONTEXTS + ", ctx binary"), "hot-places")
     if occ.isEmpty():
         return occ.sparkSession.createDataFrame([], "node binary, start long, end long, `group` binary")
     ctxs = stored(occ.groupBy("ctx").agg(*[F.first(c).alias(c) for c in ("seed", "left", "right")],
@@ -439,9 +445,9 @@ def repeat_groups(docs: DataFrame, min_len: int = MIN_LEN, seed: int = SEED, spl
 
 def _rest(batches):
     """(node, text, stretches) -> what is left of the text."""
-    for batch in batches:
+    for batch in (whole.slice(i, TEXTS) for whole in batches for i in range(0, len(whole), TEXTS)):
         out = []
-        for node, raw, spans in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), batch.column(2).to_pylist()):
+        for node, raw, spans in zip(*(c.to_pylist() for c in batch.columns)):
             text, runs = zstandard.decompress(raw), []
             for s in sorted((s["start"], s["end"]) for s in spans):
                 if runs and s[0] <= runs[-1][1]:
@@ -455,9 +461,8 @@ def _rest(batches):
                 at = z
             left.update(text[at:])
             out.append((node, sum(z - a for a, z in runs), len(runs), left.hexdigest()))
-        cols = list(zip(*out)) or [()] * 4
-        yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(cols, (pa.binary(), pa.int64(), pa.int64(), pa.string()))],
-                                         names=["node", "n_removed", "n_spans", "kept_sha256"])
+        yield _table(out, [("node", pa.binary()), ("n_removed", pa.int64()), ("n_spans", pa.int64()),
+                           ("kept_sha256", pa.string())])
 
 
 def remove_repeats(docs: DataFrame, min_len: int = MIN_LEN, seed: int = SEED, split: int = SPLIT) -> DataFrame:
