@@ -33,31 +33,39 @@ def conversations(spark, sf_dir):
     return load_table(spark, sf_dir, "conversations")
 
 
-# ---- terminal input derived from the conversation table ------------------------
-# The table has no blank or "quit" turns; the interactive rules need them, so a
-# deterministic share of user turns is rewritten into such inputs.
+# ---- terminal input: the conversations and what is typed between their turns ----
+# The table has no blank or "quit" turns, which the interactive rules are about.
+# All its turns stay as they are, with room between their numbers; inputs of
+# these kinds are added behind some user turns, picked by their ids.
+
+ROOM = 5
+NBSP = "\u00a0"
+
 
 def terminal_inputs(turns):
-    user = F.col("role") == "user"
     cid, t = F.col("conv_id"), F.col("turn")
     quit_text = (F.when(F.pmod(cid, F.lit(3)) == 0, F.lit("quit"))
                  .when(F.pmod(cid, F.lit(3)) == 1, F.lit("  QUIT "))
-                 .otherwise(F.lit(" Quit ")))
-    text = (F.when(user & (F.pmod(cid * 31 + t * 7, F.lit(9)) == 0), F.lit("   "))
-            .when(user & (F.pmod(cid * 17 + t * 5, F.lit(11)) == 0), quit_text)
-            .when(user & (F.pmod(cid * 13 + t * 3, F.lit(17)) == 0), F.lit("quit now"))
-            .otherwise(F.col("text")))
-    return turns.withColumn("text", text)
-
-
-INPUTS_CTE = """inp AS (
-  SELECT conv_id, turn, role,
-         CASE WHEN role = 'user' AND (conv_id * 31 + turn * 7) % 9 = 0 THEN ' ' || chr(160) || ' '
-              WHEN role = 'user' AND (conv_id * 17 + turn * 5) % 11 = 0 THEN
+                 .otherwise(F.lit(f" Quit{NBSP}")))
+    added = F.array(
+        F.when(F.pmod(cid * 31 + t * 7, F.lit(9)) == 0, F.struct(F.lit(1).alias("at"), F.lit(f" {NBSP} ").alias("text"))),
+        F.when(F.pmod(cid * 13 + t * 3, F.lit(17)) == 0, F.struct(F.lit(2).alias("at"), F.lit("quit now").alias("text"))),
+        F.when(F.pmod(cid * 17 + t * 5, F.lit(11)) == 0, F.struct(F.lit(3).alias("at"), quit_text.alias("text"))))
+    real = F.struct(F.lit(0).alias("at"), F.col("text"))
+    inputs = F.when(F.col("role") == "user", F.concat(F.array(real), F.array_compact(added))).otherwise(F.array(real))
+    return (turns.select("conv_id", "turn", "role", F.explode(inputs).alias("input"))
+            .select("conv_id", (t * ROOM + F.col("input.at")).alias("turn"), "role", F.col("input.text").alias("text")))
+
+
+INPUTS_CTE = f"""inp AS (
+  SELECT conv_id, turn * {ROOM} AS turn, role, text FROM conversations
+  UNION ALL SELECT conv_id, turn * {ROOM} + 1, role, ' ' || chr(160) || ' ' FROM conversations
+  WHERE role = 'user' AND (conv_id * 31 + turn * 7) % 9 = 0
+  UNION ALL SELECT conv_id, turn * {ROOM} + 2, role, 'quit now' FROM conversations
+  WHERE role = 'user' AND (conv_id * 13 + turn * 3) % 17 = 0
+  UNION ALL SELECT conv_id, turn * {ROOM} + 3, role,
                    CASE conv_id % 3 WHEN 0 THEN 'quit' WHEN 1 THEN '  QUIT ' ELSE ' Quit' || chr(160) END
-              WHEN role = 'user' AND (conv_id * 13 + turn * 3) % 17 = 0 THEN 'quit now'
-              ELSE text END AS text
-  FROM conversations)"""
+  FROM conversations WHERE role = 'user' AND (conv_id * 17 + turn * 5) % 11 = 0)"""
 
 DROP_BLANK_CTE = INPUTS_CTE + f""",
 nb AS (
