@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from corvid.operators import metrics, ml
 from corvid.plans import register
 from corvid.plans.common import LAB_CTE, labelled
-from corvid.session import fresh_dir
+from corvid.session import fresh_dir, stored
 from corvid.sources.tables import split_filter
 
 REG_GRID = [0.0, 0.01, 0.1]
@@ -75,8 +75,10 @@ def q_train_category(spark, sf_dir):
     valid, _ = B.split_valid(normalized(spark, sf_dir))
     g = gold(spark, sf_dir).select("row_id", F.col("gold_category").alias("label"),
                                    F.col("description").alias("gold_description"))
-    data = (valid.join(g, "row_id").withColumn("text", F.col("description"))
-            .withColumn("split", F.when(F.col("gold_description").isin(HELD_DESCRIPTIONS), "test").otherwise("train")))
+    split = F.when(F.col("gold_description").isin(HELD_DESCRIPTIONS), "test").otherwise("train")
+    # stored: the fit, the scores and the shares don't read the files again
+    data = stored(valid.join(g, "row_id").select(F.col("description").alias("text"), "label", split.alias("split")),
+                  "category-rows")
     fitted = ml.category_classifier().fit(split_filter(data, "train"))
     names = F.array(*[F.lit(x) for x in fitted.stages[3].labels])
     pred = fitted.transform(data).withColumn(
