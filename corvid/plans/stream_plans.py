@@ -63,8 +63,12 @@ def prompt_arrivals(spark, turns, orders):
     base = fresh_dir(spark, "stream-prompts")
     chunk = F.pmod(F.col("turn"), F.lit(N_CHUNKS))
     for order in orders:
+    seen = 0
         S.stage_files(turns, f"{base}/in", chunk, N_CHUNKS, order=order)
-        P.prompt_stream(spark, f"{base}/in", turns.schema, f"{base}/out", f"{base}/ckpt", files_per_trigger=1)
+        files = S.n_files(spark, f"{base}/in")
+        P.prompt_stream(spark, f"{base}/in", turns.schema, f"{base}/out", f"{base}/ckpt",
+                        files_per_trigger=S.files_each(files - seen, len(order)))
+        seen = files
     return P.emitted(spark, f"{base}/out")
 
 

@@ -18,6 +18,7 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -68,7 +69,8 @@ def _advance(key: tuple, batches: Iterator[pd.DataFrame], state: GroupState) ->
                 if kind == ASK:
                     out.append((key[0], nxt, chars + added, fp))
             nxt += 1
-        yield pd.DataFrame(out, columns=["conv_id", "turn", "prompt_chars", "prompt_fp"]).astype("int64")
+        if out:
+            yield pd.DataFrame(np.array(out, "int64"), columns=["conv_id", "turn", "prompt_chars", "prompt_fp"])
     state.update((closed, nxt, chars, fp, [x for t in sorted(held) for x in (t, *held[t])]))
 
 

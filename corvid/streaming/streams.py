@@ -33,6 +33,16 @@ def stage_files(df: DataFrame, path: str, chunk_col, n_chunks: int,
     return path
 
 
+def n_files(spark: SparkSession, path: str) -> int:
+    return len(spark.read.parquet(path).inputFiles())
+
+
+def files_each(files: int, batches: int) -> int:
+    """Files a micro-batch takes, so that ``files`` are read in at most
+    ``batches``: an arrival of many files is one micro-batch, not many."""
+    return max(1, -(-files // batches))
+
+
 def _run(query) -> None:
     query.awaitTermination()
     if query.exception() is not None:
