@@ -176,7 +176,8 @@ def statement_year(file: Column) -> Column:
 def parse_lines(lines: DataFrame, dialects: DataFrame) -> DataFrame:
     """Lines -> raw cells by role, ``corrupt`` where the line does not fit, the
     dialect's columns beside them. Headers go, every other line stays."""
-    j = lines.join(dialects, "file", "left").filter(F.col("header").isNull() | (F.col("line") != F.col("header")))
+    # a row a file, as the driver's own list of them: no file meets whole in one task
+    j = lines.join(F.broadcast(dialects), "file", "left").filter(F.col("header").isNull() | (F.col("line") != F.col("header")))
     text = F.when(F.col("encoding") == "ISO-8859-1", F.decode(F.col("line").cast("binary"), "ISO-8859-1")).otherwise(F.col("line"))
     text = F.regexp_replace(text, "^﻿", "")
     j = j.withColumn("_text", text).withColumn("_cells", split_cells(F.col("_text"), F.col("sep")))
@@ -204,6 +205,8 @@ def read_any_bank_csv(spark: SparkSession, root: str) -> DataFrame:
     along = resolve_dates(rows.filter(need), year="_year")
     fits = F.col("corrupt").isNull()
     amount = F.when(F.col("decimal_mark") == ",", parse_amount(F.col("amount_raw"), ",", "."))
+    # stored: the passes over the files that are followed read cells, not lines
+    rows = stored(rows, "bank-cells")
     amount = amount.otherwise(parse_amount(F.col("amount_raw"), ".", ","))
     cols = ["file", "id_raw", "date_raw", "description_raw", "amount_raw", "corrupt", "date", "decimal_mark", "_year"]
     both = here.select(*cols).unionByName(along.select(*cols))
