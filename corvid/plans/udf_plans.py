@@ -28,14 +28,30 @@ def _tokens(texts: pd.Series, pattern: str) -> tuple[np.ndarray, np.ndarray]:
     return flat.filter(full), np.bincount(row[full.to_numpy(zero_copy_only=False)], minlength=len(texts))
 
 
+#: Characters of text that are tokenized at once; a longer text is a part of its own.
+PART_CHARS = 1 << 20
+
+
+def _parts(texts: pd.Series, limit: int = PART_CHARS) -> Iterator[pd.Series]:
+    """``texts`` in parts of whole texts: the token columns of a part, not those
+    of the whole batch, are in memory at once."""
+    ends = np.concatenate([[0], np.cumsum(texts.str.len().fillna(0).to_numpy(), dtype=np.int64)])
+    lo = 0
+    while lo < len(texts):
+        hi = max(lo + 1, int(np.searchsorted(ends, ends[lo] + limit, "right")) - 1)
+        yield texts.iloc[lo:hi]
+        lo = hi
+
+
 def _tokenize_batch(pdf: pd.DataFrame) -> pd.DataFrame:
-    flat, n = _tokens(pdf["text"], WORD_SPLIT)
-    ends = np.concatenate([[0], np.cumsum(n)]).astype(np.int32)
-    joined = pc.binary_join(pa.ListArray.from_arrays(pa.array(ends), flat), " ")
-    return pd.DataFrame({
-        "doc_id": pdf["doc_id"], "n_tokens": n.astype("int64"),
-        "tokens_md5": [hashlib.md5(t.encode()).hexdigest() for t in joined.to_pylist()],
-    })
+    counts, digests = [], []
+    for texts in _parts(pdf["text"]):
+        flat, n = _tokens(texts, WORD_SPLIT)
+        ends = np.concatenate([[0], np.cumsum(n)]).astype(np.int32)
+        joined = pc.binary_join(pa.ListArray.from_arrays(pa.array(ends), flat), " ")
+        counts += n.tolist()
+        digests += [hashlib.md5(t.encode()).hexdigest() for t in joined.to_pylist()]
+    return pd.DataFrame({"doc_id": pdf["doc_id"], "n_tokens": np.array(counts, "int64"), "tokens_md5": digests})
 
 
 @register("udf_map_batched")
@@ -86,7 +102,8 @@ def model_udf(spark, weights):
     def score(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
         table = bc.value  # set up once per task, before the loop
         cls, unk = table[CLS], table[UNK]
-        for texts in batches:
+
+        def scored(texts: pd.Series) -> pd.DataFrame:
             spaced = pc.replace_substring_regex(pa.array(texts.fillna(""), pa.string()), MODEL_MARK, r" \0 ")
             flat, n = _tokens(spaced.to_pandas(), "[ \t\n\r\f]+")
             coded = flat.dictionary_encode()
@@ -97,7 +114,11 @@ def model_udf(spark, weights):
             m = np.maximum(l0, l1)
             e0, e1 = np.exp(l0 - m), np.exp(l1 - m)
             p0, p1 = e0 / (e0 + e1), e1 / (e0 + e1)
-            yield pd.DataFrame({"pred": (p1 > p0).astype("int32"), "prob": np.maximum(p0, p1)})
+            return pd.DataFrame({"pred": (p1 > p0).astype("int32"), "prob": np.maximum(p0, p1)})
+
+        none = pd.DataFrame({"pred": np.empty(0, "int32"), "prob": np.empty(0)})
+        for texts in batches:
+            yield pd.concat([none, *map(scored, _parts(texts))], ignore_index=True)
     return score
 
 
