@@ -85,7 +85,8 @@ def scores(docs: DataFrame, rows: DataFrame, weights: DataFrame, s: Schedule) ->
 
 def step(docs: DataFrame, rows: DataFrame, weights: DataFrame, s: Schedule) -> DataFrame:
     """The weights after one mini-batch ``(docs, rows)``."""
-    err = scores(docs, rows, weights, s).select("doc_id", (F.col("label") * ONE - F.col("p")).alias("err"))
+    # stored: the bias step and the gradients read the same scores
+    err = stored(scores(docs, rows, weights, s).select("doc_id", (F.col("label") * ONE - F.col("p")).alias("err")), "epoch-err")
     size = err.agg(F.count(F.lit(1)).alias("_c"), F.coalesce(F.sum("err"), F.lit(0)).alias("_e"))    # one row
     grads = (rows.join(err, "doc_id").select("token", exact_floor(f"(err * tf * {s.gain})", "n").alias("g"))
              .groupBy("token").agg(F.sum("g").alias("g")))
@@ -110,7 +111,8 @@ def train_epochs(labelled: DataFrame, s: Schedule = Schedule()) -> tuple[DataFra
         for b in range(s.batches):
             w = step(train.filter(F.col("batch") == b), rows.filter(F.col("batch") == b), w, s)
         kept.append(w)
-        row = epoch_metrics(scores(docs, rows, w, s)).select(F.lit(epoch).alias("epoch"), "*")
+        scored = stored(scores(docs, rows, w, s).select("split", "label", "pred", "p"), "epoch-scores")   # read twice
+        row = epoch_metrics(scored).select(F.lit(epoch).alias("epoch"), "*")
         history = row if history is None else history.unionByName(row)
     return stored(history, "epoch-history"), kept, rows
 
