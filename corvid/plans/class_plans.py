@@ -11,6 +11,7 @@ from corvid.operators.classes import GRAM, predict_classes, train_classes
 from corvid.plans import register
 from corvid.plans.bank_plans import NORM_CTE, _q, gold, normalized
 from corvid.plans.ml_plans import HELD_DESCRIPTIONS
+from corvid.session import stored
 
 _HELD = ", ".join(_q(d) for d in HELD_DESCRIPTIONS)
 _PRED = rf"""WITH {NORM_CTE},
@@ -35,9 +36,10 @@ pr AS (SELECT row_id, split, label, predicted, score FROM dat JOIN bs USING (tex
 def predictions(spark, sf_dir):
     valid, _ = B.split_valid(normalized(spark, sf_dir))
     g = gold(spark, sf_dir).select("row_id", F.col("gold_category").alias("label"), F.col("description").alias("gold_description"))
-    data = valid.join(g, "row_id").select(
+    # stored: training, the distinct texts and the result don't read the files again
+    data = stored(valid.join(g, "row_id").select(
         "row_id", clean_text(F.col("description")).alias("text"), "label",
-        F.when(F.col("gold_description").isin(HELD_DESCRIPTIONS), "test").otherwise("train").alias("split"))
+        F.when(F.col("gold_description").isin(HELD_DESCRIPTIONS), "test").otherwise("train").alias("split")), "category-rows")
     weights, classes = train_classes(data.filter(F.col("split") == "train"))
     return predict_classes(data, weights, classes)
 
