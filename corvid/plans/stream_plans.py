@@ -35,7 +35,8 @@ def chat_arrivals(spark, sf_dir, order):
     base = fresh_dir(spark, "stream-chat")
     chunk = F.pmod(F.col("turn"), F.lit(N_CHUNKS))
     src = S.stage_files(inputs, f"{base}/in", chunk, N_CHUNKS, order=order)
-    S.chat_stream(spark, src, inputs.schema, f"{base}/out", f"{base}/ckpt", files_per_trigger=1)
+    S.chat_stream(spark, src, inputs.schema, f"{base}/out", f"{base}/ckpt",
+                  files_per_trigger=S.files_each(S.n_files(spark, src), len(order)))
     return S.chat_state(spark, f"{base}/out", inputs.schema).select("conv_id", "turn", "role", "text")
 
 
@@ -62,8 +63,8 @@ def prompt_arrivals(spark, turns, orders):
     the stream (same checkpoint) for each order; a chunk may come again."""
     base = fresh_dir(spark, "stream-prompts")
     chunk = F.pmod(F.col("turn"), F.lit(N_CHUNKS))
-    for order in orders:
     seen = 0
+    for order in orders:
         S.stage_files(turns, f"{base}/in", chunk, N_CHUNKS, order=order)
         files = S.n_files(spark, f"{base}/in")
         P.prompt_stream(spark, f"{base}/in", turns.schema, f"{base}/out", f"{base}/ckpt",
