@@ -37,6 +37,18 @@ FORMS = (
 )
 
 
+#: Blocks a task gets on average; the number of tasks grows with the rows.
+BLOCKS_EACH = 4
+
+
+def by_block(rows: DataFrame, file: str, block: str, blocks: int) -> DataFrame:
+    """``rows`` dealt by block: what a task sorts doesn't grow with the input. A
+    few blocks are left to the session's own number of partitions."""
+    n = -(-blocks // BLOCKS_EACH)
+    few = n <= int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return rows if few else rows.repartition(n, file, block)
+
+
 def _none() -> Column:
     return F.lit(None).cast("int")
 
@@ -94,7 +106,7 @@ def _key(parts: Column, day_first: bool) -> Column:
 READINGS = {"dm": True, "md": False}
 
 
-def _steps(rows: DataFrame, file: str, block: str, order: str, keys: dict[str, Column]) -> DataFrame:
+def _steps(rows: DataFrame, file: str, block: str, order: str, keys: dict[str, Column], n_blocks: int = 0) -> DataFrame:
     """Per file and reading: steps up and down between neighbouring dated rows."""
     inside = Window.partitionBy(file, block).orderBy(order)
     aggs = []
@@ -103,7 +115,7 @@ def _steps(rows: DataFrame, file: str, block: str, order: str, keys: dict[str, C
         aggs += [F.sum((key > prev).cast("long")).alias(f"_up_{name}"), F.sum((key < prev).cast("long")).alias(f"_down_{name}"),
                  F.min_by(key, F.when(key.isNotNull(), F.col(order))).alias(f"_first_{name}"),
                  F.max_by(key, F.when(key.isNotNull(), F.col(order))).alias(f"_last_{name}")]
-    keyed = rows.select(file, block, order, *[k.alias(f"_k_{n}") for n, k in keys.items()])
+    keyed = by_block(rows.select(file, block, order, *[k.alias(f"_k_{n}") for n, k in keys.items()]), file, block, n_blocks)
     before = [F.last(f"_k_{n}", ignorenulls=True).over(inside.rowsBetween(Window.unboundedPreceding, -1)).alias(f"_p_{n}")
               for n in keys]
     return keyed.select("*", *before).groupBy(file, block).agg(*aggs)
@@ -121,13 +133,13 @@ def _joined(blocks: DataFrame, file: str, block: str, names) -> DataFrame:
 
 
 def solve_files(rows: DataFrame, file: str = "file", block: str = "block", order: str = "place",
-                parts: str = "parts", vote: str = "day_first") -> DataFrame:
+                parts: str = "parts", vote: str = "day_first", n_blocks: int = 0) -> DataFrame:
     """One row a file: ``file, day_first, direction`` (1 up, -1 down, 0 unsorted).
 
     ``vote`` is what impossible months say (NULL: nothing). An undecided file is
     read the way that breaks its order least, day first on a tie."""
     keys = {n: _key(F.col(parts), d) for n, d in READINGS.items()}
-    blocks = _joined(_steps(rows, file, block, order, keys), file, block, READINGS)
+    blocks = _joined(_steps(rows, file, block, order, keys, n_blocks), file, block, READINGS)
     total = blocks.groupBy(file).agg(*[F.sum(f"_{w}_{n}").alias(f"{w}_{n}") for n in READINGS for w in ("up", "down")])
     votes = rows.groupBy(file).agg(F.first(vote, ignorenulls=True).alias("_vote"))
     breaks = {n: F.least(f"up_{n}", f"down_{n}") for n in READINGS}
@@ -147,9 +159,11 @@ def resolve_dates(rows: DataFrame, file: str = "file", block: str = "block", ord
     the running count of roll-overs inside a block, and those of the blocks
     before it, joined by ``(file, block)``."""
     parsed = rows.withColumn("_parts", date_parts(F.col(text)))
-    solved = (solve_files(parsed, file, block, order, "_parts", vote)
+    n_blocks = rows.select(file, block).distinct().count()
+    solved = (solve_files(parsed, file, block, order, "_parts", vote, n_blocks)
               .withColumnRenamed("day_first", "_day_first").withColumnRenamed("direction", "_direction"))
-    t = parsed.drop(vote).join(solved, file)
+    # a row a file, as the driver's own list of them: no file meets whole in one task
+    t = by_block(parsed.drop(vote).join(F.broadcast(solved), file), file, block, n_blocks)
     no_year = F.struct(F.col("_parts.a").alias("a"), F.col("_parts.b").alias("b"), _none().alias("year"),
                        F.col("_parts.open").alias("open"))
     t = t.withColumn("_md", F.when(F.col("_day_first"), _key(no_year, True)).otherwise(_key(no_year, False)))

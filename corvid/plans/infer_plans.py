@@ -110,7 +110,8 @@ def q_bank_ambiguous_dates(spark, sf_dir):
     vote = F.sum(order_vote(date_parts(F.col("date_raw"))))
     votes = rows.groupBy("file").agg(vote.alias("_v")).select(
         "file", F.when(F.col("_v") > 0, True).when(F.col("_v") < 0, False).alias("day_first"))
-    return resolve_dates(rows.join(votes, "file")).select("row_id", "family", "date")
+    # votes: a row a file, as the driver's own list of them
+    return resolve_dates(rows.join(F.broadcast(votes), "file")).select("row_id", "family", "date")
 
 
 # ---- J5: rules anywhere in the text -------------------------------------------------------

@@ -29,6 +29,8 @@ from corvid.session import stored
 
 # The separators that are tried, the preferred one first.
 SEPARATORS = (",", ";", "\t", "|")
+#: Lines of a block: what is followed row by row in one window.
+BLOCK_LINES = 1 << 17
 _CUT = "\u0001"
 _CENTS = r"\d{1,2}[)]?$"
 _SIGN = r"^[(]?\s*[-−]?\s*(?:\p{Lu}{0,3}[$€£])?\s*[-−]?\s*"
@@ -40,12 +42,16 @@ COUNTED = ("c", "d", "Pp", "Qq", "Nn", "ypqn")
 
 
 def read_lines(spark: SparkSession, root: str) -> DataFrame:
-    """Every line below ``root`` as bytes: ``file, block, place, line``. ``block``
-    is the part of the file a task has read, ``place`` grows along it."""
+    """Every line below ``root`` as bytes: ``file, block, place, line``. ``place``
+    grows along the part of the file a task has read; ``block`` is a piece of such
+    a part, of at most ``BLOCK_LINES`` lines, and grows along the file."""
     meta = F.col("_metadata")
+    place = F.monotonically_increasing_id()
     return (spark.read.option("recursiveFileLookup", "true").text(root)
-            .select(meta["file_path"].alias("file"), meta["file_block_start"].alias("block"),
-                    F.monotonically_increasing_id().alias("place"), F.col("value").alias("line"))
+            .select(meta["file_path"].alias("file"), meta["file_block_start"].alias("_start"),
+                    place.alias("place"), F.col("value").alias("line"))
+            .select("file", F.struct("_start", F.floor(F.col("place") / BLOCK_LINES).alias("_piece")).alias("block"),
+                    "place", "line")
             .filter(F.length(F.trim("line")) > 0))
 
 
@@ -199,14 +205,14 @@ def read_any_bank_csv(spark: SparkSession, root: str) -> DataFrame:
     lines = read_lines(spark, root)
     dialects = stored(infer_dialects(lines), "dialects")         # one row a file
     rows = parse_lines(lines, dialects).withColumn("_year", statement_year(F.col("file")))
+    # stored: the passes over the files that are followed read cells, not lines
+    rows = stored(rows, "bank-cells")
     need = F.coalesce(F.col("yearless") | F.col("open_order"), F.lit(False))
     here = (rows.filter(~need).withColumn("_parts", date_parts(F.col("date_raw")))
             .withColumn("date", make_date(F.col("_parts"), F.coalesce("day_first", F.lit(True)), F.col("_year"))))
     along = resolve_dates(rows.filter(need), year="_year")
     fits = F.col("corrupt").isNull()
     amount = F.when(F.col("decimal_mark") == ",", parse_amount(F.col("amount_raw"), ",", "."))
-    # stored: the passes over the files that are followed read cells, not lines
-    rows = stored(rows, "bank-cells")
     amount = amount.otherwise(parse_amount(F.col("amount_raw"), ".", ","))
     cols = ["file", "id_raw", "date_raw", "description_raw", "amount_raw", "corrupt", "date", "decimal_mark", "_year"]
     both = here.select(*cols).unionByName(along.select(*cols))
