@@ -4,6 +4,8 @@ functions, windows and repeated reads."""
 from __future__ import annotations
 
 import os
+import random
+from collections import Counter
 
 import pandas as pd
 import pyarrow as pa
@@ -169,3 +171,22 @@ def test_pairs_are_zipped_without_a_function_a_token(spark):
     out = ops.next_token_pairs(df, "id", "t")
     assert sorted(map(tuple, out.collect())) == [(1, 0, "a", "b"), (1, 1, "b", "c")]
     assert "lambdafunction" not in scans(out)
+
+
+@pytest.mark.parametrize("at_once", [1 << 20, 1])
+def test_followers_are_counted_once_and_ranked_in_parts(spark, monkeypatch, at_once):
+    monkeypatch.setattr(ops, "FOLLOWERS", at_once, raising=False)
+    rng = random.Random(at_once)
+    words = ["a", "b", "B", "é", "", "zz", "\U0001f600", "\uffff", None]
+    rows = [(rng.choice(words[:2] if i % 3 else words), rng.choice(words)) for i in range(400)]
+    out = ops.next_token_topk(spark.createDataFrame(rows, "token string, next_token string").repartition(7), 3)
+    assert scans(out).count("partial_count(1)") == 1
+    code = lambda w: b"" if w is None else b"x" + w.encode()  # noqa: E731 nulls first, then by bytes
+    want = []
+    for token in {t for t, _ in rows if t is not None}:
+        of = Counter(n for t, n in rows if t == token)
+        best = sorted(of.items(), key=lambda x: (-x[1], code(x[0])))[:3]
+        want += [(token, n, c, round(c / sum(of.values()), 6), i + 1) for i, (n, c) in enumerate(best)]
+    order = lambda r: (r[0], r[4])
+    assert sorted(map(tuple, out.collect()), key=order) == sorted(want, key=order)
+    assert out.columns == ["token", "next_token", "cnt", "share", "rank"]
