@@ -30,6 +30,10 @@ elsewhere, in another text or the same one.
 Copies of one text are one node throughout; a text that occurs in several rows
 is a repeat as a whole.
 
+The same method on words in place of bytes finds passages: every word becomes
+``CODE`` letters of its hash, and strings of ``MIN_WORDS`` words are looked for.
+A passage of short words has fewer than ``MIN_LEN`` bytes and is told, not removed.
+
 Defined cases: null and empty texts have no bytes; texts below ``MIN_LEN``
 bytes keep everything; equal rows are copies of each other; null doc_ids are
 kept; an empty table gives no rows; extra columns are ignored.
@@ -47,9 +51,13 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from corvid.llm.spark_util import read_table, stored
-from corvid.llm.textbatch import RollingHash, chunks, rows_of, text_buffer
+from corvid.llm.textbatch import RollingHash, chunks, rows_of, text_buffer, words
 
 MIN_LEN, SEED = 400, 128
+#: Words of the shortest passage, and of its seed; letters of a word's code, 6 bits each.
+MIN_WORDS, SEED_WORDS, CODE = 51, 16, 5
+#: Words that are hashed at once.
+PART = 1 << 14
 #: Occurrences of a seed, or contexts of a tree node, that one task holds at most.
 SPLIT = 20_000
 #: Longest stretch of one text that is scanned at once.
@@ -465,8 +473,10 @@ def _rest(batches):
                            ("kept_sha256", pa.string())])
 
 
-def remove_repeats(docs: DataFrame, min_len: int = MIN_LEN, seed: int = SEED, split: int = SPLIT) -> DataFrame:
-    """``(doc_id, n_bytes, n_removed, n_spans, kept_sha256)`` of every row."""
+def remove_repeats(docs: DataFrame, min_len: int = MIN_LEN, seed: int = SEED, split: int = SPLIT,
+                   more: DataFrame | None = None) -> DataFrame:
+    """``(doc_id, n_bytes, n_removed, n_spans, kept_sha256)`` of every row, then
+    the columns of ``more``, which has one row a ``node`` (md5 of the text)."""
     found, texts = _meeting(docs, min_len, seed, split)
     spans = (_covered(found, min_len, seed)
              .unionByName(_hot_groups(found, min_len, seed, split).select("node", "start", "end"))
@@ -477,18 +487,50 @@ def remove_repeats(docs: DataFrame, min_len: int = MIN_LEN, seed: int = SEED, sp
     rows = docs.select("doc_id", _node(F.col("text")).alias("node"), F.octet_length(body).cast("long").alias("n_bytes"),
                        F.sha2(body, 256).alias("whole"))
     copies = rows.filter(F.col("n_bytes") >= min_len).groupBy("node").agg(F.count(F.lit(1)).alias("c")).filter("c > 1")
-    known = stored(copies.select("node", F.lit(True).alias("all")).join(spans, "node", "full"), "removed")
+    known = copies.select("node", F.lit(True).alias("all")).join(spans, "node", "full")
+    if more is not None:
+        known = known.join(more, "node", "full")
+    known = stored(known, "removed")
     all_ = F.coalesce("all", F.lit(False))
     return rows.join(known, "node", "left").select(
         "doc_id", "n_bytes",
         F.when(all_, F.col("n_bytes")).otherwise(F.coalesce("n_removed", F.lit(0))).alias("n_removed"),
         F.when(all_, 1).otherwise(F.coalesce("n_spans", F.lit(0))).cast("long").alias("n_spans"),
-        F.when(all_, F.sha2(F.lit(""), 256)).otherwise(F.coalesce("kept_sha256", "whole")).alias("kept_sha256"))
+        F.when(all_, F.sha2(F.lit(""), 256)).otherwise(F.coalesce("kept_sha256", "whole")).alias("kept_sha256"),
+        *[c for c in (more.columns if more is not None else []) if c != "node"])
+
+
+def _word_codes(batches):
+    """(node, text) -> (node, the codes of the text's words)."""
+    for batch in batches:
+        data, off = text_buffer(batch.column(1))
+        for lo, hi, d, o in chunks(data, off, SCAN):
+            s, e = words(d, o)
+            code = np.empty((len(s), CODE), np.uint8)
+            for i in range(0, len(s), PART):
+                a, b = s[i:i + PART], e[i:i + PART]
+                h = RollingHash(d[a[0]:b[-1]]).ranges(a - a[0], b - a[0])
+                for k in range(CODE):
+                    code[i:i + PART, k] = 48 + (h >> np.uint64(58 - 6 * k) & np.uint64(63))
+            ends = (np.searchsorted(s, o) * CODE).astype(np.int64)
+            text = pa.Array.from_buffers(pa.large_string(), hi - lo, [None, pa.py_buffer(ends), pa.py_buffer(code)])
+            yield pa.RecordBatch.from_arrays([batch.column(0).slice(lo, hi - lo), text.cast(pa.string())], names=["node", "text"])
+
+
+def repeat_passages(docs: DataFrame, min_words: int = MIN_WORDS, seed: int = SEED_WORDS, split: int = SPLIT) -> DataFrame:
+    """``(node, n_passages)`` of the texts that have any: the maximal runs of words
+    covered by strings of ``min_words`` words that also start elsewhere."""
+    coded = (docs.select(_node(F.col("text")).alias("doc_id"), "text")
+             .mapInArrow(_word_codes, "doc_id binary, text string"))
+    return (remove_repeats(coded, min_words * CODE, seed * CODE, split).filter("n_spans > 0")
+            .groupBy(F.col("doc_id").alias("node")).agg(F.max("n_spans").alias("n_passages")))
 
 
 def op1_repeats(spark, sf_dir: str) -> DataFrame:
-    """The contract's columns, then ``removed`` (does anything go) and ``kept_share``."""
-    got = remove_repeats(read_table(spark, sf_dir, "documents").select("doc_id", "text"))
+    """The contract's columns, then ``removed`` (does anything go), ``kept_share`` and
+    ``n_passages`` (passages of over 50 words that also stand elsewhere, removed or not)."""
+    docs = read_table(spark, sf_dir, "documents").select("doc_id", "text")
+    got = remove_repeats(docs, more=repeat_passages(docs)).withColumn("n_passages", F.coalesce("n_passages", F.lit(0)))
     left = F.col("n_bytes") - F.col("n_removed")
-    return got.select("*", (F.col("n_removed") > 0).alias("removed"),
-                      F.when(F.col("n_bytes") > 0, left / F.col("n_bytes")).otherwise(F.lit(1.0)).alias("kept_share"))
+    share = F.when(F.col("n_bytes") > 0, left / F.col("n_bytes")).otherwise(F.lit(1.0))
+    return got.select(*got.columns[:-1], (F.col("n_removed") > 0).alias("removed"), share.alias("kept_share"), "n_passages")

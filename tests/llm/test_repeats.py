@@ -8,6 +8,7 @@ import numpy as np
 import pytest
 
 from corvid.llm import repeats
+from tests.llm.brute import WORD
 
 
 def brute(texts, k):
@@ -112,3 +113,44 @@ def test_groups_do_not_depend_on_the_split(spark, seed, split):
               + "".join(rng.choice("ab") for _ in range(rng.randint(0, 20))) for _ in range(40)]
     want = occurrences(spark, texts, 20_000)
     assert len(want) > 100 and occurrences(spark, texts, split) == want
+
+
+def passages(texts, k):
+    """Maximal runs of words in strings of ``k`` words that also start elsewhere."""
+    split = [WORD.findall(t or "") for t in texts]
+    places = defaultdict(list)
+    for i, w in enumerate(split):
+        for s in range(len(w) - k + 1):
+            places[tuple(w[s:s + k])].append((i, s))
+    hit = [np.zeros(len(w) + 2, np.int8) for w in split]
+    for at in places.values():
+        if len(at) > 1:
+            for i, s in at:
+                hit[i][s + 1:s + k + 1] = 1
+    return [int((np.diff(h) == 1).sum()) for h in hit]
+
+
+@pytest.mark.parametrize("seed,split", [(1, 20_000), (2, 3)])
+def test_passages_against_brute_force(spark, monkeypatch, seed, split):
+    monkeypatch.setattr(repeats, "PART", 7)
+    texts = corpus(seed) + ["\u00e9 a  b\tc a b c a b c a b c", " \n\t "]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(4)
+    got = {bytes(r.node): r.n_passages for r in repeats.repeat_passages(df, 6, 2, split).collect()}
+    assert [got.get(hashlib.md5((t or "").encode()).digest(), 0) for t in texts] == passages(texts, 6)
+
+
+def test_planted_passages_of_over_50_words_are_told(spark, tmp_path):
+    """A shared passage of 51 words and under 400 bytes shows, but the contract keeps its bytes."""
+    rng = random.Random(4)
+
+    def own(n):
+        return " ".join("".join(rng.choice("abcdefghij") for _ in range(6)) for _ in range(n))
+    told, short = own(51), own(50)
+    texts = [f"{own(40)} {told} {own(60)}", own(200), f"{told}\n{own(5)} {own(20)}", f"{own(30)} {short} {own(9)}", short, None, "",
+             own(150) + " " + told, None]
+    rows = [(i, t) for i, t in enumerate(texts)] + [(None, own(90)), (1, own(70))]
+    spark.createDataFrame(rows, "doc_id long, text string").write.parquet(f"{tmp_path}/documents.parquet")
+    got = repeats.op1_repeats(spark, str(tmp_path)).collect()
+    assert len(got) == len(rows) and all(r.n_removed == 0 and r.n_spans == 0 and not r.removed for r in got)
+    assert sorted(r.doc_id for r in got if r.n_passages) == [0, 2, 7]
+    assert {r.n_passages for r in got} == {0, 1}
